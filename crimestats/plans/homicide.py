@@ -39,7 +39,7 @@ from crimestats.functions.predicates import (
     prefix_in,
     prefix_not_in,
 )
-from crimestats.operators.ranking import distinct_dense_rank
+from crimestats.operators.ranking import distinct_dense_rank, estimate_distinct
 from crimestats.operators.relational import count_distinct_per_key, swap_when, top1_per_key
 from crimestats.schemas import SHR_COLUMNS
 from crimestats.sources.tables import CrimeTables
@@ -159,10 +159,12 @@ def report_ranks(tables: CrimeTables, scope: DataFrame) -> dict[str, DataFrame]:
     OFF#: offender id within HOMICIDE_NO.  The rank keys of the master rows are
     exactly those of the scope (and of scope x offenders): left joins keep all.
     """
-    v_count = distinct_dense_rank(scope, ["HOMICIDE_NO"], rank_col="V_COUNT")
-    vic_no = distinct_dense_rank(scope, ["HOMICIDE_NO"], ["RD_NO"], rank_col="VIC_NO")
-    offenders = _scope_offenders(tables, scope, ["HOMICIDE_NO"])
-    off_no = distinct_dense_rank(offenders, ["HOFFID"], ["HOMICIDE_NO"], rank_col="OFF_RANK")
+    offenders = _scope_offenders(tables, scope, ["RD_NO", "HOMICIDE_NO"])
+    sizes = estimate_distinct(offenders, {"v": ["HOMICIDE_NO"], "vic": ["RD_NO", "HOMICIDE_NO"],
+                                          "off": ["HOMICIDE_NO", "HOFFID"]})
+    v_count = distinct_dense_rank(scope, ["HOMICIDE_NO"], rank_col="V_COUNT", n_keys=sizes["v"])
+    vic_no = distinct_dense_rank(scope, ["HOMICIDE_NO"], ["RD_NO"], rank_col="VIC_NO", n_keys=sizes["vic"])
+    off_no = distinct_dense_rank(offenders, ["HOFFID"], ["HOMICIDE_NO"], rank_col="OFF_RANK", n_keys=sizes["off"])
     return {"v_count": v_count, "vic_no": vic_no, "off_no": off_no}
 
 
@@ -178,11 +180,12 @@ def _join_rank(df: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
 
 # ------------------------------------------------------------------ H6 master
 def homicide_master(tables: CrimeTables, period: Period = DEFAULT_PERIOD,
-                    districts: DistrictRange = DEFAULT_DISTRICTS, ranks: dict[str, DataFrame] | None = None
-                    ) -> DataFrame:
+                    districts: DistrictRange = DEFAULT_DISTRICTS, ranks: dict[str, DataFrame] | None = None,
+                    distinct: bool = True) -> DataFrame:
     """H6: recoded victim x offender rows (39 columns), as a set.
 
-    The master is only ever consumed through DISTINCT, so it is built from
+    The master is only ever consumed through DISTINCT (``distinct=False``
+    leaves that to the consumer), so it is built from
     distinct (RD, situation) and (RD, circumstance) pairs: identical result,
     without multiplying an incident's rows by its number of motives.
     """
@@ -237,7 +240,7 @@ def homicide_master(tables: CrimeTables, period: Period = DEFAULT_PERIOD,
         "LAST_NME", "FIRST_NME",
         R.relationship_code(F.col("VICTIM_REL_TO_OFFENDER"), F.col("VICTIM_SEX"), F.col("SITCODE")).alias("RELATIONCD"),
     )
-    return master.distinct()
+    return master.distinct() if distinct else master
 
 
 # ---------------------------------------------------------------- H7 adjusted
@@ -286,7 +289,7 @@ def homicide_report(tables: CrimeTables, period: Period = DEFAULT_PERIOD,
     CASE#_TYPE2, VIC#, OFF# (NULLS LAST)."""
     scope = homicide_scope(tables, period, districts)
     ranks = report_ranks(tables, scope)
-    master = homicide_master(tables, period, districts, ranks)
+    master = homicide_master(tables, period, districts, ranks, distinct=False)
     report = homicide_adjusted(master, ranks).select(*(F.col(f"`{c}`") for c in SHR_COLUMNS)).distinct()
     if ordered:
         report = report.orderBy(F.col("`CASE#_TYPE2`").asc_nulls_last(), F.col("`VIC#`").asc_nulls_last(),

@@ -59,9 +59,11 @@ def code_lookup(tables: CrimeTables) -> DataFrame:
     """IUCR code -> FBI code, plus whether the FBI code is a known FBI code.
 
     Both are dimension tables: the existence test against ``fbi_codes`` is
-    resolved here, on the small side, instead of as a join of the crimes.
+    resolved here, on the small side, instead of as a join of the crimes.  The
+    result is at most one row per IUCR row (``fbi_codes`` is deduplicated), so
+    one size check of the lookup bounds both tables before it is broadcast.
     """
-    fbi = broadcast_if_bounded(tables.fbi_codes.select(F.col("CD").alias("_FBI_CD")).distinct())
+    fbi = tables.fbi_codes.select(F.col("CD").alias("_FBI_CD")).distinct()
     iucr = tables.iucr_codes.select("CD", "FBI_CD")
     lookup = iucr.join(fbi, iucr["FBI_CD"] == fbi["_FBI_CD"], "left")
     return lookup.select("CD", "FBI_CD", F.col("_FBI_CD").isNotNull().alias("FBI_KNOWN"))
@@ -88,7 +90,7 @@ def case_base(tables: CrimeTables, period: Period = DEFAULT_PERIOD,
 
 
 # ------------------------------------------------------------ rule predicates
-def is_victim_counted(cb: DataFrame | None = None) -> Column:
+def is_victim_counted() -> Column:
     return F.col("FBI_CD").isin(list(C.VICTIM_COUNTED_CODES)) & ~F.col("CD").isin(list(C.VICTIM_COUNT_EXCLUDED_IUCR))
 
 
@@ -214,7 +216,8 @@ def incident_records_single_pass(cb: DataFrame, tables: CrimeTables) -> DataFram
     candidates = F.array(
         F.when(is_incident_counted() & F.col("FBI_KNOWN"), F.col("FBI_CD")),
         F.when(larceny & flag["HAS_MVT"], F.lit(C.MVT_CODE)),
-        F.when(larceny & ~flag["HAS_MVT"], F.lit(C.LARCENY_CODE)),
+        # SQL NOT IN drops a NULL id whenever any case was overridden.
+        F.when(larceny & ~flag["HAS_MVT"] & F.col("ID").isNotNull(), F.lit(C.LARCENY_CODE)),
         F.when(is_arson_masking() & flag["HAS_ARSON"], F.lit(C.ARSON_CODE)),
         F.when(is_not_arson() & flag["HAS_DAMAGE"] & flag["HAS_BURNED"], F.lit(C.ARSON_CODE)),
     )
