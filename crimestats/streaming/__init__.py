@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reports are three batch statements over a reporting period; the
+reference has no watermark, window, state or late-data semantics, so there is
+nothing to re-express with Structured Streaming.
+"""
