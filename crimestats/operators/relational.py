@@ -18,15 +18,16 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 1_000_000
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it has at most ``max_rows`` rows.
+def is_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.  Reads at most
+    ``max_rows + 1`` rows, so it stays cheap even when the table is large."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
-    the table turns out to be large; beyond the bound the planner's shuffle
-    join (and AQE's runtime choice) applies.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` only when it has at most ``max_rows`` rows; beyond the
+    bound the planner's shuffle join (and AQE's runtime choice) applies."""
+    return F.broadcast(df) if is_bounded(df, max_rows) else df
 
 
 def conditional_count_crosstab(df: DataFrame, keys: list[str], code_col: str, codes: tuple[str, ...]) -> DataFrame:

@@ -31,9 +31,9 @@ from crimestats.functions.predicates import (
     prefix_not_in,
 )
 from crimestats.operators.relational import (
-    broadcast_if_bounded,
     conditional_count_crosstab,
     exists_in,
+    is_bounded,
     not_in_subquery,
     union_distinct,
 )
@@ -61,12 +61,13 @@ def code_lookup(tables: CrimeTables) -> DataFrame:
     Both are dimension tables: the existence test against ``fbi_codes`` is
     resolved here, on the small side, instead of as a join of the crimes.  The
     result is at most one row per IUCR row (``fbi_codes`` is deduplicated), so
-    one size check of the lookup bounds both tables before it is broadcast.
+    the size check of ``iucr_codes`` (a scan, no shuffle) bounds the lookup.
     """
     fbi = tables.fbi_codes.select(F.col("CD").alias("_FBI_CD")).distinct()
     iucr = tables.iucr_codes.select("CD", "FBI_CD")
     lookup = iucr.join(fbi, iucr["FBI_CD"] == fbi["_FBI_CD"], "left")
-    return lookup.select("CD", "FBI_CD", F.col("_FBI_CD").isNotNull().alias("FBI_KNOWN"))
+    lookup = lookup.select("CD", "FBI_CD", F.col("_FBI_CD").isNotNull().alias("FBI_KNOWN"))
+    return F.broadcast(lookup) if is_bounded(tables.iucr_codes) else lookup
 
 
 def case_base(tables: CrimeTables, period: Period = DEFAULT_PERIOD,
@@ -84,7 +85,7 @@ def case_base(tables: CrimeTables, period: Period = DEFAULT_PERIOD,
         & F.col("RD").isNotNull()
         & numeric_between(F.col("DISTRICT"), districts.lo, districts.hi)
     ).select("ID", "RD", "CURR_IUCR", "LOCATION", "MONTH", "YEAR")
-    lookup = broadcast_if_bounded(code_lookup(tables))
+    lookup = code_lookup(tables)
     joined = scoped.join(lookup, scoped["CURR_IUCR"] == lookup["CD"], "inner")
     return joined.select("ID", "RD", "CD", "FBI_CD", "FBI_KNOWN", "LOCATION", "MONTH", "YEAR")
 
