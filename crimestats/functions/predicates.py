@@ -42,6 +42,41 @@ class Period:
         return list(range(self.start.year, last + 1))
 
 
+@dataclass(frozen=True)
+class ReportingPeriods:
+    """Several reports in one run: each row is labelled with the period that
+    contains its timestamp (periods must not overlap).  Incident-level counts,
+    situations, circumstances and ranks are then computed per label, exactly
+    as separate single-period runs would."""
+
+    periods: tuple[tuple[str, Period], ...]
+
+    @staticmethod
+    def of(period: Period | ReportingPeriods) -> ReportingPeriods:
+        if isinstance(period, ReportingPeriods):
+            return period
+        return ReportingPeriods(((period.start.strftime("%Y-%m-%d"), period),))
+
+    @staticmethod
+    def calendar_years(first: int, last: int) -> ReportingPeriods:
+        return ReportingPeriods(tuple((str(y), Period.calendar_year(y)) for y in range(first, last + 1)))
+
+    @property
+    def multi(self) -> bool:
+        return len(self.periods) > 1
+
+    def covering(self) -> Period:
+        return Period(min(p.start for _, p in self.periods), max(p.end for _, p in self.periods))
+
+    def label(self, col: Column, dtype: T.DataType | None = None) -> Column:
+        """Period label of ``col`` (NULL outside every period)."""
+        expr = None
+        for name, period in self.periods:
+            cond = in_period(col, period, dtype)
+            expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
+        return expr.otherwise(F.lit(None).cast("string"))
+
+
 @dataclass(frozen=True)
 class DistrictRange:
     lo: int = 1

@@ -34,6 +34,7 @@ from crimestats.functions import recode as R
 from crimestats.functions.predicates import (
     DistrictRange,
     Period,
+    ReportingPeriods,
     in_period,
     numeric_between,
     prefix_in,
@@ -46,6 +47,10 @@ from crimestats.sources.tables import CrimeTables
 
 DEFAULT_PERIOD = Period.calendar_year(2016)
 DEFAULT_DISTRICTS = DistrictRange(1, 25)
+# Label of the reporting period a homicide belongs to; every incident-level key
+# (counts, situations, circumstances, ranks) includes it, so one run can build
+# the reports of many periods (``ReportingPeriods``) with per-period results.
+PERIOD_COL = "REPORT_PERIOD"
 
 MASTER_COLUMNS = [
     "MNTH", "YR", "TIMEMIL", "WEAPID", "HOMTYPECD", "CLEARED_I", "SITUATIONCD", "CCODE", "DEATH_CAUSE_CD",
@@ -57,16 +62,25 @@ MASTER_COLUMNS = [
 
 
 # ----------------------------------------------------------------- H0 scope
-def homicide_scope(tables: CrimeTables, period: Period = DEFAULT_PERIOD,
+def _in_periods(df: DataFrame, periods: ReportingPeriods) -> tuple[F.Column, F.Column]:
+    """(pushable covering-period predicate, period label) for INJURY_DATE."""
+    dtype = df.schema["INJURY_DATE"].dataType
+    cover = periods.covering()
+    return in_period(F.col("INJURY_DATE"), cover, dtype), periods.label(F.col("INJURY_DATE"), dtype)
+
+
+def homicide_scope(tables: CrimeTables, period: Period | ReportingPeriods = DEFAULT_PERIOD,
                    districts: DistrictRange = DEFAULT_DISTRICTS, active: bool = True) -> DataFrame:
     """H0: homicides injured in the period, active, in the district range; all
-    classes, justified and involuntary included."""
+    classes, justified and involuntary included.  Adds ``REPORT_PERIOD``."""
+    periods = ReportingPeriods.of(period)
     hom = tables.homicides
-    cond = in_period(F.col("INJURY_DATE"), period, hom.schema["INJURY_DATE"].dataType) \
-        & numeric_between(F.col("CURR_DISTRICT"), districts.lo, districts.hi)
+    covering, label = _in_periods(hom, periods)
+    cond = covering & numeric_between(F.col("CURR_DISTRICT"), districts.lo, districts.hi)
     if active:
         cond = cond & (F.col("ACTIVE_I") == "Y")
-    return hom.where(cond)
+    scoped = hom.where(cond).withColumn(PERIOD_COL, label)
+    return scoped.where(F.col(PERIOD_COL).isNotNull()) if periods.multi else scoped
 
 
 # ---------------------------------------------------------------- H1, H2 weapons
@@ -97,7 +111,7 @@ def lethal_weapon(weapons: DataFrame) -> DataFrame:
 # --------------------------------------------------------- H3, H4 situation
 def _scope_offenders(tables: CrimeTables, scope: DataFrame, cols: list[str]) -> DataFrame:
     off = tables.offenders.select(F.col("HOM_HOMICIDE_ID").alias("_OHID"), F.col("ID").alias("HOFFID"))
-    s = scope.select("ID", *cols)
+    s = scope.select("ID", PERIOD_COL, *cols)
     return s.join(off, s["ID"] == off["_OHID"], "left").drop("_OHID")
 
 
@@ -106,12 +120,15 @@ def party_counts(tables: CrimeTables, scope: DataFrame) -> DataFrame:
     offenders OFFENDERS, at (RD_NO, HOMICIDE_NO, CLEARED_I) grain.  OFFTOTAL is
     the ratio, for display only; decisions compare the integer counts (T11)."""
     rows = _scope_offenders(tables, scope, ["RD_NO", "HOMICIDE_NO"])
-    counts = count_distinct_per_key(rows, "RD_NO", {"VICTOTAL": "HOMICIDE_NO", "OFFENDERS": "HOFFID"}) \
-        .withColumnRenamed("RD_NO", "_RD")
-    grain = scope.select("RD_NO", "HOMICIDE_NO", "CLEARED_I").distinct()
-    joined = grain.join(counts, grain["RD_NO"].eqNullSafe(counts["_RD"]), "inner")
+    counts = rows.groupBy(PERIOD_COL, "RD_NO").agg(
+        F.count_distinct("HOMICIDE_NO").cast("long").alias("VICTOTAL"),
+        F.count_distinct("HOFFID").cast("long").alias("OFFENDERS"),
+    ).select(F.col(PERIOD_COL).alias("_P"), F.col("RD_NO").alias("_RD"), "VICTOTAL", "OFFENDERS")
+    grain = scope.select(PERIOD_COL, "RD_NO", "HOMICIDE_NO", "CLEARED_I").distinct()
+    cond = grain["RD_NO"].eqNullSafe(counts["_RD"]) & grain[PERIOD_COL].eqNullSafe(counts["_P"])
+    joined = grain.join(counts, cond, "inner")
     return joined.select(
-        "RD_NO", "HOMICIDE_NO", "CLEARED_I", "VICTOTAL", "OFFENDERS",
+        PERIOD_COL, "RD_NO", "HOMICIDE_NO", "CLEARED_I", "VICTOTAL", "OFFENDERS",
         (F.col("OFFENDERS").cast("double") / F.col("VICTOTAL").cast("double")).alias("OFFTOTAL"),
     )
 
@@ -133,38 +150,44 @@ def situation_code_expr() -> F.Column:
 
 def situation_codes(counts: DataFrame) -> DataFrame:
     """H4: distinct (RD_NO, SITCODE); an incident can carry several."""
-    return counts.select("RD_NO", situation_code_expr().alias("SITCODE")).distinct()
+    return counts.select(PERIOD_COL, "RD_NO", situation_code_expr().alias("SITCODE")).distinct()
 
 
 # ------------------------------------------------------------ H5 circumstance
-def circumstance_codes(tables: CrimeTables, period: Period = DEFAULT_PERIOD,
+def circumstance_codes(tables: CrimeTables, period: Period | ReportingPeriods = DEFAULT_PERIOD,
                        districts: DistrictRange = DEFAULT_DISTRICTS) -> DataFrame:
     """H5: motive -> circumstance code for every non-involuntary, non-justified
     homicide in the period and districts; inactive ones included (T13)."""
+    periods = ReportingPeriods.of(period)
     hom = tables.homicides
+    covering, label = _in_periods(hom, periods)
     scoped = hom.where(
-        in_period(F.col("INJURY_DATE"), period, hom.schema["INJURY_DATE"].dataType)
+        covering
         & prefix_not_in(F.col("HOMICIDE_NO"), C.HOMICIDE_EXCLUDED_CLASSES)
         & numeric_between(F.col("CURR_DISTRICT"), districts.lo, districts.hi)
-    )
-    return scoped.select("RD_NO", "DEATH_CAUSE_CD", "VICTIM_AGE",
+    ).withColumn(PERIOD_COL, label)
+    if periods.multi:
+        scoped = scoped.where(F.col(PERIOD_COL).isNotNull())
+    return scoped.select(PERIOD_COL, "RD_NO", "DEATH_CAUSE_CD", "VICTIM_AGE",
                          R.circumstance_code(F.col("DEATH_CAUSE_CD"), F.col("VICTIM_AGE")).alias("CIRCUMSTANCECODE"))
 
 
 # ------------------------------------------------------------------ ranks
 def report_ranks(tables: CrimeTables, scope: DataFrame) -> dict[str, DataFrame]:
-    """The three dense ranks of the report, as key -> rank maps.
+    """The three dense ranks of the report, as key -> rank maps, per period.
 
     V_COUNT: HOMICIDE_NO over the whole report; VIC#: HOMICIDE_NO within RD_NO;
     OFF#: offender id within HOMICIDE_NO.  The rank keys of the master rows are
     exactly those of the scope (and of scope x offenders): left joins keep all.
     """
     offenders = _scope_offenders(tables, scope, ["RD_NO", "HOMICIDE_NO"])
-    sizes = estimate_distinct(offenders, {"v": ["HOMICIDE_NO"], "vic": ["RD_NO", "HOMICIDE_NO"],
-                                          "off": ["HOMICIDE_NO", "HOFFID"]})
-    v_count = distinct_dense_rank(scope, ["HOMICIDE_NO"], rank_col="V_COUNT", n_keys=sizes["v"])
-    vic_no = distinct_dense_rank(scope, ["HOMICIDE_NO"], ["RD_NO"], rank_col="VIC_NO", n_keys=sizes["vic"])
-    off_no = distinct_dense_rank(offenders, ["HOFFID"], ["HOMICIDE_NO"], rank_col="OFF_RANK", n_keys=sizes["off"])
+    p = PERIOD_COL
+    sizes = estimate_distinct(offenders, {"v": [p, "HOMICIDE_NO"], "vic": [p, "RD_NO", "HOMICIDE_NO"],
+                                          "off": [p, "HOMICIDE_NO", "HOFFID"]})
+    v_count = distinct_dense_rank(scope, ["HOMICIDE_NO"], [p], rank_col="V_COUNT", n_keys=sizes["v"])
+    vic_no = distinct_dense_rank(scope, ["HOMICIDE_NO"], [p, "RD_NO"], rank_col="VIC_NO", n_keys=sizes["vic"])
+    off_no = distinct_dense_rank(offenders, ["HOFFID"], [p, "HOMICIDE_NO"], rank_col="OFF_RANK",
+                                 n_keys=sizes["off"])
     return {"v_count": v_count, "vic_no": vic_no, "off_no": off_no}
 
 
@@ -179,40 +202,46 @@ def _join_rank(df: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------------ H6 master
-def homicide_master(tables: CrimeTables, period: Period = DEFAULT_PERIOD,
+def homicide_master(tables: CrimeTables, period: Period | ReportingPeriods = DEFAULT_PERIOD,
                     districts: DistrictRange = DEFAULT_DISTRICTS, ranks: dict[str, DataFrame] | None = None,
                     distinct: bool = True) -> DataFrame:
-    """H6: recoded victim x offender rows (39 columns), as a set.
+    """H6: recoded victim x offender rows (39 columns + ``REPORT_PERIOD``), as a set.
 
-    The master is only ever consumed through DISTINCT (``distinct=False``
-    leaves that to the consumer), so it is built from
+    The master is only ever consumed through DISTINCT, so it is built from
     distinct (RD, situation) and (RD, circumstance) pairs: identical result,
-    without multiplying an incident's rows by its number of motives.
+    without multiplying an incident's rows by its number of motives.  With
+    ``distinct=False`` (the report's path) the rows also carry ``V_COUNT``,
+    attached per homicide before the offender join, and DISTINCT is left to
+    the consumer.
     """
     scope = homicide_scope(tables, period, districts)
     ranks = ranks or report_ranks(tables, scope)
+    p = PERIOD_COL
 
     hom = scope.select(
-        "ID", "RD_NO", "HOMICIDE_NO", "INJURY_DATE", "CLEARED_I", "DEATH_CAUSE_CD", "MOTIVE_DESCR", "INJURY_DESCR",
-        "VICTIM_LAST_NME", "VICTIM_FIRST_NME", "VICTIM_AGE", "VICTIM_SEX", "VICTIM_RACE", "VICTIM_REL_TO_OFFENDER",
+        "ID", p, "RD_NO", "HOMICIDE_NO", "INJURY_DATE", "CLEARED_I", "DEATH_CAUSE_CD", "MOTIVE_DESCR",
+        "INJURY_DESCR", "VICTIM_LAST_NME", "VICTIM_FIRST_NME", "VICTIM_AGE", "VICTIM_SEX", "VICTIM_RACE",
+        "VICTIM_REL_TO_OFFENDER",
     )
-    hom = _join_rank(hom, ranks["vic_no"], ["RD_NO", "HOMICIDE_NO"]).withColumnRenamed("VIC_NO", "VICCNT")
+    hom = _join_rank(hom, ranks["vic_no"], [p, "RD_NO", "HOMICIDE_NO"]).withColumnRenamed("VIC_NO", "VICCNT")
+    hom = _join_rank(hom, ranks["v_count"], [p, "HOMICIDE_NO"])
     off = tables.offenders.select(
         F.col("HOM_HOMICIDE_ID").alias("_OHID"), F.col("ID").alias("HOFFID"), "LAST_NME", "FIRST_NME", "AGE",
         "SEX", "RACE",
     )
     rows = hom.join(off, hom["ID"] == off["_OHID"], "left").drop("_OHID")
-    rows = _join_rank(rows, ranks["off_no"], ["HOMICIDE_NO", "HOFFID"]).withColumnRenamed("OFF_RANK", "OFFCNT")
+    rows = _join_rank(rows, ranks["off_no"], [p, "HOMICIDE_NO", "HOFFID"]).withColumnRenamed("OFF_RANK", "OFFCNT")
 
     weapon = lethal_weapon(weapon_codes(tables, scope)).select(
         F.col("HOM_HOMICIDE_ID"), "WEAPID", "WEAPON_TYPE", "WEAPON_NAME", F.col("HIERARCHY").alias("WEAPONCD"))
     rows = rows.join(weapon, rows["ID"] == weapon["HOM_HOMICIDE_ID"], "left")
 
-    sit = situation_codes(party_counts(tables, scope)).select(F.col("RD_NO").alias("_SRD"), "SITCODE")
-    rows = rows.join(sit, rows["RD_NO"] == sit["_SRD"], "left")
+    sit = situation_codes(party_counts(tables, scope)).select(
+        F.col(p).alias("_SP"), F.col("RD_NO").alias("_SRD"), "SITCODE")
+    rows = rows.join(sit, (rows["RD_NO"] == sit["_SRD"]) & (rows[p] == sit["_SP"]), "left")
     circ = circumstance_codes(tables, period, districts).select(
-        F.col("RD_NO").alias("_CRD"), "CIRCUMSTANCECODE").distinct()
-    rows = rows.join(circ, rows["RD_NO"] == circ["_CRD"], "left")
+        F.col(p).alias("_CP"), F.col("RD_NO").alias("_CRD"), "CIRCUMSTANCECODE").distinct()
+    rows = rows.join(circ, (rows["RD_NO"] == circ["_CRD"]) & (rows[p] == circ["_CP"]), "left")
 
     hno = F.col("HOMICIDE_NO")
     shown = R.offender_shown(F.col("SITCODE"), F.col("LAST_NME"))
@@ -239,18 +268,21 @@ def homicide_master(tables: CrimeTables, period: Period = DEFAULT_PERIOD,
         R.offender_ethnicity(F.col("RACE"), shown).alias("OFFETHNICITY"),
         "LAST_NME", "FIRST_NME",
         R.relationship_code(F.col("VICTIM_REL_TO_OFFENDER"), F.col("VICTIM_SEX"), F.col("SITCODE")).alias("RELATIONCD"),
+        p,
+        "V_COUNT",
     )
-    return master.distinct() if distinct else master
+    return master.drop("V_COUNT").distinct() if distinct else master
 
 
 # ---------------------------------------------------------------- H7 adjusted
-def homicide_adjusted(master: DataFrame, ranks: dict[str, DataFrame]) -> DataFrame:
-    """H7: report columns plus HOFFID2, distinct.
+def homicide_adjusted(master: DataFrame) -> DataFrame:
+    """H7: report columns plus HOFFID2 (and ``REPORT_PERIOD``), distinct.
 
+    Input: master rows with ``V_COUNT`` (``homicide_master(distinct=False)``).
     V_COUNT / VIC# / OFF# ranks; one suspect row for unknown-offender
     situations (B, F); police-shooting weapon override; victim and offender
     roles exchanged when CCODE is '81' (SURVEY §2.4.8)."""
-    m = _join_rank(master, ranks["v_count"], ["HOMICIDE_NO"])
+    m = master
     sit, ccode = F.col("SITUATIONCD"), F.col("CCODE")
     unknown_offender = sit.isin(list(C.UNKNOWN_OFFENDER_SITUATIONS))
     police = ccode == C.POLICE_CIRCUMSTANCE
@@ -279,19 +311,24 @@ def homicide_adjusted(master: DataFrame, ranks: dict[str, DataFrame]) -> DataFra
         F.when(unknown_offender, F.lit(1).cast("long")).otherwise(F.col("OFFCNT").cast("long")).alias("OFF#"),
         off_age.alias("OFF_AGE"), off_sex.alias("OFF_SEX"), off_race.alias("OFF_RACE"), off_eth.alias("OFF_ETH"),
         F.col("RELATIONCD").alias("REL_CODE"),
+        PERIOD_COL,
     ).distinct()
 
 
 # ------------------------------------------------------------------ H8 report
-def homicide_report(tables: CrimeTables, period: Period = DEFAULT_PERIOD,
+def homicide_report(tables: CrimeTables, period: Period | ReportingPeriods = DEFAULT_PERIOD,
                     districts: DistrictRange = DEFAULT_DISTRICTS, ordered: bool = True) -> DataFrame:
     """H8: the supplementary homicide report, 21 columns, distinct, ordered by
-    CASE#_TYPE2, VIC#, OFF# (NULLS LAST)."""
-    scope = homicide_scope(tables, period, districts)
+    CASE#_TYPE2, VIC#, OFF# (NULLS LAST).  For several reporting periods the
+    rows of each period's report are labelled by a leading ``REPORT_PERIOD``."""
+    periods = ReportingPeriods.of(period)
+    scope = homicide_scope(tables, periods, districts)
     ranks = report_ranks(tables, scope)
-    master = homicide_master(tables, period, districts, ranks, distinct=False)
-    report = homicide_adjusted(master, ranks).select(*(F.col(f"`{c}`") for c in SHR_COLUMNS)).distinct()
+    master = homicide_master(tables, periods, districts, ranks, distinct=False)
+    cols = ([PERIOD_COL] if periods.multi else []) + list(SHR_COLUMNS)
+    report = homicide_adjusted(master).select(*(F.col(f"`{c}`") for c in cols)).distinct()
     if ordered:
-        report = report.orderBy(F.col("`CASE#_TYPE2`").asc_nulls_last(), F.col("`VIC#`").asc_nulls_last(),
+        report = report.orderBy(*([F.col(PERIOD_COL)] if periods.multi else []),
+                                F.col("`CASE#_TYPE2`").asc_nulls_last(), F.col("`VIC#`").asc_nulls_last(),
                                 F.col("`OFF#`").asc_nulls_last())
     return report

@@ -3,8 +3,9 @@
 Each callable takes ``(spark, sf_dir)``, derives the nine input relations from
 the whole parquet test tables in ``sf_dir`` (``sources.fixtures``) and returns
 a lazy DataFrame.  Report queries use the fixture reporting period, calendar
-1996, and districts 1..25; the ``op_*`` queries apply one general operator to
-whole input relations.  ``crimestats.duckdb_checks`` holds the matching oracle.
+1996, and districts 1..25; the ``*_all_years`` / ``*_by_year`` variants report
+every calendar year the tables span in one run; the ``op_*`` queries apply
+one general operator to whole input relations.  ``crimestats.duckdb_checks`` holds the matching oracle.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from crimestats.functions import recode as R
 from crimestats.functions.predicates import (
     DistrictRange,
     Period,
+    ReportingPeriods,
     in_period,
     like_any,
     not_like_any,
@@ -35,6 +37,8 @@ from crimestats.sources.tables import CrimeTables
 
 FIXTURE_PERIOD = Period.calendar_year(1996)
 FIXTURE_DISTRICTS = DistrictRange(1, 25)
+# Every calendar year the test tables span: one run over the whole tables.
+ALL_YEARS = (1995, 2001)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +74,8 @@ INDEX_QUERIES: dict[str, Callable[[CrimeTables], DataFrame]] = {
     "idx_records": lambda t: I.index_records(t, P, D, method="union"),
     "idx_records_single_pass": lambda t: I.index_records(t, P, D, method="single_pass"),
     "idx_totals": lambda t: I.index_report(t, P, D),
+    "idx_records_all_years": lambda t: I.index_records(t, Period.calendar_years(*ALL_YEARS), D),
+    "idx_totals_all_years": lambda t: I.index_report(t, Period.calendar_years(*ALL_YEARS), D),
 }
 
 
@@ -79,13 +85,13 @@ def _scope(t: CrimeTables) -> DataFrame:
 
 
 def _master(t: CrimeTables) -> DataFrame:
-    return H.homicide_master(t, P, D)
+    return H.homicide_master(t, P, D).drop(H.PERIOD_COL)
 
 
 def _adjusted(t: CrimeTables) -> DataFrame:
     scope = _scope(t)
     ranks = H.report_ranks(t, scope)
-    return H.homicide_adjusted(H.homicide_master(t, P, D, ranks), ranks)
+    return H.homicide_adjusted(H.homicide_master(t, P, D, ranks, distinct=False)).drop(H.PERIOD_COL)
 
 
 def _project(fn: Callable[[CrimeTables], DataFrame], cols: list[str]) -> Callable[[CrimeTables], DataFrame]:
@@ -98,9 +104,9 @@ HOMICIDE_QUERIES: dict[str, Callable[[CrimeTables], DataFrame]] = {
         "CLEARED_I", "INJURY_DESCR"),
     "shr_weapon_codes": lambda t: H.weapon_codes(t, _scope(t), keep_unarmed=True),
     "shr_weapon_top1": lambda t: H.lethal_weapon(H.weapon_codes(t, _scope(t))),
-    "shr_party_counts": lambda t: H.party_counts(t, _scope(t)),
-    "shr_situation": lambda t: H.situation_codes(H.party_counts(t, _scope(t))),
-    "shr_circumstance": lambda t: H.circumstance_codes(t, P, D),
+    "shr_party_counts": lambda t: H.party_counts(t, _scope(t)).drop(H.PERIOD_COL),
+    "shr_situation": lambda t: H.situation_codes(H.party_counts(t, _scope(t))).drop(H.PERIOD_COL),
+    "shr_circumstance": lambda t: H.circumstance_codes(t, P, D).drop(H.PERIOD_COL),
     "shr_master": _master,
     "shr_ccode": _project(_master, ["RD_NO", "HOMICIDE_NO", "CCODE"]),
     "shr_ages": _project(_master, ["HOMICIDE_NO", "VICTIM_AGE", "VICAGE", "HOFFID", "AGE", "OFFAGE"]),
@@ -113,6 +119,7 @@ HOMICIDE_QUERIES: dict[str, Callable[[CrimeTables], DataFrame]] = {
     "shr_vic_no": _project(_adjusted, ["CASE#_TYPE1", "CASE#_TYPE2", "VIC#"]),
     "shr_off_no": _project(_adjusted, ["CASE#_TYPE2", "SIT_CODE", "HOFFID2", "OFF#"]),
     "shr_report": lambda t: H.homicide_report(t, P, D),
+    "shr_report_by_year": lambda t: H.homicide_report(t, ReportingPeriods.calendar_years(*ALL_YEARS), D),
 }
 
 
