@@ -1,133 +1,146 @@
 """Column recodes of the supplementary homicide report.
 
-Every function returns a ``CASE WHEN`` chain built from the fixed tables in
-``crimestats.functions.codes``: first match wins, and NULL inputs follow SQL
-three-valued logic (an unknown condition never matches).
+Every function takes column *names* and returns one ``CASE WHEN`` expression
+built from the fixed tables in ``crimestats.functions.codes``: first match
+wins, and NULL inputs follow SQL three-valued logic (an unknown condition
+never matches).  The CASE text is generated from the tables and handed to
+Spark as a single SQL expression (``F.expr``): Catalyst gets exactly the same
+expression tree as a chain of ``F.when`` calls, without thousands of
+driver-to-JVM calls to assemble it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from crimestats.functions import codes as C
-from crimestats.functions.predicates import like_any, not_like_any, prefix_in
 
+AS_TEXT = object()  # text_band result: the number itself, as text
 
-def code_map(col: Column, rules: Iterable[tuple[tuple[str, ...] | None, str]],
-             otherwise: str | None = None) -> Column:
+
+# ----------------------------------------------------------------- SQL helpers
+def q(value: str) -> str:
+    """SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "''") + "'"
+
+
+def ident(name: str) -> str:
+    return name if name.startswith("`") or not name.replace("_", "").isalnum() else f"`{name}`"
+
+
+def sql_in(col: str, values: Iterable[str]) -> str:
+    return f"{ident(col)} IN ({', '.join(q(v) for v in values)})"
+
+
+def sql_case(arms: Sequence[tuple[str, str]], otherwise: str = "CAST(NULL AS STRING)") -> str:
+    return "CASE " + " ".join(f"WHEN {cond} THEN {value}" for cond, value in arms) + f" ELSE {otherwise} END"
+
+
+def first_char_in(col: str, letters: Iterable[str]) -> str:
+    return f"substring({ident(col)}, 1, 1) IN ({', '.join(q(v) for v in letters)})"
+
+
+# ------------------------------------------------------------- generic recodes
+def code_map(col: str, rules: Iterable[tuple[tuple[str, ...] | None, str]], otherwise: str | None = None) -> Column:
     """Ordered first-match recode.  ``values=None`` matches a NULL input;
     an input matching no rule gets ``otherwise`` (NULL by default)."""
-    expr = None
-    for values, code in rules:
-        cond = col.isNull() if values is None else col.isin(list(values))
-        expr = F.when(cond, F.lit(code)) if expr is None else expr.when(cond, F.lit(code))
-    fallback = F.lit(otherwise).cast("string")
-    return fallback if expr is None else expr.otherwise(fallback)
-
-
-def text_band(number: Column, bands: list[tuple[str, str | None, Column | str]],
-              otherwise: Column | str | None = None, guard: Column | None = None) -> Column:
-    """Compare the *text* of a number against text bounds (binary order,
-    so '100' lies between '02' and '98').  ``bands`` = (lo, hi, result); a
-    ``None`` hi means ``>= lo``; a ``guard`` is ANDed into every band."""
-    text = number.cast("string")
-    expr = None
+    arms = [(f"{ident(col)} IS NULL" if values is None else sql_in(col, values), q(code)) for values, code in rules]
+    return F.expr(sql_case(arms, "CAST(NULL AS STRING)" if otherwise is None else q(otherwise)))
+
+
+def text_band(col: str, bands: Sequence[tuple[str, str | None, object]], otherwise: str | None = None,
+              guard: str | None = None) -> Column:
+    """Compare the *text* of a number with text bounds (binary order, so
+    '100' lies between '02' and '98').  ``bands`` = (lo, hi, result); ``hi``
+    None means ``>= lo``; result ``AS_TEXT`` is the number as text; a
+    ``guard`` (SQL predicate) is ANDed into every band."""
+    text = f"CAST({ident(col)} AS STRING)"
+    arms = []
     for lo, hi, result in bands:
-        cond = (text >= F.lit(lo)) if hi is None else text.between(F.lit(lo), F.lit(hi))
+        cond = f"{text} >= {q(lo)}" if hi is None else f"{text} BETWEEN {q(lo)} AND {q(hi)}"
         if guard is not None:
-            cond = guard & cond
-        value = result if isinstance(result, Column) else F.lit(result)
-        expr = F.when(cond, value) if expr is None else expr.when(cond, value)
-    other = otherwise if isinstance(otherwise, Column) else F.lit(otherwise).cast("string")
-    return expr.otherwise(other)
+            cond = f"({guard}) AND {cond}"
+        arms.append((cond, text if result is AS_TEXT else q(result)))
+    return F.expr(sql_case(arms, "CAST(NULL AS STRING)" if otherwise is None else q(otherwise)))
 
 
 # ---------------------------------------------------------------- weapons (H1)
-def weapon_code(injury: Column, weapon_type: Column, weapon_name: Column) -> Column:
-    """2-character weapon code; only the strangulation / asphyxiation arms
-    apply without a weapon-independent injury, so a NULL injury gives NULL."""
-    armed = ~injury.isin(list(C.NON_WEAPON_INJURIES))
-    expr = None
+def weapon_code(injury: str, weapon_type: str, weapon_name: str) -> Column:
+    """2-character weapon code.  Every arm but the two injury arms requires a
+    weapon-type injury, so a NULL injury gives NULL."""
+    inj, wt, wn = ident(injury), ident(weapon_type), ident(weapon_name)
+    armed = sql_in(injury, C.NON_WEAPON_INJURIES).replace(" IN ", " NOT IN ", 1)
+    arms = []
     for kind, value, code in C.WEAPON_RULES:
         if kind == "name":
-            cond = armed & (weapon_name == value)
+            cond = f"{armed} AND {wn} = {q(value)}"
         elif kind == "type":
-            cond = armed & (weapon_type == value)
+            cond = f"{armed} AND {wt} = {q(value)}"
         elif kind == "type+name":
-            cond = armed & (weapon_type == value[0]) & (weapon_name == value[1])
+            cond = f"{armed} AND {wt} = {q(value[0])} AND {wn} = {q(value[1])}"
         elif kind == "type+injury":
-            cond = armed & (weapon_type == value[0]) & (injury == value[1])
+            cond = f"{armed} AND {wt} = {q(value[0])} AND {inj} = {q(value[1])}"
         elif kind == "injury":
-            cond = injury == value
+            cond = f"{inj} = {q(value)}"
         else:
             raise ValueError(kind)
-        expr = F.when(cond, F.lit(code)) if expr is None else expr.when(cond, F.lit(code))
-    return expr.otherwise(F.lit(None).cast("string"))
+        arms.append((cond, q(code)))
+    return F.expr(sql_case(arms))
 
 
 # -------------------------------------------------------- circumstance (H5)
-def circumstance_code(death_cause: Column, victim_age: Column) -> Column:
-    expr = None
+def circumstance_code(death_cause: str, victim_age: str) -> Column:
+    """Motive code -> circumstance code; the age split compares numbers."""
+    age = ident(victim_age)
+    arms = []
     for values, code in C.CIRCUMSTANCE_RULES:
-        cond = death_cause.isin(list(values))
+        cond = sql_in(death_cause, values)
         if code == "AGE_SPLIT":
-            arms = [(cond & (victim_age > C.AGE_SPLIT_AT), C.AGE_SPLIT_ADULT),
-                    (cond & (victim_age < C.AGE_SPLIT_AT + 1), C.AGE_SPLIT_MINOR)]
+            arms.append((f"{cond} AND {age} > {C.AGE_SPLIT_AT}", q(C.AGE_SPLIT_ADULT)))
+            arms.append((f"{cond} AND {age} < {C.AGE_SPLIT_AT + 1}", q(C.AGE_SPLIT_MINOR)))
         else:
-            arms = [(cond, code)]
-        for c, v in arms:
-            expr = F.when(c, F.lit(v)) if expr is None else expr.when(c, F.lit(v))
-    return expr.otherwise(F.lit(None).cast("string"))
+            arms.append((cond, q(code)))
+    return F.expr(sql_case(arms))
 
 
 # ---------------------------------------------------------- master recodes
-def homicide_type(homicide_no: Column) -> Column:
+def homicide_type(homicide_no: str) -> Column:
     """H6a: 'B' for involuntary manslaughter, else 'A' (a NULL number too)."""
-    return F.when(prefix_in(homicide_no, [C.INVOLUNTARY_CLASS]), F.lit("B")).otherwise(F.lit("A"))
+    return F.expr(sql_case([(first_char_in(homicide_no, [C.INVOLUNTARY_CLASS]), q("B"))], q("A")))
 
 
-def circumstance_class(homicide_no: Column, last_name: Column, first_name: Column, circumstance: Column) -> Column:
+def circumstance_class(homicide_no: str, last_name: str, first_name: str, circumstance: str) -> Column:
     """Justified by police '81' (a name carries a badge mark), justified
-    by a citizen '80', involuntary ' ', else the motive's circumstance code."""
-    names = [last_name, first_name]
-    justified = prefix_in(homicide_no, [C.JUSTIFIED_CLASS])
-    return (F.when(justified & like_any(names, list(C.POLICE_NAME_PATTERNS)), F.lit(C.POLICE_CIRCUMSTANCE))
-            .when(justified & not_like_any(names, list(C.POLICE_NAME_PATTERNS)), F.lit(C.CITIZEN_CIRCUMSTANCE))
-            .when(prefix_in(homicide_no, [C.INVOLUNTARY_CLASS]), F.lit(" "))
-            .otherwise(circumstance))
-
-
-def victim_age_band(age: Column) -> Column:
+    by a citizen '80', involuntary ' ', else the motive's circumstance code.
+    The citizen arm is the OR of NOT LIKE tests: true once any name misses any
+    pattern (SURVEY T15)."""
+    names = [ident(last_name), ident(first_name)]
+    hit = " OR ".join(f"{n} LIKE {q(p)}" for n in names for p in C.POLICE_NAME_PATTERNS)
+    miss = " OR ".join(f"{n} NOT LIKE {q(p)}" for n in names for p in C.POLICE_NAME_PATTERNS)
+    justified = first_char_in(homicide_no, [C.JUSTIFIED_CLASS])
+    return F.expr(sql_case([
+        (f"{justified} AND ({hit})", q(C.POLICE_CIRCUMSTANCE)),
+        (f"{justified} AND ({miss})", q(C.CITIZEN_CIRCUMSTANCE)),
+        (first_char_in(homicide_no, [C.INVOLUNTARY_CLASS]), q(" ")),
+    ], ident(circumstance)))
+
+
+def victim_age_band(age: str) -> Column:
     """H6c: ' ' for 1, the number for '02'..'98' as text, '99' from '99' up."""
-    text = age.cast("string")
-    return text_band(age, [("1", "1", " "), ("02", "98", text), ("99", None, "99")])
+    return text_band(age, [("1", "1", " "), ("02", "98", AS_TEXT), ("99", None, "99")])
 
 
-def offender_age_band(age: Column, shown: Column) -> Column:
+def offender_age_band(age: str, shown: str) -> Column:
     """When shown, the number for '01'..'98' as text, '99' from '99' up;
     otherwise (or out of band) '00'."""
-    text = age.cast("string")
-    return text_band(age, [("01", "98", text), ("99", None, "99")], otherwise="00", guard=shown)
-
+    return text_band(age, [("01", "98", AS_TEXT), ("99", None, "99")], otherwise="00", guard=shown)
 
-def victim_sex(sex: Column) -> Column:
-    return F.when(sex == "M", F.lit("M")).when(sex == "F", F.lit("F")).otherwise(F.lit(None).cast("string"))
 
-
-def victim_race(race: Column) -> Column:
-    return _victim_map(race, C.VICTIM_RACE)
-
-
-def victim_ethnicity(race: Column) -> Column:
-    return _victim_map(race, C.VICTIM_ETHNICITY)
-
-
-def _victim_map(race: Column, pairs) -> Column:
-    rules = _group_pairs(pairs) + [(None, " "), (C.VICTIM_UNKNOWN_RACE, " ")]
-    return code_map(race, rules)
+def victim_sex(sex: str) -> Column:
+    return F.expr(sql_case([(f"{ident(sex)} = 'M'", "'M'"), (f"{ident(sex)} = 'F'", "'F'")]))
 
 
 def _group_pairs(pairs) -> list[tuple[tuple[str, ...], str]]:
@@ -138,39 +151,48 @@ def _group_pairs(pairs) -> list[tuple[tuple[str, ...], str]]:
     return [(tuple(values), code) for code, values in grouped.items()]
 
 
-def offender_shown(situation: Column, last_name: Column) -> Column:
-    """Offender details are reported only for a known offender: situation not
-    B/F (unknown offender) and a recorded last name.  NULL situation: not shown."""
-    return ~situation.isin(list(C.UNKNOWN_OFFENDER_SITUATIONS)) & last_name.isNotNull()
+def victim_race(race: str) -> Column:
+    return code_map(race, _group_pairs(C.VICTIM_RACE) + [(None, " "), (C.VICTIM_UNKNOWN_RACE, " ")])
 
 
-def offender_sex(sex: Column, shown: Column) -> Column:
-    return F.when(shown & (sex == "M"), F.lit("M")).when(shown & (sex == "F"), F.lit("F")).otherwise(F.lit("U"))
+def victim_ethnicity(race: str) -> Column:
+    return code_map(race, _group_pairs(C.VICTIM_ETHNICITY) + [(None, " "), (C.VICTIM_UNKNOWN_RACE, " ")])
 
 
-def offender_race(race: Column, shown: Column) -> Column:
-    return _offender_map(race, shown, C.OFFENDER_RACE)
+def offender_shown(situation: str, last_name: str) -> str:
+    """SQL predicate: offender details are reported only for a known offender
+    (situation not B/F) with a recorded last name; NULL situation: not shown."""
+    return (f"{sql_in(situation, C.UNKNOWN_OFFENDER_SITUATIONS).replace(' IN ', ' NOT IN ', 1)}"
+            f" AND {ident(last_name)} IS NOT NULL")
 
 
-def offender_ethnicity(race: Column, shown: Column) -> Column:
-    return _offender_map(race, shown, C.OFFENDER_ETHNICITY)
+def offender_sex(sex: str, shown: str) -> Column:
+    return F.expr(sql_case([(f"({shown}) AND {ident(sex)} = 'M'", "'M'"),
+                            (f"({shown}) AND {ident(sex)} = 'F'", "'F'")], "'U'"))
 
 
-def _offender_map(race: Column, shown: Column, pairs) -> Column:
-    expr = None
-    for values, code in _group_pairs(pairs):
-        cond = shown & race.isin(list(values))
-        expr = F.when(cond, F.lit(code)) if expr is None else expr.when(cond, F.lit(code))
-    return expr.otherwise(F.lit("U"))
+def _offender_map(race: str, shown: str, pairs) -> Column:
+    arms = [(f"({shown}) AND {sql_in(race, values)}", q(code)) for values, code in _group_pairs(pairs)]
+    return F.expr(sql_case(arms, "'U'"))
+
+
+def offender_race(race: str, shown: str) -> Column:
+    return _offender_map(race, shown, C.OFFENDER_RACE)
+
+
+def offender_ethnicity(race: str, shown: str) -> Column:
+    return _offender_map(race, shown, C.OFFENDER_ETHNICITY)
 
 
-def relationship_code(relation: Column, sex: Column, situation: Column) -> Column:
+def relationship_code(relation: str, sex: str, situation: str | None) -> Column:
     """H6f: victim's relationship to the offender -> 2-character code;
-    unknown-offender situations are 'UN'; an unmapped text is NULL."""
-    expr = F.when(situation.isin(list(C.UNKNOWN_OFFENDER_SITUATIONS)), F.lit(C.UNKNOWN_RELATION))
+    unknown-offender situations are 'UN'; an unmapped text is NULL.
+    ``situation=None`` means no situation is known (NULL)."""
+    arms = []
+    if situation is not None:
+        arms.append((sql_in(situation, C.UNKNOWN_OFFENDER_SITUATIONS), q(C.UNKNOWN_RELATION)))
     for rel, sx, code in C.RELATION_BY_SEX:
-        expr = expr.when(relation.isin([rel]) & (sex == sx), F.lit(code))
+        arms.append((f"{sql_in(relation, [rel])} AND {ident(sex)} = {q(sx)}", q(code)))
     for values, code in C.RELATION_CODES:
-        cond = relation.isNull() if values is None else relation.isin(list(values))
-        expr = expr.when(cond, F.lit(code))
-    return expr.otherwise(F.lit(None).cast("string"))
+        arms.append((f"{ident(relation)} IS NULL" if values is None else sql_in(relation, values), q(code)))
+    return F.expr(sql_case(arms))

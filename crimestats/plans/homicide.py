@@ -37,7 +37,6 @@ from crimestats.functions.predicates import (
     ReportingPeriods,
     in_period,
     numeric_between,
-    prefix_in,
     prefix_not_in,
 )
 from crimestats.operators.ranking import distinct_dense_rank, estimate_distinct
@@ -96,7 +95,7 @@ def weapon_codes(tables: CrimeTables, scope: DataFrame, keep_unarmed: bool = Fal
     joined = weap.join(hom, weap["HOM_HOMICIDE_ID"] == hom["_HID"], "right" if keep_unarmed else "inner")
     return joined.select(
         "HOM_HOMICIDE_ID", "WEAPID", "HOMICIDE_NO", "INJURY_DESCR", "WEAPON_TYPE", "WEAPON_NAME",
-        R.weapon_code(F.col("INJURY_DESCR"), F.col("WEAPON_TYPE"), F.col("WEAPON_NAME")).alias("HIERARCHY"),
+        R.weapon_code("INJURY_DESCR", "WEAPON_TYPE", "WEAPON_NAME").alias("HIERARCHY"),
     )
 
 
@@ -134,18 +133,22 @@ def party_counts(tables: CrimeTables, scope: DataFrame) -> DataFrame:
 
 
 def situation_code_expr() -> F.Column:
-    """H4 decision table over VICTOTAL (v), OFFENDERS (o), CLEARED_I, class."""
-    v, o = F.col("VICTOTAL"), F.col("OFFENDERS")
-    cleared, hno = F.col("CLEARED_I"), F.col("HOMICIDE_NO")
-    known = (cleared == "Y") | ((cleared == "N") & prefix_in(hno, C.HOMICIDE_EXCLUDED_CLASSES))
-    unknown = (cleared == "N") & prefix_not_in(hno, C.HOMICIDE_EXCLUDED_CLASSES)
-    return (F.when(known & (v == 1) & (o == v), F.lit("A"))
-            .when(known & (v == 1) & (o > v), F.lit("C"))
-            .when(known & (v > 1) & (o == v), F.lit("D"))
-            .when(known & (v > 1) & (o > v), F.lit("E"))
-            .when(unknown & (v == 1) & (o >= v), F.lit("B"))
-            .when(unknown & (v > 1) & (o >= v), F.lit("F"))
-            .otherwise(F.lit(None).cast("string")))
+    """H4 decision table over VICTOTAL (v), OFFENDERS (o), CLEARED_I, class.
+
+    known offender: cleared, or not cleared but involuntary / justified;
+    unknown offender: not cleared and neither.  The source compares the ratio
+    o/v with 1; on integer counts that is o = v, o > v, o >= v (T11)."""
+    ij = R.first_char_in("HOMICIDE_NO", C.HOMICIDE_EXCLUDED_CLASSES)
+    known = f"(CLEARED_I = 'Y' OR (CLEARED_I = 'N' AND {ij}))"
+    unknown = f"(CLEARED_I = 'N' AND NOT ({ij}))"
+    return F.expr(R.sql_case([
+        (f"{known} AND VICTOTAL = 1 AND OFFENDERS = VICTOTAL", "'A'"),
+        (f"{known} AND VICTOTAL = 1 AND OFFENDERS > VICTOTAL", "'C'"),
+        (f"{known} AND VICTOTAL > 1 AND OFFENDERS = VICTOTAL", "'D'"),
+        (f"{known} AND VICTOTAL > 1 AND OFFENDERS > VICTOTAL", "'E'"),
+        (f"{unknown} AND VICTOTAL = 1 AND OFFENDERS >= VICTOTAL", "'B'"),
+        (f"{unknown} AND VICTOTAL > 1 AND OFFENDERS >= VICTOTAL", "'F'"),
+    ]))
 
 
 def situation_codes(counts: DataFrame) -> DataFrame:
@@ -169,7 +172,7 @@ def circumstance_codes(tables: CrimeTables, period: Period | ReportingPeriods =
     if periods.multi:
         scoped = scoped.where(F.col(PERIOD_COL).isNotNull())
     return scoped.select(PERIOD_COL, "RD_NO", "DEATH_CAUSE_CD", "VICTIM_AGE",
-                         R.circumstance_code(F.col("DEATH_CAUSE_CD"), F.col("VICTIM_AGE")).alias("CIRCUMSTANCECODE"))
+                         R.circumstance_code("DEATH_CAUSE_CD", "VICTIM_AGE").alias("CIRCUMSTANCECODE"))
 
 
 # ------------------------------------------------------------------ ranks
@@ -243,31 +246,29 @@ def homicide_master(tables: CrimeTables, period: Period | ReportingPeriods = DEF
         F.col(p).alias("_CP"), F.col("RD_NO").alias("_CRD"), "CIRCUMSTANCECODE").distinct()
     rows = rows.join(circ, (rows["RD_NO"] == circ["_CRD"]) & (rows[p] == circ["_CP"]), "left")
 
-    hno = F.col("HOMICIDE_NO")
-    shown = R.offender_shown(F.col("SITCODE"), F.col("LAST_NME"))
+    shown = R.offender_shown("SITCODE", "LAST_NME")
     master = rows.select(
         F.date_format("INJURY_DATE", "MM").alias("MNTH"),
         F.date_format("INJURY_DATE", "yyyy").alias("YR"),
         F.date_format("INJURY_DATE", "HHmm").alias("TIMEMIL"),
         "WEAPID",
-        R.homicide_type(hno).alias("HOMTYPECD"),
+        R.homicide_type("HOMICIDE_NO").alias("HOMTYPECD"),
         "CLEARED_I",
         F.col("SITCODE").alias("SITUATIONCD"),
-        R.circumstance_class(hno, F.col("VICTIM_LAST_NME"), F.col("VICTIM_FIRST_NME"),
-                             F.col("CIRCUMSTANCECODE")).alias("CCODE"),
+        R.circumstance_class("HOMICIDE_NO", "VICTIM_LAST_NME", "VICTIM_FIRST_NME", "CIRCUMSTANCECODE").alias("CCODE"),
         "DEATH_CAUSE_CD", "MOTIVE_DESCR", "HOM_HOMICIDE_ID", "INJURY_DESCR", "WEAPON_TYPE", "WEAPON_NAME",
         "WEAPONCD", "VICCNT", "OFFCNT", "RD_NO", "HOMICIDE_NO", "VICTIM_LAST_NME", "VICTIM_FIRST_NME",
-        R.victim_age_band(F.col("VICTIM_AGE")).alias("VICAGE"), "VICTIM_AGE",
-        R.victim_sex(F.col("VICTIM_SEX")).alias("VICSEX"), "VICTIM_SEX",
-        R.victim_race(F.col("VICTIM_RACE")).alias("VICRACE"), "VICTIM_RACE",
-        R.victim_ethnicity(F.col("VICTIM_RACE")).alias("VICETHNICITY"),
+        R.victim_age_band("VICTIM_AGE").alias("VICAGE"), "VICTIM_AGE",
+        R.victim_sex("VICTIM_SEX").alias("VICSEX"), "VICTIM_SEX",
+        R.victim_race("VICTIM_RACE").alias("VICRACE"), "VICTIM_RACE",
+        R.victim_ethnicity("VICTIM_RACE").alias("VICETHNICITY"),
         "HOFFID",
-        R.offender_age_band(F.col("AGE"), shown).alias("OFFAGE"), "AGE",
-        R.offender_sex(F.col("SEX"), shown).alias("OFFSEX"), "SEX",
-        R.offender_race(F.col("RACE"), shown).alias("OFFRACE"), "RACE",
-        R.offender_ethnicity(F.col("RACE"), shown).alias("OFFETHNICITY"),
+        R.offender_age_band("AGE", shown).alias("OFFAGE"), "AGE",
+        R.offender_sex("SEX", shown).alias("OFFSEX"), "SEX",
+        R.offender_race("RACE", shown).alias("OFFRACE"), "RACE",
+        R.offender_ethnicity("RACE", shown).alias("OFFETHNICITY"),
         "LAST_NME", "FIRST_NME",
-        R.relationship_code(F.col("VICTIM_REL_TO_OFFENDER"), F.col("VICTIM_SEX"), F.col("SITCODE")).alias("RELATIONCD"),
+        R.relationship_code("VICTIM_REL_TO_OFFENDER", "VICTIM_SEX", "SITCODE").alias("RELATIONCD"),
         p,
         "V_COUNT",
     )

@@ -177,9 +177,9 @@ def _op_global_dense_rank(t: CrimeTables) -> DataFrame:
 def _op_code_map(t: CrimeTables) -> DataFrame:
     race = F.col("VICTIM_RACE")
     return t.homicides.select(
-        "ID", "VICTIM_RACE", R.victim_race(race).alias("VICRACE"), R.victim_ethnicity(race).alias("VICETHNICITY"),
-        R.relationship_code(F.col("VICTIM_REL_TO_OFFENDER"), F.col("VICTIM_SEX"),
-                            F.lit(None).cast("string")).alias("RELATIONCD"),
+        "ID", "VICTIM_RACE", R.victim_race("VICTIM_RACE").alias("VICRACE"),
+        R.victim_ethnicity("VICTIM_RACE").alias("VICETHNICITY"),
+        R.relationship_code("VICTIM_REL_TO_OFFENDER", "VICTIM_SEX", None).alias("RELATIONCD"),
     )
 
 
@@ -190,9 +190,8 @@ def _op_like_any(t: CrimeTables) -> DataFrame:
 
 
 def _op_text_band(t: CrimeTables) -> DataFrame:
-    age = F.col("VICTIM_AGE")
-    return t.homicides.select("ID", "VICTIM_AGE", R.victim_age_band(age).alias("VICAGE"),
-                              R.offender_age_band(age, F.lit(True)).alias("OFFAGE"))
+    return t.homicides.select("ID", "VICTIM_AGE", R.victim_age_band("VICTIM_AGE").alias("VICAGE"),
+                              R.offender_age_band("VICTIM_AGE", "TRUE").alias("OFFAGE"))
 
 
 def _op_swap(t: CrimeTables) -> DataFrame:
