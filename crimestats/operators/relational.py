@@ -71,6 +71,24 @@ def not_in_subquery(df: DataFrame, other: DataFrame, left_key: str, right_key: s
     return kept.where(~has_null & (F.col(left_key).isNotNull() | ~non_empty))
 
 
+def left_join_splittable(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """``left LEFT OUTER JOIN right ON left_key = right_key`` as an inner join
+    plus the unmatched left rows.
+
+    AQE's skew join can split either side of an inner join but only the left
+    side of a left outer join, so a right-side key holding a third of all rows
+    (one homicide with most offenders) would otherwise run in one task.  The
+    unmatched rows come from an anti join against the right's distinct keys,
+    which are pre-aggregated map-side.  Right columns must not clash with left.
+    """
+    matched = left.join(right, left[left_key] == right[right_key], "inner")
+    keys = right.select(F.col(right_key).alias("_lj_key")).where(F.col("_lj_key").isNotNull()).distinct()
+    unmatched = left.join(keys, left[left_key] == keys["_lj_key"], "left_anti")
+    unmatched = unmatched.select(*left.columns, *(F.lit(None).cast(f.dataType).alias(f.name)
+                                                  for f in right.schema.fields))
+    return matched.unionByName(unmatched)
+
+
 def nulls_last_key(*cols: str) -> list[Column]:
     """Sort fields that order NULL after every value, ascending."""
     out: list[Column] = []

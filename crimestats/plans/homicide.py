@@ -40,7 +40,7 @@ from crimestats.functions.predicates import (
     prefix_not_in,
 )
 from crimestats.operators.ranking import distinct_dense_rank, estimate_distinct
-from crimestats.operators.relational import count_distinct_per_key, swap_when, top1_per_key
+from crimestats.operators.relational import left_join_splittable, swap_when, top1_per_key
 from crimestats.schemas import SHR_COLUMNS
 from crimestats.sources.tables import CrimeTables
 
@@ -111,7 +111,7 @@ def lethal_weapon(weapons: DataFrame) -> DataFrame:
 def _scope_offenders(tables: CrimeTables, scope: DataFrame, cols: list[str]) -> DataFrame:
     off = tables.offenders.select(F.col("HOM_HOMICIDE_ID").alias("_OHID"), F.col("ID").alias("HOFFID"))
     s = scope.select("ID", PERIOD_COL, *cols)
-    return s.join(off, s["ID"] == off["_OHID"], "left").drop("_OHID")
+    return left_join_splittable(s, off, "ID", "_OHID").drop("_OHID")
 
 
 def party_counts(tables: CrimeTables, scope: DataFrame) -> DataFrame:
@@ -232,7 +232,7 @@ def homicide_master(tables: CrimeTables, period: Period | ReportingPeriods = DEF
         F.col("HOM_HOMICIDE_ID").alias("_OHID"), F.col("ID").alias("HOFFID"), "LAST_NME", "FIRST_NME", "AGE",
         "SEX", "RACE",
     )
-    rows = hom.join(off, hom["ID"] == off["_OHID"], "left").drop("_OHID")
+    rows = left_join_splittable(hom, off, "ID", "_OHID").drop("_OHID")
     rows = _join_rank(rows, ranks["off_no"], [p, "HOMICIDE_NO", "HOFFID"]).withColumnRenamed("OFF_RANK", "OFFCNT")
 
     weapon = lethal_weapon(weapon_codes(tables, scope)).select(

@@ -184,8 +184,11 @@ def load_fixture_tables(spark: SparkSession, sf_dir: str) -> CrimeTables:
             df = df.selectExpr("*", *(f"{expr} AS {col}" for col, expr in spec.derived))
         return df
 
-    iucr = spark.createDataFrame(list(IUCR_ROWS), "CD string, FBI_CD string")
-    fbi = spark.createDataFrame([(c,) for c in FBI_ROWS], "CD string")
+    # Inline VALUES tables are local relations: no Python worker to scan them,
+    # and the planner knows their (tiny) size.
+    codes = code_table_sql()
+    iucr = spark.sql(codes["iucr_codes"])
+    fbi = spark.sql(codes["fbi_codes"])
     return CrimeTables(
         crimes=view("crimes"),
         iucr_codes=iucr,

@@ -74,3 +74,13 @@ def test_count_distinct_over_null_partition(spark):
     df = spark.createDataFrame([(None, "x", 1), (None, "y", 1), ("r", "x", None)], "p string, h string, o long")
     got = {(r.p, r.h, r.nv, r.no) for r in relational.count_distinct_over(df, "p", {"nv": "h", "no": "o"}).collect()}
     assert got == {(None, "x", 2, 1), (None, "y", 2, 1), ("r", "x", 1, 0)}
+
+
+def test_left_join_splittable_equals_left_join(spark):
+    rnd = random.Random(11)
+    left = spark.createDataFrame([(i, rnd.choice([None, 1, 2, 3, 4])) for i in range(300)], "lid long, k long")
+    # key 1 holds about a third of the right rows
+    right = spark.createDataFrame([(rnd.choice([1, 1, 1, 2, 5, None]), j) for j in range(600)], "rk long, rv long")
+    got = relational.left_join_splittable(left, right, "k", "rk")
+    expect = left.join(right, left["k"] == right["rk"], "left")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, expect.collect()), key=repr)
