@@ -37,10 +37,6 @@ class Period:
     def calendar_years(first: int, last: int) -> Period:
         return Period(dt.datetime(first, 1, 1), dt.datetime(last + 1, 1, 1))
 
-    def years(self) -> list[int]:
-        last = self.end.year if (self.end.month, self.end.day, self.end.time()) != (1, 1, dt.time()) else self.end.year - 1
-        return list(range(self.start.year, last + 1))
-
 
 @dataclass(frozen=True)
 class ReportingPeriods:

@@ -4,13 +4,14 @@ The library never builds its own session in production: it is handed one.
 ``recommended_conf`` lists the settings the plans rely on (AQE for runtime
 coalescing, skew splitting and broadcast demotion; runtime bloom filters so the
 large case-keyed tables are pruned before their shuffle).  ``local_session`` is
-for tests, the bench and the driver smoke check.
+for tests, the bench and the driver smoke check.  No plan checkpoints: every
+report is a bounded DAG of scans, joins and aggregates, recomputed from
+lineage if an executor is lost.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -39,28 +40,6 @@ def recommended_conf(shuffle_partitions: int = CLUSTER_SHUFFLE_PARTITIONS) -> di
     }
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, setting one only for local runs.
-
-    On a cluster ``spark.checkpoint.dir`` must name shared storage; a
-    machine-local folder would lose checkpoints with the executor.  Local
-    sessions (tests, bench) get a fresh folder under the system temp dir.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
-    local_dir = tempfile.mkdtemp(prefix="crimestats-ckpt-")
-    sc.setCheckpointDir(local_dir)
-    return sc.getCheckpointDir()
-
-
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "crimestats") -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for key, value in recommended_conf(shuffle_partitions).items():
@@ -72,5 +51,4 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark

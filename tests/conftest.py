@@ -3,7 +3,6 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -20,10 +19,7 @@ def spark():
     builder = SparkSession.builder.master("local[4]").appName("crimestats-tests")
     for k, v in recommended_conf(shuffle_partitions=4).items():
         builder = builder.config(k, v)
-    ckpt = tempfile.mkdtemp(prefix="crimestats-test-ckpt-")
-    session = (builder.config("spark.sql.session.timeZone", "UTC")
-               .config("spark.checkpoint.dir", ckpt)
-               .getOrCreate())
+    session = builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -133,3 +133,9 @@ def test_district_and_period_parameters(make_tables):
                     iucr_codes=IUCR, fbi_codes=FBI)
     got = I.index_records(t, Period.calendar_years(2015, 2016), DistrictRange(1, 40)).collect()
     assert sorted(r.ID for r in got) == [1, 2]
+
+
+def test_t25_crime_month_year_are_the_stored_columns(make_tables):
+    t = make_tables(crimes=[crime(1, "0312", when="2016-06-30 23:00:00", month="07", year="2016")],
+                    iucr_codes=IUCR, fbi_codes=FBI)
+    assert [(r.MONTH, r.YEAR) for r in I.index_records(t, P).collect()] == [("07", "2016")]
