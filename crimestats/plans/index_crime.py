@@ -7,11 +7,12 @@ Two formulations of the record set:
   remainder, masked arson, burned-property arson) and a set union, the way
   the rules are stated.  Each rule re-reads ``crimes``.
 * ``index_records(..., method="single_pass")`` (default, used by the totals) --
-  ``crimes`` and ``case_iucr`` are read once: the case-level evidence
+  ``case_iucr`` and ``properties`` are read once: the case-level evidence
   (has a motor-vehicle-theft code, an arson code, a criminal-damage code, a
-  burned property) is aggregated per case *before* the shuffle, joined to the
-  scoped cases, and every rule becomes an array element that is exploded.
-  Victim-counted records come from one join with ``victims``.
+  burned property) is aggregated per case *before* the shuffle, left-joined
+  to the scoped cases, and every rule becomes an array element that is
+  exploded.  Victim-counted records come from one inner join with
+  ``victims`` (so AQE can split a case with a huge number of victims).
 
 Records are the 6-tuple (ID, RD, NO_ID, FBI_CD, MONTH, YEAR) with set semantics.
 Crime MONTH / YEAR are the stored columns; homicide ones come from the injury date.
@@ -185,34 +186,38 @@ def burned_property_arson_records(cb: DataFrame, tables: CrimeTables) -> DataFra
 
 
 # -------------------------------------------------------------- single pass
-def case_evidence(tables: CrimeTables) -> DataFrame:
-    """Per case: has an MVT / arson / criminal-damage IUCR code, has a burned
-    property.  One aggregate over both tables; the IN filter reaches the
-    Parquet scan and the partial aggregate collapses a case's rows before the
-    shuffle, so a case with millions of rows still ships one row per task."""
+def case_code_evidence(tables: CrimeTables) -> DataFrame:
+    """Per case: has an MVT / arson / criminal-damage IUCR code.  The IN filter
+    reaches the Parquet scan and the partial aggregate collapses a case's rows
+    before the shuffle, so a case with millions of rows ships one row per task
+    (and none at all when ``case_iucr`` is bucketed by CASE_ID)."""
     wanted = list(C.MVT_IUCR + C.ARSON_IUCR + C.CRIMINAL_DAMAGE_IUCR)
     code = F.col("IUCR_CODE_CD")
-    from_codes = tables.case_iucr.where(code.isin(wanted)).select(
-        "CASE_ID",
-        code.isin(list(C.MVT_IUCR)).alias("HAS_MVT"),
-        code.isin(list(C.ARSON_IUCR)).alias("HAS_ARSON"),
-        code.isin(list(C.CRIMINAL_DAMAGE_IUCR)).alias("HAS_DAMAGE"),
-        F.lit(False).alias("HAS_BURNED"),
+    return tables.case_iucr.where(code.isin(wanted) & F.col("CASE_ID").isNotNull()).groupBy("CASE_ID").agg(
+        F.max(code.isin(list(C.MVT_IUCR))).alias("HAS_MVT"),
+        F.max(code.isin(list(C.ARSON_IUCR))).alias("HAS_ARSON"),
+        F.max(code.isin(list(C.CRIMINAL_DAMAGE_IUCR))).alias("HAS_DAMAGE"),
     )
-    from_props = tables.properties.where(F.col("BURNED_I") == "Y").select(
-        "CASE_ID", F.lit(False).alias("HAS_MVT"), F.lit(False).alias("HAS_ARSON"),
-        F.lit(False).alias("HAS_DAMAGE"), F.lit(True).alias("HAS_BURNED"),
-    )
-    flags = ["HAS_MVT", "HAS_ARSON", "HAS_DAMAGE", "HAS_BURNED"]
-    return from_codes.unionByName(from_props).where(F.col("CASE_ID").isNotNull()) \
-        .groupBy("CASE_ID").agg(*(F.max(f).alias(f) for f in flags))
+
+
+def burned_property_cases(tables: CrimeTables) -> DataFrame:
+    """Cases with a burned property, one row per case (map-side distinct)."""
+    return tables.properties.where((F.col("BURNED_I") == "Y") & F.col("CASE_ID").isNotNull()) \
+        .select(F.col("CASE_ID").alias("BURNED_CASE_ID")).distinct()
 
 
 def incident_records_single_pass(cb: DataFrame, tables: CrimeTables) -> DataFrame:
-    """I3-I7 from one join of the scoped cases with their evidence flags."""
-    ev = case_evidence(tables)
-    x = cb.join(ev, cb["ID"] == ev["CASE_ID"], "left")
-    flag = {f: F.coalesce(F.col(f), F.lit(False)) for f in ["HAS_MVT", "HAS_ARSON", "HAS_DAMAGE", "HAS_BURNED"]}
+    """I3-I7 from the scoped cases left-joined with their per-case evidence.
+
+    Both evidence relations have one row per case, so the joins cannot fan
+    out; both join on the case id, so ``cb`` is shuffled once (or not at all
+    when every case-keyed table is bucketed by case id)."""
+    codes = case_code_evidence(tables)
+    burned = burned_property_cases(tables)
+    x = cb.join(codes, cb["ID"] == codes["CASE_ID"], "left")
+    x = x.join(burned, x["ID"] == burned["BURNED_CASE_ID"], "left")
+    flag = {f: F.coalesce(F.col(f), F.lit(False)) for f in ["HAS_MVT", "HAS_ARSON", "HAS_DAMAGE"]}
+    flag["HAS_BURNED"] = F.col("BURNED_CASE_ID").isNotNull()
     larceny = is_larceny_population()
     candidates = F.array(
         F.when(is_incident_counted() & F.col("FBI_KNOWN"), F.col("FBI_CD")),

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -19,7 +20,9 @@ def spark():
     builder = SparkSession.builder.master("local[4]").appName("crimestats-tests")
     for k, v in recommended_conf(shuffle_partitions=4).items():
         builder = builder.config(k, v)
-    session = builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    session = (builder.config("spark.sql.session.timeZone", "UTC")
+               .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="crimestats-test-warehouse-"))
+               .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
