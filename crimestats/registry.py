@@ -43,8 +43,15 @@ ALL_YEARS = (1995, 2001)
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_TABLES: dict[tuple[str, str], CrimeTables] = {}
+
+
 def _tables(spark: SparkSession, sf_dir: str) -> CrimeTables:
-    return load_fixture_tables(spark, sf_dir)
+    """Input relations over ``sf_dir``, built once per Spark application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TABLES:
+        _TABLES[key] = load_fixture_tables(spark, sf_dir)
+    return _TABLES[key]
 
 
 def _with_tables(fn: Callable[[CrimeTables], DataFrame]) -> Query:
