@@ -139,3 +139,15 @@ def test_t25_crime_month_year_are_the_stored_columns(make_tables):
     t = make_tables(crimes=[crime(1, "0312", when="2016-06-30 23:00:00", month="07", year="2016")],
                     iucr_codes=IUCR, fbi_codes=FBI)
     assert [(r.MONTH, r.YEAR) for r in I.index_records(t, P).collect()] == [("07", "2016")]
+
+
+def test_ingest_cleaning_blank_padding_and_empty_text(spark, make_tables):
+    from crimestats.sources.tables import normalize_source_text
+
+    t = make_tables(crimes=[crime(1, "0312", rd=""), crime(2, "0312  ", location="290 ")], iucr_codes=IUCR,
+                    fbi_codes=FBI)
+    t = t.map(lambda name, df: df.withColumn("RD", F.when(F.col("ID") == 1, F.lit("")).otherwise(F.col("RD")))
+              if name == "crimes" else df)
+    cleaned = normalize_source_text(t)
+    assert sorted(r.ID for r in I.case_base(cleaned, P).collect()) == [2]   # '' RD is NULL
+    assert sorted(r.ID for r in I.case_base(t, P).collect()) == [1]         # padded code does not match

@@ -70,3 +70,15 @@ def test_report_invariants(spark):
     assert bf.where(F.col("`OFF#`") != 1).count() == 0
     assert bf.where((F.col("CIRC_CODE") != "81") & ((F.col("OFF_AGE") != "00") | (F.col("OFF_SEX") != "U"))).count() == 0
     rep.unpersist()
+
+
+def test_period_sweep_homicide_report(spark):
+    from crimestats.functions.predicates import ReportingPeriods
+
+    t = load_fixture_tables(spark, SF)
+    multi = H.homicide_report(t, ReportingPeriods.calendar_years(1996, 1997), ordered=False)
+    singles = [H.homicide_report(t, Period.calendar_year(y), ordered=False)
+               .select(F.lit(str(y)).alias("REPORT_PERIOD"), "*") for y in (1996, 1997)]
+    union = singles[0].unionByName(singles[1])
+    assert multi.count() > 0
+    assert multi.exceptAll(union).count() == 0 and union.exceptAll(multi).count() == 0
