@@ -108,26 +108,36 @@ def lethal_weapon(weapons: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------- H3, H4 situation
-def _scope_offenders(tables: CrimeTables, scope: DataFrame, cols: list[str]) -> DataFrame:
+def _offender_pairs(tables: CrimeTables, scope: DataFrame) -> DataFrame:
+    """(REPORT_PERIOD, RD_NO, HOMICIDE_NO, HOFFID) of every offender of a
+    homicide in scope.  An inner join, so AQE can split a homicide that holds
+    most offender rows; homicides without offenders are handled by callers."""
     off = tables.offenders.select(F.col("HOM_HOMICIDE_ID").alias("_OHID"), F.col("ID").alias("HOFFID"))
-    s = scope.select("ID", PERIOD_COL, *cols)
-    return left_join_splittable(s, off, "ID", "_OHID").drop("_OHID")
+    s = scope.select("ID", PERIOD_COL, "RD_NO", "HOMICIDE_NO")
+    return s.join(off, s["ID"] == off["_OHID"], "inner").select(PERIOD_COL, "RD_NO", "HOMICIDE_NO", "HOFFID")
 
 
 def party_counts(tables: CrimeTables, scope: DataFrame) -> DataFrame:
     """H3: per incident (RD_NO) the distinct victims VICTOTAL and distinct
     offenders OFFENDERS, at (RD_NO, HOMICIDE_NO, CLEARED_I) grain.  OFFTOTAL is
-    the ratio, for display only; decisions compare the integer counts (T11)."""
-    rows = _scope_offenders(tables, scope, ["RD_NO", "HOMICIDE_NO"])
-    counts = rows.groupBy(PERIOD_COL, "RD_NO").agg(
-        F.count_distinct("HOMICIDE_NO").cast("long").alias("VICTOTAL"),
-        F.count_distinct("HOFFID").cast("long").alias("OFFENDERS"),
-    ).select(F.col(PERIOD_COL).alias("_P"), F.col("RD_NO").alias("_RD"), "VICTOTAL", "OFFENDERS")
-    grain = scope.select(PERIOD_COL, "RD_NO", "HOMICIDE_NO", "CLEARED_I").distinct()
-    cond = grain["RD_NO"].eqNullSafe(counts["_RD"]) & grain[PERIOD_COL].eqNullSafe(counts["_P"])
+    the ratio, for display only; decisions compare the integer counts (T11).
+
+    Victims are counted on the scope, offenders on the offender pairs (a left
+    join would only add NULL ids, which a distinct count ignores); NULL RD
+    numbers form one group, as in a window, so the joins are null-safe."""
+    p = PERIOD_COL
+    vic = scope.groupBy(p, "RD_NO").agg(F.count_distinct("HOMICIDE_NO").cast("long").alias("VICTOTAL"))
+    off = _offender_pairs(tables, scope).groupBy(p, "RD_NO").agg(
+        F.count_distinct("HOFFID").cast("long").alias("OFFENDERS")) \
+        .select(F.col(p).alias("_OP"), F.col("RD_NO").alias("_ORD"), "OFFENDERS")
+    counts = vic.join(off, vic[p].eqNullSafe(off["_OP"]) & vic["RD_NO"].eqNullSafe(off["_ORD"]), "left") \
+        .select(F.col(p).alias("_P"), F.col("RD_NO").alias("_RD"), "VICTOTAL",
+                F.coalesce(F.col("OFFENDERS"), F.lit(0).cast("long")).alias("OFFENDERS"))
+    grain = scope.select(p, "RD_NO", "HOMICIDE_NO", "CLEARED_I").distinct()
+    cond = grain["RD_NO"].eqNullSafe(counts["_RD"]) & grain[p].eqNullSafe(counts["_P"])
     joined = grain.join(counts, cond, "inner")
     return joined.select(
-        PERIOD_COL, "RD_NO", "HOMICIDE_NO", "CLEARED_I", "VICTOTAL", "OFFENDERS",
+        p, "RD_NO", "HOMICIDE_NO", "CLEARED_I", "VICTOTAL", "OFFENDERS",
         (F.col("OFFENDERS").cast("double") / F.col("VICTOTAL").cast("double")).alias("OFFTOTAL"),
     )
 
@@ -180,16 +190,20 @@ def report_ranks(tables: CrimeTables, scope: DataFrame) -> dict[str, DataFrame]:
     """The three dense ranks of the report, as key -> rank maps, per period.
 
     V_COUNT: HOMICIDE_NO over the whole report; VIC#: HOMICIDE_NO within RD_NO;
-    OFF#: offender id within HOMICIDE_NO.  The rank keys of the master rows are
-    exactly those of the scope (and of scope x offenders): left joins keep all.
+    OFF#: offender id within HOMICIDE_NO, NULLS LAST.  The OFF# keys are the
+    offender pairs plus (homicide, NULL) for every homicide: the NULL key then
+    ranks after all of a homicide's offenders, which is exactly its rank for a
+    homicide row without offenders -- no outer join needed for the keys.
     """
-    offenders = _scope_offenders(tables, scope, ["RD_NO", "HOMICIDE_NO"])
     p = PERIOD_COL
-    sizes = estimate_distinct(offenders, {"v": [p, "HOMICIDE_NO"], "vic": [p, "RD_NO", "HOMICIDE_NO"],
-                                          "off": [p, "HOMICIDE_NO", "HOFFID"]})
+    pairs = _offender_pairs(tables, scope)
+    off_keys = scope.select(p, "RD_NO", "HOMICIDE_NO", F.lit(None).cast("long").alias("HOFFID")) \
+        .unionByName(pairs)
+    sizes = estimate_distinct(off_keys, {"v": [p, "HOMICIDE_NO"], "vic": [p, "RD_NO", "HOMICIDE_NO"],
+                                         "off": [p, "HOMICIDE_NO", "HOFFID"]})
     v_count = distinct_dense_rank(scope, ["HOMICIDE_NO"], [p], rank_col="V_COUNT", n_keys=sizes["v"])
     vic_no = distinct_dense_rank(scope, ["HOMICIDE_NO"], [p, "RD_NO"], rank_col="VIC_NO", n_keys=sizes["vic"])
-    off_no = distinct_dense_rank(offenders, ["HOFFID"], [p, "HOMICIDE_NO"], rank_col="OFF_RANK",
+    off_no = distinct_dense_rank(off_keys, ["HOFFID"], [p, "HOMICIDE_NO"], rank_col="OFF_RANK",
                                  n_keys=sizes["off"])
     return {"v_count": v_count, "vic_no": vic_no, "off_no": off_no}
 
@@ -214,8 +228,7 @@ def homicide_master(tables: CrimeTables, period: Period | ReportingPeriods = DEF
     distinct (RD, situation) and (RD, circumstance) pairs: identical result,
     without multiplying an incident's rows by its number of motives.  With
     ``distinct=False`` (the report's path) the rows also carry ``V_COUNT``,
-    attached per homicide before the offender join, and DISTINCT is left to
-    the consumer.
+    and DISTINCT is left to the consumer.
     """
     scope = homicide_scope(tables, period, districts)
     ranks = ranks or report_ranks(tables, scope)
@@ -226,13 +239,13 @@ def homicide_master(tables: CrimeTables, period: Period | ReportingPeriods = DEF
         "INJURY_DESCR", "VICTIM_LAST_NME", "VICTIM_FIRST_NME", "VICTIM_AGE", "VICTIM_SEX", "VICTIM_RACE",
         "VICTIM_REL_TO_OFFENDER",
     )
-    hom = _join_rank(hom, ranks["vic_no"], [p, "RD_NO", "HOMICIDE_NO"]).withColumnRenamed("VIC_NO", "VICCNT")
-    hom = _join_rank(hom, ranks["v_count"], [p, "HOMICIDE_NO"])
     off = tables.offenders.select(
         F.col("HOM_HOMICIDE_ID").alias("_OHID"), F.col("ID").alias("HOFFID"), "LAST_NME", "FIRST_NME", "AGE",
         "SEX", "RACE",
     )
     rows = left_join_splittable(hom, off, "ID", "_OHID").drop("_OHID")
+    rows = _join_rank(rows, ranks["vic_no"], [p, "RD_NO", "HOMICIDE_NO"]).withColumnRenamed("VIC_NO", "VICCNT")
+    rows = _join_rank(rows, ranks["v_count"], [p, "HOMICIDE_NO"])
     rows = _join_rank(rows, ranks["off_no"], [p, "HOMICIDE_NO", "HOFFID"]).withColumnRenamed("OFF_RANK", "OFFCNT")
 
     weapon = lethal_weapon(weapon_codes(tables, scope)).select(

@@ -147,3 +147,13 @@ def test_circumstance_age_split_is_numeric(spark):
     df = spark.createDataFrame([("140", 17), ("140", 18), ("700", 5), ("700", None), ("999", 30)], "c string, a int")
     got = df.select(R.circumstance_code("c", "a").alias("x")).collect()
     assert [r.x for r in got] == ["47", "46", "47", None, None]
+
+
+def test_off_rank_of_offenderless_row_sharing_a_homicide_number(make_tables):
+    a, b = hom(1, "H1"), hom(2, "H1")
+    b["HOMICIDE_NO"] = a["HOMICIDE_NO"]  # same homicide number, second row without offenders
+    t = make_tables(homicides=[a, b], offenders=[off(10, 1), off(11, 1)])
+    scope = H.homicide_scope(t, P)
+    ranks = H.report_ranks(t, scope)
+    got = {(r.HOMICIDE_NO, r.HOFFID): r.OFF_RANK for r in ranks["off_no"].collect()}
+    assert got == {("M000001", 10): 1, ("M000001", 11): 2, ("M000001", None): 3}
