@@ -25,7 +25,6 @@ from crimestats.functions.predicates import (
     like_any,
     not_like_any,
     numeric_between,
-    prefix_in,
     prefix_not_in,
 )
 from crimestats.operators import ranking, relational
@@ -233,9 +232,6 @@ OP_QUERIES: dict[str, Callable[[CrimeTables], DataFrame]] = {
     "op_distinct": lambda t: relational.select_distinct(t.victims, ["CASE_ID", "NO_ID"]),
 }
 
-_ = (prefix_in,)  # re-exported helpers used by callers of the registry
-
-
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for group in (INDEX_QUERIES, HOMICIDE_QUERIES, OP_QUERIES):
