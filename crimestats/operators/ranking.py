@@ -8,9 +8,11 @@ buckets; each bucket is ranked by a small window and shifted by the number of
 keys in the buckets before it.
 
 Bucket boundaries are literal values picked from a bounded sample of the
-distinct keys (two small jobs: a count and a sample of at most a few thousand
-rows).  Because they are literals in the plan, re-running a lost task
-recomputes exactly the same buckets.
+distinct keys (two small jobs: a count -- or a caller's estimate -- and a
+sample of at most a few thousand rows).  Because they are literals in the
+plan, re-running a lost task recomputes exactly the same buckets.  A key's
+bucket is found by a balanced binary search written as nested CASE
+expressions (log2 of the bucket count comparisons per key).
 
 Order is ascending with NULLS LAST on every key column (the source database's
 default, SURVEY T9); ranks are BIGINT.
@@ -36,12 +38,41 @@ def _sort_key(cols: list[str]) -> Column:
     return F.struct(*(f.alias(f"_s{i}") for i, f in enumerate(nulls_last_key(*cols))))
 
 
-def _literal_key(row, cols: list[str], dtypes: dict[str, str]) -> Column:
+def _sql_literal(value, dtype: str) -> str:
+    if value is None:
+        return f"CAST(NULL AS {dtype})"
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "''") + "'"
+    if isinstance(value, int):
+        return f"CAST({value} AS {dtype})"
+    return f"CAST('{value}' AS {dtype})"
+
+
+def _sort_key_sql(cols: list[str]) -> str:
+    fields = []
+    for i, c in enumerate(cols):
+        fields += [f"'_s{2 * i}', `{c}` IS NULL", f"'_s{2 * i + 1}', `{c}`"]
+    return f"named_struct({', '.join(fields)})"
+
+
+def _literal_key_sql(row, cols: list[str], dtypes: dict[str, str]) -> str:
     fields = []
     for i, c in enumerate(cols):
         is_null, value = row[2 * i], row[2 * i + 1]
-        fields += [F.lit(bool(is_null)), F.lit(value).cast(dtypes[c])]
-    return F.struct(*(f.alias(f"_s{i}") for i, f in enumerate(fields)))
+        fields += [f"'_s{2 * i}', {'true' if is_null else 'false'}", f"'_s{2 * i + 1}', {_sql_literal(value, dtypes[c])}"]
+    return f"named_struct({', '.join(fields)})"
+
+
+def _bucket_sql(key: str, bounds: list[str], lo: int, hi: int) -> str:
+    """Number of boundaries <= key, as a balanced binary search over
+    ``bounds[lo:hi]`` (log2 comparisons per row instead of a linear chain)."""
+    if lo >= hi:
+        return str(lo)
+    mid = (lo + hi) // 2
+    return (f"CASE WHEN {key} >= {bounds[mid]} THEN {_bucket_sql(key, bounds, mid + 1, hi)} "
+            f"ELSE {_bucket_sql(key, bounds, lo, mid)} END")
 
 
 def _boundaries(keys: DataFrame, cols: list[str], n_keys: int, n_buckets: int) -> list:
@@ -88,12 +119,9 @@ def distinct_dense_rank(df: DataFrame, order: list[str], partition: list[str] |
     n_buckets = max(1, min(MAX_BUCKETS, math.ceil(n_keys / keys_per_bucket)))
     bounds = _boundaries(keys, cols, n_keys, n_buckets) if n_buckets > 1 else []
 
-    # Bucket = number of boundaries at or below the key (boundaries ascend, so
-    # the last matching arm of the chain is the highest one).
-    skey = _sort_key(cols)
-    bucket: Column = F.lit(0)
-    for i, b in enumerate(bounds, start=1):
-        bucket = F.when(skey >= _literal_key(b, cols, dtypes), F.lit(i)).otherwise(bucket)
+    # Bucket = number of boundaries at or below the key (boundaries ascend).
+    literals = [_literal_key_sql(b, cols, dtypes) for b in bounds]
+    bucket = F.expr(_bucket_sql(_sort_key_sql(cols), literals, 0, len(literals)))
     bucketed = keys.withColumn("_bucket", bucket.cast("int"))
 
     # Inside a bucket the keys are distinct, so the dense rank is a row number.
