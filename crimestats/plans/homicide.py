@@ -26,6 +26,8 @@ many homicides does not multiply rows by the number of its motives.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +44,7 @@ from crimestats.functions.predicates import (
 from crimestats.operators.ranking import distinct_dense_rank, estimate_distinct
 from crimestats.operators.relational import left_join_splittable, swap_when, top1_per_key
 from crimestats.schemas import SHR_COLUMNS
+from crimestats.session import reliable_checkpoint
 from crimestats.sources.tables import CrimeTables
 
 DEFAULT_PERIOD = Period.calendar_year(2016)
@@ -68,6 +71,17 @@ def _in_periods(df: DataFrame, periods: ReportingPeriods) -> tuple[F.Column, F.C
     return in_period(F.col("INJURY_DATE"), cover, dtype), periods.label(F.col("INJURY_DATE"), dtype)
 
 
+def homicide_base(tables: CrimeTables, period: Period | ReportingPeriods = DEFAULT_PERIOD,
+                  districts: DistrictRange = DEFAULT_DISTRICTS) -> DataFrame:
+    """Homicides injured in the (covering) period and in the district range,
+    any class, active or not: the one relation both the report scope (H0) and
+    the circumstance codes (H5) are filtered from."""
+    periods = ReportingPeriods.of(period)
+    hom = tables.homicides
+    covering, _ = _in_periods(hom, periods)
+    return hom.where(covering & numeric_between(F.col("CURR_DISTRICT"), districts.lo, districts.hi))
+
+
 def homicide_scope(tables: CrimeTables, period: Period | ReportingPeriods = DEFAULT_PERIOD,
                    districts: DistrictRange = DEFAULT_DISTRICTS, active: bool = True) -> DataFrame:
     """H0: homicides injured in the period, active, in the district range; all
@@ -331,11 +345,21 @@ def homicide_adjusted(master: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ H8 report
 def homicide_report(tables: CrimeTables, period: Period | ReportingPeriods = DEFAULT_PERIOD,
-                    districts: DistrictRange = DEFAULT_DISTRICTS, ordered: bool = True) -> DataFrame:
+                    districts: DistrictRange = DEFAULT_DISTRICTS, ordered: bool = True,
+                    materialize: bool = True) -> DataFrame:
     """H8: the supplementary homicide report, 21 columns, distinct, ordered by
     CASE#_TYPE2, VIC#, OFF# (NULLS LAST).  For several reporting periods the
-    rows of each period's report are labelled by a leading ``REPORT_PERIOD``."""
+    rows of each period's report are labelled by a leading ``REPORT_PERIOD``.
+
+    ``materialize`` checkpoints the period's homicides once (needs
+    ``spark.checkpoint.dir`` on a cluster); without it every branch re-reads
+    the homicide table."""
     periods = ReportingPeriods.of(period)
+    if materialize:
+        # ~10 branches of the report read the period's homicides: read them
+        # once, cut lineage, and let every branch scan the materialised rows.
+        base = reliable_checkpoint(homicide_base(tables, periods, districts))
+        tables = replace(tables, homicides=base)
     scope = homicide_scope(tables, periods, districts)
     ranks = report_ranks(tables, scope)
     master = homicide_master(tables, periods, districts, ranks, distinct=False)

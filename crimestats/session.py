@@ -4,14 +4,15 @@ The library never builds its own session in production: it is handed one.
 ``recommended_conf`` lists the settings the plans rely on (AQE for runtime
 coalescing, skew splitting and broadcast demotion; runtime bloom filters so the
 large case-keyed tables are pruned before their shuffle).  ``local_session`` is
-for tests, the bench and the driver smoke check.  No plan checkpoints: every
-report is a bounded DAG of scans, joins and aggregates, recomputed from
-lineage if an executor is lost.
+for tests, the bench and the driver smoke check.  ``reliable_checkpoint``
+materialises a relation that many branches of one report read, in the shared
+folder named by ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -40,6 +41,34 @@ def recommended_conf(shuffle_partitions: int = CLUSTER_SHUFFLE_PARTITIONS) -> di
     }
 
 
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The reliable checkpoint folder: the session's, else ``spark.checkpoint.dir``.
+
+    Only a local-mode session (tests, bench) without one gets a fresh folder
+    under the system temp dir; on a cluster the setting must name shared
+    storage, so a missing one is an error rather than a machine-local folder.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        sc.setCheckpointDir(configured)
+    elif sc.master.startswith("local"):
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="crimestats-ckpt-"))
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder to run the reports on a cluster")
+    return sc.getCheckpointDir()
+
+
+def reliable_checkpoint(df):
+    """Eagerly write ``df`` to the reliable checkpoint folder and return the
+    DataFrame reading it back (lineage cut; survives executor loss)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "crimestats") -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for key, value in recommended_conf(shuffle_partitions).items():
