@@ -36,6 +36,8 @@ def recommended_conf(shuffle_partitions: int = CLUSTER_SHUFFLE_PARTITIONS) -> di
         # semantics of SQL; ANSI mode makes bad casts loud, the library uses
         # try_cast where the reference tolerates junk.
         "spark.sql.ansi.enabled": "true",
+        # Checkpoint files of a report are removed once its DataFrames are gone.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
