@@ -145,11 +145,11 @@ def distinct_dense_rank(df: DataFrame, order: list[str], partition: list[str] |
     # Partitioned: only a partition value that appears in a boundary key can
     # straddle buckets, so offsets exist for at most MAX_BUCKETS partition
     # values; everything else starts at 1 inside its bucket.
-    bound_parts = F.broadcast(
-        ranked.sparkSession.createDataFrame([tuple(b[2 * i + 1] for i in range(len(partition))) for b in bounds],
-                                            ", ".join(f"`{p}` {dtypes[p]}" for p in partition)).distinct()
-        .withColumn("_straddles", F.lit(True))
-    )
+    parts = sorted({tuple(b[2 * i + 1] for i in range(len(partition))) for b in bounds}, key=repr)
+    values = ", ".join("(" + ", ".join(_sql_literal(v, dtypes[p]) for v, p in zip(row, partition)) + ")"
+                       for row in parts)
+    names = ", ".join(f"`{p}`" for p in partition)
+    bound_parts = F.broadcast(ranked.sparkSession.sql(f"SELECT * FROM VALUES {values} AS t({names})"))
     part_cond = [bucketed[p].eqNullSafe(bound_parts[p]) for p in partition]
     straddling = bucketed.join(bound_parts, part_cond[0] if len(part_cond) == 1 else _and_all(part_cond), "left_semi")
     per_bucket = straddling.groupBy("_bucket", *partition).agg(F.count(F.lit(1)).alias("_n"))
