@@ -82,6 +82,16 @@ def homicide_base(tables: CrimeTables, period: Period | ReportingPeriods = DEFAU
     return hom.where(covering & numeric_between(F.col("CURR_DISTRICT"), districts.lo, districts.hi))
 
 
+def with_materialized_homicides(tables: CrimeTables, period: Period | ReportingPeriods = DEFAULT_PERIOD,
+                                districts: DistrictRange = DEFAULT_DISTRICTS) -> CrimeTables:
+    """``tables`` with ``homicides`` replaced by the checkpointed
+    ``homicide_base``: the report's ~10 branches then scan the period's
+    homicides once instead of re-reading the table each (the checkpoint lives
+    in ``spark.checkpoint.dir``, so it survives executor loss)."""
+    base = reliable_checkpoint(homicide_base(tables, period, districts))
+    return replace(tables, homicides=base)
+
+
 def homicide_scope(tables: CrimeTables, period: Period | ReportingPeriods = DEFAULT_PERIOD,
                    districts: DistrictRange = DEFAULT_DISTRICTS, active: bool = True) -> DataFrame:
     """H0: homicides injured in the period, active, in the district range; all
@@ -356,10 +366,7 @@ def homicide_report(tables: CrimeTables, period: Period | ReportingPeriods = DEF
     the homicide table."""
     periods = ReportingPeriods.of(period)
     if materialize:
-        # ~10 branches of the report read the period's homicides: read them
-        # once, cut lineage, and let every branch scan the materialised rows.
-        base = reliable_checkpoint(homicide_base(tables, periods, districts))
-        tables = replace(tables, homicides=base)
+        tables = with_materialized_homicides(tables, periods, districts)
     scope = homicide_scope(tables, periods, districts)
     ranks = report_ranks(tables, scope)
     master = homicide_master(tables, periods, districts, ranks, distinct=False)

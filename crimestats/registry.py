@@ -91,10 +91,12 @@ def _scope(t: CrimeTables) -> DataFrame:
 
 
 def _master(t: CrimeTables) -> DataFrame:
+    t = H.with_materialized_homicides(t, P, D)
     return H.homicide_master(t, P, D).drop(H.PERIOD_COL)
 
 
 def _adjusted(t: CrimeTables) -> DataFrame:
+    t = H.with_materialized_homicides(t, P, D)
     scope = _scope(t)
     ranks = H.report_ranks(t, scope)
     return H.homicide_adjusted(H.homicide_master(t, P, D, ranks, distinct=False)).drop(H.PERIOD_COL)
