@@ -309,7 +309,7 @@ def homicide_master(tables: CrimeTables, period: Period | ReportingPeriods = DEF
         p,
         "V_COUNT",
     )
-    return master.drop("V_COUNT").distinct() if distinct else master
+    return master.select(*MASTER_COLUMNS, p).distinct() if distinct else master
 
 
 # ---------------------------------------------------------------- H7 adjusted
