@@ -103,13 +103,16 @@ def numeric_between(text: Column, lo: int, hi: int, strict: bool = False) -> Col
 
 
 def prefix_in(col: Column, values: tuple[str, ...] | list[str]) -> Column:
-    """First character in ``values`` (NULL text -> unknown -> row drops)."""
-    return F.substring(col, 1, 1).isin(list(values))
+    """First character in ``values`` (NULL text -> unknown -> row drops).
+
+    Written as OR of ``startswith`` (same three-valued result as
+    ``substr(col, 1, 1) IN (...)``), which Parquet accepts as a pushed filter."""
+    return reduce(or_, [col.startswith(v) for v in values])
 
 
 def prefix_not_in(col: Column, values: tuple[str, ...] | list[str]) -> Column:
     """First character not in ``values``; NULL stays unknown."""
-    return ~F.substring(col, 1, 1).isin(list(values))
+    return ~prefix_in(col, values)
 
 
 def like_any(cols: list[Column], patterns: list[str]) -> Column:
