@@ -19,14 +19,19 @@ MAX_BROADCAST_ROWS = 1_000_000
 
 
 def is_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  Reads at most
-    ``max_rows + 1`` rows, so it stays cheap even when the table is large."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    A plain distributed count (partial counts per task, one number each to
+    the final task): exact, and unlike ``limit(n).count()`` it never funnels
+    up to n rows per partition into a single task when the table turns out
+    to be large."""
+    return df.count() <= max_rows
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it has at most ``max_rows`` rows; beyond the
-    bound the planner's shuffle join (and AQE's runtime choice) applies."""
+    """Broadcast ``df`` only when it has at most ``max_rows`` rows (a code
+    table of short strings: tens of MB at most); beyond the bound the
+    planner's shuffle join (and AQE's runtime choice) applies."""
     return F.broadcast(df) if is_bounded(df, max_rows) else df
 
 
