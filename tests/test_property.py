@@ -8,6 +8,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from crimestats.functions.predicates import Period
 from crimestats.plans import index_crime as I
@@ -59,4 +60,24 @@ def test_single_pass_equals_union_on_random_tables(make_tables, seed):
     cb = I.case_base(t, P)
     over = {r.ID for r in I.mvt_override_records(cb, t).collect()}
     rest = {r.ID for r in I.larceny_remainder_records(cb, t).collect()}
-    assert not over & rest
+    population = {r.ID for r in cb.where(I.is_larceny_population()).collect()}
+    assert not over & rest and over | rest == population
+
+
+def test_at_most_one_weapon_per_homicide(spark, make_tables):
+    rnd = random.Random(9)
+    types = ["FIREARM", "STABBING/CUTTING", "UNKNOWN", "OTHER", "ALIEN", None]
+    names = ["HANDGUN", "RIFLE", "OTHER", "KNIFE", None]
+    weapons = [{"ID": i, "HOM_HOMICIDE_ID": 1 if rnd.random() < 0.34 else rnd.randint(1, 40),
+                "WEAPON_TYPE": rnd.choice(types), "WEAPON_NAME": rnd.choice(names)} for i in range(300)]
+    homs = [{"ID": h, "RD_NO": f"H{h}", "HOMICIDE_NO": f"M{h:06d}", "INJURY_DATE": dt.datetime(2016, 5, 5),
+             "ACTIVE_I": "Y", "CURR_DISTRICT": "3", "INJURY_DESCR": rnd.choice(["SHOT", "STABBED", None])}
+            for h in range(1, 41)]
+    t = make_tables(homicides=homs, weapons=weapons)
+    from crimestats.plans import homicide as H
+
+    top = H.lethal_weapon(H.weapon_codes(t, H.homicide_scope(t, P)))
+    assert top.count() == top.select("HOM_HOMICIDE_ID").distinct().count()
+    # the chosen code is the smallest non-NULL code of the homicide
+    codes = H.weapon_codes(t, H.homicide_scope(t, P)).groupBy("HOM_HOMICIDE_ID").agg(F.min("HIERARCHY").alias("m"))
+    assert top.join(codes, "HOM_HOMICIDE_ID").where(~F.col("HIERARCHY").eqNullSafe(F.col("m"))).count() == 0
