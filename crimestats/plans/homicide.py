@@ -268,8 +268,10 @@ def homicide_master(tables: CrimeTables, period: Period | ReportingPeriods = DEF
         "SEX", "RACE",
     )
     rows = left_join_splittable(hom, off, "ID", "_OHID").drop("_OHID")
-    rows = _join_rank(rows, ranks["vic_no"], [p, "RD_NO", "HOMICIDE_NO"]).withColumnRenamed("VIC_NO", "VICCNT")
-    rows = _join_rank(rows, ranks["v_count"], [p, "HOMICIDE_NO"])
+    # Both homicide-level ranks are joined on their distinct keys first, so the
+    # victim x offender rows take one join for them.
+    homicide_ranks = _join_rank(ranks["vic_no"], ranks["v_count"], [p, "HOMICIDE_NO"])
+    rows = _join_rank(rows, homicide_ranks, [p, "RD_NO", "HOMICIDE_NO"]).withColumnRenamed("VIC_NO", "VICCNT")
     rows = _join_rank(rows, ranks["off_no"], [p, "HOMICIDE_NO", "HOFFID"]).withColumnRenamed("OFF_RANK", "OFFCNT")
 
     weapon = lethal_weapon(weapon_codes(tables, scope)).select(
@@ -313,14 +315,14 @@ def homicide_master(tables: CrimeTables, period: Period | ReportingPeriods = DEF
 
 
 # ---------------------------------------------------------------- H7 adjusted
-def homicide_adjusted(master: DataFrame) -> DataFrame:
-    """H7: report columns plus HOFFID2 (and ``REPORT_PERIOD``), distinct.
+def homicide_adjusted(master: DataFrame, distinct: bool = True) -> DataFrame:
+    """H7: report columns plus HOFFID2 (and ``REPORT_PERIOD``), distinct
+    (``distinct=False`` when the consumer deduplicates anyway).
 
     Input: master rows with ``V_COUNT`` (``homicide_master(distinct=False)``).
     V_COUNT / VIC# / OFF# ranks; one suspect row for unknown-offender
     situations (B, F); police-shooting weapon override; victim and offender
     roles exchanged when CCODE is '81' (SURVEY §2.4.8)."""
-    m = master
     sit, ccode = F.col("SITUATIONCD"), F.col("CCODE")
     unknown_offender = sit.isin(list(C.UNKNOWN_OFFENDER_SITUATIONS))
     police = ccode == C.POLICE_CIRCUMSTANCE
@@ -330,7 +332,7 @@ def homicide_adjusted(master: DataFrame) -> DataFrame:
          (F.col("VICRACE"), F.col("OFFRACE")), (F.col("VICETHNICITY"), F.col("OFFETHNICITY"))],
     )
     injury = F.col("INJURY_DESCR")
-    return m.select(
+    adjusted = master.select(
         F.col("MNTH").alias("MONTH"),
         F.col("YR").alias("YEAR"),
         F.col("RD_NO").alias("CASE#_TYPE1"),
@@ -350,7 +352,8 @@ def homicide_adjusted(master: DataFrame) -> DataFrame:
         off_age.alias("OFF_AGE"), off_sex.alias("OFF_SEX"), off_race.alias("OFF_RACE"), off_eth.alias("OFF_ETH"),
         F.col("RELATIONCD").alias("REL_CODE"),
         PERIOD_COL,
-    ).distinct()
+    )
+    return adjusted.distinct() if distinct else adjusted
 
 
 # ------------------------------------------------------------------ H8 report
@@ -371,7 +374,7 @@ def homicide_report(tables: CrimeTables, period: Period | ReportingPeriods = DEF
     ranks = report_ranks(tables, scope)
     master = homicide_master(tables, periods, districts, ranks, distinct=False)
     cols = ([PERIOD_COL] if periods.multi else []) + list(SHR_COLUMNS)
-    report = homicide_adjusted(master).select(*(F.col(f"`{c}`") for c in cols)).distinct()
+    report = homicide_adjusted(master, distinct=False).select(*(F.col(f"`{c}`") for c in cols)).distinct()
     if ordered:
         report = report.orderBy(*([F.col(PERIOD_COL)] if periods.multi else []),
                                 F.col("`CASE#_TYPE2`").asc_nulls_last(), F.col("`VIC#`").asc_nulls_last(),
