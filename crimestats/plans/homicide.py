@@ -141,22 +141,29 @@ def _offender_pairs(tables: CrimeTables, scope: DataFrame) -> DataFrame:
     return s.join(off, s["ID"] == off["_OHID"], "inner").select(PERIOD_COL, "RD_NO", "HOMICIDE_NO", "HOFFID")
 
 
+def _party_keys(tables: CrimeTables, scope: DataFrame) -> DataFrame:
+    """(REPORT_PERIOD, RD_NO, HOMICIDE_NO, HOFFID): every homicide in scope with
+    a NULL offender, plus every (homicide, offender) pair.  The distinct keys
+    of ``scope LEFT JOIN offenders`` plus a NULL key per homicide that has
+    offenders -- harmless for distinct counts (NULL is not counted) and for
+    offender ranks (NULLS LAST) -- without an outer join."""
+    p = PERIOD_COL
+    return scope.select(p, "RD_NO", "HOMICIDE_NO", F.lit(None).cast("long").alias("HOFFID")) \
+        .unionByName(_offender_pairs(tables, scope))
+
+
 def party_counts(tables: CrimeTables, scope: DataFrame) -> DataFrame:
     """H3: per incident (RD_NO) the distinct victims VICTOTAL and distinct
     offenders OFFENDERS, at (RD_NO, HOMICIDE_NO, CLEARED_I) grain.  OFFTOTAL is
     the ratio, for display only; decisions compare the integer counts (T11).
 
-    Victims are counted on the scope, offenders on the offender pairs (a left
-    join would only add NULL ids, which a distinct count ignores); NULL RD
-    numbers form one group, as in a window, so the joins are null-safe."""
+    Both counts are one grouped aggregate over the party keys; NULL RD numbers
+    form one group, as in a window, so the join back is null-safe."""
     p = PERIOD_COL
-    vic = scope.groupBy(p, "RD_NO").agg(F.count_distinct("HOMICIDE_NO").cast("long").alias("VICTOTAL"))
-    off = _offender_pairs(tables, scope).groupBy(p, "RD_NO").agg(
-        F.count_distinct("HOFFID").cast("long").alias("OFFENDERS")) \
-        .select(F.col(p).alias("_OP"), F.col("RD_NO").alias("_ORD"), "OFFENDERS")
-    counts = vic.join(off, vic[p].eqNullSafe(off["_OP"]) & vic["RD_NO"].eqNullSafe(off["_ORD"]), "left") \
-        .select(F.col(p).alias("_P"), F.col("RD_NO").alias("_RD"), "VICTOTAL",
-                F.coalesce(F.col("OFFENDERS"), F.lit(0).cast("long")).alias("OFFENDERS"))
+    counts = _party_keys(tables, scope).groupBy(p, "RD_NO").agg(
+        F.count_distinct("HOMICIDE_NO").cast("long").alias("VICTOTAL"),
+        F.count_distinct("HOFFID").cast("long").alias("OFFENDERS"),
+    ).select(F.col(p).alias("_P"), F.col("RD_NO").alias("_RD"), "VICTOTAL", "OFFENDERS")
     grain = scope.select(p, "RD_NO", "HOMICIDE_NO", "CLEARED_I").distinct()
     cond = grain["RD_NO"].eqNullSafe(counts["_RD"]) & grain[p].eqNullSafe(counts["_P"])
     joined = grain.join(counts, cond, "inner")
@@ -220,9 +227,7 @@ def report_ranks(tables: CrimeTables, scope: DataFrame) -> dict[str, DataFrame]:
     homicide row without offenders -- no outer join needed for the keys.
     """
     p = PERIOD_COL
-    pairs = _offender_pairs(tables, scope)
-    off_keys = scope.select(p, "RD_NO", "HOMICIDE_NO", F.lit(None).cast("long").alias("HOFFID")) \
-        .unionByName(pairs)
+    off_keys = _party_keys(tables, scope)
     sizes = estimate_distinct(off_keys, {"v": [p, "HOMICIDE_NO"], "vic": [p, "RD_NO", "HOMICIDE_NO"],
                                          "off": [p, "HOMICIDE_NO", "HOFFID"]})
     v_count = distinct_dense_rank(scope, ["HOMICIDE_NO"], [p], rank_col="V_COUNT", n_keys=sizes["v"])
