@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crimestats.functions import codes as C
+from crimestats.functions.recode import q, sql_in
 from crimestats.functions.predicates import (
     DistrictRange,
     Period,
@@ -92,29 +93,51 @@ def case_base(tables: CrimeTables, period: Period = DEFAULT_PERIOD,
 
 
 # ------------------------------------------------------------ rule predicates
+# Each rule is one SQL predicate over the case-base columns (a single JVM call
+# to build; the same Catalyst expression as the equivalent Column chain).
+def _sql_victim_counted() -> str:
+    return f"{sql_in('FBI_CD', C.VICTIM_COUNTED_CODES)} AND NOT ({sql_in('CD', C.VICTIM_COUNT_EXCLUDED_IUCR)})"
+
+
+def _sql_incident_counted() -> str:
+    return (f"({sql_in('FBI_CD', C.INCIDENT_CODES)} OR (FBI_CD = {q(C.BURGLARY_CODE)}"
+            f" AND NOT ({sql_in('LOCATION', C.VEHICLE_LOCATIONS)})))")
+
+
+def _sql_larceny_population() -> str:
+    return (f"(FBI_CD = {q(C.LARCENY_CODE)} OR (FBI_CD = {q(C.BURGLARY_CODE)}"
+            f" AND {sql_in('LOCATION', C.VEHICLE_LOCATIONS)})) AND NOT ({sql_in('CD', C.LARCENY_EXCLUDED_IUCR)})")
+
+
+def _sql_arson_masking() -> str:
+    return sql_in("FBI_CD", C.ARSON_MASKING_CODES)
+
+
+def _sql_not_arson() -> str:
+    return f"NOT ({sql_in('FBI_CD', [C.ARSON_CODE])})"
+
+
 def is_victim_counted() -> Column:
-    return F.col("FBI_CD").isin(list(C.VICTIM_COUNTED_CODES)) & ~F.col("CD").isin(list(C.VICTIM_COUNT_EXCLUDED_IUCR))
+    """Sexual assault, aggravated assault / battery (IUCR 0487 excluded)."""
+    return F.expr(_sql_victim_counted())
 
 
 def is_incident_counted() -> Column:
     """Robbery / MVT / arson, or burglary not from a vehicle (NULL location: neither, T4)."""
-    return (F.col("FBI_CD").isin(list(C.INCIDENT_CODES))
-            | ((F.col("FBI_CD") == C.BURGLARY_CODE) & ~F.col("LOCATION").isin(list(C.VEHICLE_LOCATIONS))))
+    return F.expr(_sql_incident_counted())
 
 
 def is_larceny_population() -> Column:
     """Larceny, or burglary from a vehicle; IUCR 0840-0843 excluded."""
-    return ((F.col("FBI_CD") == C.LARCENY_CODE)
-            | ((F.col("FBI_CD") == C.BURGLARY_CODE) & F.col("LOCATION").isin(list(C.VEHICLE_LOCATIONS)))) \
-        & ~F.col("CD").isin(list(C.LARCENY_EXCLUDED_IUCR))
+    return F.expr(_sql_larceny_population())
 
 
 def is_arson_masking() -> Column:
-    return F.col("FBI_CD").isin(list(C.ARSON_MASKING_CODES))
+    return F.expr(_sql_arson_masking())
 
 
 def is_not_arson() -> Column:
-    return ~F.col("FBI_CD").isin([C.ARSON_CODE])
+    return F.expr(_sql_not_arson())
 
 
 # ------------------------------------------------------------ branch operators
@@ -191,13 +214,13 @@ def case_code_evidence(tables: CrimeTables) -> DataFrame:
     reaches the Parquet scan and the partial aggregate collapses a case's rows
     before the shuffle, so a case with millions of rows ships one row per task
     (and none at all when ``case_iucr`` is bucketed by CASE_ID)."""
-    wanted = list(C.MVT_IUCR + C.ARSON_IUCR + C.CRIMINAL_DAMAGE_IUCR)
-    code = F.col("IUCR_CODE_CD")
-    return tables.case_iucr.where(code.isin(wanted) & F.col("CASE_ID").isNotNull()).groupBy("CASE_ID").agg(
-        F.max(code.isin(list(C.MVT_IUCR))).alias("HAS_MVT"),
-        F.max(code.isin(list(C.ARSON_IUCR))).alias("HAS_ARSON"),
-        F.max(code.isin(list(C.CRIMINAL_DAMAGE_IUCR))).alias("HAS_DAMAGE"),
-    )
+    wanted = C.MVT_IUCR + C.ARSON_IUCR + C.CRIMINAL_DAMAGE_IUCR
+    return tables.case_iucr.where(F.expr(f"{sql_in('IUCR_CODE_CD', wanted)} AND CASE_ID IS NOT NULL")) \
+        .groupBy("CASE_ID").agg(
+            F.expr(f"max({sql_in('IUCR_CODE_CD', C.MVT_IUCR)})").alias("HAS_MVT"),
+            F.expr(f"max({sql_in('IUCR_CODE_CD', C.ARSON_IUCR)})").alias("HAS_ARSON"),
+            F.expr(f"max({sql_in('IUCR_CODE_CD', C.CRIMINAL_DAMAGE_IUCR)})").alias("HAS_DAMAGE"),
+        )
 
 
 def burned_property_cases(tables: CrimeTables) -> DataFrame:
@@ -216,19 +239,19 @@ def incident_records_single_pass(cb: DataFrame, tables: CrimeTables) -> DataFram
     burned = burned_property_cases(tables)
     x = cb.join(codes, cb["ID"] == codes["CASE_ID"], "left")
     x = x.join(burned, x["ID"] == burned["BURNED_CASE_ID"], "left")
-    flag = {f: F.coalesce(F.col(f), F.lit(False)) for f in ["HAS_MVT", "HAS_ARSON", "HAS_DAMAGE"]}
-    flag["HAS_BURNED"] = F.col("BURNED_CASE_ID").isNotNull()
-    larceny = is_larceny_population()
-    candidates = F.array(
-        F.when(is_incident_counted() & F.col("FBI_KNOWN"), F.col("FBI_CD")),
-        F.when(larceny & flag["HAS_MVT"], F.lit(C.MVT_CODE)),
+    mvt, arson, damage = "coalesce(HAS_MVT, false)", "coalesce(HAS_ARSON, false)", "coalesce(HAS_DAMAGE, false)"
+    burned_flag = "BURNED_CASE_ID IS NOT NULL"
+    larceny = _sql_larceny_population()
+    candidates = ", ".join([
+        f"CASE WHEN {_sql_incident_counted()} AND FBI_KNOWN THEN FBI_CD END",
+        f"CASE WHEN {larceny} AND {mvt} THEN {q(C.MVT_CODE)} END",
         # SQL NOT IN drops a NULL id whenever any case was overridden.
-        F.when(larceny & ~flag["HAS_MVT"] & F.col("ID").isNotNull(), F.lit(C.LARCENY_CODE)),
-        F.when(is_arson_masking() & flag["HAS_ARSON"], F.lit(C.ARSON_CODE)),
-        F.when(is_not_arson() & flag["HAS_DAMAGE"] & flag["HAS_BURNED"], F.lit(C.ARSON_CODE)),
-    )
-    exploded = x.select("ID", "RD", "MONTH", "YEAR",
-                        F.explode(F.array_distinct(F.array_compact(candidates))).alias("FBI_CD"))
+        f"CASE WHEN {larceny} AND NOT {mvt} AND ID IS NOT NULL THEN {q(C.LARCENY_CODE)} END",
+        f"CASE WHEN {_sql_arson_masking()} AND {arson} THEN {q(C.ARSON_CODE)} END",
+        f"CASE WHEN {_sql_not_arson()} AND {damage} AND {burned_flag} THEN {q(C.ARSON_CODE)} END",
+    ])
+    codes_expr = F.expr(f"array_distinct(array_compact(array({candidates})))")
+    exploded = x.select("ID", "RD", "MONTH", "YEAR", F.explode(codes_expr).alias("FBI_CD"))
     return _record(exploded, 1, F.col("FBI_CD"))
 
 
