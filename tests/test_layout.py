@@ -44,3 +44,17 @@ def test_bucketed_tables_give_same_reports_without_case_shuffles(spark):
     assert _exchanges_on(plan_flat, "CASE_ID") >= 2
     assert _exchanges_on(plan_bucketed, "CASE_ID") == 0
     assert _exchanges_on(plan_bucketed, "ID") == 0
+
+
+def test_parquet_reader_round_trip(spark, tmp_path):
+    from crimestats.sources.tables import read_parquet_tables
+
+    flat = load_fixture_tables(spark, SF)
+    for name in flat.names():
+        getattr(flat, name).write.mode("overwrite").parquet(str(tmp_path / name))
+    read = read_parquet_tables(spark, str(tmp_path))
+    p = Period.calendar_year(1996)
+    a, b = I.index_report(flat, p), I.index_report(read, p)
+    assert a.collect() == b.collect()
+    ra, rb = H.homicide_report(flat, p, ordered=False), H.homicide_report(read, p, ordered=False)
+    assert sorted(map(tuple, ra.collect()), key=repr) == sorted(map(tuple, rb.collect()), key=repr)  # T26
