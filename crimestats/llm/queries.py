@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from crimestats.llm import host_quality, source_mix, token_counts
+from crimestats.llm import byte_language, host_quality, source_mix, token_counts
 
 MODULES = {
     "op1_host_quality": host_quality,
+    "op3_language_id": byte_language,
     "op9_token_counts": token_counts,
     "op10_source_mix": source_mix,
 }
