@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from crimestats.llm import byte_language, host_quality, source_mix, token_counts
+from crimestats.llm import byte_language, host_quality, ngram_join, sentence_pieces, source_mix, token_counts
 
 MODULES = {
     "op1_host_quality": host_quality,
     "op3_language_id": byte_language,
+    "op4_ngram_join": ngram_join,
+    "op6_sentence_pieces": sentence_pieces,
     "op9_token_counts": token_counts,
     "op10_source_mix": source_mix,
 }
