@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -29,10 +30,10 @@ from crimestats.llm.common import map_batches, with_columns
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Characters of one suffix index; chunks and pairs of pieces that a worker remembers.
-GROUP = 1 << 17
-REMEMBERED = 200_000
-PAIRS = 400_000
+#: Characters of one suffix index; chunks that a worker remembers (twice as many at most) and places of its table of pairs.
+GROUP = 1 << 18
+REMEMBERED = 300_000
+PAIRS = 1 << 20
 #: Ids of characters without a piece, inside relaxation: this plus the code point.
 RAW = 1 << 24
 
@@ -77,8 +78,10 @@ class Vocabulary:
         joined = "".join(re.escape(c) for c in sorted({c for p in self.score if len(p) > 1 for c in p} - {MARK}))
         marks_lead = not any(MARK in p.lstrip(MARK) for p in self.score)
         self.cut = re.compile(f"{MARK}*[{joined}]+|{MARK}+|." if marks_lead else f"[{MARK}{joined}]+|.", re.S)
-        self.fits: dict = {}
+        self.pair_keys, self.pair_fits, self.pairs = np.full(PAIRS, -1, np.int64), np.zeros(PAIRS, bool), 0
+        # Chunks met since the last turn, and before it.
         self.ids: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """BPE by definition: the best-scored neighbouring pair first, leftmost on ties."""
@@ -94,18 +97,43 @@ class Vocabulary:
     def piece(self, i: int) -> str:
         return chr(i - RAW) if i >= RAW else self.pieces[i]
 
-    def follows(self, a: int | None, b: int) -> bool:
-        """Whether piece b may stand after piece a (None: first)."""
-        got = self.fits.get((a, b))
-        if got is None:
-            if len(self.fits) >= PAIRS:
-                self.fits.clear()
-            want = [self.piece(x) for x in (a, b) if x is not None]
-            got = self.fits[a, b] = self.merged("".join(want)) == want
-        return got
+    def follows(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """Whether each piece may stand after the one before it (-1: it comes first).
+
+        Answers are remembered in an open-addressing table of PAIRS keys, emptied when half full.
+        """
+        key = (before + 1) * (RAW << 1) + piece
+        slot, answer = _slot(key), np.zeros(len(key), bool)
+        todo = np.arange(len(key))
+        missing = []
+        while len(todo):
+            found = self.pair_keys[slot]
+            hit = found == key[todo]
+            answer[todo[hit]] = self.pair_fits[slot[hit]]
+            missing.append(todo[found < 0])
+            on = ~hit & (found >= 0)
+            todo, slot = todo[on], (slot[on] + 1) & (PAIRS - 1)
+        missing = np.concatenate(missing) if missing else todo
+        if len(missing):
+            new, back = np.unique(key[missing], return_inverse=True)
+            if 2 * (self.pairs + len(new)) > PAIRS:
+                self.pair_keys[:] = -1
+                self.pairs = 0
+            fits = np.empty(len(new), bool)
+            for n, (k, at) in enumerate(zip(new.tolist(), _slot(new).tolist())):
+                a, p = k // (RAW << 1) - 1, k % (RAW << 1)
+                want = [self.piece(x) for x in (a, p) if x >= 0]
+                fits[n] = self.merged("".join(want)) == want
+                if 2 * self.pairs < PAIRS:
+                    while self.pair_keys[at] >= 0:
+                        at = (at + 1) & (PAIRS - 1)
+                    self.pair_keys[at], self.pair_fits[at] = k, fits[n]
+                    self.pairs += 1
+            answer[missing] = fits[back]
+        return answer
 
     def edges(self, points: np.ndarray, start: int, stop: int):
-        """(start, end, piece) arrays, sorted by start, of all occurrences that start in points[start:stop]."""
+        """(start, end, piece) arrays of all occurrences that start in points[start:stop]."""
         n = stop - start
         codes = np.zeros(n + self.max, np.uint16)
         part = points[start:stop + self.max]
@@ -125,31 +153,31 @@ class Vocabulary:
         begin = np.concatenate([begin, bare])
         piece = np.concatenate([piece, points[bare].astype(np.int64) + RAW])
         end = begin + np.concatenate([length, np.ones(len(bare), np.int64)])
-        by = np.argsort(begin, kind="stable")
-        return begin[by].tolist(), end[by].tolist(), piece[by].tolist()
+        return begin, end, piece
 
     def encode_chunks(self, chunks: list[str]) -> list[bytes]:
         """Ids of each chunk, as int32 bytes."""
-        # A zero between chunks: no piece holds it, and nothing is relaxed across it.
+        # A zero between chunks: no piece holds it.
         points = np.frombuffer("\0".join(chunks).encode("utf-32-le"), np.uint32)
-        starts, at = [], 0
-        for c in chunks:
-            starts.append(at)
-            at += len(c) + 1
-        last: list = [None] * (len(points) + 2)
-        first = set(starts)
-        gaps = {s - 1 for s in starts}
+        sizes = np.array([len(c) for c in chunks])
+        starts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
+        place = np.arange(len(points)) - np.repeat(starts, sizes + 1)[:len(points)]
+        last = np.full(len(points) + 2, -2, np.int64)
+        last[starts] = -1
         for window in range(0, len(points), GROUP):
-            for s, e, p in zip(*self.edges(points, window, min(len(points), window + GROUP))):
-                if last[e] is None and s not in gaps:
-                    if s in first:
-                        if self.follows(None, p):
-                            last[e] = p
-                    elif self.follows(last[s], p):
-                        last[e] = p
+            begin, end, piece = self.edges(points, window, min(len(points), window + GROUP))
+            # In step with each other, all chunks of the window relax their edges by position.
+            by = np.argsort(place[begin], kind="stable")
+            begin, end, piece = begin[by], end[by], piece[by]
+            steps = np.flatnonzero(np.diff(place[begin], prepend=-1))
+            for lo, hi in zip(steps, [*steps[1:], len(begin)]):
+                open_ = lo + np.flatnonzero((last[end[lo:hi]] == -2) & (last[begin[lo:hi]] > -2))
+                good = open_[self.follows(last[begin[open_]], piece[open_])]
+                last[end[good]] = piece[good]
+        last = last.tolist()
         out = []
-        for s, c in zip(starts, chunks):
-            ids, e = [], s + len(c)
+        for s, n in zip(starts.tolist(), sizes.tolist()):
+            ids, e = [], s + n
             while e > s:
                 p = last[e]
                 if p >= RAW:
@@ -158,23 +186,25 @@ class Vocabulary:
                 else:
                     ids.append(p)
                     e -= self.length[p]
-            out.append(np.array(ids[::-1], np.int32).tobytes())
+            ids.reverse()
+            out.append(array("i", ids).tobytes())
         return out
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """Ids of every text of a batch."""
         cut = [None if t is None else self.cut.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        new = list({c for chunks in cut if chunks for c in chunks if c not in self.ids})
-        if len(self.ids) + len(new) > REMEMBERED:
-            self.ids.clear()
-            new = list({c for chunks in cut if chunks for c in chunks})
+        if len(self.ids) > REMEMBERED:
+            self.old, self.ids = self.ids, {}
+        wanted = {c for chunks in cut if chunks for c in chunks if c not in self.ids}
+        self.ids.update((c, self.old[c]) for c in wanted if c in self.old)
         held, size = [], 0
-        for c in new:
-            held.append(c)
-            size += len(c) + 1
-            if size >= GROUP:
-                self.ids.update(zip(held, self.encode_chunks(held)))
-                held, size = [], 0
+        for c in wanted:
+            if c not in self.old:
+                held.append(c)
+                size += len(c) + 1
+                if size >= GROUP:
+                    self.ids.update(zip(held, self.encode_chunks(held)))
+                    held, size = [], 0
         if held:
             self.ids.update(zip(held, self.encode_chunks(held)))
         known = self.ids.__getitem__
@@ -185,6 +215,11 @@ class Vocabulary:
         return text.removeprefix(" ")
 
 
+def _slot(key: np.ndarray) -> np.ndarray:
+    mixed = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(65 - PAIRS.bit_length())).astype(np.int64)
+
+
 def _digits(codes: np.ndarray) -> np.ndarray:
     """Codes as two bytes that are never 0 nor 255, in the codes' order."""
     return np.stack([codes // 250 + 1, codes % 250 + 1], axis=-1).astype(np.uint8)
