@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -19,8 +20,15 @@ BATCH_BYTES = 16 << 20
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
 
 
+#: The folder that holds the package, for workers started elsewhere (local mode; a cluster has the package installed).
+HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def small_batches(spark: SparkSession) -> None:
-    """Cap the Arrow batches sent to Python workers by rows and bytes."""
+    """Cap the Arrow batches sent to Python workers by rows and bytes, and let the workers find this package."""
+    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if HOME not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*paths, HOME])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

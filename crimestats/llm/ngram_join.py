@@ -5,15 +5,19 @@
 2. The global order: by frequency class, rarest first, then by hash.  Shingles that are frequent within single tasks
    are counted over all tasks; the most frequent HEAVY of them get their class, all others class 0.  Any one order gives the
    same result; this one keeps the prefixes of different documents apart.
-3. A pair that links shares a shingle of both sets' prefixes (the first n - ceil(0.9 n) + 1 of n in the order) at places that
-   leave enough shingles behind.  Prefix shingles of one class only are dropped; the others are buckets.
-4. Buckets of up to SMALL classes give candidate pairs.  Their sets are cut into FRAGMENTS ranges of the order, the
-   overlaps of each fragment are counted as separate rows and summed per pair.
+3. A pair that links shares a shingle of both sets' prefixes (the first n - ceil(0.9 n) + 1 of n in the order).  Prefix
+   shingles of one class only are dropped; the others are buckets.
+4. Buckets of up to SMALL classes give candidate pairs with the number of prefix shingles they share.  Common shingles outside
+   the shared prefixes lie behind the prefix of one of the two, which bounds the overlap; pairs that can't link go.  The others'
+   sets are cut into FRAGMENTS ranges of the hashes, each fragment's overlaps are counted as separate rows and summed per pair.
 5. Buckets of more classes are split by size band and into blocks; each pair of blocks is one task, which adds up the
    blocks' partial overlap counts fragment by fragment as matrix products and returns only a spanning forest of the pairs
    that link: linear in the block, whatever the number of pairs.
 6. Components of the links between classes, then the smallest doc_id of each component.
 
+Prefix rows name a class by 64 bits of its digest; candidates get all classes of that name and size back, and only whole
+sets decide.
+
 Null or blank text: empty set, no link, its own component.  Fewer words than three: the whole sequence is the one shingle.
 Repeated rows are documents of one class; a null doc_id never names a component unless no other does.  An empty table
 gives an empty result.  Other columns are ignored (``one_per_group``: kept).
@@ -26,35 +30,28 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from crimestats.llm.common import binary_list, connected_components, map_batches, scratch, staged
+from crimestats.llm.common import binary_list, connected_components, map_batches, scratch, small_batches, staged
 
 #: Production parameters.
 N = 3
 NUMERATOR, DENOMINATOR = 90, 100
 #: Largest number of shingles with a frequency class (16 bytes each in a broadcast); rarer ones share class 0.
 HEAVY = 1 << 17
-#: A shingle is counted globally if a task meets it in this many documents of one batch run, and is heavy from HEAVY_DF on.
+#: A shingle is counted globally if a task meets it in LOCAL_DF sets of a run, and is heavy from HEAVY_DF on.
 LOCAL_DF, HEAVY_DF = 2, 16
 SMALL = 24
+#: Shingles and classes that a task holds before it gives counts out or forgets classes.
+RUN_SHINGLES, RUN_CLASSES = 1 << 21, 1 << 18
+#: Ids up to which the documents to read again are broadcast (8 bytes each); more are joined by a shuffle.
+FEW_IDS = 500_000
 BLOCK, BLOCK_SHINGLES = 256, 1 << 20
 FRAGMENTS = 4
 #: Ratio of one size band: sets whose sizes differ by more than a band cannot link.
 BAND = 0.9
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
-_WORDS: dict[bytes, int] = {}
-
-
-def _word_hash(word: bytes) -> int:
-    got = _WORDS.get(word)
-    if got is None:
-        if len(_WORDS) >= 500_000:
-            _WORDS.clear()
-        got = _WORDS[word] = xxhash.xxh64_intdigest(word)
-    return got
-
-
 def _scramble(x: np.ndarray) -> np.ndarray:
     x ^= x >> np.uint64(29)
     x *= _MIX[1]
@@ -68,7 +65,7 @@ def shingles(raw: bytes | None) -> np.ndarray:
     words = raw.lower().split() if raw else []
     if not words:
         return np.empty(0, np.int64)
-    h = np.fromiter(map(_word_hash, words), np.uint64, len(words))
+    h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     if len(h) < N:
         return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed=1)], np.uint64).view(np.int64)
     x = _scramble(h[:-2] * _MIX[0])
@@ -81,59 +78,73 @@ def signature(sorted_hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(sorted_hashes.tobytes(), digest_size=16).digest()
 
 
-def document_classes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, cls (digest of the set; null if it is empty) of every document."""
-    def fn(batch):
-        sets = [shingles(x) for x in binary_list(batch.column("text"))]
-        return {"doc_id": batch.column("doc_id"), "n_shingles": [len(x) for x in sets],
-                "cls": [signature(x) if len(x) else None for x in sets]}
+def name(digest: bytes) -> int:
+    return int.from_bytes(digest[:8], "little", signed=True)
 
-    return map_batches(_slim(docs), fn, "doc_id long, n_shingles long, cls binary")
 
+def first_pass(docs: DataFrame) -> DataFrame:
+    """Two kinds of rows from one reading of the texts: doc_id, n_shingles, cls (digest of the set; null if it is empty) and h
+    (its short name) of every document, and g, df: shingles that a task met at least LOCAL_DF times, once per class.
+    """
+    small_batches(docs.sparkSession)
+    schema = T.StructType.fromDDL("doc_id long, n_shingles long, cls binary, h long, g long, df long")
+    arrow = to_arrow_schema(schema)
 
-def _slim(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-
+    def rows(n, **columns):
+        return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in arrow],
+                                          schema=arrow)
 
-def frequent(docs: DataFrame) -> dict[int, int]:
-    """Frequency class (bits of the count) of the at most HEAVY most frequent shingles."""
-    def counts(batches):
+    def run(batches):
         seen: set[bytes] = set()
-        held, n = [], 0
+        held, size = [], 0
 
-        def flush():
+        def counts():
             values, df = np.unique(np.concatenate(held), return_counts=True)
             keep = df >= LOCAL_DF
-            return pa.RecordBatch.from_arrays([pa.array(values[keep]), pa.array(df[keep].astype(np.int64))], names=["g", "df"])
+            return rows(int(keep.sum()), g=values[keep], df=df[keep])
 
         for batch in batches:
-            for raw in binary_list(batch.column("text")):
-                x = shingles(raw)
-                key = signature(x)
-                if len(x) and key not in seen:
+            sets = [shingles(x) for x in binary_list(batch.column("text"))]
+            keys = [signature(x) if len(x) else None for x in sets]
+            yield rows(len(sets), doc_id=batch.column("doc_id"), n_shingles=[len(x) for x in sets], cls=keys,
+                       h=[None if k is None else name(k) for k in keys])
+            for x, key in zip(sets, keys):
+                if key and key not in seen:
                     seen.add(key)
                     held.append(x)
-                    n += len(x)
-                if n >= 1 << 21:
-                    yield flush()
-                    held, n = [], 0
-            if len(seen) > 1 << 18:
+                    size += len(x)
+            if size >= RUN_SHINGLES:
+                yield counts()
+                held.clear()
+                size = 0
+            if len(seen) > RUN_CLASSES:
                 seen.clear()
         if held:
-            yield flush()
+            yield counts()
+
+    return _slim(docs).mapInArrow(run, schema)
 
-    total = _slim(docs).select("text").mapInArrow(counts, "g long, df long").groupBy("g").agg(F.sum("df").alias("df"))
+
+def _slim(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
+def frequent(counts: DataFrame) -> dict[int, int]:
+    """Frequency class (bits of the count) of the at most HEAVY most frequent shingles; ``counts``: g, df."""
+    total = counts.groupBy("g").agg(F.sum("df").alias("df"))
     top = total.where(F.col("df") >= HEAVY_DF).orderBy(F.desc("df"), "g").limit(HEAVY)
     return {r["g"]: int(r["df"]).bit_length() for r in top.collect()}
 
 
-def _ordered(x: np.ndarray, keys: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """The set in the global order."""
+def prefix(x: np.ndarray, keys: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """The first shingles of a set in the global order, as many as its prefix has."""
+    p = prefix_length(len(x))
     if not len(keys):
-        return x
+        return x[:p]
     at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
     c = np.where(keys[at] == x, classes[at], 0)
-    return x[np.lexsort((x, c))]
+    rare = x[c == 0][:p]
+    return rare if len(rare) == p else x[np.lexsort((x, c))][:p]
 
 
 def prefix_length(n: int) -> int:
@@ -141,31 +152,29 @@ def prefix_length(n: int) -> int:
 
 
 def postings(docs: DataFrame, heavy: dict[int, int]) -> DataFrame:
-    """g, cls, n, i: the prefix shingles of every set with their place; a task gives each class once per run of classes."""
+    """g, h, n: the prefix shingles of every set, with its name and size; a task gives each class once per RUN_CLASSES."""
     keys = np.array(sorted(heavy), np.int64)
     order = docs.sparkSession.sparkContext.broadcast((keys, np.array([heavy[k] for k in keys.tolist()], np.int8)))
+    small_batches(docs.sparkSession)
 
     def run(batches):
         seen: set[bytes] = set()
         for batch in batches:
-            g, cls, n, i = [], [], [], []
+            g, h, n = [], [], []
             for raw in binary_list(batch.column("text")):
                 x = shingles(raw)
                 key = signature(x)
                 if len(x) and key not in seen:
                     seen.add(key)
-                    p = prefix_length(len(x))
-                    g.append(_ordered(x, *order.value)[:p])
-                    cls.extend([key] * p)
-                    n.extend([len(x)] * p)
-                    i.extend(range(p))
-            if len(seen) > 1 << 18:
+                    g.append(prefix(x, *order.value))
+                    h.append(np.full(len(g[-1]), name(key)))
+                    n.append(np.full(len(g[-1]), len(x), np.int32))
+            if len(seen) > RUN_CLASSES:
                 seen.clear()
             if g:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(g)), pa.array(cls, pa.binary()), pa.array(n, pa.int32()),
-                                                  pa.array(i, pa.int32())], names=["g", "cls", "n", "i"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (g, h, n)], names=["g", "h", "n"])
 
-    return _slim(docs).select("text").mapInArrow(run, "g long, cls binary, n int, i int")
+    return _slim(docs).select("text").mapInArrow(run, "g long, h long, n int")
 
 
 def enough(overlap, n_a, n_b):
@@ -173,19 +182,31 @@ def enough(overlap, n_a, n_b):
     return (DENOMINATOR + NUMERATOR) * overlap >= NUMERATOR * (n_a + n_b)
 
 
-def small_pairs(members: DataFrame) -> DataFrame:
-    """a, b, n_a, n_b: distinct candidate pairs of the buckets of at most SMALL classes.  ``members``: g, cls, n, i."""
-    lists = members.groupBy("g").agg(F.sort_array(F.collect_set(F.struct("cls", "n", "i"))).alias("m"))
-    first = lists.select(F.posexplode("m").alias("k", "x"), "m").select("x", F.explode(F.expr("slice(m, k + 2, size(m))")).alias("y"))
-    left = F.lit(1) + F.least(F.col("x.n") - F.col("x.i"), F.col("y.n") - F.col("y.i")) - 1
-    near = first.where((F.col("x.cls") != F.col("y.cls")) & enough(left, F.col("x.n"), F.col("y.n")))
-    return near.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b")).distinct()
-
+def small_pairs(small: DataFrame, large: DataFrame) -> DataFrame:
+    """a, b, n_a, n_b: pairs of the small buckets whose shared prefix shingles leave a link possible.
 
-def class_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, heavy: dict[int, int]) -> DataFrame:
-    """cls, set (in hash order) of the classes in ``wanted`` (cls), from the text of one document of each."""
-    rep = classes.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    texts = _slim(docs).join(rep.select("doc_id").where("doc_id IS NOT NULL").distinct(), "doc_id", "left_semi")
+    ``small`` and ``large``: g, h, n.  A pair's common shingles are those its small buckets show, at most as many as either
+    has in large buckets, and those behind the prefix of one of the two.
+    """
+    lists = small.groupBy("g").agg(F.sort_array(F.collect_set(F.struct("h", "n"))).alias("m"))
+    first = lists.select(F.posexplode("m").alias("k", "x"), "m").select("x", F.explode(F.expr("slice(m, k + 2, size(m))")).alias("y"))
+    pairs = first.where(enough(F.least("x.n", "y.n"), F.col("x.n"), F.col("y.n"))).groupBy(
+        F.col("x.h").alias("a"), F.col("y.h").alias("b"), F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b")).agg(F.count("*").alias("shared"))
+    hot = large.groupBy("h", "n").agg(F.count("*").alias("hot"))
+    for side in "ab":
+        pairs = pairs.join(hot.select(F.col("h").alias(side), F.col("n").alias(f"n_{side}"), F.col("hot").alias(f"hot_{side}")),
+                           [side, f"n_{side}"], "left")
+    behind = [F.col(n) - (F.col(n) - F.ceil(NUMERATOR * F.col(n) / DENOMINATOR) + 1) for n in ("n_a", "n_b")]
+    most = F.col("shared") + F.least(F.coalesce("hot_a", F.lit(0)), F.coalesce("hot_b", F.lit(0))) + F.greatest(*behind)
+    return pairs.where(enough(most, F.col("n_a"), F.col("n_b"))).select("a", "b", "n_a", "n_b")
+
+
+def class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """cls, set (in hash order) of the classes in ``wanted`` (cls, doc_id), from the text of one document of each."""
+    ids = wanted.select("doc_id").where("doc_id IS NOT NULL").distinct()
+    if ids.count() <= FEW_IDS:
+        ids = F.broadcast(ids)
+    texts = _slim(docs).join(ids, "doc_id", "left_semi")
     # A class whose documents all have null ids is read among those.
     nameless = _slim(docs).where("doc_id IS NULL")
 
@@ -293,19 +314,24 @@ def block_links(blocks: DataFrame, sets: DataFrame) -> DataFrame:
 
 def similar_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
-    spark = docs.sparkSession
-    classes = staged(document_classes(docs))
-    heavy = frequent(docs)
-    with scratch(spark) as tables:
-        entries = tables.table(postings(docs, heavy), "postings")
-        # A class may come from several tasks: countable by its digest, once.
-        sizes = entries.groupBy("g").agg(F.count("*").alias("m"), F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi")
+    with scratch(docs.sparkSession) as tables:
+        read = tables.table(first_pass(docs), "first")
+        classes = staged(read.where("n_shingles IS NOT NULL").select("doc_id", "n_shingles", "cls", "h"))
+        entries = tables.table(postings(docs, frequent(read.where("g IS NOT NULL").select("g", "df"))), "postings")
+        # A class may come from several tasks: a bucket has two of them at least.
+        sizes = entries.groupBy("g").agg(F.count("*").alias("m"), F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi")
         shared = tables.table(entries.join(sizes.select("g", "m"), "g"), "shared")
-        small, large = shared.where(F.col("m") <= SMALL).drop("m"), shared.where(F.col("m") > SMALL).drop("m", "i").distinct()
-        pairs = tables.table(small_pairs(small), "pairs")
-        wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(large.select("cls")).distinct()
-        sets = tables.table(class_sets(docs, classes, wanted, heavy), "sets")
-        links = staged(pair_links(pairs, sets).union(block_links(block_rows(large), sets)))
+        small, large = shared.where(F.col("m") <= SMALL).drop("m"), shared.where(F.col("m") > SMALL).drop("m").distinct()
+        found = tables.table(small_pairs(small, large), "pairs")
+        named = tables.table(classes.where("cls IS NOT NULL").groupBy("cls").agg(
+            F.first("h").alias("h"), F.first("n_shingles").cast("int").alias("n"), F.min("doc_id").alias("doc_id")), "named")
+        back = named.select("h", "n", "cls")
+        pairs = found.join(back.toDF("a", "n_a", "cls_a"), ["a", "n_a"]).join(back.toDF("b", "n_b", "cls_b"), ["b", "n_b"])
+        pairs = tables.table(pairs.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"), "n_a", "n_b"), "named_pairs")
+        members = tables.table(large.join(back, ["h", "n"]).select("g", "cls", "n"), "members")
+        wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(members.select("cls")).distinct()
+        sets = tables.table(class_sets(docs, named.join(wanted, "cls", "left_semi").select("cls", "doc_id")), "sets")
+        links = staged(pair_links(pairs, sets).union(block_links(block_rows(members), sets)))
     components = connected_components(links)
     named = classes.join(components, classes.cls == components.node, "left").withColumn("root", F.coalesce("component", "cls")).select(
         "doc_id", "n_shingles", "root")
