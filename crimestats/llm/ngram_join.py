@@ -2,9 +2,9 @@
 
 1. Every text becomes its set of distinct shingles (64-bit hashes).  Texts with equal sets are one class, named by a 128-bit
    digest of the set; all later work is on classes.
-2. The global order: by frequency class, rarest first, then by hash.  Shingles that are frequent within single tasks
-   are counted over all tasks; the most frequent HEAVY of them get their class, all others class 0.  Any one order gives the
-   same result; this one keeps the prefixes of different documents apart.
+2. The global order: by a count, rarest first, then by hash.  The count is a sketch's: all shingles of all classes are counted
+   in COUNTERS counters by hash, summed over the tasks.  Any one order gives the same result; this one keeps the prefixes of
+   different documents apart, as a frequent shingle's counter is high.
 3. A pair that links shares a shingle of both sets' prefixes (the first n - ceil(0.9 n) + 1 of n in the order).  Prefix
    shingles of one class only are dropped; the others are buckets.
 4. Buckets of up to SMALL classes give candidate pairs with the number of prefix shingles they share.  Common shingles outside
@@ -26,10 +26,12 @@ gives an empty result.  Other columns are ignored (``one_per_group``: kept).
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -38,13 +40,12 @@ from crimestats.llm.common import binary_list, connected_components, map_batches
 #: Production parameters.
 N = 3
 NUMERATOR, DENOMINATOR = 90, 100
-#: Largest number of shingles with a frequency class (16 bytes each in a broadcast); rarer ones share class 0.
-HEAVY = 1 << 17
-#: A shingle is counted globally if a task meets it in LOCAL_DF sets of a run, and is heavy from HEAVY_DF on.
-LOCAL_DF, HEAVY_DF = 2, 16
+#: Counters of the sketch behind the order (a broadcast of 4 to 8 MB, whatever the input), rows that a task sends them in, and
+#: groups of tasks whose counters are summed first.
+COUNTERS, CHUNKS, TASK_GROUPS = 1 << 20, 16, 32
 SMALL = 24
-#: Shingles and classes that a task holds before it gives counts out or forgets classes.
-RUN_SHINGLES, RUN_CLASSES = 1 << 21, 1 << 18
+#: Classes that a task remembers, so as to give each once, before it forgets them.
+RUN_CLASSES = 1 << 18
 #: Ids up to which the documents to read again are broadcast (8 bytes each); more are joined by a shuffle.
 FEW_IDS = 500_000
 BLOCK, BLOCK_SHINGLES = 256, 1 << 20
@@ -84,10 +85,10 @@ def name(digest: bytes) -> int:
 
 def first_pass(docs: DataFrame) -> DataFrame:
     """Two kinds of rows from one reading of the texts: doc_id, n_shingles, cls (digest of the set; null if it is empty) and h
-    (its short name) of every document, and g, df: shingles that a task met at least LOCAL_DF times, once per class.
+    (its short name) of every document, and task, chunk, counts: a task's counters, compressed, in CHUNKS rows.
     """
     small_batches(docs.sparkSession)
-    schema = T.StructType.fromDDL("doc_id long, n_shingles long, cls binary, h long, g long, df long")
+    schema = T.StructType.fromDDL("doc_id long, n_shingles long, cls binary, h long, task int, chunk int, counts binary")
     arrow = to_arrow_schema(schema)
 
     def rows(n, **columns):
@@ -96,65 +97,65 @@ def first_pass(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         seen: set[bytes] = set()
-        held, size = [], 0
-
-        def counts():
-            values, df = np.unique(np.concatenate(held), return_counts=True)
-            keep = df >= LOCAL_DF
-            return rows(int(keep.sum()), g=values[keep], df=df[keep])
-
+        counters = np.zeros(COUNTERS, np.uint32)
         for batch in batches:
             sets = [shingles(x) for x in binary_list(batch.column("text"))]
             keys = [signature(x) if len(x) else None for x in sets]
             yield rows(len(sets), doc_id=batch.column("doc_id"), n_shingles=[len(x) for x in sets], cls=keys,
                        h=[None if k is None else name(k) for k in keys])
-            for x, key in zip(sets, keys):
-                if key and key not in seen:
-                    seen.add(key)
-                    held.append(x)
-                    size += len(x)
-            if size >= RUN_SHINGLES:
-                yield counts()
-                held.clear()
-                size = 0
+            new = {k: x for k, x in zip(keys, sets) if k and k not in seen}
+            seen.update(new)
+            if new:
+                values, n = np.unique(np.concatenate(list(new.values())) & (COUNTERS - 1), return_counts=True)
+                counters[values] += n.astype(np.uint32)
             if len(seen) > RUN_CLASSES:
                 seen.clear()
-        if held:
-            yield counts()
+        if counters.any():
+            parts = np.split(counters, CHUNKS)
+            yield rows(CHUNKS, task=[TaskContext.get().partitionId()] * CHUNKS, chunk=list(range(CHUNKS)), counts=[pack(x) for x in parts])
 
     return _slim(docs).mapInArrow(run, schema)
 
 
+def pack(counters: np.ndarray) -> bytes:
+    small = counters.astype(np.min_scalar_type(int(counters.max(initial=0))))
+    return bytes([small.dtype.itemsize]) + zlib.compress(small.tobytes(), 1)
+
+
+def unpack(blob: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(blob[1:]), f"u{blob[0]}")
+
+
 def _slim(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
-def frequent(counts: DataFrame) -> dict[int, int]:
-    """Frequency class (bits of the count) of the at most HEAVY most frequent shingles; ``counts``: g, df."""
-    total = counts.groupBy("g").agg(F.sum("df").alias("df"))
-    top = total.where(F.col("df") >= HEAVY_DF).orderBy(F.desc("df"), "g").limit(HEAVY)
-    return {r["g"]: int(r["df"]).bit_length() for r in top.collect()}
+def sketch(counts: DataFrame) -> np.ndarray:
+    """The counters summed over all tasks, in two levels; ``counts``: task, chunk, counts.  Its size is fixed."""
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(COUNTERS // CHUNKS, np.uint64)
+        for blob in table.column("counts").to_pylist():
+            total += unpack(blob)
+        return pa.table({"chunk": pa.array([table.column("chunk")[0].as_py()], pa.int32()), "counts": pa.array([pack(total)], pa.binary())})
+
+    once = counts.withColumn("task", F.pmod("task", F.lit(TASK_GROUPS))).groupBy("chunk", "task").applyInArrow(add, "chunk int, counts binary")
+    parts = {r["chunk"]: unpack(r["counts"]) for r in once.groupBy("chunk").applyInArrow(add, "chunk int, counts binary").collect()}
+    empty = np.zeros(COUNTERS // CHUNKS, np.uint8)
+    return np.concatenate([parts.get(k, empty) for k in range(CHUNKS)])
 
 
-def prefix(x: np.ndarray, keys: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """The first shingles of a set in the global order, as many as its prefix has."""
-    p = prefix_length(len(x))
-    if not len(keys):
-        return x[:p]
-    at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
-    c = np.where(keys[at] == x, classes[at], 0)
-    rare = x[c == 0][:p]
-    return rare if len(rare) == p else x[np.lexsort((x, c))][:p]
+def prefix(x: np.ndarray, counters: np.ndarray) -> np.ndarray:
+    """The first shingles of a set (sorted by hash) in the global order, as many as its prefix has."""
+    return x[np.argsort(counters[x & (COUNTERS - 1)], kind="stable")[:prefix_length(len(x))]]
 
 
 def prefix_length(n: int) -> int:
     return n - -(-NUMERATOR * n // DENOMINATOR) + 1
 
 
-def postings(docs: DataFrame, heavy: dict[int, int]) -> DataFrame:
+def postings(docs: DataFrame, counters: np.ndarray) -> DataFrame:
     """g, h, n: the prefix shingles of every set, with its name and size; a task gives each class once per RUN_CLASSES."""
-    keys = np.array(sorted(heavy), np.int64)
-    order = docs.sparkSession.sparkContext.broadcast((keys, np.array([heavy[k] for k in keys.tolist()], np.int8)))
+    order = docs.sparkSession.sparkContext.broadcast(counters)
     small_batches(docs.sparkSession)
 
     def run(batches):
@@ -166,7 +167,7 @@ def postings(docs: DataFrame, heavy: dict[int, int]) -> DataFrame:
                 key = signature(x)
                 if len(x) and key not in seen:
                     seen.add(key)
-                    g.append(prefix(x, *order.value))
+                    g.append(prefix(x, order.value))
                     h.append(np.full(len(g[-1]), name(key)))
                     n.append(np.full(len(g[-1]), len(x), np.int32))
             if len(seen) > RUN_CLASSES:
@@ -317,7 +318,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     with scratch(docs.sparkSession) as tables:
         read = tables.table(first_pass(docs), "first")
         classes = staged(read.where("n_shingles IS NOT NULL").select("doc_id", "n_shingles", "cls", "h"))
-        entries = tables.table(postings(docs, frequent(read.where("g IS NOT NULL").select("g", "df"))), "postings")
+        entries = tables.table(postings(docs, sketch(read.where("chunk IS NOT NULL").select("task", "chunk", "counts"))), "postings")
         # A class may come from several tasks: a bucket has two of them at least.
         sizes = entries.groupBy("g").agg(F.count("*").alias("m"), F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi")
         shared = tables.table(entries.join(sizes.select("g", "m"), "g"), "shared")
