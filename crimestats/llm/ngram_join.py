@@ -43,7 +43,7 @@ NUMERATOR, DENOMINATOR = 90, 100
 #: Counters of the sketch behind the order (a broadcast of 4 to 8 MB, whatever the input), rows that a task sends them in, and
 #: groups of tasks whose counters are summed first.
 COUNTERS, CHUNKS, TASK_GROUPS = 1 << 20, 16, 32
-SMALL = 24
+SMALL = 128
 #: Classes that a task remembers, so as to give each once, before it forgets them.
 RUN_CLASSES = 1 << 18
 #: Ids up to which the documents to read again are broadcast (8 bytes each); more are joined by a shuffle.
