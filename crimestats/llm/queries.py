@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from crimestats.llm import byte_language, chat_format, host_quality, lattice_dedup, ngram_join, sentence_pieces, source_mix, token_counts
+from crimestats.llm import (byte_language, chat_format, host_quality, lattice_dedup, license_scan, maxent_lm, ngram_join,
+                            sentence_pieces, source_mix, token_counts)
 
 MODULES = {
     "op1_host_quality": host_quality,
+    "op2_license_scan": license_scan,
     "op3_language_id": byte_language,
     "op4_ngram_join": ngram_join,
     "op5_chat_format": chat_format,
     "op6_sentence_pieces": sentence_pieces,
+    "op7_maxent_lm": maxent_lm,
     "op8_lattice_dedup": lattice_dedup,
     "op9_token_counts": token_counts,
     "op10_source_mix": source_mix,
