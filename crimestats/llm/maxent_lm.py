@@ -40,7 +40,7 @@ CLASSES = HEAD_CLASSES + TAIL_CLASSES
 HOT, HOT_BYTES, SYMBOLS = 1 << 18, 64, 4096
 #: Hashed weight rows of the two softmaxes.
 ROWS, WORD_ROWS = 1 << 13, 1 << 12
-ROUNDS, RATE, BATCH, SLICE = 2, 0.3, 2048, 8192
+ROUNDS, RATE, BATCH, SLICE = 2, 0.3, 4096, 4096
 ALPHA = 0.1
 TASK_GROUPS = 32
 #: Words that a task counts before it gives the counts out.
@@ -160,7 +160,7 @@ def encode(texts: list, lex: Lexicon, index: dict):
     sizes = np.array([len(t) for t in tokens])
     flat = [w for t in tokens for w in t]
     get = index.get
-    ids = np.fromiter((get(w, -1) for w in flat), np.int64, len(flat))
+    ids = np.array([get(w, -1) for w in flat], np.int64)
     cold = np.flatnonzero(ids < 0)
     cls = lex.cls[np.maximum(ids, 0)]
     cold_words = [flat[i] for i in cold.tolist()]
@@ -186,11 +186,11 @@ def word_rows(one: np.ndarray, two: np.ndarray, cls: np.ndarray) -> np.ndarray:
 
 
 def log_softmax(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    z = weights[rows[:, 0]]
+    z = weights.take(rows[:, 0], axis=0, mode="clip")
     for k in range(1, rows.shape[1]):
-        z = z + weights[rows[:, k]]
+        z += weights.take(rows[:, k], axis=0, mode="clip")
     z -= z.max(1, keepdims=True)
-    z -= np.log(np.exp(z).sum(1, keepdims=True))
+    z -= np.log(np.exp(z) @ np.ones(z.shape[1], np.float32))[:, None]
     return z
 
 
@@ -198,12 +198,16 @@ def _step(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, target: np
     """One AdaGrad step on a batch: the gradient of each used row, summed over the batch."""
     d = np.exp(log_softmax(rows, weights))
     d[np.arange(len(d)), target] -= 1
-    flat = rows.ravel()
-    order = np.argsort(flat, kind="stable")
-    used, first = np.unique(flat[order], return_index=True)
-    g = np.add.reduceat(d[order // rows.shape[1]], first, axis=0)
-    squares[used] += (g * g).mean(1)
-    weights[used] -= RATE * g / np.sqrt(squares[used] + 1.0)[:, None]
+    # Column 0 is the bias: one row for all tokens, or one per class.
+    for column in rows.T.astype(np.uint16):
+        order = np.argsort(column, kind="stable")
+        placed = column[order]
+        first = np.flatnonzero(np.diff(placed, prepend=placed[0] ^ 1))
+        used = placed[first]
+        sums = np.cumsum(d.take(order, axis=0, mode="clip"), axis=0)[np.append(first[1:], len(order)) - 1]
+        g = np.diff(sums, axis=0, prepend=np.zeros((1, d.shape[1]), np.float32))
+        squares[used] += np.einsum("ij,ij->i", g, g) / g.shape[1]
+        weights[used] -= RATE * g / np.sqrt(squares[used] + 1.0)[:, None]
 
 
 def train(docs: DataFrame, lex: Lexicon) -> Model:
