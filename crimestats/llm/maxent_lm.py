@@ -37,7 +37,7 @@ HEAD_CLASSES, CLASS_WORDS, TAIL_CLASSES = 8, 32, 24
 HEAD = HEAD_CLASSES * CLASS_WORDS
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
 #: Words whose counts are broadcast (of at most HOT_BYTES bytes each) and words that the history shows as themselves.
-HOT, HOT_BYTES, SYMBOLS = 1 << 18, 64, 4096
+HOT, HOT_BYTES, SYMBOLS = 1 << 17, 64, 4096
 #: Hashed weight rows of the two softmaxes.
 ROWS, WORD_ROWS = 1 << 13, 1 << 12
 ROUNDS, RATE, BATCH, SLICE = 2, 0.3, 4096, 4096
@@ -107,8 +107,17 @@ class Lexicon:
 
 def lexicon(vocabulary: DataFrame) -> Lexicon:
     """From the word counts: the HOT most frequent short words (a bounded collect) and sums of everything else by class."""
-    short = vocabulary.where((F.length("word") <= HOT_BYTES) & (F.col("word") != F.lit(END)))
-    hot = [(bytes(r["word"]), r["c"]) for r in short.orderBy(F.desc("c"), "word").limit(HOT - 1).collect()]
+    # Words by sixteenths of the count's logarithm: the highest of them that hold fewer than HOT words together are collected.
+    step = F.floor(F.log2("c") * 16).cast("int")
+    short = vocabulary.where((F.length("word") <= HOT_BYTES) & (F.col("word") != F.lit(END)) & (F.col("c") > 0)).withColumn("step", step)
+    room, least = HOT - 1, None
+    for r in sorted(short.groupBy("step").agg(F.count("*").alias("n")).collect(), key=lambda r: -r["step"]):
+        room -= r["n"]
+        if room < 0:
+            break
+        least = r["step"]
+    found = [] if least is None else short.where(F.col("step") >= least).select("word", "c").collect()
+    hot = sorted(((bytes(r["word"]), r["c"]) for r in found), key=lambda x: (-x[1], x[0]))
     total = vocabulary.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.sum(F.when(F.col("word") == F.lit(END), F.col("c"))).alias("ends")).first()
     hot = [(END, total["ends"] or 0), *hot]
     kind = (F.pmod(F.crc32(F.expr("substring(word, -2, 2)")), F.lit(TAIL_CLASSES)) + HEAD_CLASSES).cast("int")
