@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from crimestats.llm.common import binary_list, map_batches, with_columns
+from crimestats.llm.common import binary_list, bounded_sample, map_batches, with_columns
 
 #: Production parameters.  At most SAMPLE documents and WINDOWS windows of each are learned from.
 WINDOW = 256
@@ -164,16 +164,16 @@ class ByteNet:
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
-    """text and lang of the labelled documents outside the held-out fold."""
+    """doc_id, text and lang of the labelled documents outside the held-out fold."""
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(FOLDS))
     return docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold != HELD_OUT)).select(
-        F.col("text").cast("string"), F.col("lang").cast("string"))
+        "doc_id", F.col("text").cast("string"), F.col("lang").cast("string"))
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> ByteNet:
-    """A network fitted to at most ``sample`` texts, those with the smallest digest of (text, lang), WINDOWS windows of each."""
+    """A network fitted to at most ``sample`` texts, those with the smallest hash of doc_id, WINDOWS windows of each."""
     pieces = [F.expr(f"substring(text, 1 + int(length(text) * {k} / {WINDOWS}), {WINDOW})") for k in range(WINDOWS)]
-    rows = docs.orderBy(F.xxhash64("text", "lang"), "lang").limit(sample).select(F.array(*pieces).alias("pieces"), "lang").collect()
+    rows = bounded_sample(docs.select("doc_id", F.array(*pieces).alias("pieces"), "lang"), "doc_id", sample)
     languages = sorted({r["lang"] for r in rows})
     net = ByteNet(languages)
     raw = [(p.encode()[:WINDOW], languages.index(r["lang"])) for r in rows for p in r["pieces"] if len(p) >= 16]

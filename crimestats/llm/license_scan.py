@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from crimestats.llm.common import binary_list, map_batches
+from crimestats.llm.common import binary_list, bounded_sample, map_batches
 
 #: Production parameters.  SAMPLE documents and SAMPLE_CHARS characters of each serve as background.
 WINDOW, STRIDE = 48, 24
@@ -174,10 +174,10 @@ class LicenseModel:
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> LicenseModel:
-    """A model whose background are ``sample`` texts (those with the smallest digests), a piece from the middle of each."""
+    """A model whose background are ``sample`` texts (those with the smallest hashes of doc_id), a piece from the middle of each."""
     text = F.col("text").cast("string")
     piece = F.substr(text, F.lit(1) + F.floor(F.length(text) / 3).cast("int"), F.lit(SAMPLE_CHARS)).alias("piece")
-    rows = docs.where(text.isNotNull()).orderBy(F.xxhash64(text)).limit(sample).select(piece).collect()
+    rows = bounded_sample(docs.where(text.isNotNull()).select("doc_id", piece), "doc_id", sample)
     background = [w for w in (tokens(r["piece"].encode()) for r in rows) if len(w) >= 8 and not {b"license", b"licensed", b"licence"} & set(w)]
     return LicenseModel(background)
 
