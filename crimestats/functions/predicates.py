@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -41,26 +41,35 @@ class Period:
 @dataclass(frozen=True)
 class ReportingPeriods:
     """Several reports in one run: each row is labelled with the period that
-    contains its timestamp (periods must not overlap).  Incident-level counts,
-    situations, circumstances and ranks are then computed per label, exactly
-    as separate single-period runs would."""
+    contains its timestamp.  Incident-level counts, situations, circumstances
+    and ranks are then computed per label, exactly as separate single-period
+    runs would, and the report carries ``REPORT_PERIOD``, for one period as for
+    many.  An empty list, a repeated label and periods that overlap (a row
+    would belong to two reports) raise ``ValueError``."""
 
     periods: tuple[tuple[str, Period], ...]
+    labelled: bool = True
+
+    def __post_init__(self) -> None:
+        if not self.periods:
+            raise ValueError("no reporting period is given")
+        if len({name for name, _ in self.periods}) < len(self.periods):
+            raise ValueError("reporting periods need different labels")
+        ordered = sorted(self.periods, key=lambda p: (p[1].start, p[1].end))
+        for (a, before), (b, after) in zip(ordered, ordered[1:]):
+            if after.start < before.end:
+                raise ValueError(f"reporting periods {a!r} and {b!r} overlap: run one report for each")
 
     @staticmethod
     def of(period: Period | ReportingPeriods) -> ReportingPeriods:
         if isinstance(period, ReportingPeriods):
             return period
-        return ReportingPeriods(((period.start.strftime("%Y-%m-%d"), period),))
+        return ReportingPeriods(((period.start.strftime("%Y-%m-%d"), period),), labelled=False)
 
     @staticmethod
     def calendar_years(first: int, last: int) -> ReportingPeriods:
         return ReportingPeriods(tuple((str(y), Period.calendar_year(y)) for y in range(first, last + 1)))
 
-    @property
-    def multi(self) -> bool:
-        return len(self.periods) > 1
-
     def covering(self) -> Period:
         return Period(min(p.start for _, p in self.periods), max(p.end for _, p in self.periods))
 
@@ -126,10 +135,7 @@ def not_like_any(cols: list[Column], patterns: list[str]) -> Column:
     return reduce(or_, [~c.like(p) for c in cols for p in patterns])
 
 
-def all_of(*conds: Column) -> Column:
-    return reduce(and_, conds)
-
-
-def text_of_number(col: Column) -> Column:
-    """G14 helper: the number as the database prints it (no padding)."""
-    return col.cast("string")
+def number_text(number: Column, width: int) -> Column:
+    """A date part as zero-padded text.  Parts of a zone-free timestamp are
+    taken from the value itself, so no session time zone moves them."""
+    return F.lpad(number.cast("string"), width, "0")

@@ -29,7 +29,6 @@ from crimestats.operators.relational import nulls_last_key
 
 # One bucket is ranked by one task: keep it far below a task's memory.
 KEYS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 256
 SAMPLES_PER_BUCKET = 20
 SAMPLE_SEED = 20160101
 
@@ -93,7 +92,7 @@ def _boundaries(keys: DataFrame, cols: list[str], n_keys: int, n_buckets: int) -
 def estimate_distinct(df: DataFrame, key_sets: dict[str, list[str]]) -> dict[str, int]:
     """Approximate distinct counts of several key sets in one aggregate job
     (HyperLogLog, ~2% error), enough to size the rank buckets."""
-    aggs = [F.approx_count_distinct(F.struct(*(F.col(c) for c in cols))).alias(name)
+    aggs = [F.approx_count_distinct(F.struct(*(F.col(c) for c in cols)), rsd=0.02).alias(name)
             for name, cols in key_sets.items()]
     row = df.agg(*aggs).collect()[0]
     return {name: int(row[name]) for name in key_sets}
@@ -116,7 +115,7 @@ def distinct_dense_rank(df: DataFrame, order: list[str], partition: list[str] |
 
     if n_keys is None:
         n_keys = keys.count()
-    n_buckets = max(1, min(MAX_BUCKETS, math.ceil(n_keys / keys_per_bucket)))
+    n_buckets = max(1, math.ceil(n_keys / keys_per_bucket))
     bounds = _boundaries(keys, cols, n_keys, n_buckets) if n_buckets > 1 else []
 
     # Bucket = number of boundaries at or below the key (boundaries ascend).
@@ -133,7 +132,7 @@ def distinct_dense_rank(df: DataFrame, order: list[str], partition: list[str] |
         return ranked.select(*cols, F.col("_local").alias(rank_col))
 
     if not partition:
-        # Offset of a bucket = keys in all earlier buckets (at most MAX_BUCKETS rows).
+        # Offset of a bucket = keys in all earlier buckets (one row per bucket).
         sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
         offsets = sizes.select(
             "_bucket",
@@ -143,8 +142,8 @@ def distinct_dense_rank(df: DataFrame, order: list[str], partition: list[str] |
         return out.select(*cols, (F.col("_local") + F.coalesce(F.col("_off"), F.lit(0))).cast("long").alias(rank_col))
 
     # Partitioned: only a partition value that appears in a boundary key can
-    # straddle buckets, so offsets exist for at most MAX_BUCKETS partition
-    # values; everything else starts at 1 inside its bucket.
+    # straddle buckets, so offsets exist for at most one partition value per
+    # boundary; everything else starts at 1 inside its bucket.
     parts = sorted({tuple(b[2 * i + 1] for i in range(len(partition))) for b in bounds}, key=repr)
     values = ", ".join("(" + ", ".join(_sql_literal(v, dtypes[p]) for v, p in zip(row, partition)) + ")"
                        for row in parts)

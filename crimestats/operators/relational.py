@@ -64,16 +64,15 @@ def not_in_subquery(df: DataFrame, other: DataFrame, left_key: str, right_key: s
     """``left_key NOT IN (SELECT right_key FROM other)`` with SQL NULL logic.
 
     A NULL in the subquery empties the result; a NULL left key survives only an
-    empty subquery.  Both facts are uncorrelated EXISTS subqueries, evaluated
-    once; the bulk of the work is a shuffle anti join on distinct keys, which
-    scales where the null-aware broadcast form would not.
+    empty subquery.  Both facts are one aggregate row over the distinct keys
+    that the anti join reads too; the join compares null-safely, which changes
+    nothing (a NULL key empties the result anyway) but keeps both readers on
+    the same plan, so the exchange of the keys is built once and reused.
     """
-    other_keys = other.select(F.col(right_key).alias("_not_in_key"))
-    has_null = other_keys.where(F.col("_not_in_key").isNull()).exists()
-    non_empty = other_keys.exists()
-    distinct_keys = other_keys.where(F.col("_not_in_key").isNotNull()).distinct()
-    kept = df.join(distinct_keys, F.col(left_key) == F.col("_not_in_key"), "left_anti")
-    return kept.where(~has_null & (F.col(left_key).isNotNull() | ~non_empty))
+    keys = other.select(F.col(right_key).alias("_not_in_key")).distinct()
+    facts = keys.agg(F.struct(F.count("*").alias("n"), F.count("_not_in_key").alias("k")).alias("f")).scalar()
+    kept = df.join(keys, F.col(left_key).eqNullSafe(F.col("_not_in_key")), "left_anti")
+    return kept.where((facts["n"] == facts["k"]) & (F.col(left_key).isNotNull() | (facts["n"] == 0)))
 
 
 def left_join_splittable(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

@@ -38,6 +38,7 @@ from crimestats.functions.predicates import (
     Period,
     ReportingPeriods,
     in_period,
+    number_text,
     numeric_between,
     prefix_not_in,
 )
@@ -103,7 +104,7 @@ def homicide_scope(tables: CrimeTables, period: Period | ReportingPeriods = DEFA
     if active:
         cond = cond & (F.col("ACTIVE_I") == "Y")
     scoped = hom.where(cond).withColumn(PERIOD_COL, label)
-    return scoped.where(F.col(PERIOD_COL).isNotNull()) if periods.multi else scoped
+    return scoped.where(F.col(PERIOD_COL).isNotNull()) if periods.labelled else scoped
 
 
 # ---------------------------------------------------------------- H1, H2 weapons
@@ -131,6 +132,15 @@ def lethal_weapon(weapons: DataFrame) -> DataFrame:
                         ["HOMICIDE_NO", "INJURY_DESCR", "WEAPON_TYPE", "WEAPON_NAME"])
 
 
+def homicide_weapon(tables: CrimeTables, scope: DataFrame) -> DataFrame:
+    """H2 on the report's path: weapons are first reduced to the smallest id per
+    (homicide, type, name), combined before the shuffle, so a homicide with very
+    many weapon rows reaches the join as few rows.  The code depends on type,
+    name and injury only, so the result is the one of all weapon rows."""
+    few = tables.weapons.groupBy("HOM_HOMICIDE_ID", "WEAPON_TYPE", "WEAPON_NAME").agg(F.min("ID").alias("ID"))
+    return lethal_weapon(weapon_codes(replace(tables, weapons=few), scope))
+
+
 # --------------------------------------------------------- H3, H4 situation
 def _offender_pairs(tables: CrimeTables, scope: DataFrame) -> DataFrame:
     """(REPORT_PERIOD, RD_NO, HOMICIDE_NO, HOFFID) of every offender of a
@@ -210,7 +220,7 @@ def circumstance_codes(tables: CrimeTables, period: Period | ReportingPeriods =
         & prefix_not_in(F.col("HOMICIDE_NO"), C.HOMICIDE_EXCLUDED_CLASSES)
         & numeric_between(F.col("CURR_DISTRICT"), districts.lo, districts.hi)
     ).withColumn(PERIOD_COL, label)
-    if periods.multi:
+    if periods.labelled:
         scoped = scoped.where(F.col(PERIOD_COL).isNotNull())
     return scoped.select(PERIOD_COL, "RD_NO", "DEATH_CAUSE_CD", "VICTIM_AGE",
                          R.circumstance_code("DEATH_CAUSE_CD", "VICTIM_AGE").alias("CIRCUMSTANCECODE"))
@@ -279,7 +289,7 @@ def homicide_master(tables: CrimeTables, period: Period | ReportingPeriods = DEF
     rows = _join_rank(rows, homicide_ranks, [p, "RD_NO", "HOMICIDE_NO"]).withColumnRenamed("VIC_NO", "VICCNT")
     rows = _join_rank(rows, ranks["off_no"], [p, "HOMICIDE_NO", "HOFFID"]).withColumnRenamed("OFF_RANK", "OFFCNT")
 
-    weapon = lethal_weapon(weapon_codes(tables, scope)).select(
+    weapon = homicide_weapon(tables, scope).select(
         F.col("HOM_HOMICIDE_ID"), "WEAPID", "WEAPON_TYPE", "WEAPON_NAME", F.col("HIERARCHY").alias("WEAPONCD"))
     rows = rows.join(weapon, rows["ID"] == weapon["HOM_HOMICIDE_ID"], "left")
 
@@ -292,9 +302,9 @@ def homicide_master(tables: CrimeTables, period: Period | ReportingPeriods = DEF
 
     shown = R.offender_shown("SITCODE", "LAST_NME")
     master = rows.select(
-        F.date_format("INJURY_DATE", "MM").alias("MNTH"),
-        F.date_format("INJURY_DATE", "yyyy").alias("YR"),
-        F.date_format("INJURY_DATE", "HHmm").alias("TIMEMIL"),
+        number_text(F.month("INJURY_DATE"), 2).alias("MNTH"),
+        number_text(F.year("INJURY_DATE"), 4).alias("YR"),
+        F.concat(number_text(F.hour("INJURY_DATE"), 2), number_text(F.minute("INJURY_DATE"), 2)).alias("TIMEMIL"),
         "WEAPID",
         R.homicide_type("HOMICIDE_NO").alias("HOMTYPECD"),
         "CLEARED_I",
@@ -378,10 +388,10 @@ def homicide_report(tables: CrimeTables, period: Period | ReportingPeriods = DEF
     scope = homicide_scope(tables, periods, districts)
     ranks = report_ranks(tables, scope)
     master = homicide_master(tables, periods, districts, ranks, distinct=False)
-    cols = ([PERIOD_COL] if periods.multi else []) + list(SHR_COLUMNS)
+    cols = ([PERIOD_COL] if periods.labelled else []) + list(SHR_COLUMNS)
     report = homicide_adjusted(master, distinct=False).select(*(F.col(f"`{c}`") for c in cols)).distinct()
     if ordered:
-        report = report.orderBy(*([F.col(PERIOD_COL)] if periods.multi else []),
+        report = report.orderBy(*([F.col(PERIOD_COL)] if periods.labelled else []),
                                 F.col("`CASE#_TYPE2`").asc_nulls_last(), F.col("`VIC#`").asc_nulls_last(),
                                 F.col("`OFF#`").asc_nulls_last())
     return report

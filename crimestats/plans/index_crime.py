@@ -29,6 +29,7 @@ from crimestats.functions.predicates import (
     DistrictRange,
     Period,
     in_period,
+    number_text,
     numeric_between,
     prefix_not_in,
 )
@@ -154,7 +155,7 @@ def homicide_records(tables: CrimeTables, period: Period = DEFAULT_PERIOD,
     )
     return scoped.select(
         F.col("ID"), F.col("RD_NO").alias("RD"), F.lit(1).alias("NO_ID"), F.lit(C.HOMICIDE_CODE).alias("FBI_CD"),
-        F.date_format("INJURY_DATE", "MM").alias("MONTH"), F.date_format("INJURY_DATE", "yyyy").alias("YEAR"),
+        number_text(F.month("INJURY_DATE"), 2).alias("MONTH"), number_text(F.year("INJURY_DATE"), 4).alias("YEAR"),
     )
 
 
@@ -252,7 +253,16 @@ def incident_records_single_pass(cb: DataFrame, tables: CrimeTables) -> DataFram
     ])
     codes_expr = F.expr(f"array_distinct(array_compact(array({candidates})))")
     exploded = x.select("ID", "RD", "MONTH", "YEAR", F.explode(codes_expr).alias("FBI_CD"))
-    return _record(exploded, 1, F.col("FBI_CD"))
+    records = _record(exploded, 1, F.col("FBI_CD"))
+    # A larceny case without an id stays only if no case at all is overridden
+    # (NOT IN).  Such cases are looked for first: the filter on a null id is
+    # pushed to the scan, which skips row groups without one.
+    nameless = cb.where(F.col("ID").isNull()).where(F.expr(larceny))
+    if nameless.isEmpty():
+        return records
+    overridden = x.where(F.expr(f"{larceny} AND {mvt}")).select(F.lit(1).alias("_one")).limit(1)
+    left = nameless.withColumn("_one", F.lit(1)).join(overridden, "_one", "left_anti")
+    return records.unionByName(_record(left, 1, C.LARCENY_CODE).distinct())
 
 
 # ------------------------------------------------------------------ records

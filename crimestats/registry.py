@@ -90,9 +90,14 @@ def _scope(t: CrimeTables) -> DataFrame:
     return H.homicide_scope(t, P, D)
 
 
-def _master(t: CrimeTables) -> DataFrame:
+def _master(t: CrimeTables, distinct: bool = True) -> DataFrame:
     t = H.with_materialized_homicides(t, P, D)
-    return H.homicide_master(t, P, D).drop(H.PERIOD_COL)
+    return H.homicide_master(t, P, D, distinct=distinct).drop(H.PERIOD_COL)
+
+
+def _master_rows(t: CrimeTables) -> DataFrame:
+    """Master rows for queries that take a DISTINCT of a few columns themselves."""
+    return _master(t, distinct=False)
 
 
 def _adjusted(t: CrimeTables) -> DataFrame:
@@ -111,17 +116,17 @@ HOMICIDE_QUERIES: dict[str, Callable[[CrimeTables], DataFrame]] = {
         "ID", "RD_NO", "HOMICIDE_NO", F.date_format("INJURY_DATE", "yyyy-MM-dd HH:mm:ss").alias("INJURY_TS"),
         "CLEARED_I", "INJURY_DESCR"),
     "shr_weapon_codes": lambda t: H.weapon_codes(t, _scope(t), keep_unarmed=True),
-    "shr_weapon_top1": lambda t: H.lethal_weapon(H.weapon_codes(t, _scope(t))),
+    "shr_weapon_top1": lambda t: H.homicide_weapon(t, _scope(t)),
     "shr_party_counts": lambda t: H.party_counts(t, _scope(t)).drop(H.PERIOD_COL),
     "shr_situation": lambda t: H.situation_codes(H.party_counts(t, _scope(t))).drop(H.PERIOD_COL),
     "shr_circumstance": lambda t: H.circumstance_codes(t, P, D).drop(H.PERIOD_COL),
     "shr_master": _master,
-    "shr_ccode": _project(_master, ["RD_NO", "HOMICIDE_NO", "CCODE"]),
-    "shr_ages": _project(_master, ["HOMICIDE_NO", "VICTIM_AGE", "VICAGE", "HOFFID", "AGE", "OFFAGE"]),
-    "shr_victim_demo": _project(_master, ["HOMICIDE_NO", "VICSEX", "VICRACE", "VICETHNICITY"]),
-    "shr_offender_demo": _project(_master, ["HOMICIDE_NO", "HOFFID", "SITUATIONCD", "OFFSEX", "OFFRACE",
+    "shr_ccode": _project(_master_rows, ["RD_NO", "HOMICIDE_NO", "CCODE"]),
+    "shr_ages": _project(_master_rows, ["HOMICIDE_NO", "VICTIM_AGE", "VICAGE", "HOFFID", "AGE", "OFFAGE"]),
+    "shr_victim_demo": _project(_master_rows, ["HOMICIDE_NO", "VICSEX", "VICRACE", "VICETHNICITY"]),
+    "shr_offender_demo": _project(_master_rows, ["HOMICIDE_NO", "HOFFID", "SITUATIONCD", "OFFSEX", "OFFRACE",
                                             "OFFETHNICITY"]),
-    "shr_relationship": _project(_master, ["HOMICIDE_NO", "SITUATIONCD", "RELATIONCD"]),
+    "shr_relationship": _project(_master_rows, ["HOMICIDE_NO", "SITUATIONCD", "RELATIONCD"]),
     "shr_adjusted": _adjusted,
     "shr_v_count": _project(_adjusted, ["CASE#_TYPE2", "V_COUNT"]),
     "shr_vic_no": _project(_adjusted, ["CASE#_TYPE1", "CASE#_TYPE2", "VIC#"]),
@@ -164,13 +169,13 @@ def _op_top1(t: CrimeTables) -> DataFrame:
 def _op_distinct_over(t: CrimeTables) -> DataFrame:
     off = t.offenders.select(F.col("HOM_HOMICIDE_ID").alias("_OHID"), F.col("ID").alias("HOFFID"))
     hom = t.homicides.select("ID", "RD_NO", "HOMICIDE_NO")
-    rows = hom.join(off, hom["ID"] == off["_OHID"], "left").select("RD_NO", "HOMICIDE_NO", "HOFFID")
+    rows = relational.left_join_splittable(hom, off, "ID", "_OHID").select("RD_NO", "HOMICIDE_NO", "HOFFID")
     return relational.count_distinct_over(rows, "RD_NO", {"VICTOTAL": "HOMICIDE_NO", "OFFENDERS": "HOFFID"})
 
 
 def _op_dense_rank(t: CrimeTables) -> DataFrame:
     return ranking.with_dense_rank(t.victims.select("CASE_ID", "NO_ID", "VFBI_CD"), ["NO_ID"], ["CASE_ID"],
-                                   rank_col="NO_RANK")
+                                   rank_col="NO_RANK", keys_per_bucket=OP_RANK_KEYS_PER_BUCKET)
 
 
 # Small enough that the fixture scales exercise several range buckets.
@@ -183,7 +188,6 @@ def _op_global_dense_rank(t: CrimeTables) -> DataFrame:
 
 
 def _op_code_map(t: CrimeTables) -> DataFrame:
-    race = F.col("VICTIM_RACE")
     return t.homicides.select(
         "ID", "VICTIM_RACE", R.victim_race("VICTIM_RACE").alias("VICRACE"),
         R.victim_ethnicity("VICTIM_RACE").alias("VICETHNICITY"),
@@ -205,7 +209,7 @@ def _op_text_band(t: CrimeTables) -> DataFrame:
 def _op_swap(t: CrimeTables) -> DataFrame:
     off = t.offenders.select(F.col("HOM_HOMICIDE_ID").alias("_OHID"), F.col("ID").alias("HOFFID"), "SEX", "RACE")
     hom = t.homicides.select("ID", "HOMICIDE_NO", "VICTIM_SEX", "VICTIM_RACE")
-    rows = hom.join(off, hom["ID"] == off["_OHID"], "left")
+    rows = relational.left_join_splittable(hom, off, "ID", "_OHID")
     cls = F.substring("HOMICIDE_NO", 1, 1)
     (vs, os_), (vr, or_) = relational.swap_when(cls == "J", cls != "J", [
         (F.col("VICTIM_SEX"), F.col("SEX")), (F.col("VICTIM_RACE"), F.col("RACE"))])
