@@ -4,8 +4,8 @@ The reference ships no data, so the reports are exercised on relations derived
 from ``orders``, ``lineitem`` and ``customer``: every crime is an order, every
 victim / case code / property row a line item, every homicide a customer.  The
 derivations shape realistic value mixes (NULL RD numbers, period-edge
-timestamps, multi-victim incidents, offenders for roughly one order in seven);
-they are input preparation, not part of any report, and every view covers the
+timestamps, multi-victim incidents, every order an offender and a weapon); they
+are input preparation, not part of any report, and every view covers the
 whole source table it is derived from.
 
 The same expression text runs in Spark SQL and in DuckDB (the oracle); only the
