@@ -15,12 +15,16 @@ from crimestats.plans import homicide as H
 from crimestats.plans import index_crime as I
 from crimestats.sources.fixtures import load_fixture_tables
 
+from crimestats.duckdb_checks import oracle_queries
+from crimestats.registry import all_queries
+
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="test tables not present")
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(all_queries()) == set(oracle_queries())
+    assert set(all_queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_smoke(spark):
@@ -30,7 +34,7 @@ def test_entry_smoke(spark):
 
 
 def test_all_queries_match_oracle(spark):
-    results = compare(spark, SF, verbose=False)
+    results = compare(spark, SF, list(all_queries()), verbose=False)
     bad = {k: r for k, r in results.items()
            if not (r.get("rows_match") and r.get("schema_match") and r.get("hash_match"))}
     assert not bad, bad
