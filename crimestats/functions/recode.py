@@ -17,6 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from crimestats.functions import codes as C
+from crimestats.functions.predicates import like_any, not_like_any
 
 AS_TEXT = object()  # text_band result: the number itself, as text
 
@@ -117,15 +118,13 @@ def circumstance_class(homicide_no: str, last_name: str, first_name: str, circum
     by a citizen '80', involuntary ' ', else the motive's circumstance code.
     The citizen arm is the OR of NOT LIKE tests: true once any name misses any
     pattern (SURVEY T15)."""
-    names = [ident(last_name), ident(first_name)]
-    hit = " OR ".join(f"{n} LIKE {q(p)}" for n in names for p in C.POLICE_NAME_PATTERNS)
-    miss = " OR ".join(f"{n} NOT LIKE {q(p)}" for n in names for p in C.POLICE_NAME_PATTERNS)
-    justified = first_char_in(homicide_no, [C.JUSTIFIED_CLASS])
-    return F.expr(sql_case([
-        (f"{justified} AND ({hit})", q(C.POLICE_CIRCUMSTANCE)),
-        (f"{justified} AND ({miss})", q(C.CITIZEN_CIRCUMSTANCE)),
-        (first_char_in(homicide_no, [C.INVOLUNTARY_CLASS]), q(" ")),
-    ], ident(circumstance)))
+    names = [F.col(ident(last_name)), F.col(ident(first_name))]
+    patterns = list(C.POLICE_NAME_PATTERNS)
+    justified = F.expr(first_char_in(homicide_no, [C.JUSTIFIED_CLASS]))
+    involuntary = F.expr(first_char_in(homicide_no, [C.INVOLUNTARY_CLASS]))
+    return (F.when(justified & like_any(names, patterns), F.lit(C.POLICE_CIRCUMSTANCE))
+            .when(justified & not_like_any(names, patterns), F.lit(C.CITIZEN_CIRCUMSTANCE))
+            .when(involuntary, F.lit(" ")).otherwise(F.col(ident(circumstance))))
 
 
 def victim_age_band(age: str) -> Column:

@@ -119,14 +119,16 @@ def top1_per_key(df: DataFrame, key: str, order: list[str], payload: list[str])
     return grouped.select(key, *(F.col(f"_best.{value_names[c]}").alias(c) for c in order + extra))
 
 
-def count_distinct_per_key(df: DataFrame, key: str, cols: dict[str, str]) -> DataFrame:
-    """G9 (aggregate form): ``{alias: column}`` distinct counts per key, BIGINT.
+def count_distinct_per_key(df: DataFrame, key: str | list[str], cols: dict[str, str]) -> DataFrame:
+    """G9 (aggregate form): ``{alias: column}`` distinct counts per key (one
+    column or several), BIGINT.
 
     Spark cannot evaluate a DISTINCT aggregate as a window (SURVEY T10); the
     grouped form is planned with an expand + two-level aggregate whose first
     shuffle is on (key, value), so a hot key is spread by its values.
     """
-    return df.groupBy(key).agg(*(F.count_distinct(F.col(c)).cast("long").alias(a) for a, c in cols.items()))
+    keys = [key] if isinstance(key, str) else key
+    return df.groupBy(*keys).agg(*(F.count_distinct(F.col(c)).cast("long").alias(a) for a, c in cols.items()))
 
 
 def count_distinct_over(df: DataFrame, key: str, cols: dict[str, str]) -> DataFrame:

@@ -22,6 +22,10 @@ dense ranks (over the whole report, within an incident, within a homicide) are
 computed on distinct keys by range buckets (``operators.ranking``), never in a
 single task.  RD-level joins use distinct (RD, code) pairs, so an incident with
 many homicides does not multiply rows by the number of its motives.
+
+Everything that is per homicide or per incident is attached to the homicides
+first; the offenders come last, joined on (homicide, chunk of its offender
+ranks), so a homicide with most of the offenders is many bounded keys.
 """
 
 from __future__ import annotations
@@ -42,10 +46,10 @@ from crimestats.functions.predicates import (
     numeric_between,
     prefix_not_in,
 )
-from crimestats.operators.ranking import distinct_dense_rank, estimate_distinct
-from crimestats.operators.relational import left_join_splittable, swap_when, top1_per_key
-from crimestats.schemas import SHR_COLUMNS
-from crimestats.session import reliable_checkpoint
+from crimestats.operators.ranking import KEYS_PER_BUCKET, distinct_dense_rank, estimate_distinct
+from crimestats.operators.relational import count_distinct_per_key, swap_when, top1_per_key
+from crimestats.schemas import INPUT_SCHEMAS, SHR_COLUMNS
+from crimestats.session import staged_parquet
 from crimestats.sources.tables import CrimeTables
 
 DEFAULT_PERIOD = Period.calendar_year(2016)
@@ -54,7 +58,10 @@ DEFAULT_DISTRICTS = DistrictRange(1, 25)
 # (counts, situations, circumstances, ranks) includes it, so one run can build
 # the reports of many periods (``ReportingPeriods``) with per-period results.
 PERIOD_COL = "REPORT_PERIOD"
+# Offender ranks that meet one homicide row at one join key.
+OFFENDERS_PER_CHUNK = 100_000
 
+# Fixed column contract of the master.
 MASTER_COLUMNS = [
     "MNTH", "YR", "TIMEMIL", "WEAPID", "HOMTYPECD", "CLEARED_I", "SITUATIONCD", "CCODE", "DEATH_CAUSE_CD",
     "MOTIVE_DESCR", "HOM_HOMICIDE_ID", "INJURY_DESCR", "WEAPON_TYPE", "WEAPON_NAME", "WEAPONCD", "VICCNT",
@@ -85,12 +92,17 @@ def homicide_base(tables: CrimeTables, period: Period | ReportingPeriods = DEFAU
 
 def with_materialized_homicides(tables: CrimeTables, period: Period | ReportingPeriods = DEFAULT_PERIOD,
                                 districts: DistrictRange = DEFAULT_DISTRICTS) -> CrimeTables:
-    """``tables`` with ``homicides`` replaced by the checkpointed
-    ``homicide_base``: the report's ~10 branches then scan the period's
-    homicides once instead of re-reading the table each (the checkpoint lives
-    in ``spark.checkpoint.dir``, so it survives executor loss)."""
-    base = reliable_checkpoint(homicide_base(tables, period, districts))
-    return replace(tables, homicides=base)
+    """``tables`` with ``homicides`` replaced by ``homicide_base`` and
+    ``offenders`` by the offenders of its homicides, both cut to their declared
+    columns and staged as Parquet in ``spark.checkpoint.dir``: the report's
+    branches then read the period's rows and the columns they need, and either
+    table is scanned once."""
+    base = staged_parquet(homicide_base(tables, period, districts).select(*INPUT_SCHEMAS["homicides"].names),
+                          "homicides")
+    off = tables.offenders.select(*INPUT_SCHEMAS["offenders"].names)
+    ids = base.select(F.col("ID").alias("_HID")).distinct()
+    return replace(tables, homicides=base, offenders=staged_parquet(
+        off.join(ids, off["HOM_HOMICIDE_ID"] == ids["_HID"], "left_semi"), "offenders"))
 
 
 def homicide_scope(tables: CrimeTables, period: Period | ReportingPeriods = DEFAULT_PERIOD,
@@ -170,10 +182,9 @@ def party_counts(tables: CrimeTables, scope: DataFrame) -> DataFrame:
     Both counts are one grouped aggregate over the party keys; NULL RD numbers
     form one group, as in a window, so the join back is null-safe."""
     p = PERIOD_COL
-    counts = _party_keys(tables, scope).groupBy(p, "RD_NO").agg(
-        F.count_distinct("HOMICIDE_NO").cast("long").alias("VICTOTAL"),
-        F.count_distinct("HOFFID").cast("long").alias("OFFENDERS"),
-    ).select(F.col(p).alias("_P"), F.col("RD_NO").alias("_RD"), "VICTOTAL", "OFFENDERS")
+    counts = count_distinct_per_key(_party_keys(tables, scope), [p, "RD_NO"],
+                                    {"VICTOTAL": "HOMICIDE_NO", "OFFENDERS": "HOFFID"})
+    counts = counts.select(F.col(p).alias("_P"), F.col("RD_NO").alias("_RD"), "VICTOTAL", "OFFENDERS")
     grain = scope.select(p, "RD_NO", "HOMICIDE_NO", "CLEARED_I").distinct()
     cond = grain["RD_NO"].eqNullSafe(counts["_RD"]) & grain[p].eqNullSafe(counts["_P"])
     joined = grain.join(counts, cond, "inner")
@@ -227,7 +238,8 @@ def circumstance_codes(tables: CrimeTables, period: Period | ReportingPeriods =
 
 
 # ------------------------------------------------------------------ ranks
-def report_ranks(tables: CrimeTables, scope: DataFrame) -> dict[str, DataFrame]:
+def report_ranks(tables: CrimeTables, scope: DataFrame,
+                 keys_per_bucket: int = KEYS_PER_BUCKET) -> dict[str, DataFrame]:
     """The three dense ranks of the report, as key -> rank maps, per period.
 
     V_COUNT: HOMICIDE_NO over the whole report; VIC#: HOMICIDE_NO within RD_NO;
@@ -240,10 +252,9 @@ def report_ranks(tables: CrimeTables, scope: DataFrame) -> dict[str, DataFrame]:
     off_keys = _party_keys(tables, scope)
     sizes = estimate_distinct(off_keys, {"v": [p, "HOMICIDE_NO"], "vic": [p, "RD_NO", "HOMICIDE_NO"],
                                          "off": [p, "HOMICIDE_NO", "HOFFID"]})
-    v_count = distinct_dense_rank(scope, ["HOMICIDE_NO"], [p], rank_col="V_COUNT", n_keys=sizes["v"])
-    vic_no = distinct_dense_rank(scope, ["HOMICIDE_NO"], [p, "RD_NO"], rank_col="VIC_NO", n_keys=sizes["vic"])
-    off_no = distinct_dense_rank(off_keys, ["HOFFID"], [p, "HOMICIDE_NO"], rank_col="OFF_RANK",
-                                 n_keys=sizes["off"])
+    v_count = distinct_dense_rank(scope, ["HOMICIDE_NO"], [p], "V_COUNT", keys_per_bucket, sizes["v"])
+    vic_no = distinct_dense_rank(scope, ["HOMICIDE_NO"], [p, "RD_NO"], "VIC_NO", keys_per_bucket, sizes["vic"])
+    off_no = distinct_dense_rank(off_keys, ["HOFFID"], [p, "HOMICIDE_NO"], "OFF_RANK", keys_per_bucket, sizes["off"])
     return {"v_count": v_count, "vic_no": vic_no, "off_no": off_no}
 
 
@@ -258,6 +269,60 @@ def _join_rank(df: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------------ H6 master
+def _homicide_rows(tables: CrimeTables, scope: DataFrame, ranks: dict[str, DataFrame],
+                   period: Period | ReportingPeriods, districts: DistrictRange) -> DataFrame:
+    """The scope with all that is per homicide or per incident: ranks (``NO_OFF``
+    is the offender rank of a homicide without offenders), lethal weapon, and
+    the distinct (situation, circumstance) pairs of its incident."""
+    p = PERIOD_COL
+    hom = scope.select(
+        "ID", p, "RD_NO", "HOMICIDE_NO", "INJURY_DATE", "CLEARED_I", "DEATH_CAUSE_CD", "MOTIVE_DESCR",
+        "INJURY_DESCR", "VICTIM_LAST_NME", "VICTIM_FIRST_NME", "VICTIM_AGE", "VICTIM_SEX", "VICTIM_RACE",
+        "VICTIM_REL_TO_OFFENDER",
+    )
+    # Ranks are joined on their distinct keys first, so the homicides take one join for them.
+    no_off = ranks["off_no"].where(F.col("HOFFID").isNull()).select(p, "HOMICIDE_NO", F.col("OFF_RANK").alias("NO_OFF"))
+    by_number = _join_rank(ranks["v_count"], no_off, [p, "HOMICIDE_NO"])
+    by_incident = _join_rank(ranks["vic_no"], by_number, [p, "HOMICIDE_NO"])
+    hom = _join_rank(hom, by_incident, [p, "RD_NO", "HOMICIDE_NO"]).withColumnRenamed("VIC_NO", "VICCNT")
+
+    # Every incident of the scope has a situation row, so both code sets meet
+    # on the incidents and the homicides take one join for them too.
+    sit = situation_codes(party_counts(tables, scope)).select(
+        F.col(p).alias("_SP"), F.col("RD_NO").alias("_SRD"), "SITCODE")
+    circ = circumstance_codes(tables, period, districts).select(
+        F.col(p).alias("_CP"), F.col("RD_NO").alias("_CRD"), "CIRCUMSTANCECODE").distinct()
+    incident = sit.join(circ, (sit["_SRD"] == circ["_CRD"]) & (sit["_SP"] == circ["_CP"]), "left")
+    hom = hom.join(incident, (hom["RD_NO"] == incident["_SRD"]) & (hom[p] == incident["_SP"]), "left")
+
+    weapon = homicide_weapon(tables, scope).select(
+        F.col("HOM_HOMICIDE_ID"), "WEAPID", "WEAPON_TYPE", "WEAPON_NAME", F.col("HIERARCHY").alias("WEAPONCD"))
+    return hom.join(weapon, hom["ID"] == weapon["HOM_HOMICIDE_ID"], "left").drop("_SP", "_SRD", "_CP", "_CRD")
+
+
+def _join_offenders(hom: DataFrame, tables: CrimeTables, scope: DataFrame, ranks: dict[str, DataFrame]) -> DataFrame:
+    """``hom LEFT JOIN offenders`` with ``OFFCNT``, on (homicide, chunk).
+
+    A homicide's offenders are cut into chunks of OFFENDERS_PER_CHUNK ranks;
+    the homicide meets the chunks it has (none: its row stays, without
+    offender) and then each chunk's offenders, so no key of the join is larger
+    than a chunk, however many offenders a homicide has."""
+    p = PERIOD_COL
+    off = tables.offenders.select(
+        F.col("HOM_HOMICIDE_ID").alias("_OHID"), F.col("ID").alias("HOFFID"), "LAST_NME", "FIRST_NME", "AGE",
+        "SEX", "RACE",
+    )
+    s = scope.select("ID", p, "HOMICIDE_NO")
+    off = off.join(s, off["_OHID"] == s["ID"], "inner").drop("ID")
+    off = _join_rank(off, ranks["off_no"], [p, "HOMICIDE_NO", "HOFFID"]).drop(p, "HOMICIDE_NO")
+    off = off.withColumn("_CHUNK", F.expr(f"(OFF_RANK - 1) DIV {OFFENDERS_PER_CHUNK}"))
+    chunks = off.select(F.col("_OHID").alias("_KHID"), F.col("_CHUNK").alias("_KCHUNK")).distinct()
+    rows = hom.join(chunks, hom["ID"] == chunks["_KHID"], "left")
+    rows = rows.join(off, (rows["ID"] == off["_OHID"]) & (rows["_KCHUNK"] == off["_CHUNK"]), "left")
+    return rows.withColumn("OFFCNT", F.coalesce("OFF_RANK", "NO_OFF")).drop(
+        "_KHID", "_KCHUNK", "_OHID", "_CHUNK", "OFF_RANK", "NO_OFF")
+
+
 def homicide_master(tables: CrimeTables, period: Period | ReportingPeriods = DEFAULT_PERIOD,
                     districts: DistrictRange = DEFAULT_DISTRICTS, ranks: dict[str, DataFrame] | None = None,
                     distinct: bool = True) -> DataFrame:
@@ -273,33 +338,7 @@ def homicide_master(tables: CrimeTables, period: Period | ReportingPeriods = DEF
     ranks = ranks or report_ranks(tables, scope)
     p = PERIOD_COL
 
-    hom = scope.select(
-        "ID", p, "RD_NO", "HOMICIDE_NO", "INJURY_DATE", "CLEARED_I", "DEATH_CAUSE_CD", "MOTIVE_DESCR",
-        "INJURY_DESCR", "VICTIM_LAST_NME", "VICTIM_FIRST_NME", "VICTIM_AGE", "VICTIM_SEX", "VICTIM_RACE",
-        "VICTIM_REL_TO_OFFENDER",
-    )
-    off = tables.offenders.select(
-        F.col("HOM_HOMICIDE_ID").alias("_OHID"), F.col("ID").alias("HOFFID"), "LAST_NME", "FIRST_NME", "AGE",
-        "SEX", "RACE",
-    )
-    rows = left_join_splittable(hom, off, "ID", "_OHID").drop("_OHID")
-    # Both homicide-level ranks are joined on their distinct keys first, so the
-    # victim x offender rows take one join for them.
-    homicide_ranks = _join_rank(ranks["vic_no"], ranks["v_count"], [p, "HOMICIDE_NO"])
-    rows = _join_rank(rows, homicide_ranks, [p, "RD_NO", "HOMICIDE_NO"]).withColumnRenamed("VIC_NO", "VICCNT")
-    rows = _join_rank(rows, ranks["off_no"], [p, "HOMICIDE_NO", "HOFFID"]).withColumnRenamed("OFF_RANK", "OFFCNT")
-
-    weapon = homicide_weapon(tables, scope).select(
-        F.col("HOM_HOMICIDE_ID"), "WEAPID", "WEAPON_TYPE", "WEAPON_NAME", F.col("HIERARCHY").alias("WEAPONCD"))
-    rows = rows.join(weapon, rows["ID"] == weapon["HOM_HOMICIDE_ID"], "left")
-
-    sit = situation_codes(party_counts(tables, scope)).select(
-        F.col(p).alias("_SP"), F.col("RD_NO").alias("_SRD"), "SITCODE")
-    rows = rows.join(sit, (rows["RD_NO"] == sit["_SRD"]) & (rows[p] == sit["_SP"]), "left")
-    circ = circumstance_codes(tables, period, districts).select(
-        F.col(p).alias("_CP"), F.col("RD_NO").alias("_CRD"), "CIRCUMSTANCECODE").distinct()
-    rows = rows.join(circ, (rows["RD_NO"] == circ["_CRD"]) & (rows[p] == circ["_CP"]), "left")
-
+    rows = _join_offenders(_homicide_rows(tables, scope, ranks, period, districts), tables, scope, ranks)
     shown = R.offender_shown("SITCODE", "LAST_NME")
     master = rows.select(
         number_text(F.month("INJURY_DATE"), 2).alias("MNTH"),
@@ -379,9 +418,9 @@ def homicide_report(tables: CrimeTables, period: Period | ReportingPeriods = DEF
     CASE#_TYPE2, VIC#, OFF# (NULLS LAST).  For several reporting periods the
     rows of each period's report are labelled by a leading ``REPORT_PERIOD``.
 
-    ``materialize`` checkpoints the period's homicides once (needs
-    ``spark.checkpoint.dir`` on a cluster); without it every branch re-reads
-    the homicide table."""
+    ``materialize`` stages the period's homicides and their offenders once
+    (needs ``spark.checkpoint.dir`` on a cluster); without it every branch
+    re-reads the tables."""
     periods = ReportingPeriods.of(period)
     if materialize:
         tables = with_materialized_homicides(tables, periods, districts)

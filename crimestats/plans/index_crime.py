@@ -5,7 +5,7 @@ Two formulations of the record set:
 * ``index_records(..., method="union")`` -- one DataFrame per reporting rule
   (homicides, victim-counted, incident-counted, MVT override, larceny
   remainder, masked arson, burned-property arson) and a set union, the way
-  the rules are stated.  Each rule re-reads ``crimes``.
+  the rules are stated.
 * ``index_records(..., method="single_pass")`` (default, used by the totals) --
   ``case_iucr`` and ``properties`` are read once: the case-level evidence
   (has a motor-vehicle-theft code, an arson code, a criminal-damage code, a
@@ -14,6 +14,9 @@ Two formulations of the record set:
   exploded.  Victim-counted records come from one inner join with
   ``victims`` (so AQE can split a case with a huge number of victims).
 
+In both the case base is staged once as Parquet (``materialize``), so ``crimes``
+is scanned once however many rules read the cases.
+
 Records are the 6-tuple (ID, RD, NO_ID, FBI_CD, MONTH, YEAR) with set semantics.
 Crime MONTH / YEAR are the stored columns; homicide ones come from the injury date.
 """
@@ -41,6 +44,7 @@ from crimestats.operators.relational import (
     union_distinct,
 )
 from crimestats.schemas import INDEX_CODES
+from crimestats.session import staged_parquet
 from crimestats.sources.tables import CrimeTables
 
 DEFAULT_PERIOD = Period.calendar_year(2016)
@@ -267,9 +271,16 @@ def incident_records_single_pass(cb: DataFrame, tables: CrimeTables) -> DataFram
 
 # ------------------------------------------------------------------ records
 def index_records(tables: CrimeTables, period: Period = DEFAULT_PERIOD,
-                  districts: DistrictRange = DEFAULT_DISTRICTS, method: str = "single_pass") -> DataFrame:
-    """The reportable record set (unordered, no duplicates)."""
+                  districts: DistrictRange = DEFAULT_DISTRICTS, method: str = "single_pass",
+                  materialize: bool = True) -> DataFrame:
+    """The reportable record set (unordered, no duplicates).
+
+    ``materialize`` stages the period's cases once (needs
+    ``spark.checkpoint.dir`` on a cluster).  Without it each reader of the
+    cases scans ``crimes``, which on the bucketed layout saves their shuffle."""
     cb = case_base(tables, period, districts)
+    if materialize:
+        cb = staged_parquet(cb, "cases")
     hom = homicide_records(tables, period, districts)
     vic = victim_counted_records(cb, tables)
     if method == "union":

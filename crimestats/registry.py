@@ -38,6 +38,9 @@ FIXTURE_PERIOD = Period.calendar_year(1996)
 FIXTURE_DISTRICTS = DistrictRange(1, 25)
 # Every calendar year the test tables span: one run over the whole tables.
 ALL_YEARS = (1995, 2001)
+# Small enough that the fixture scales exercise several range buckets.
+OP_RANK_KEYS_PER_BUCKET = 4096
+SHR_RANK_KEYS_PER_BUCKET = 1000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,7 +106,7 @@ def _master_rows(t: CrimeTables) -> DataFrame:
 def _adjusted(t: CrimeTables) -> DataFrame:
     t = H.with_materialized_homicides(t, P, D)
     scope = _scope(t)
-    ranks = H.report_ranks(t, scope)
+    ranks = H.report_ranks(t, scope, keys_per_bucket=SHR_RANK_KEYS_PER_BUCKET)
     return H.homicide_adjusted(H.homicide_master(t, P, D, ranks, distinct=False)).drop(H.PERIOD_COL)
 
 
@@ -178,10 +181,6 @@ def _op_dense_rank(t: CrimeTables) -> DataFrame:
                                    rank_col="NO_RANK", keys_per_bucket=OP_RANK_KEYS_PER_BUCKET)
 
 
-# Small enough that the fixture scales exercise several range buckets.
-OP_RANK_KEYS_PER_BUCKET = 4096
-
-
 def _op_global_dense_rank(t: CrimeTables) -> DataFrame:
     return ranking.distinct_dense_rank(t.crimes, ["RD"], rank_col="RD_RANK",
                                        keys_per_bucket=OP_RANK_KEYS_PER_BUCKET)

@@ -157,3 +157,32 @@ def test_off_rank_of_offenderless_row_sharing_a_homicide_number(make_tables):
     ranks = H.report_ranks(t, scope)
     got = {(r.HOMICIDE_NO, r.HOFFID): r.OFF_RANK for r in ranks["off_no"].collect()}
     assert got == {("M000001", 10): 1, ("M000001", 11): 2, ("M000001", None): 3}
+
+
+def test_chunked_offenders_give_the_same_report(make_tables, monkeypatch):
+    """A homicide with most offenders, one without any, two that share a number and an offender listed twice."""
+    homs = [hom(1, "HA"), hom(2, "HA"), hom(3, "HB"), hom(4, "HB") | {"HOMICIDE_NO": "M000003"}, hom(5, None)]
+    offs = [off(100 + i, 1, age=20 + i % 50) for i in range(40)] + [off(100, 1)]
+    offs += [off(200, 3), off(201, 3), off(202, 3), off(300, 4), off(301, 5), off(None, 5, age=33)]
+    t = make_tables(homicides=homs, offenders=offs, weapons=[weap(1, 1, "VEHICLE", "CAR")])
+
+    def rows(**args):
+        return sorted((tuple(r) for r in H.homicide_report(t, P, ordered=False, **args).collect()), key=repr)
+
+    whole = rows()
+    monkeypatch.setattr(H, "OFFENDERS_PER_CHUNK", 2)
+    assert rows() == whole and rows(materialize=False) == whole
+    assert len({r[15] for r in whole if r[3] == "M000001"}) == 40
+    assert [r[15] for r in whole if r[3] == "M000002"] == [1]
+
+
+def test_no_join_key_holds_more_than_a_chunk_of_offenders(make_tables, monkeypatch):
+    """The last join pairs a hot homicide's offenders by chunk, in the plan and in its largest key."""
+    monkeypatch.setattr(H, "OFFENDERS_PER_CHUNK", 10)
+    t = make_tables(homicides=[hom(i, f"H{i}") for i in range(1, 9)],
+                    offenders=[off(i, 1 if i % 3 else 1 + i % 8) for i in range(1, 301)])
+    master = H.homicide_master(t, P, distinct=False)
+    assert "_KCHUNK" in master._jdf.queryExecution().optimizedPlan().toString()
+    sizes = master.groupBy("HOM_HOMICIDE_ID", "HOMICIDE_NO", F.expr("(OFFCNT - 1) DIV 10")).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 10
+    assert master.count() == 300

@@ -36,8 +36,8 @@ def test_bucketed_tables_give_same_reports_without_case_shuffles(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan_flat = I.index_records(flat, p)._jdf.queryExecution().executedPlan().toString()
-        plan_bucketed = I.index_records(bucketed, p)._jdf.queryExecution().executedPlan().toString()
+        plan_flat = I.index_records(flat, p, materialize=False)._jdf.queryExecution().executedPlan().toString()
+        plan_bucketed = I.index_records(bucketed, p, materialize=False)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -58,3 +58,22 @@ def test_parquet_reader_round_trip(spark, tmp_path):
     assert a.collect() == b.collect()
     ra, rb = H.homicide_report(flat, p, ordered=False), H.homicide_report(read, p, ordered=False)
     assert sorted(map(tuple, ra.collect()), key=repr) == sorted(map(tuple, rb.collect()), key=repr)  # T26
+
+
+def test_reports_scan_each_table_once_and_have_the_declared_columns(spark):
+    """Staged: the cases and the period's homicides and offenders are written by one scan each; the plans read those."""
+    from crimestats.schemas import INDEX_RECORD, INDEX_TOTALS, SHR_ROW
+
+    tables = write_bucketed_tables(load_fixture_tables(spark, SF), "crimestats_scan_test", buckets=4)
+    p = Period.calendar_year(1996)
+    for method in ("single_pass", "union"):
+        records = I.index_records(tables, p, method=method)
+        plan = records._jdf.queryExecution().optimizedPlan().toString()
+        assert "crimestats_scan_test.crimes" not in plan
+        assert [(f.name, f.dataType) for f in records.schema] == [(f.name, f.dataType) for f in INDEX_RECORD]
+    totals = I.index_totals(I.index_records(tables, p))
+    assert [(f.name, f.dataType) for f in totals.schema] == [(f.name, f.dataType) for f in INDEX_TOTALS]
+    report = H.homicide_report(tables, p)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert "crimestats_scan_test.homicides" not in plan and "crimestats_scan_test.offenders" not in plan
+    assert [(f.name, f.dataType) for f in report.schema] == [(f.name, f.dataType) for f in SHR_ROW]
