@@ -92,17 +92,12 @@ def homicide_base(tables: CrimeTables, period: Period | ReportingPeriods = DEFAU
 
 def with_materialized_homicides(tables: CrimeTables, period: Period | ReportingPeriods = DEFAULT_PERIOD,
                                 districts: DistrictRange = DEFAULT_DISTRICTS) -> CrimeTables:
-    """``tables`` with ``homicides`` replaced by ``homicide_base`` and
-    ``offenders`` by the offenders of its homicides, both cut to their declared
-    columns and staged as Parquet in ``spark.checkpoint.dir``: the report's
-    branches then read the period's rows and the columns they need, and either
-    table is scanned once."""
-    base = staged_parquet(homicide_base(tables, period, districts).select(*INPUT_SCHEMAS["homicides"].names),
-                          "homicides")
-    off = tables.offenders.select(*INPUT_SCHEMAS["offenders"].names)
-    ids = base.select(F.col("ID").alias("_HID")).distinct()
-    return replace(tables, homicides=base, offenders=staged_parquet(
-        off.join(ids, off["HOM_HOMICIDE_ID"] == ids["_HID"], "left_semi"), "offenders"))
+    """``tables`` with ``homicides`` replaced by ``homicide_base``, cut to the
+    declared columns and staged as Parquet in ``spark.checkpoint.dir``: the
+    report's branches then read the period's rows and the columns they need,
+    and the table is scanned once."""
+    base = homicide_base(tables, period, districts).select(*INPUT_SCHEMAS["homicides"].names)
+    return replace(tables, homicides=staged_parquet(base, "homicides"))
 
 
 def homicide_scope(tables: CrimeTables, period: Period | ReportingPeriods = DEFAULT_PERIOD,
@@ -154,16 +149,19 @@ def homicide_weapon(tables: CrimeTables, scope: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------- H3, H4 situation
-def _offender_pairs(tables: CrimeTables, scope: DataFrame) -> DataFrame:
-    """(REPORT_PERIOD, RD_NO, HOMICIDE_NO, HOFFID) of every offender of a
-    homicide in scope.  An inner join, so AQE can split a homicide that holds
-    most offender rows; homicides without offenders are handled by callers."""
-    off = tables.offenders.select(F.col("HOM_HOMICIDE_ID").alias("_OHID"), F.col("ID").alias("HOFFID"))
+def scoped_offenders(tables: CrimeTables, scope: DataFrame, materialize: bool = False) -> DataFrame:
+    """Every offender of a homicide in scope, with the homicide's keys.  An inner
+    join, so AQE can split a homicide that holds most offender rows; homicides
+    without offenders are handled by callers.  ``materialize`` stages the rows,
+    so that counts, ranks and the master scan ``offenders`` once."""
+    off = tables.offenders.select(F.col("HOM_HOMICIDE_ID").alias("_OHID"), F.col("ID").alias("HOFFID"),
+                                  "LAST_NME", "FIRST_NME", "AGE", "SEX", "RACE")
     s = scope.select("ID", PERIOD_COL, "RD_NO", "HOMICIDE_NO")
-    return s.join(off, s["ID"] == off["_OHID"], "inner").select(PERIOD_COL, "RD_NO", "HOMICIDE_NO", "HOFFID")
+    rows = s.join(off, s["ID"] == off["_OHID"], "inner").drop("_OHID")
+    return staged_parquet(rows, "offenders") if materialize else rows
 
 
-def _party_keys(tables: CrimeTables, scope: DataFrame) -> DataFrame:
+def _party_keys(scope: DataFrame, offenders: DataFrame) -> DataFrame:
     """(REPORT_PERIOD, RD_NO, HOMICIDE_NO, HOFFID): every homicide in scope with
     a NULL offender, plus every (homicide, offender) pair.  The distinct keys
     of ``scope LEFT JOIN offenders`` plus a NULL key per homicide that has
@@ -171,10 +169,10 @@ def _party_keys(tables: CrimeTables, scope: DataFrame) -> DataFrame:
     offender ranks (NULLS LAST) -- without an outer join."""
     p = PERIOD_COL
     return scope.select(p, "RD_NO", "HOMICIDE_NO", F.lit(None).cast("long").alias("HOFFID")) \
-        .unionByName(_offender_pairs(tables, scope))
+        .unionByName(offenders.select(p, "RD_NO", "HOMICIDE_NO", "HOFFID"))
 
 
-def party_counts(tables: CrimeTables, scope: DataFrame) -> DataFrame:
+def party_counts(tables: CrimeTables, scope: DataFrame, offenders: DataFrame | None = None) -> DataFrame:
     """H3: per incident (RD_NO) the distinct victims VICTOTAL and distinct
     offenders OFFENDERS, at (RD_NO, HOMICIDE_NO, CLEARED_I) grain.  OFFTOTAL is
     the ratio, for display only; decisions compare the integer counts (T11).
@@ -182,7 +180,8 @@ def party_counts(tables: CrimeTables, scope: DataFrame) -> DataFrame:
     Both counts are one grouped aggregate over the party keys; NULL RD numbers
     form one group, as in a window, so the join back is null-safe."""
     p = PERIOD_COL
-    counts = count_distinct_per_key(_party_keys(tables, scope), [p, "RD_NO"],
+    offenders = scoped_offenders(tables, scope) if offenders is None else offenders
+    counts = count_distinct_per_key(_party_keys(scope, offenders), [p, "RD_NO"],
                                     {"VICTOTAL": "HOMICIDE_NO", "OFFENDERS": "HOFFID"})
     counts = counts.select(F.col(p).alias("_P"), F.col("RD_NO").alias("_RD"), "VICTOTAL", "OFFENDERS")
     grain = scope.select(p, "RD_NO", "HOMICIDE_NO", "CLEARED_I").distinct()
@@ -238,7 +237,7 @@ def circumstance_codes(tables: CrimeTables, period: Period | ReportingPeriods =
 
 
 # ------------------------------------------------------------------ ranks
-def report_ranks(tables: CrimeTables, scope: DataFrame,
+def report_ranks(tables: CrimeTables, scope: DataFrame, offenders: DataFrame | None = None,
                  keys_per_bucket: int = KEYS_PER_BUCKET) -> dict[str, DataFrame]:
     """The three dense ranks of the report, as key -> rank maps, per period.
 
@@ -249,7 +248,7 @@ def report_ranks(tables: CrimeTables, scope: DataFrame,
     homicide row without offenders -- no outer join needed for the keys.
     """
     p = PERIOD_COL
-    off_keys = _party_keys(tables, scope)
+    off_keys = _party_keys(scope, scoped_offenders(tables, scope) if offenders is None else offenders)
     sizes = estimate_distinct(off_keys, {"v": [p, "HOMICIDE_NO"], "vic": [p, "RD_NO", "HOMICIDE_NO"],
                                          "off": [p, "HOMICIDE_NO", "HOFFID"]})
     v_count = distinct_dense_rank(scope, ["HOMICIDE_NO"], [p], "V_COUNT", keys_per_bucket, sizes["v"])
@@ -259,6 +258,7 @@ def report_ranks(tables: CrimeTables, scope: DataFrame,
 
 
 def _join_rank(df: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys``, NULL keys equal."""
     renamed = ranks.select(*(F.col(k).alias(f"_r_{k}") for k in keys),
                            *(c for c in ranks.columns if c not in keys))
     cond = None
@@ -269,7 +269,7 @@ def _join_rank(df: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------------ H6 master
-def _homicide_rows(tables: CrimeTables, scope: DataFrame, ranks: dict[str, DataFrame],
+def _homicide_rows(tables: CrimeTables, scope: DataFrame, offenders: DataFrame, ranks: dict[str, DataFrame],
                    period: Period | ReportingPeriods, districts: DistrictRange) -> DataFrame:
     """The scope with all that is per homicide or per incident: ranks (``NO_OFF``
     is the offender rank of a homicide without offenders), lethal weapon, and
@@ -288,7 +288,7 @@ def _homicide_rows(tables: CrimeTables, scope: DataFrame, ranks: dict[str, DataF
 
     # Every incident of the scope has a situation row, so both code sets meet
     # on the incidents and the homicides take one join for them too.
-    sit = situation_codes(party_counts(tables, scope)).select(
+    sit = situation_codes(party_counts(tables, scope, offenders)).select(
         F.col(p).alias("_SP"), F.col("RD_NO").alias("_SRD"), "SITCODE")
     circ = circumstance_codes(tables, period, districts).select(
         F.col(p).alias("_CP"), F.col("RD_NO").alias("_CRD"), "CIRCUMSTANCECODE").distinct()
@@ -300,45 +300,45 @@ def _homicide_rows(tables: CrimeTables, scope: DataFrame, ranks: dict[str, DataF
     return hom.join(weapon, hom["ID"] == weapon["HOM_HOMICIDE_ID"], "left").drop("_SP", "_SRD", "_CP", "_CRD")
 
 
-def _join_offenders(hom: DataFrame, tables: CrimeTables, scope: DataFrame, ranks: dict[str, DataFrame]) -> DataFrame:
+def _join_offenders(hom: DataFrame, scope: DataFrame, offenders: DataFrame, ranks: dict[str, DataFrame]) -> DataFrame:
     """``hom LEFT JOIN offenders`` with ``OFFCNT``, on (homicide, chunk).
 
-    A homicide's offenders are cut into chunks of OFFENDERS_PER_CHUNK ranks;
-    the homicide meets the chunks it has (none: its row stays, without
-    offender) and then each chunk's offenders, so no key of the join is larger
-    than a chunk, however many offenders a homicide has."""
+    A homicide's offenders are cut into chunks of OFFENDERS_PER_CHUNK ranks and
+    the homicide is repeated for each chunk its number has (``NO_OFF`` is the
+    last rank), so no key of the join is larger than a chunk, however many
+    offenders a homicide has.  A homicide without offenders meets one empty
+    offender in chunk 0, so an inner join does, which AQE can split as well."""
     p = PERIOD_COL
-    off = tables.offenders.select(
-        F.col("HOM_HOMICIDE_ID").alias("_OHID"), F.col("ID").alias("HOFFID"), "LAST_NME", "FIRST_NME", "AGE",
-        "SEX", "RACE",
-    )
-    s = scope.select("ID", p, "HOMICIDE_NO")
-    off = off.join(s, off["_OHID"] == s["ID"], "inner").drop("ID")
-    off = _join_rank(off, ranks["off_no"], [p, "HOMICIDE_NO", "HOFFID"]).drop(p, "HOMICIDE_NO")
-    off = off.withColumn("_CHUNK", F.expr(f"(OFF_RANK - 1) DIV {OFFENDERS_PER_CHUNK}"))
-    chunks = off.select(F.col("_OHID").alias("_KHID"), F.col("_CHUNK").alias("_KCHUNK")).distinct()
-    rows = hom.join(chunks, hom["ID"] == chunks["_KHID"], "left")
-    rows = rows.join(off, (rows["ID"] == off["_OHID"]) & (rows["_KCHUNK"] == off["_CHUNK"]), "left")
-    return rows.withColumn("OFFCNT", F.coalesce("OFF_RANK", "NO_OFF")).drop(
-        "_KHID", "_KCHUNK", "_OHID", "_CHUNK", "OFF_RANK", "NO_OFF")
+    key = ["ID", p, "HOMICIDE_NO"]
+    off = _join_rank(offenders.drop("RD_NO"), ranks["off_no"], [p, "HOMICIDE_NO", "HOFFID"])
+    known = offenders.select(F.col("ID").alias("_KID")).distinct()
+    empty = scope.select(*key).distinct()
+    empty = empty.join(known, empty["ID"] == known["_KID"], "left_anti")
+    off = off.unionByName(empty, allowMissingColumns=True)
+    off = off.withColumn("CHUNK", F.expr(f"coalesce((OFF_RANK - 1) DIV {OFFENDERS_PER_CHUNK}, 0L)"))
+    hom = hom.withColumn("CHUNK", F.expr(f"explode(sequence(0L, (NO_OFF - 1) DIV {OFFENDERS_PER_CHUNK}))"))
+    rows = _join_rank(hom, off, [*key, "CHUNK"])
+    return rows.withColumn("OFFCNT", F.coalesce("OFF_RANK", "NO_OFF")).drop("CHUNK", "OFF_RANK", "NO_OFF")
 
 
 def homicide_master(tables: CrimeTables, period: Period | ReportingPeriods = DEFAULT_PERIOD,
-                    districts: DistrictRange = DEFAULT_DISTRICTS, ranks: dict[str, DataFrame] | None = None,
-                    distinct: bool = True) -> DataFrame:
+                    districts: DistrictRange = DEFAULT_DISTRICTS, materialize: bool = False,
+                    keys_per_bucket: int = KEYS_PER_BUCKET, distinct: bool = True) -> DataFrame:
     """H6: recoded victim x offender rows (39 columns + ``REPORT_PERIOD``), as a set.
 
     The master is only ever consumed through DISTINCT, so it is built from
     distinct (RD, situation) and (RD, circumstance) pairs: identical result,
     without multiplying an incident's rows by its number of motives.  With
     ``distinct=False`` (the report's path) the rows also carry ``V_COUNT``,
-    and DISTINCT is left to the consumer.
+    and DISTINCT is left to the consumer.  ``materialize`` stages the scope's
+    offenders (``scoped_offenders``).
     """
-    scope = homicide_scope(tables, period, districts)
-    ranks = ranks or report_ranks(tables, scope)
     p = PERIOD_COL
+    scope = homicide_scope(tables, period, districts)
+    offenders = scoped_offenders(tables, scope, materialize)
+    ranks = report_ranks(tables, scope, offenders, keys_per_bucket)
 
-    rows = _join_offenders(_homicide_rows(tables, scope, ranks, period, districts), tables, scope, ranks)
+    rows = _join_offenders(_homicide_rows(tables, scope, offenders, ranks, period, districts), scope, offenders, ranks)
     shown = R.offender_shown("SITCODE", "LAST_NME")
     master = rows.select(
         number_text(F.month("INJURY_DATE"), 2).alias("MNTH"),
@@ -424,9 +424,7 @@ def homicide_report(tables: CrimeTables, period: Period | ReportingPeriods = DEF
     periods = ReportingPeriods.of(period)
     if materialize:
         tables = with_materialized_homicides(tables, periods, districts)
-    scope = homicide_scope(tables, periods, districts)
-    ranks = report_ranks(tables, scope)
-    master = homicide_master(tables, periods, districts, ranks, distinct=False)
+    master = homicide_master(tables, periods, districts, materialize, distinct=False)
     cols = ([PERIOD_COL] if periods.labelled else []) + list(SHR_COLUMNS)
     report = homicide_adjusted(master, distinct=False).select(*(F.col(f"`{c}`") for c in cols)).distinct()
     if ordered:

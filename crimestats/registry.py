@@ -95,7 +95,7 @@ def _scope(t: CrimeTables) -> DataFrame:
 
 def _master(t: CrimeTables, distinct: bool = True) -> DataFrame:
     t = H.with_materialized_homicides(t, P, D)
-    return H.homicide_master(t, P, D, distinct=distinct).drop(H.PERIOD_COL)
+    return H.homicide_master(t, P, D, materialize=True, distinct=distinct).drop(H.PERIOD_COL)
 
 
 def _master_rows(t: CrimeTables) -> DataFrame:
@@ -105,9 +105,8 @@ def _master_rows(t: CrimeTables) -> DataFrame:
 
 def _adjusted(t: CrimeTables) -> DataFrame:
     t = H.with_materialized_homicides(t, P, D)
-    scope = _scope(t)
-    ranks = H.report_ranks(t, scope, keys_per_bucket=SHR_RANK_KEYS_PER_BUCKET)
-    return H.homicide_adjusted(H.homicide_master(t, P, D, ranks, distinct=False)).drop(H.PERIOD_COL)
+    master = H.homicide_master(t, P, D, True, SHR_RANK_KEYS_PER_BUCKET, distinct=False)
+    return H.homicide_adjusted(master).drop(H.PERIOD_COL)
 
 
 def _project(fn: Callable[[CrimeTables], DataFrame], cols: list[str]) -> Callable[[CrimeTables], DataFrame]:

@@ -182,7 +182,7 @@ def test_no_join_key_holds_more_than_a_chunk_of_offenders(make_tables, monkeypat
     t = make_tables(homicides=[hom(i, f"H{i}") for i in range(1, 9)],
                     offenders=[off(i, 1 if i % 3 else 1 + i % 8) for i in range(1, 301)])
     master = H.homicide_master(t, P, distinct=False)
-    assert "_KCHUNK" in master._jdf.queryExecution().optimizedPlan().toString()
+    assert "CHUNK" in master._jdf.queryExecution().optimizedPlan().toString()
     sizes = master.groupBy("HOM_HOMICIDE_ID", "HOMICIDE_NO", F.expr("(OFFCNT - 1) DIV 10")).count()
     assert sizes.agg(F.max("count")).first()[0] <= 10
     assert master.count() == 300
