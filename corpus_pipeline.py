@@ -25,8 +25,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by 3-gram Jaccard, the document with the smallest id stays."""
-    return ngram_join.one_per_group(docs)
+    """Of each group linked by a 5-gram Jaccard similarity of 0.8 or more, the document with the smallest id stays."""
+    return ngram_join.one_per_group(docs, ngram_join.NEAR)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

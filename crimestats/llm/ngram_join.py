@@ -1,11 +1,14 @@
-"""Similarity self-join of documents on word 3-grams (Jaccard >= 0.9) by vertical partitioning of the global n-gram order.
+"""Similarity self-join of documents on word n-grams by vertical partitioning of the global n-gram order.
+
+A ``Rule`` gives the words of a shingle and the least Jaccard similarity of a link: the registered query has 3 words and 0.9 (RULE),
+near-duplicate stages 5 words and 0.8 (NEAR).
 
 1. Every text becomes its set of distinct shingles (64-bit hashes).  Texts with equal sets are one class, named by a 128-bit
    digest of the set; all later work is on classes.
 2. The global order: by a count, rarest first, then by hash.  The count is a sketch's: all shingles of all classes are counted
    in COUNTERS counters by hash, summed over the tasks.  Any one order gives the same result; this one keeps the prefixes of
    different documents apart, as a frequent shingle's counter is high.
-3. A pair that links shares a shingle of both sets' prefixes (the first n - ceil(0.9 n) + 1 of n in the order).  Prefix
+3. A pair that links shares a shingle of both sets' prefixes (the first n - ceil(t n) + 1 of n in the order, t the least similarity).  Prefix
    shingles of one class only are dropped; the others are buckets.
 4. Buckets of up to SMALL classes give candidate pairs with the number of prefix shingles they share.  Common shingles outside
    the shared prefixes lie behind the prefix of one of the two, which bounds the overlap; pairs that can't link go.  The others'
@@ -18,7 +21,7 @@
 Prefix rows name a class by 64 bits of its digest; candidates get all classes of that name and size back, and only whole
 sets decide.
 
-Null or blank text: empty set, no link, its own component.  Fewer words than three: the whole sequence is the one shingle.
+Null or blank text: empty set, no link, its own component.  Fewer words than a shingle has: the whole sequence is the one shingle.
 Repeated rows are documents of one class; a null doc_id never names a component unless no other does.  An empty table
 gives an empty result.  Other columns are ignored (``one_per_group``: kept).
 """
@@ -27,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +41,16 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from crimestats.llm.common import binary_list, connected_components, map_batches, scratch, small_batches, staged
 
-#: Production parameters.
-N = 3
-NUMERATOR, DENOMINATOR = 90, 100
+class Rule(NamedTuple):
+    """Words of a shingle and, as a fraction, the least Jaccard similarity of a link."""
+
+    n: int
+    numerator: int
+    denominator: int = 100
+
+
+#: Production parameters: of the registered query and of near-duplicate stages.
+RULE, NEAR = Rule(3, 90), Rule(5, 80)
 #: Counters of the sketch behind the order (a broadcast of 4 to 8 MB, whatever the input), rows that a task sends them in, and
 #: groups of tasks whose counters are summed first.
 COUNTERS, CHUNKS, TASK_GROUPS = 1 << 20, 16, 32
@@ -50,9 +61,9 @@ RUN_CLASSES = 1 << 18
 FEW_IDS = 500_000
 BLOCK, BLOCK_SHINGLES = 256, 1 << 20
 FRAGMENTS = 4
-#: Ratio of one size band: sets whose sizes differ by more than a band cannot link.
-BAND = 0.9
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
+
+
 def _scramble(x: np.ndarray) -> np.ndarray:
     x ^= x >> np.uint64(29)
     x *= _MIX[1]
@@ -61,17 +72,18 @@ def _scramble(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def shingles(raw: bytes | None) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's word 3-grams (A-Z lower-cased)."""
+def shingles(raw: bytes | None, n: int = RULE.n) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the text's word n-grams (A-Z lower-cased)."""
     words = raw.lower().split() if raw else []
     if not words:
         return np.empty(0, np.int64)
     h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    if len(h) < N:
+    if len(h) < n:
         return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed=1)], np.uint64).view(np.int64)
-    x = _scramble(h[:-2] * _MIX[0])
-    x = _scramble((x + h[1:-1]) * _MIX[1])
-    x = _scramble((x + h[2:]) * _MIX[2])
+    last = len(h) - n + 1
+    x = _scramble(h[:last] * _MIX[0])
+    for k in range(1, n):
+        x = _scramble((x + h[k:last + k]) * _MIX[k % len(_MIX)])
     return np.unique(x.view(np.int64))
 
 
@@ -83,7 +95,7 @@ def name(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
-def first_pass(docs: DataFrame) -> DataFrame:
+def first_pass(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """Two kinds of rows from one reading of the texts: doc_id, n_shingles, cls (digest of the set; null if it is empty) and h
     (its short name) of every document, and task, chunk, counts: a task's counters, compressed, in CHUNKS rows.
     """
@@ -99,7 +111,7 @@ def first_pass(docs: DataFrame) -> DataFrame:
         seen: set[bytes] = set()
         counters = np.zeros(COUNTERS, np.uint32)
         for batch in batches:
-            sets = [shingles(x) for x in binary_list(batch.column("text"))]
+            sets = [shingles(x, rule.n) for x in binary_list(batch.column("text"))]
             keys = [signature(x) if len(x) else None for x in sets]
             yield rows(len(sets), doc_id=batch.column("doc_id"), n_shingles=[len(x) for x in sets], cls=keys,
                        h=[None if k is None else name(k) for k in keys])
@@ -144,16 +156,16 @@ def sketch(counts: DataFrame) -> np.ndarray:
     return np.concatenate([parts.get(k, empty) for k in range(CHUNKS)])
 
 
-def prefix(x: np.ndarray, counters: np.ndarray) -> np.ndarray:
+def prefix(x: np.ndarray, counters: np.ndarray, rule: Rule = RULE) -> np.ndarray:
     """The first shingles of a set (sorted by hash) in the global order, as many as its prefix has."""
-    return x[np.argsort(counters[x & (COUNTERS - 1)], kind="stable")[:prefix_length(len(x))]]
+    return x[np.argsort(counters[x & (COUNTERS - 1)], kind="stable")[:prefix_length(len(x), rule)]]
 
 
-def prefix_length(n: int) -> int:
-    return n - -(-NUMERATOR * n // DENOMINATOR) + 1
+def prefix_length(n: int, rule: Rule = RULE) -> int:
+    return n - -(-rule.numerator * n // rule.denominator) + 1
 
 
-def postings(docs: DataFrame, counters: np.ndarray) -> DataFrame:
+def postings(docs: DataFrame, counters: np.ndarray, rule: Rule = RULE) -> DataFrame:
     """g, h, n: the prefix shingles of every set, with its name and size; a task gives each class once per RUN_CLASSES."""
     order = docs.sparkSession.sparkContext.broadcast(counters)
     small_batches(docs.sparkSession)
@@ -163,11 +175,11 @@ def postings(docs: DataFrame, counters: np.ndarray) -> DataFrame:
         for batch in batches:
             g, h, n = [], [], []
             for raw in binary_list(batch.column("text")):
-                x = shingles(raw)
+                x = shingles(raw, rule.n)
                 key = signature(x)
                 if len(x) and key not in seen:
                     seen.add(key)
-                    g.append(prefix(x, order.value))
+                    g.append(prefix(x, order.value, rule))
                     h.append(np.full(len(g[-1]), name(key)))
                     n.append(np.full(len(g[-1]), len(x), np.int32))
             if len(seen) > RUN_CLASSES:
@@ -178,12 +190,12 @@ def postings(docs: DataFrame, counters: np.ndarray) -> DataFrame:
     return _slim(docs).select("text").mapInArrow(run, "g long, h long, n int")
 
 
-def enough(overlap, n_a, n_b):
-    """100 * overlap >= 90 * union, without division (columns, numbers or arrays)."""
-    return (DENOMINATOR + NUMERATOR) * overlap >= NUMERATOR * (n_a + n_b)
+def enough(overlap, n_a, n_b, rule: Rule = RULE):
+    """denominator * overlap >= numerator * union, without division (columns, numbers or arrays)."""
+    return (rule.denominator + rule.numerator) * overlap >= rule.numerator * (n_a + n_b)
 
 
-def small_pairs(small: DataFrame, large: DataFrame) -> DataFrame:
+def small_pairs(small: DataFrame, large: DataFrame, rule: Rule = RULE) -> DataFrame:
     """a, b, n_a, n_b: pairs of the small buckets whose shared prefix shingles leave a link possible.
 
     ``small`` and ``large``: g, h, n.  A pair's common shingles are those its small buckets show, at most as many as either
@@ -191,18 +203,18 @@ def small_pairs(small: DataFrame, large: DataFrame) -> DataFrame:
     """
     lists = small.groupBy("g").agg(F.sort_array(F.collect_set(F.struct("h", "n"))).alias("m"))
     first = lists.select(F.posexplode("m").alias("k", "x"), "m").select("x", F.explode(F.expr("slice(m, k + 2, size(m))")).alias("y"))
-    pairs = first.where(enough(F.least("x.n", "y.n"), F.col("x.n"), F.col("y.n"))).groupBy(
+    pairs = first.where(enough(F.least("x.n", "y.n"), F.col("x.n"), F.col("y.n"), rule)).groupBy(
         F.col("x.h").alias("a"), F.col("y.h").alias("b"), F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b")).agg(F.count("*").alias("shared"))
     hot = large.groupBy("h", "n").agg(F.count("*").alias("hot"))
     for side in "ab":
         pairs = pairs.join(hot.select(F.col("h").alias(side), F.col("n").alias(f"n_{side}"), F.col("hot").alias(f"hot_{side}")),
                            [side, f"n_{side}"], "left")
-    behind = [F.col(n) - (F.col(n) - F.ceil(NUMERATOR * F.col(n) / DENOMINATOR) + 1) for n in ("n_a", "n_b")]
+    behind = [F.col(n) - (F.col(n) - F.ceil(rule.numerator * F.col(n) / rule.denominator) + 1) for n in ("n_a", "n_b")]
     most = F.col("shared") + F.least(F.coalesce("hot_a", F.lit(0)), F.coalesce("hot_b", F.lit(0))) + F.greatest(*behind)
-    return pairs.where(enough(most, F.col("n_a"), F.col("n_b"))).select("a", "b", "n_a", "n_b")
+    return pairs.where(enough(most, F.col("n_a"), F.col("n_b"), rule)).select("a", "b", "n_a", "n_b")
 
 
-def class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def class_sets(docs: DataFrame, wanted: DataFrame, rule: Rule = RULE) -> DataFrame:
     """cls, set (in hash order) of the classes in ``wanted`` (cls, doc_id), from the text of one document of each."""
     ids = wanted.select("doc_id").where("doc_id IS NOT NULL").distinct()
     if ids.count() <= FEW_IDS:
@@ -212,14 +224,14 @@ def class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     nameless = _slim(docs).where("doc_id IS NULL")
 
     def fn(batch):
-        sets = [shingles(x) for x in binary_list(batch.column("text"))]
+        sets = [shingles(x, rule.n) for x in binary_list(batch.column("text"))]
         return {"cls": [signature(x) for x in sets], "set": sets}
 
     sets = map_batches(texts.union(nameless), fn, "cls binary, set array<long>")
     return sets.join(wanted, "cls", "left_semi").dropDuplicates(["cls"])
 
 
-def pair_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def pair_links(pairs: DataFrame, sets: DataFrame, rule: Rule = RULE) -> DataFrame:
     """a, b of the candidate pairs that link: partial overlaps by fragment of the order, summed per pair."""
     width = (1 << 64) // FRAGMENTS
     cuts = [-(1 << 63) + k * width for k in range(FRAGMENTS)] + [1 << 63]
@@ -231,16 +243,16 @@ def pair_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     partial = pairs.join(one, "a").join(two, ["b", "fragment"]).select(
         "a", "b", "n_a", "n_b", F.size(F.array_intersect("part_a", "part_b")).alias("overlap"))
     total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("overlap").alias("overlap"))
-    return total.where(enough(F.col("overlap"), F.col("n_a"), F.col("n_b"))).select("a", "b")
+    return total.where(enough(F.col("overlap"), F.col("n_a"), F.col("n_b"), rule)).select("a", "b")
 
 
-def block_rows(members: DataFrame) -> DataFrame:
+def block_rows(members: DataFrame, rule: Rule = RULE) -> DataFrame:
     """g, band, one, two, side, cls, n: the members of large buckets dealt to pairs of blocks.
 
-    A class of size band k meets bands k and k + 1 (there as ``low``); within a band, blocks of BLOCK classes or BLOCK_SHINGLES
+    Sets whose sizes differ by more than a band (a ratio of the least similarity) can't link.  A class of size band k meets bands k and k + 1 (there as ``low``); within a band, blocks of BLOCK classes or BLOCK_SHINGLES
     shingles.  The pairs are home x home (one <= two) and low x home (one: -1 - low block).
     """
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-float(np.log(BAND)))).cast("int")
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-float(np.log(rule.numerator / rule.denominator)))).cast("int")
     homes = members.withColumn("band", band)
     size = homes.groupBy("g", "band").agg(F.count("*").alias("homes"), F.max("n").alias("longest"))
     blocks = F.ceil(F.col("homes") / F.greatest(F.lit(2), F.least(F.lit(BLOCK), F.floor(F.lit(BLOCK_SHINGLES) / F.col("longest"))))).cast("int")
@@ -281,7 +293,7 @@ def _overlaps(left: list, right: list) -> np.ndarray:
     return total
 
 
-def block_links(blocks: DataFrame, sets: DataFrame) -> DataFrame:
+def block_links(blocks: DataFrame, sets: DataFrame, rule: Rule = RULE) -> DataFrame:
     """a, b: a spanning forest of the linked pairs of each pair of blocks."""
     def kernel(table: pa.Table) -> pa.Table:
         side, cls = table.column("side").to_numpy(), table.column("cls").to_pylist()
@@ -294,7 +306,7 @@ def block_links(blocks: DataFrame, sets: DataFrame) -> DataFrame:
         links: list[tuple[bytes, bytes]] = []
         if len(a) and len(b):
             n = np.array([len(x) for x in arrays])
-            hit = enough(_overlaps([arrays[k] for k in a], [arrays[k] for k in b]), n[a][:, None], n[b][None])
+            hit = enough(_overlaps([arrays[k] for k in a], [arrays[k] for k in b]), n[a][:, None], n[b][None], rule)
             parent = list(range(len(side)))
 
             def find(x):
@@ -313,17 +325,17 @@ def block_links(blocks: DataFrame, sets: DataFrame) -> DataFrame:
     return blocks.join(sets, "cls").groupBy("g", "band", "one", "two").applyInArrow(kernel, "a binary, b binary")
 
 
-def similar_documents(docs: DataFrame) -> DataFrame:
+def similar_documents(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     with scratch(docs.sparkSession) as tables:
-        read = tables.table(first_pass(docs), "first")
+        read = tables.table(first_pass(docs, rule), "first")
         classes = staged(read.where("n_shingles IS NOT NULL").select("doc_id", "n_shingles", "cls", "h"))
-        entries = tables.table(postings(docs, sketch(read.where("chunk IS NOT NULL").select("task", "chunk", "counts"))), "postings")
+        entries = tables.table(postings(docs, sketch(read.where("chunk IS NOT NULL").select("task", "chunk", "counts")), rule), "postings")
         # A class may come from several tasks: a bucket has two of them at least.
         sizes = entries.groupBy("g").agg(F.count("*").alias("m"), F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi")
         shared = tables.table(entries.join(sizes.select("g", "m"), "g"), "shared")
         small, large = shared.where(F.col("m") <= SMALL).drop("m"), shared.where(F.col("m") > SMALL).drop("m").distinct()
-        found = tables.table(small_pairs(small, large), "pairs")
+        found = tables.table(small_pairs(small, large, rule), "pairs")
         named = tables.table(classes.where("cls IS NOT NULL").groupBy("cls").agg(
             F.first("h").alias("h"), F.first("n_shingles").cast("int").alias("n"), F.min("doc_id").alias("doc_id")), "named")
         back = named.select("h", "n", "cls")
@@ -331,8 +343,8 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         pairs = tables.table(pairs.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"), "n_a", "n_b"), "named_pairs")
         members = tables.table(large.join(back, ["h", "n"]).select("g", "cls", "n"), "members")
         wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(members.select("cls")).distinct()
-        sets = tables.table(class_sets(docs, named.join(wanted, "cls", "left_semi").select("cls", "doc_id")), "sets")
-        links = staged(pair_links(pairs, sets).union(block_links(block_rows(members), sets)))
+        sets = tables.table(class_sets(docs, named.join(wanted, "cls", "left_semi").select("cls", "doc_id"), rule), "sets")
+        links = staged(pair_links(pairs, sets, rule).union(block_links(block_rows(members, rule), sets, rule)))
     components = connected_components(links)
     named = classes.join(components, classes.cls == components.node, "left").withColumn("root", F.coalesce("component", "cls")).select(
         "doc_id", "n_shingles", "root")
@@ -341,9 +353,9 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     return staged(linked.union(named.where("root IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))))
 
 
-def one_per_group(docs: DataFrame) -> DataFrame:
+def one_per_group(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """The rows of ``docs`` whose document has the smallest id of its component (a repeated id: one of its rows; null ids stay)."""
-    found = similar_documents(docs)
+    found = similar_documents(docs, rule)
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(gone, docs.doc_id.cast("long") == gone.doc_id, "left_anti")
     repeated = staged(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
