@@ -22,7 +22,8 @@ Prefix rows name a class by 64 bits of its digest; candidates get all classes of
 sets decide.
 
 Null or blank text: empty set, no link, its own component.  Fewer words than a shingle has: the whole sequence is the one shingle.
-Repeated rows are documents of one class; a null doc_id never names a component unless no other does.  An empty table
+Repeated rows are documents of one class, rows of one doc_id with other texts documents of their own; a null doc_id never names a
+component unless no other does.  An empty table
 gives an empty result.  Other columns are ignored (``one_per_group``: kept).
 """
 
@@ -39,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from crimestats.llm.common import binary_list, connected_components, map_batches, scratch, small_batches, staged
+from crimestats.llm.common import binary_list, connected_components, map_batches, scratch, small_batches, staged, with_columns
 
 class Rule(NamedTuple):
     """Words of a shingle and, as a fraction, the least Jaccard similarity of a link."""
@@ -325,8 +326,8 @@ def block_links(blocks: DataFrame, sets: DataFrame, rule: Rule = RULE) -> DataFr
     return blocks.join(sets, "cls").groupBy("g", "band", "one", "two").applyInArrow(kernel, "a binary, b binary")
 
 
-def similar_documents(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document."""
+def _grouped(docs: DataFrame, rule: Rule) -> DataFrame:
+    """doc_id, n_shingles, cls, root (the component's smallest class; both null without a shingle) of every document."""
     with scratch(docs.sparkSession) as tables:
         read = tables.table(first_pass(docs, rule), "first")
         classes = staged(read.where("n_shingles IS NOT NULL").select("doc_id", "n_shingles", "cls", "h"))
@@ -346,23 +347,53 @@ def similar_documents(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
         sets = tables.table(class_sets(docs, named.join(wanted, "cls", "left_semi").select("cls", "doc_id"), rule), "sets")
         links = staged(pair_links(pairs, sets, rule).union(block_links(block_rows(members, rule), sets, rule)))
     components = connected_components(links)
-    named = classes.join(components, classes.cls == components.node, "left").withColumn("root", F.coalesce("component", "cls")).select(
-        "doc_id", "n_shingles", "root")
+    return classes.join(components, classes.cls == components.node, "left").select(
+        "doc_id", "n_shingles", "cls", F.coalesce("component", "cls").alias("root"))
+
+
+def similar_documents(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document."""
+    named = _grouped(docs, rule).drop("cls")
     smallest = named.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     linked = named.where("root IS NOT NULL").join(smallest, "root").select("doc_id", "n_shingles", "component_id")
     return staged(linked.union(named.where("root IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))))
 
 
 def one_per_group(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
-    """The rows of ``docs`` whose document has the smallest id of its component (a repeated id: one of its rows; null ids stay)."""
-    found = similar_documents(docs, rule)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, docs.doc_id.cast("long") == gone.doc_id, "left_anti")
-    repeated = staged(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
-    if repeated.isEmpty():
-        return kept
-    again = kept.join(repeated, kept.doc_id.cast("long") == repeated.doc_id, "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, kept.doc_id.cast("long") == repeated.doc_id, "left_anti").union(again)
+    """One row of ``docs`` of each component: of its smallest doc_id (nulls last) and that id's smallest class.
+
+    Rows of one id and one class are the same document: one of them stays.  Rows without a shingle are linked to none: all stay.
+    Ids that name one row are decided by the id; only rows of null or repeated ids have their classes worked out again.
+    """
+    found = _grouped(docs, rule)
+    key = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "cls")
+    linked, alone = found.where("root IS NOT NULL"), found.where("root IS NULL")
+    first = linked.groupBy("root").agg(F.min(key).alias("first"))
+    linked = linked.join(first, "root").select("doc_id", "cls", (key != F.col("first")).alias("lost"))
+    found = staged(linked.union(alone.select("doc_id", "cls", F.lit(False))))
+    ids = staged(found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"), F.max("lost").alias("lost")))
+    repeated = staged(ids.where("n > 1").select("doc_id"))
+    p = "__llm_"
+    rows = docs.withColumn(p + "id", F.col("doc_id").cast("long"))
+    # Beside the lost ones, repeated ids leave the rows that the id decides.
+    gone = ids.where("n > 1 OR lost").select(F.col("doc_id").alias(p + "id"))
+    plain = rows.where(f"{p}id IS NOT NULL").join(gone, p + "id", "left_anti").select(*docs.columns)
+    several = repeated.count()
+    if not several and found.where("doc_id IS NULL").isEmpty():
+        return plain
+    again = repeated.select(F.col("doc_id").alias(p + "id"))
+    again = rows.join(F.broadcast(again) if several <= FEW_IDS else again, p + "id", "left_semi")
+    again = again.union(rows.where(f"{p}id IS NULL").select(*again.columns))
+
+    def classes(batch):
+        sets = [shingles(x, rule.n) for x in binary_list(batch.column("text"))]
+        return {p + "cls": [signature(x) if len(x) else None for x in sets]}
+
+    again = with_columns(again, classes, f"{p}cls binary")
+    kept = found.where("cls IS NOT NULL AND NOT lost").select(F.col("doc_id").alias("kid"), F.col("cls").alias("kcls")).distinct()
+    once = again.where(f"{p}cls IS NOT NULL").dropDuplicates([p + "id", p + "cls"])
+    once = once.join(kept, (F.col(p + "cls") == F.col("kcls")) & F.col(p + "id").eqNullSafe(F.col("kid")), "left_semi")
+    return plain.union(once.select(*docs.columns)).union(again.where(f"{p}cls IS NULL").select(*docs.columns))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -44,3 +44,14 @@ def test_near_duplicate_stage_equals_brute_force(spark, make_docs, monkeypatch):
         monkeypatch.setattr(ngram_join, "SMALL", small)
         kept = corpus_pipeline.near_duplicates(spark, make_docs(texts), "")
         assert sorted(r.doc_id for r in kept.collect()) == want
+
+
+def test_one_row_of_each_group_stays(make_docs):
+    """By row: ids with two texts, null ids, repeated rows; rows without a word are linked to none."""
+    a, b, c, d, e = ("".join(f"{x}{i} " for i in range(40)) for x in "abcde")
+    rows = [(1, a), (5, a), (5, b), (6, c), (6, d), (None, e), (None, e.upper()), (None, a), (None, None), (None, " "), (7, b), (7, ""), (7, ""), (6, d)]
+    docs = make_docs([t for _, t in rows], doc_id=[i for i, _ in rows])
+    kept = ngram_join.one_per_group(docs)
+    assert kept.columns == docs.columns
+    got = sorted((r.doc_id or 0, (r.text or "").strip().lower()[:1]) for r in kept.collect())
+    assert got == [(0, ""), (0, ""), (0, "e"), (1, "a"), (5, "b"), (6, "c"), (6, "d"), (7, ""), (7, "")]
