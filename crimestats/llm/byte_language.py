@@ -8,7 +8,8 @@ Because the input is bytes, a trained filter is a sum of table rows: the window'
 tables (one row of 65,536 per pair, one of 256 for the odd byte of an odd width), so scoring gathers and adds.
 
 Null text or text without a letter: ``und`` with score 0.  Without any labelled row every document is ``und``.  With one label
-it is always predicted.  Null labels are not learned from.  Repeated rows are predicted alike; other columns are kept out.
+it is always predicted.  Null labels are not learned from; every other label is, however rare (bounded by label).  Repeated rows are
+learned from once and predicted alike; other columns are kept out.
 """
 
 from __future__ import annotations
@@ -20,11 +21,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from crimestats.llm.common import binary_list, bounded_sample, map_batches, with_columns
+from crimestats.llm.common import binary_list, label_sample, map_batches, with_columns
 
-#: Production parameters.  At most SAMPLE documents and WINDOWS windows of each are learned from.
+#: Production parameters.  About SAMPLE documents, LEAST of each label at least (or all it has), and WINDOWS windows of each are
+#: learned from.
 WINDOW = 256
-SAMPLE = 4000
+SAMPLE, LEAST = 4000, 50
 WINDOWS = 2
 WIDTHS = (2, 3, 4)
 FILTERS = 16
@@ -171,9 +173,9 @@ def training_rows(docs: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> ByteNet:
-    """A network fitted to at most ``sample`` texts, those with the smallest hash of doc_id, WINDOWS windows of each."""
+    """A network fitted to about ``sample`` texts, of each label those with the smallest hashes, WINDOWS windows of each."""
     pieces = [F.expr(f"substring(text, 1 + int(length(text) * {k} / {WINDOWS}), {WINDOW})") for k in range(WINDOWS)]
-    rows = bounded_sample(docs.select("doc_id", F.array(*pieces).alias("pieces"), "lang"), "doc_id", sample)
+    rows = label_sample(docs.select("doc_id", F.array(*pieces).alias("pieces"), "lang"), "lang", ["doc_id", "pieces"], sample, LEAST)
     languages = sorted({r["lang"] for r in rows})
     net = ByteNet(languages)
     raw = [(p.encode()[:WINDOW], languages.index(r["lang"])) for r in rows for p in r["pieces"] if len(p) >= 16]
@@ -195,7 +197,9 @@ def identify(docs: DataFrame, net: ByteNet) -> DataFrame:
 
 
 def filter_documents(docs: DataFrame, net: ByteNet, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows whose language is determined with at least ``min_score``, with all their columns."""
+    """The rows whose language is determined with at least ``min_score``, with all their columns; all rows if no label was learned."""
+    if not net.languages:
+        return docs
     p = "__llm_"
 
     def fn(batch: pa.RecordBatch):

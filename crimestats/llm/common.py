@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from crimestats.session import checkpoint_dir, reliable_checkpoint
@@ -108,6 +108,38 @@ def bounded_sample(rows: DataFrame, key: str, size: int) -> list:
     return rows.withColumn("__llm_place", place).where(F.col("__llm_place") < share).orderBy("__llm_place", key).limit(size).collect()
 
 
+#: Labels that a sample by label may have.
+LABELS = 2000
+
+
+def label_sample(rows: DataFrame, label: str, keys: list[str], size: int, least: int) -> list:
+    """Of each label the distinct ``keys`` with the smallest hashes, once each: all of a label up to a bound, which is the same for all.
+
+    The bound is the largest at which the labels together give ``size`` rows, but no less than ``least``, so that a rare label is
+    met whatever the others' number.  About twice as many rows as are taken are ordered.  More than LABELS labels are refused.
+    """
+    space = 1 << 30
+    hashed = rows.withColumn("__llm_hash", F.xxhash64(*keys))
+    counts = hashed.groupBy(label).agg(F.approx_count_distinct("__llm_hash", 0.02).alias("n")).limit(LABELS + 1).collect()
+    if len(counts) > LABELS:
+        raise ValueError(f"more than {LABELS} labels in column {label}")
+    if not counts:
+        return []
+    bound, left, room = size, len(counts), size
+    for n in sorted(r["n"] for r in counts):
+        if n * left > room:
+            bound = room // left
+            break
+        room, left = room - n, left - 1
+    bound = max(bound, least)
+    shares = [(r[label], min(space, -(-2 * bound * space // max(1, r["n"])))) for r in counts]
+    few = F.broadcast(rows.sparkSession.createDataFrame(shares, T.StructType([rows.schema[label], T.StructField("__llm_share", T.LongType())])))
+    near = hashed.join(few, label).where(F.pmod("__llm_hash", F.lit(space)) < F.col("__llm_share")).dropDuplicates([label, "__llm_hash"])
+    order = Window.partitionBy(label).orderBy(F.pmod("__llm_hash", F.lit(space)), "__llm_hash")
+    taken = near.withColumn("__llm_rank", F.row_number().over(order)).where(F.col("__llm_rank") <= bound)
+    return taken.orderBy("__llm_hash", label).select(*rows.columns).collect()
+
+
 #: Rows up to which a keyed table is broadcast; a larger one is joined on salted keys.
 FEW, SALTS = 10_000, 64
 

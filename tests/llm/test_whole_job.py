@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from crimestats.llm import ngram_join
+from crimestats.llm import byte_language, ngram_join
 
 
 def grams_of(text, n):
@@ -55,3 +55,21 @@ def test_one_row_of_each_group_stays(make_docs):
     assert kept.columns == docs.columns
     got = sorted((r.doc_id or 0, (r.text or "").strip().lower()[:1]) for r in kept.collect())
     assert got == [(0, ""), (0, ""), (0, "e"), (1, "a"), (5, "b"), (6, "c"), (6, "d"), (7, ""), (7, "")]
+
+
+def test_rare_languages_are_learned(make_docs):
+    """However many documents the others have, or repeats; without a label the stage keeps every document."""
+    rng = random.Random(23)
+    syllables = {"aa": ["ka", "ro", "mi", "tul"], "bb": ["schw", "eng", "ich", "ung"], "cc": ["xo", "quv", "zy", "wip"]}
+    make = lambda lang: " ".join("".join(rng.choice(syllables[lang]) for _ in range(3)) for _ in range(60))
+    langs = ["aa"] * 900 + ["bb"] * 900 + ["cc"] * 12
+    docs = make_docs([make(x) for x in langs], lang=langs)
+    rows = byte_language.training_rows(docs)
+    assert byte_language.train(rows, 100).languages == ["aa", "bb", "cc"]
+    some = rows.where("lang = 'cc'").limit(3)
+    for _ in range(6):
+        some = some.union(some)
+    repeated = byte_language.train(some, 2)
+    assert repeated.languages == ["cc"]
+    net = byte_language.train(rows.limit(0))
+    assert byte_language.filter_documents(docs, net).count() == len(langs)
