@@ -1,6 +1,6 @@
 """Licence scans by a trained paragraph classifier.
 
-A paragraph (line) is read in windows of WINDOW words.  A softmax regression over sparse word 1- and 2-grams names a licence
+A paragraph (consecutive lines with words, comment marks not counted) is read in windows of WINDOW words.  A softmax regression over sparse word 1- and 2-grams names a licence
 family or ``none``; it is trained in numpy on the templates, varied and mixed with words of the corpus, against windows of a
 bounded sample of the corpus and templates in shuffled order.  Its temperature and the least probability of a family are fitted on a
 held-back part.  A family's prediction counts only if the window holds CONTAINMENT of the 3-grams of one of the family's templates; a
@@ -28,32 +28,66 @@ CONTAINMENT = 0.6
 PRECISION = 0.995
 NONE, UNKNOWN = "none", "unknown"
 
-#: Licence notices by family (fixed values).
+#: Licence notices and sentences of the licences' other paragraphs by family (fixed values); UNKNOWN: what several families share.
 TEMPLATES = {
-    "agpl": ["licensed under the GNU Affero General Public License, version 3"],
+    "agpl": ["licensed under the GNU Affero General Public License, version 3",
+             "under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+             "You should have received a copy of the GNU Affero General Public License along with this program"],
     "apache": ["Licensed under the Apache License, Version 2.0",
-               "you may not use this file except in compliance with the License. You may obtain a copy of the License at"],
-    "bsd": ["Licensed under the BSD License", "Redistribution and use in source and binary forms, with or without modification, are permitted"],
+               "you may not use this file except in compliance with the License. You may obtain a copy of the License at",
+               "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS",
+               "See the License for the specific language governing permissions and limitations under the License"],
+    "bsd": ["Licensed under the BSD License", "Redistribution and use in source and binary forms, with or without modification, are permitted",
+            "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
+            "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation",
+            "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES"],
     "cc-by": ["Licensed under CC BY 4.0", "licensed under a Creative Commons Attribution 4.0 International License"],
     "cc-by-nc": ["Licensed under CC BY-NC 4.0", "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"],
     "cc-by-sa": ["Licensed under CC BY-SA 4.0", "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"],
     "cc0": ["released under CC0 1.0 Universal public domain dedication"],
     "gpl": ["This work is licensed under the GNU General Public License, version 3",
+            "You should have received a copy of the GNU General Public License along with this program",
             "modify it under the terms of the GNU General Public License as published by the Free Software Foundation"],
-    "isc": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
-    "lgpl": ["licensed under the GNU Lesser General Public License, version 3"],
+    "isc": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+            "provided that the above copyright notice and this permission notice appear in all copies",
+            "THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE"],
+    "lgpl": ["licensed under the GNU Lesser General Public License, version 3",
+             "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+             "You should have received a copy of the GNU Lesser General Public License along with this library"],
     "mit": ["Released under the MIT License", "Licensed under the MIT License",
-            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"],
-    "mpl": ["subject to the terms of the Mozilla Public License, version 2.0"],
-    "unlicense": ["This is free and unencumbered software released into the public domain"],
+            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+            "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software"],
+    "mpl": ["subject to the terms of the Mozilla Public License, version 2.0",
+            "If a copy of the MPL was not distributed with this file, You can obtain one at"],
+    "unlicense": ["This is free and unencumbered software released into the public domain",
+                  "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary"],
+    UNKNOWN: ["THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO",
+              "but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE"],
 }
 _TOKEN = re.compile(rb"[a-z0-9\x80-\xff]+")
+#: Comment marks made of letters; all others hold no token.
+_MARK = re.compile(rb"\s*(?:rem|dnl|c)(?=\s)")
 
 
 def tokens(raw: bytes) -> list[bytes]:
     return _TOKEN.findall(raw.lower())
 
 
+def paragraphs(raw: bytes):
+    """Tokens of each run of lines that hold any."""
+    held: list[bytes] = []
+    for line in raw.lower().split(b"\n"):
+        mark = _MARK.match(line)
+        words = _TOKEN.findall(line, mark.end() if mark else 0)
+        if words:
+            held += words
+        elif held:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
 def grams(words: list) -> set:
     return {*words, *zip(words, words[1:])}
 
@@ -83,11 +117,14 @@ class LicenseModel:
 
     def _examples(self, background, rng):
         plain = [w for words in background for w in words] or [b"word"]
+        # A word of one family alone is never left out: without it the notice would be another family's.
+        kinds = {f: {w for words in ts for w in words} for f, ts in self.templates.items()}
+        sole = {w for f, own in kinds.items() for w in own if not any(w in other for g, other in kinds.items() if g != f)}
         windows, labels = [], []
         for k, f in enumerate(self.families[:-1]):
             for words in self.templates[f]:
                 for _ in range(60):
-                    own = [w for w in words if rng.random() > 0.05]
+                    own = [w for w in words if rng.random() > 0.05 or w in sole]
                     around = [plain[i] for i in rng.integers(0, len(plain), rng.integers(0, WINDOW))]
                     cut = int(rng.integers(0, len(around) + 1)) if rng.random() < 0.5 else 0
                     windows.append((around[:cut] + own + around[cut:])[:WINDOW + len(own)])
@@ -158,19 +195,18 @@ class LicenseModel:
         """Family (or unknown, none), score, number of paragraphs with a licence of a whole text."""
         if not raw or not self.reachable(set(tokens(raw))):
             return NONE, 0.0, 0
-        found, paragraphs = [], 0
-        for line in raw.split(b"\n"):
-            words = tokens(line)
+        found, n = [], 0
+        for words in paragraphs(raw):
             if not self.reachable(set(words)):
                 continue
             parts = [words[i:i + WINDOW] for i in range(0, max(1, len(words) - WINDOW + STRIDE), STRIDE)]
-            hits = [r for r in map(self.window, parts) if r[0] != NONE]
-            paragraphs += bool(hits)
+            hits = [r for r in (self.window(x) for x in parts if self.reachable(set(x))) if r[0] != NONE]
+            n += bool(hits)
             found += hits
         if not found:
             return NONE, 0.0, 0
         family, score = min(found, key=lambda r: (r[0] == UNKNOWN, -r[1], r[0]))
-        return family, score, paragraphs
+        return family, score, n
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> LicenseModel:

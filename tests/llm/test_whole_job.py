@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import random
+import textwrap
 
-from crimestats.llm import byte_language, ngram_join
+from crimestats.llm import byte_language, license_scan, ngram_join
 
 
 def grams_of(text, n):
@@ -73,3 +74,21 @@ def test_rare_languages_are_learned(make_docs):
     assert repeated.languages == ["cc"]
     net = byte_language.train(rows.limit(0))
     assert byte_language.filter_documents(docs, net).count() == len(langs)
+
+
+def test_wrapped_and_commented_notices_of_every_family():
+    rng = random.Random(25)
+    noise = lambda n: ["".join(rng.choice("abcdeinot") for _ in range(6)).encode() for _ in range(n)]
+    model = license_scan.LicenseModel([noise(80) for _ in range(200)])
+    wrong = []
+    for family, notices in license_scan.TEMPLATES.items():
+        for notice in notices:
+            for width in (30, 60):
+                for mark in ("", "# ", " * ", "// ", "rem "):
+                    lines = [mark + x for x in textwrap.wrap(notice, width)]
+                    text = "\n".join([" ".join(x.decode() for x in noise(30)), "", *lines, mark.rstrip(), " ".join(x.decode() for x in noise(30))])
+                    got = model.document(text.encode())
+                    if got[0] != family or got[2] != 1:
+                        wrong.append((family, notice, width, mark, got))
+    assert not wrong
+    assert model.document(b" ".join(noise(300)))[0] == "none"
