@@ -113,7 +113,7 @@ class LicenseModel:
         self.pairs = [(g, v) for g, v in self.gain.items() if isinstance(g, tuple) and v > 0]
         self.words = frozenset(g for g in vocabulary if isinstance(g, bytes))
         # What weights must add up to before a family can reach even odds with none.
-        self.need = float(self.b[-1] - self.b[:-1].max() - np.log(len(self.families)))
+        self.need = float(self.b[-1] - self.b[:-1].max() - max(1.0, self.temperature) * np.log(len(self.families)))
 
     def _examples(self, background, rng):
         plain = [w for words in background for w in words] or [b"word"]

@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 import textwrap
 
+import numpy as np
+
 from crimestats.llm import byte_language, license_scan, ngram_join
 
 
@@ -92,3 +94,13 @@ def test_wrapped_and_commented_notices_of_every_family():
                         wrong.append((family, notice, width, mark, got))
     assert not wrong
     assert model.document(b" ".join(noise(300)))[0] == "none"
+
+
+def test_license_bound_holds_at_any_temperature(monkeypatch):
+    """The bound passes over no window whose probability of none could be under a half."""
+    def hot(model, x, y):
+        model.temperature, model.least = 3.0, 0.5
+
+    monkeypatch.setattr(license_scan.LicenseModel, "_calibrate", hot)
+    model = license_scan.LicenseModel([[b"plain", b"words"] * 20] * 50)
+    assert model.need <= model.b[-1] - model.b[:-1].max() - 3 * np.log(len(model.families)) + 1e-4
