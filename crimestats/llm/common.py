@@ -44,8 +44,15 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, name: str) -> None:
+        """Free a table after its last reader."""
+        self._delete(f"{self.root}/{name}")
+
     def close(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        self._delete(self.root)
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

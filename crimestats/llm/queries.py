@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from crimestats.llm import (byte_language, chat_format, host_quality, lattice_dedup, license_scan, maxent_lm, ngram_join,
-                            sentence_pieces, source_mix, token_counts)
+from crimestats.llm import (ball_codes, byte_bpe, byte_language, chat_format, host_quality, lattice_dedup, license_scan, maxent_lm,
+                            middle_fill, ngram_join, sentence_pieces, source_mix, token_counts)
 
 MODULES = {
     "op1_host_quality": host_quality,
@@ -16,6 +16,9 @@ MODULES = {
     "op8_lattice_dedup": lattice_dedup,
     "op9_token_counts": token_counts,
     "op10_source_mix": source_mix,
+    "op11_ball_codes": ball_codes,
+    "op12_byte_bpe": byte_bpe,
+    "op13_middle_fill": middle_fill,
 }
 
 
