@@ -164,12 +164,31 @@ def join_few(rows: DataFrame, few: DataFrame, key: str, spread: str) -> DataFram
         salted, [key, "__llm_salt"], "left").drop("__llm_salt")
 
 
+#: Nodes of which a task holds the trees before it gives them out, and joins of a hub: a node with more rows than HUB_ROWS and
+#: one in MOST_HUBS of all; there are MOST_HUBS hubs at most, whatever the edges.
+FOREST_NODES, HUB_ROWS, MOST_HUBS = 1 << 19, 64, 10_000
+
+
+def with_least(rows: DataFrame, total: int) -> DataFrame:
+    """``rows`` (a, b; at most ``total`` of them) with m, the least b of its a.
+
+    The rows of hubs meet their minima in a broadcast (at most MOST_HUBS rows, as their counts add up to ``total``), the others in a
+    shuffle in which no key has more than HUB_ROWS or a MOST_HUBS-th of the rows.
+    """
+    least = max(HUB_ROWS, total // MOST_HUBS)
+    low = rows.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    hubs = low.where(F.col("n") > least)
+    hot = rows.join(F.broadcast(hubs.select("a", "m")), "a")
+    cold = rows.join(F.broadcast(hubs.select("a")), "a", "left_anti").join(low.where(F.col("n") <= least).select("a", "m"), "a")
+    return hot.union(cold)
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Smallest node reachable, for every node of the undirected ``edges`` (columns a, b): (node, component).
 
-    Each partition first reduces its edges to a spanning forest, then large-star and small-star rounds
-    hang every node on its component's smallest one.  A round is two groupings with map-side minima and a
-    join on the node, so a node with very many edges is pre-aggregated and its join can be split.
+    Two forests come first: each task hangs the nodes of its edges on the smallest of their trees, then these rows are dealt by
+    their node, so that trees that share nodes in many tasks are joined where the node lies; what is left has about one row a node,
+    however many edges or tasks there were.  Large-star and small-star rounds then hang every node on its component's smallest one.
     """
     node = edges.schema["a"].dataType
     pair = T.StructType([T.StructField("a", node), T.StructField("b", node)])
@@ -186,30 +205,39 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                 parent[x], x = root, parent[x]
             return root
 
+        def hung():
+            links = [(x, find(x)) for x in list(parent) if find(x) != x]
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], arrow.types[i]) for i in (0, 1)], schema=arrow)
+
         for batch in batches:
             for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 a, b = find(a), find(b)
                 if a != b:
                     parent[max(a, b)] = min(a, b)
-        links = [(x, find(x)) for x in list(parent) if find(x) != x]
-        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], arrow.types[i]) for i in (0, 1)], schema=arrow)
-
-    state = staged(edges.select("a", "b").where("a <> b").mapInArrow(forest, pair))
-    mark = None
-    for _ in range(max_rounds):
+            if len(parent) > FOREST_NODES:
+                yield hung()
+                parent.clear()
+        yield hung()
+
+    def settled(rows):
+        return tuple(rows.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+    trees = edges.select("a", "b").where("a <> b").mapInArrow(forest, pair).repartition("a")
+    state = staged(trees.mapInArrow(forest, pair).distinct())
+    mark = settled(state)
+    for _ in range(max_rounds if mark[0] else 0):
+        total = 2 * mark[0]
         both = state.union(state.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(low, "a")
-        small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b")))
-        state = staged(small.where("a <> b").distinct())
-        now = tuple(state.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == mark:
+        large = with_least(both, total).select("b", F.least("a", "m").alias("m"), (F.col("b") > F.col("a")).alias("up"))
+        down = large.where("up AND b <> m").select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b")).distinct()
+        small = with_least(down, total)
+        state, last = staged(small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b")))
+                             .where("a <> b").distinct()), mark
+        mark = settled(state)
+        if mark == last:
             break
-        mark = now
     else:
-        raise RuntimeError(f"components have not settled after {max_rounds} rounds")
+        if mark[0]:
+            raise RuntimeError(f"components have not settled after {max_rounds} rounds")
     hung = state.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node")
     return hung.union(state.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("component")))

@@ -128,6 +128,25 @@ def test_jaccard_join_equals_brute_force(make_docs, monkeypatch, small):
         assert ngram_join.similar_documents(docs.limit(0)).count() == 0
 
 
+def test_components_of_a_large_group_over_many_tasks(spark, monkeypatch):
+    """Rows after the forests and after each round follow the nodes, not the tasks or edges; hubs and forgetting change nothing."""
+    rows = []
+    keep = common.staged
+    monkeypatch.setattr(common, "staged", lambda df: (lambda out: rows.append(out.count()) or out)(keep(df)))
+    rng = random.Random(8)
+    n = 2000
+    edges = [(i, rng.randrange(n)) for i in range(n) for _ in range(20)] + [(i, i + 1) for i in range(n - 1)]
+    edges += [(n + 10 * k, n + 10 * k + j) for k in range(50) for j in range(1, 5)]
+    table = spark.createDataFrame(edges, "a long, b long").repartition(200)
+    want = {i: 0 for i in range(n)} | {n + 10 * k + j: n + 10 * k for k in range(50) for j in range(5)}
+    for nodes, hub in ((1 << 19, 64), (30, 3)):
+        monkeypatch.setattr(common, "FOREST_NODES", nodes)
+        monkeypatch.setattr(common, "HUB_ROWS", hub)
+        rows.clear()
+        assert dict(map(tuple, common.connected_components(table).collect())) == want
+        assert nodes < 1000 or max(rows) <= len(want) + 200
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, x) for x in range(101, 140)] + [(100, 100)]
     got = dict(map(tuple, common.connected_components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()))

@@ -26,7 +26,7 @@ def test_stages_keep_columns_and_ids(spark, tmp_path):
         if k == 0:
             assert ids[-1] == {r.doc_id for r in host_quality.host_quality(before).where("kept").collect()}
         if k == 2:
-            assert ids[-1] == {r.doc_id for r in ngram_join.similar_documents(before).where("doc_id = component_id").collect()}
+            assert ids[-1] == {r.doc_id for r in ngram_join.similar_documents(before, ngram_join.NEAR).where("doc_id = component_id").collect()}
     assert "input_ids" in docs.columns and docs.count() > 0
 
 
