@@ -5,17 +5,19 @@ near-duplicate stages 5 words and 0.8 (NEAR).
 
 1. Every text becomes its set of distinct shingles (64-bit hashes).  Texts with equal sets are one class, named by a 128-bit
    digest of the set; all later work is on classes.
-2. The global order: by a count, rarest first, then by hash.  The count is a sketch's: all shingles of all classes are counted
-   in COUNTERS counters by hash, summed over the tasks.  Any one order gives the same result; this one keeps the prefixes of
-   different documents apart, as a frequent shingle's counter is high.
+2. The global order: by a count, rarest first, then by hash.  The count is a sketch's: a task counts the shingles of all its classes
+   exactly, in runs of RUN_SHINGLES, and adds those met more than once in a run to COUNTERS counters by hash, which are summed
+   over the tasks.  A shingle of two in RUN_SHINGLES is counted in most runs, however large the input, and there are
+   RUN_SHINGLES / 2 such at most; the others, nearly all, leave the counters empty.  Any one order gives the same result; this
+   one keeps the prefixes of different documents apart, as a frequent shingle's counter is high.
 3. A pair that links shares a shingle of both sets' prefixes (the first n - ceil(t n) + 1 of n in the order, t the least similarity).  Prefix
    shingles of one class only are dropped; the others are buckets.
 4. Buckets of up to SMALL classes give candidate pairs with the number of prefix shingles they share.  Common shingles outside
    the shared prefixes lie behind the prefix of one of the two, which bounds the overlap; pairs that can't link go.  The others'
    sets are cut into FRAGMENTS ranges of the hashes, each fragment's overlaps are counted as separate rows and summed per pair.
-5. Buckets of more classes are split by size band and into blocks; each pair of blocks is one task, which adds up the
-   blocks' partial overlap counts fragment by fragment as matrix products and returns only a spanning forest of the pairs
-   that link: linear in the block, whatever the number of pairs.
+5. Classes of larger buckets are dealt to blocks, each class at its largest bucket; each pair of blocks that meet in a bucket is one
+   task, however many buckets they share.  It adds up the blocks' partial overlap counts fragment by fragment as matrix products
+   and returns only a spanning forest of the pairs that link: linear in the block, whatever the number of pairs.
 6. Components of the links between classes, then the smallest doc_id of each component.
 
 Prefix rows name a class by 64 bits of its digest; candidates get all classes of that name and size back, and only whole
@@ -52,15 +54,15 @@ class Rule(NamedTuple):
 
 #: Production parameters: of the registered query and of near-duplicate stages.
 RULE, NEAR = Rule(3, 90), Rule(5, 80)
-#: Counters of the sketch behind the order (a broadcast of 4 to 8 MB, whatever the input), rows that a task sends them in, and
-#: groups of tasks whose counters are summed first.
-COUNTERS, CHUNKS, TASK_GROUPS = 1 << 20, 16, 32
+#: Shingles of a run; counters of the sketch behind the order (a broadcast of 2 to 16 MB, whatever the input), rows that a task sends
+#: them in, and groups of tasks whose counters are summed first.
+RUN_SHINGLES, COUNTERS, CHUNKS, TASK_GROUPS = 1 << 22, 1 << 21, 16, 32
 SMALL = 128
 #: Classes that a task remembers, so as to give each once, before it forgets them.
 RUN_CLASSES = 1 << 18
 #: Ids up to which the documents to read again are broadcast (8 bytes each); more are joined by a shuffle.
 FEW_IDS = 500_000
-BLOCK, BLOCK_SHINGLES = 256, 1 << 20
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
 FRAGMENTS = 4
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
@@ -111,6 +113,14 @@ def first_pass(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     def run(batches):
         seen: set[bytes] = set()
         counters = np.zeros(COUNTERS, np.uint32)
+        held: list[np.ndarray] = []
+        size = 0
+
+        def count():
+            values, n = np.unique(np.concatenate(held), return_counts=True)
+            np.add.at(counters, values[n > 1] & (COUNTERS - 1), n[n > 1].astype(np.uint32))
+            held.clear()
+
         for batch in batches:
             sets = [shingles(x, rule.n) for x in binary_list(batch.column("text"))]
             keys = [signature(x) if len(x) else None for x in sets]
@@ -118,11 +128,16 @@ def first_pass(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
                        h=[None if k is None else name(k) for k in keys])
             new = {k: x for k, x in zip(keys, sets) if k and k not in seen}
             seen.update(new)
-            if new:
-                values, n = np.unique(np.concatenate(list(new.values())) & (COUNTERS - 1), return_counts=True)
-                counters[values] += n.astype(np.uint32)
+            for x in new.values():
+                held.append(x)
+                size += len(x)
+                if size >= RUN_SHINGLES:
+                    count()
+                    size = 0
             if len(seen) > RUN_CLASSES:
                 seen.clear()
+        if held:
+            count()
         if counters.any():
             parts = np.split(counters, CHUNKS)
             yield rows(CHUNKS, task=[TaskContext.get().partitionId()] * CHUNKS, chunk=list(range(CHUNKS)), counts=[pack(x) for x in parts])
@@ -247,17 +262,58 @@ def pair_links(pairs: DataFrame, sets: DataFrame, rule: Rule = RULE) -> DataFram
     return total.where(enough(F.col("overlap"), F.col("n_a"), F.col("n_b"), rule)).select("a", "b")
 
 
+def _blocks(classes, longest, rule: Rule):
+    """Number of blocks for so many classes of at most so many shingles."""
+    return F.ceil(classes / F.greatest(F.lit(2), F.least(F.lit(BLOCK), F.floor(F.lit(BLOCK_SHINGLES) / longest)))).cast("int")
+
+
+def _band(n, rule: Rule):
+    """Sets whose sizes lie two bands apart can't link: a band is a ratio of the least similarity."""
+    return F.floor(F.log(n.cast("double")) / F.lit(-float(np.log(rule.numerator / rule.denominator)))).cast("int")
+
+
+def home_rows(members: DataFrame, rule: Rule = RULE) -> tuple[DataFrame, DataFrame]:
+    """(key, diagonal, side, cls of the members of large buckets that share blocks, g, cls, n of the others).
+
+    Near copies meet in as many buckets as they have common shingles in their prefixes.  Their home is the largest of them, and a
+    home's classes form blocks (by size band too if they are more than one).  Two classes of one bucket are in two blocks that both
+    occur in it, so each such pair of blocks is one task, whatever the number of its buckets, and gets the classes that
+    meet the other block in one.  Buckets whose members come from many more blocks than they would need of their own are left to those.
+    """
+    size = members.groupBy("g").agg(F.count("*").alias("m"))
+    sized = staged(members.join(size, "g"))
+    home = sized.groupBy("cls").agg(F.max(F.struct("m", "g")).alias("home"), F.first("n").alias("n"))
+    home = home.select("cls", "n", F.col("home.g").alias("home"), _band(F.col("n"), rule).alias("band"))
+    whole = home.groupBy("home").agg(_blocks(F.count("*"), F.max("n"), rule).alias("all"))
+    part = home.groupBy("home", "band").agg(_blocks(F.count("*"), F.max("n"), rule).alias("blocks"))
+    home = home.join(whole, "home").join(part, ["home", "band"])
+    band = F.when(F.col("all") > 1, F.col("band")).otherwise(-1)
+    place = F.when(F.col("all") > 1, F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")).otherwise(0)
+    placed = sized.join(home.select("cls", F.struct("home", band.alias("band"), place.alias("k")).alias("block")), "cls")
+    placed = staged(placed.select("g", "m", "cls", "n", "block"))
+    present = placed.groupBy("g", "block").agg(F.max("m").alias("m"))
+    few = present.groupBy("g").agg(F.count("*").alias("here"), F.max("m").alias("m")).where(F.col("here") <= 8 + 8 * F.col("m") / BLOCK).select("g")
+    other = present.join(few, "g").select("g", F.col("block").alias("other"))
+    apart = F.expr("block.band >= 0 AND other.band >= 0 AND abs(block.band - other.band) > 1")
+    met = placed.join(other, "g").where(~apart)
+    pair = _key(F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
+    rows = met.select(pair.alias("key"), (F.col("block") == F.col("other")).alias("diagonal"),
+                      F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"), "cls").distinct()
+    return rows, placed.join(few, "g", "left_anti").select("g", "cls", "n")
+
+
+def _key(*columns):
+    return F.to_json(F.struct(*columns))
+
+
 def block_rows(members: DataFrame, rule: Rule = RULE) -> DataFrame:
-    """g, band, one, two, side, cls, n: the members of large buckets dealt to pairs of blocks.
+    """key, diagonal, side, cls: the members of large buckets dealt to pairs of blocks of each bucket.
 
-    Sets whose sizes differ by more than a band (a ratio of the least similarity) can't link.  A class of size band k meets bands k and k + 1 (there as ``low``); within a band, blocks of BLOCK classes or BLOCK_SHINGLES
+    A class of size band k meets bands k and k + 1 (there as ``low``); within a band, blocks of BLOCK classes or BLOCK_SHINGLES
     shingles.  The pairs are home x home (one <= two) and low x home (one: -1 - low block).
     """
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-float(np.log(rule.numerator / rule.denominator)))).cast("int")
-    homes = members.withColumn("band", band)
-    size = homes.groupBy("g", "band").agg(F.count("*").alias("homes"), F.max("n").alias("longest"))
-    blocks = F.ceil(F.col("homes") / F.greatest(F.lit(2), F.least(F.lit(BLOCK), F.floor(F.lit(BLOCK_SHINGLES) / F.col("longest"))))).cast("int")
-    size = size.select("g", "band", blocks.alias("blocks"))
+    homes = members.withColumn("band", _band(F.col("n"), rule))
+    size = homes.groupBy("g", "band").agg(_blocks(F.count("*"), F.max("n"), rule).alias("blocks"))
     below = size.select("g", (F.col("band") + 1).alias("band"), F.col("blocks").alias("low_blocks"))
     above = size.select("g", (F.col("band") - 1).alias("band"), F.col("blocks").alias("high_blocks"))
     per = size.join(below, ["g", "band"], "left").join(above, ["g", "band"], "left")
@@ -272,7 +328,8 @@ def block_rows(members: DataFrame, rule: Rule = RULE) -> DataFrame:
         "g", "band", "block", F.explode(F.sequence(F.lit(0), F.col("high_blocks") - 1)).alias("home"), "cls", "n")
     low = low.select("g", (F.col("band") + 1).alias("band"), (-1 - F.col("block")).alias("one"), F.col("home").alias("two"),
                      F.lit(0).alias("side"), "cls", "n")
-    return same.union(high).union(low)
+    rows = same.union(high).union(low)
+    return rows.select(_key("g", "band", "one", "two").alias("key"), (F.col("one") == F.col("two")).alias("diagonal"), "side", "cls")
 
 
 def _overlaps(left: list, right: list) -> np.ndarray:
@@ -301,8 +358,7 @@ def block_links(blocks: DataFrame, sets: DataFrame, rule: Rule = RULE) -> DataFr
         values = table.column("set").combine_chunks()
         arrays = [values[k].values.to_numpy() for k in range(len(values))]
         a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        diagonal = table.column("one")[0].as_py() == table.column("two")[0].as_py()
-        if diagonal:
+        if table.column("diagonal")[0].as_py():
             a = b = np.arange(len(side))
         links: list[tuple[bytes, bytes]] = []
         if len(a) and len(b):
@@ -323,7 +379,7 @@ def block_links(blocks: DataFrame, sets: DataFrame, rule: Rule = RULE) -> DataFr
                     links.append((cls[x], cls[y]))
         return pa.table({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([y for _, y in links], pa.binary())})
 
-    return blocks.join(sets, "cls").groupBy("g", "band", "one", "two").applyInArrow(kernel, "a binary, b binary")
+    return blocks.join(sets, "cls").groupBy("key").applyInArrow(kernel, "a binary, b binary")
 
 
 def _grouped(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -332,9 +388,11 @@ def _grouped(docs: DataFrame, rule: Rule) -> DataFrame:
         read = tables.table(first_pass(docs, rule), "first")
         classes = staged(read.where("n_shingles IS NOT NULL").select("doc_id", "n_shingles", "cls", "h"))
         entries = tables.table(postings(docs, sketch(read.where("chunk IS NOT NULL").select("task", "chunk", "counts")), rule), "postings")
+        tables.drop("first")
         # A class may come from several tasks: a bucket has two of them at least.
         sizes = entries.groupBy("g").agg(F.count("*").alias("m"), F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi")
         shared = tables.table(entries.join(sizes.select("g", "m"), "g"), "shared")
+        tables.drop("postings")
         small, large = shared.where(F.col("m") <= SMALL).drop("m"), shared.where(F.col("m") > SMALL).drop("m").distinct()
         found = tables.table(small_pairs(small, large, rule), "pairs")
         named = tables.table(classes.where("cls IS NOT NULL").groupBy("cls").agg(
@@ -343,9 +401,13 @@ def _grouped(docs: DataFrame, rule: Rule) -> DataFrame:
         pairs = found.join(back.toDF("a", "n_a", "cls_a"), ["a", "n_a"]).join(back.toDF("b", "n_b", "cls_b"), ["b", "n_b"])
         pairs = tables.table(pairs.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"), "n_a", "n_b"), "named_pairs")
         members = tables.table(large.join(back, ["h", "n"]).select("g", "cls", "n"), "members")
+        tables.drop("shared")
+        tables.drop("pairs")
         wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(members.select("cls")).distinct()
         sets = tables.table(class_sets(docs, named.join(wanted, "cls", "left_semi").select("cls", "doc_id"), rule), "sets")
-        links = staged(pair_links(pairs, sets, rule).union(block_links(block_rows(members, rule), sets, rule)))
+        shared_blocks, others = home_rows(members, rule)
+        blocks = tables.table(shared_blocks.union(block_rows(others, rule)), "blocks")
+        links = staged(pair_links(pairs, sets, rule).union(block_links(blocks, sets, rule)))
     components = connected_components(links)
     return classes.join(components, classes.cls == components.node, "left").select(
         "doc_id", "n_shingles", "cls", F.coalesce("component", "cls").alias("root"))
