@@ -8,11 +8,12 @@ the Parquet scan.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,6 +102,28 @@ def in_period(col: Column, period: Period, dtype: T.DataType | None = None) -> C
     return (col >= _ts_literal(period.start, dtype)) & (col < _ts_literal(period.end, dtype))
 
 
+def folder_columns(date: str) -> dict[str, Callable[[dt.datetime], int]]:
+    """Partition columns that a layout may derive from a date column, with the folder of a moment: by year or by month (yyyymm)."""
+    return {f"{date}_YEAR": lambda t: t.year, f"{date}_MONTH": lambda t: t.year * 100 + t.month}
+
+
+def period_of(df: DataFrame, date: str, period: Period) -> Column:
+    """``in_period`` on a column of ``df``, and on the partition columns derived
+    from it that ``df`` has, so that the scan lists the period's folders only.
+
+    The folders follow the date itself, never a stored YEAR, which may differ
+    (T25).  A zoned timestamp may have been foldered under another session zone,
+    so its period is two days wider there."""
+    dtype = df.schema[date].dataType
+    cond = in_period(F.col(date), period, dtype)
+    slack = dt.timedelta(days=2 if isinstance(dtype, T.TimestampType) else 0)
+    last = period.end - dt.timedelta(microseconds=1)
+    for name, folder in folder_columns(date).items():
+        if name in df.columns:
+            cond = cond & F.col(name).between(folder(period.start - slack), folder(last + slack))
+    return cond
+
+
 def numeric_between(text: Column, lo: int, hi: int, strict: bool = False) -> Column:
     """Number held in a text column, inclusive range.
 

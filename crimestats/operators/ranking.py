@@ -10,9 +10,14 @@ keys in the buckets before it.
 Bucket boundaries are literal values picked from a bounded sample of the
 distinct keys (two small jobs: a count -- or a caller's estimate -- and a
 sample of at most a few thousand rows).  Because they are literals in the
-plan, re-running a lost task recomputes exactly the same buckets.  A key's
-bucket is found by a balanced binary search written as nested CASE
-expressions (log2 of the bucket count comparisons per key).
+plan, re-running a lost task recomputes exactly the same buckets.  They are one
+sorted array in which a key's bucket is found by bisection (``bucket_of``), so
+the expression is as large for two buckets as for five thousand.  The number of
+buckets follows the bytes of the distinct keys (BUCKET_BYTES each).
+
+``distinct_dense_rank`` ranks the distinct keys, to be joined back to rows;
+``with_row_ranks`` ranks the rows where they are, in one shuffle and no join,
+for keys that few rows share.
 
 Order is ascending with NULLS LAST on every key column (the source database's
 default, SURVEY T9); ranks are BIGINT.
@@ -20,15 +25,18 @@ default, SURVEY T9); ranks are BIGINT.
 
 from __future__ import annotations
 
+import json
 import math
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crimestats.operators.relational import nulls_last_key
 
-# One bucket is ranked by one task: keep it far below a task's memory.
-KEYS_PER_BUCKET = 2_000_000
+# One bucket is ranked by one task: bytes of its keys or rows as text, and what one costs besides.
+BUCKET_BYTES = 16 << 20
+KEY_BYTES = 8
 SAMPLES_PER_BUCKET = 20
 SAMPLE_SEED = 20160101
 
@@ -49,29 +57,28 @@ def _sql_literal(value, dtype: str) -> str:
     return f"CAST('{value}' AS {dtype})"
 
 
-def _sort_key_sql(cols: list[str]) -> str:
-    fields = []
-    for i, c in enumerate(cols):
-        fields += [f"'_s{2 * i}', `{c}` IS NULL", f"'_s{2 * i + 1}', `{c}`"]
-    return f"named_struct({', '.join(fields)})"
+class Keys(NamedTuple):
+    """Number of distinct keys and the bytes of one on average, both estimates."""
 
+    count: int
+    size: float
 
-def _literal_key_sql(row, cols: list[str], dtypes: dict[str, str]) -> str:
-    fields = []
-    for i, c in enumerate(cols):
-        is_null, value = row[2 * i], row[2 * i + 1]
-        fields += [f"'_s{2 * i}', {'true' if is_null else 'false'}", f"'_s{2 * i + 1}', {_sql_literal(value, dtypes[c])}"]
-    return f"named_struct({', '.join(fields)})"
+    def buckets(self, keys_per_bucket: int | None = None) -> int:
+        each = keys_per_bucket or max(1, BUCKET_BYTES / (self.size + KEY_BYTES))
+        return max(1, math.ceil(self.count / each))
 
 
-def _bucket_sql(key: str, bounds: list[str], lo: int, hi: int) -> str:
-    """Number of boundaries <= key, as a balanced binary search over
-    ``bounds[lo:hi]`` (log2 comparisons per row instead of a linear chain)."""
-    if lo >= hi:
-        return str(lo)
-    mid = (lo + hi) // 2
-    return (f"CASE WHEN {key} >= {bounds[mid]} THEN {_bucket_sql(key, bounds, mid + 1, hi)} "
-            f"ELSE {_bucket_sql(key, bounds, lo, mid)} END")
+def bucket_of(cols: list[str], bounds: list, schema) -> Column:
+    """Number of boundaries at or below the key of ``cols``: bisection in one array literal, whatever its length."""
+    if not bounds:
+        return F.lit(0)
+    fields = ", ".join(f"_s{2 * i}: boolean, _s{2 * i + 1}: {schema[c].dataType.simpleString()}" for i, c in enumerate(cols))
+    text = json.dumps([{f"_s{i}": v for i, v in enumerate(b) if v is not None} for b in bounds], default=str)
+    array = F.from_json(F.lit(text), f"array<struct<{fields}>>")
+    key, n = _sort_key(cols), len(bounds)
+    steps = F.array(*(F.lit(1 << k) for k in range(n.bit_length() - 1, -1, -1)))
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= n) & (key >= F.get(array, at + step - 1)), at + step).otherwise(at))
 
 
 def _boundaries(keys: DataFrame, cols: list[str], n_keys: int, n_buckets: int) -> list:
@@ -89,39 +96,40 @@ def _boundaries(keys: DataFrame, cols: list[str], n_keys: int, n_buckets: int) -
     return uniq
 
 
-def estimate_distinct(df: DataFrame, key_sets: dict[str, list[str]]) -> dict[str, int]:
-    """Approximate distinct counts of several key sets in one aggregate job
-    (HyperLogLog, ~2% error), enough to size the rank buckets."""
-    aggs = [F.approx_count_distinct(F.struct(*(F.col(c) for c in cols)), rsd=0.02).alias(name)
-            for name, cols in key_sets.items()]
+def estimate_distinct(df: DataFrame, key_sets: dict[str, list[str]], carried: list[str] | None = None) -> dict[str, Keys]:
+    """Approximate distinct counts of several key sets (HyperLogLog, ~2% error)
+    and the average bytes of their keys (of the columns ``carried``, where whole
+    rows are ranked) in one aggregate job, enough to size the rank buckets."""
+    aggs = []
+    for name, cols in key_sets.items():
+        size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in carried or cols), F.lit(0))
+        aggs += [F.approx_count_distinct(F.struct(*(F.col(c) for c in cols)), rsd=0.02).alias(name), F.avg(size).alias(f"{name}_size")]
     row = df.agg(*aggs).collect()[0]
-    return {name: int(row[name]) for name in key_sets}
+    return {name: Keys(int(row[name]), float(row[f"{name}_size"] or 0)) for name in key_sets}
 
 
 def distinct_dense_rank(df: DataFrame, order: list[str], partition: list[str] | None = None,
-                        rank_col: str = "DENSE_RANK", keys_per_bucket: int = KEYS_PER_BUCKET,
-                        n_keys: int | None = None) -> DataFrame:
+                        rank_col: str = "DENSE_RANK", keys_per_bucket: int | None = None,
+                        size: Keys | None = None) -> DataFrame:
     """Map of the distinct ``partition + order`` keys to their dense rank.
 
     Without ``partition`` this is the global rank (G11); with it, the rank of
     ``order`` inside each partition value (G10).  Returns the key columns and
     ``rank_col``; join it back to the rows with a null-safe join on the keys.
-    ``n_keys`` (an estimate of the distinct keys) skips the counting job.
+    ``size`` (an estimate of the distinct keys) skips the counting job;
+    ``keys_per_bucket`` sets the buckets by number instead of by bytes.
     """
     partition = list(partition or [])
     cols = partition + list(order)
     dtypes = dict(df.select(*cols).dtypes)
     keys = df.select(*cols).distinct()
 
-    if n_keys is None:
-        n_keys = keys.count()
-    n_buckets = max(1, math.ceil(n_keys / keys_per_bucket))
-    bounds = _boundaries(keys, cols, n_keys, n_buckets) if n_buckets > 1 else []
+    size = size or estimate_distinct(keys, {"k": cols})["k"]
+    n_buckets = size.buckets(keys_per_bucket)
+    bounds = _boundaries(keys, cols, size.count, n_buckets) if n_buckets > 1 else []
 
     # Bucket = number of boundaries at or below the key (boundaries ascend).
-    literals = [_literal_key_sql(b, cols, dtypes) for b in bounds]
-    bucket = F.expr(_bucket_sql(_sort_key_sql(cols), literals, 0, len(literals)))
-    bucketed = keys.withColumn("_bucket", bucket.cast("int"))
+    bucketed = keys.withColumn("_bucket", bucket_of(cols, bounds, df.schema))
 
     # Inside a bucket the keys are distinct, so the dense rank is a row number.
     order_fields = [F.col(c).asc_nulls_last() for c in order]
@@ -168,10 +176,55 @@ def _and_all(conds: list[Column]) -> Column:
 
 
 def with_dense_rank(df: DataFrame, order: list[str], partition: list[str] | None = None,
-                    rank_col: str = "DENSE_RANK", keys_per_bucket: int = KEYS_PER_BUCKET) -> DataFrame:
+                    rank_col: str = "DENSE_RANK", keys_per_bucket: int | None = None) -> DataFrame:
     """``df`` plus ``dense_rank() over (partition by .. order by .. nulls last)``."""
     ranks = distinct_dense_rank(df, order, partition, rank_col, keys_per_bucket)
     cols = list(partition or []) + list(order)
     renamed = ranks.select(*(F.col(c).alias(f"_rk_{c}") for c in cols), rank_col)
     cond = _and_all([df[c].eqNullSafe(renamed[f"_rk_{c}"]) for c in cols])
     return df.join(renamed, cond, "inner").drop(*(f"_rk_{c}" for c in cols))
+
+
+def with_row_ranks(df: DataFrame, order: list[str], partition: list[str], rank_col: str,
+                   keys_per_bucket: int | None = None, size: Keys | None = None,
+                   source: DataFrame | None = None) -> DataFrame:
+    """``df`` plus the same rank, found in the rows themselves: one shuffle by
+    (bucket, partition) and no join.
+
+    A partition value that straddles buckets is shifted by the distinct keys of
+    its earlier buckets; these are counted first (a job over the key columns)
+    and broadcast: two rows per boundary at most, or for a value that spans
+    whole buckets one each.  Rows of equal keys are ranked by one task, so use
+    it where a key (partition and order columns together) is nearly one row.
+    ``source`` is a cheaper relation with exactly the keys of ``df``, if any.
+    """
+    cols = partition + order
+    source = df if source is None else source
+    size = size or estimate_distinct(df, {"k": cols}, df.columns)["k"]
+    n_buckets = size.buckets(keys_per_bucket)
+    bounds = _boundaries(source.select(*cols).distinct(), cols, size.count, n_buckets) if n_buckets > 1 else []
+    order_fields = [F.col(c).asc_nulls_last() for c in order]
+    if not bounds:
+        return df.withColumn(rank_col, F.dense_rank().over(Window.partitionBy(*partition).orderBy(*order_fields)).cast("long"))
+
+    bucketed = df.withColumn("_bucket", bucket_of(cols, bounds, df.schema))
+    local = F.dense_rank().over(Window.partitionBy("_bucket", *partition).orderBy(*order_fields)).cast("long")
+    # Only a partition value that appears in a boundary can straddle buckets.
+    names = [f"_p{i}" for i in range(len(partition))]
+    parts = sorted({tuple(b[2 * i + 1] for i in range(len(partition))) for b in bounds}, key=repr)
+    schema = ", ".join(f"{n} {df.schema[c].dataType.simpleString()}" for n, c in zip(names, partition))
+    held = F.broadcast(df.sparkSession.createDataFrame(parts, schema))
+    keys = source.select(*cols).distinct().withColumn("_bucket", bucket_of(cols, bounds, df.schema))
+    straddling = keys.join(held, _and_all([keys[c].eqNullSafe(held[n]) for c, n in zip(partition, names)]), "left_semi")
+    counted = straddling.groupBy("_bucket", *partition).agg(F.count(F.lit(1)).alias("n")).collect()
+    before: dict[tuple, int] = {}
+    shifts = []
+    for row in sorted(counted, key=lambda r: r["_bucket"]):
+        value = tuple(row[c] for c in partition)
+        shifts.append((row["_bucket"], *value, before.get(value, 0)))
+        before[value] = before.get(value, 0) + row["n"]
+    shift = F.broadcast(df.sparkSession.createDataFrame(shifts, f"_b int, {schema}, _shift long"))
+    ranked = bucketed.withColumn("_local", local)
+    cond = _and_all([ranked["_bucket"] == shift["_b"], *(ranked[c].eqNullSafe(shift[n]) for c, n in zip(partition, names))])
+    out = ranked.join(shift, cond, "left")
+    return out.select(*df.columns, (F.col("_local") + F.coalesce(F.col("_shift"), F.lit(0))).alias(rank_col))

@@ -23,9 +23,12 @@ computed on distinct keys by range buckets (``operators.ranking``), never in a
 single task.  RD-level joins use distinct (RD, code) pairs, so an incident with
 many homicides does not multiply rows by the number of its motives.
 
-Everything that is per homicide or per incident is attached to the homicides
-first; the offenders come last, joined on (homicide, chunk of its offender
-ranks), so a homicide with most of the offenders is many bounded keys.
+The report stages three relations: the period's homicides, the scope with each
+homicide's number of offenders, and the parties (homicide x offender).  All that
+is per homicide or per incident is attached to the homicides in place: ranks by
+windows over range buckets, and one row per incident with its counts, situations
+and circumstances.  The parties come last, joined on (homicide, chunk), so a
+homicide with most of the offenders is many bounded keys.
 """
 
 from __future__ import annotations
@@ -41,12 +44,12 @@ from crimestats.functions.predicates import (
     DistrictRange,
     Period,
     ReportingPeriods,
-    in_period,
     number_text,
     numeric_between,
+    period_of,
     prefix_not_in,
 )
-from crimestats.operators.ranking import KEYS_PER_BUCKET, distinct_dense_rank, estimate_distinct
+from crimestats.operators.ranking import distinct_dense_rank, estimate_distinct, with_row_ranks
 from crimestats.operators.relational import count_distinct_per_key, swap_when, top1_per_key
 from crimestats.schemas import INPUT_SCHEMAS, SHR_COLUMNS
 from crimestats.session import staged_parquet
@@ -58,8 +61,10 @@ DEFAULT_DISTRICTS = DistrictRange(1, 25)
 # (counts, situations, circumstances, ranks) includes it, so one run can build
 # the reports of many periods (``ReportingPeriods``) with per-period results.
 PERIOD_COL = "REPORT_PERIOD"
-# Offender ranks that meet one homicide row at one join key.
+# Offenders that meet one homicide row at one join key.
 OFFENDERS_PER_CHUNK = 100_000
+# Homicides with more offenders than a chunk and than one in so many of all offenders meet them by broadcast: at most so many.
+MOST_HOT_HOMICIDES = 10_000
 
 # Fixed column contract of the master.
 MASTER_COLUMNS = [
@@ -76,7 +81,7 @@ def _in_periods(df: DataFrame, periods: ReportingPeriods) -> tuple[F.Column, F.C
     """(pushable covering-period predicate, period label) for INJURY_DATE."""
     dtype = df.schema["INJURY_DATE"].dataType
     cover = periods.covering()
-    return in_period(F.col("INJURY_DATE"), cover, dtype), periods.label(F.col("INJURY_DATE"), dtype)
+    return period_of(df, "INJURY_DATE", cover), periods.label(F.col("INJURY_DATE"), dtype)
 
 
 def homicide_base(tables: CrimeTables, period: Period | ReportingPeriods = DEFAULT_PERIOD,
@@ -193,23 +198,27 @@ def party_counts(tables: CrimeTables, scope: DataFrame, offenders: DataFrame | N
     )
 
 
-def situation_code_expr() -> F.Column:
-    """H4 decision table over VICTOTAL (v), OFFENDERS (o), CLEARED_I, class.
+def _situation_sql(cleared: str, excluded: str) -> str:
+    """H4 decision table over VICTOTAL (v), OFFENDERS (o), whether the homicide
+    is cleared and whether it is involuntary / justified.
 
     known offender: cleared, or not cleared but involuntary / justified;
     unknown offender: not cleared and neither.  The source compares the ratio
     o/v with 1; on integer counts that is o = v, o > v, o >= v (T11)."""
-    ij = R.first_char_in("HOMICIDE_NO", C.HOMICIDE_EXCLUDED_CLASSES)
-    known = f"(CLEARED_I = 'Y' OR (CLEARED_I = 'N' AND {ij}))"
-    unknown = f"(CLEARED_I = 'N' AND NOT ({ij}))"
-    return F.expr(R.sql_case([
+    known = f"({cleared} = 'Y' OR ({cleared} = 'N' AND {excluded}))"
+    unknown = f"({cleared} = 'N' AND NOT ({excluded}))"
+    return R.sql_case([
         (f"{known} AND VICTOTAL = 1 AND OFFENDERS = VICTOTAL", "'A'"),
         (f"{known} AND VICTOTAL = 1 AND OFFENDERS > VICTOTAL", "'C'"),
         (f"{known} AND VICTOTAL > 1 AND OFFENDERS = VICTOTAL", "'D'"),
         (f"{known} AND VICTOTAL > 1 AND OFFENDERS > VICTOTAL", "'E'"),
         (f"{unknown} AND VICTOTAL = 1 AND OFFENDERS >= VICTOTAL", "'B'"),
         (f"{unknown} AND VICTOTAL > 1 AND OFFENDERS >= VICTOTAL", "'F'"),
-    ]))
+    ])
+
+
+def situation_code_expr() -> F.Column:
+    return F.expr(_situation_sql("CLEARED_I", R.first_char_in("HOMICIDE_NO", C.HOMICIDE_EXCLUDED_CLASSES)))
 
 
 def situation_codes(counts: DataFrame) -> DataFrame:
@@ -238,7 +247,7 @@ def circumstance_codes(tables: CrimeTables, period: Period | ReportingPeriods =
 
 # ------------------------------------------------------------------ ranks
 def report_ranks(tables: CrimeTables, scope: DataFrame, offenders: DataFrame | None = None,
-                 keys_per_bucket: int = KEYS_PER_BUCKET) -> dict[str, DataFrame]:
+                 keys_per_bucket: int | None = None) -> dict[str, DataFrame]:
     """The three dense ranks of the report, as key -> rank maps, per period.
 
     V_COUNT: HOMICIDE_NO over the whole report; VIC#: HOMICIDE_NO within RD_NO;
@@ -269,76 +278,119 @@ def _join_rank(df: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------------ H6 master
-def _homicide_rows(tables: CrimeTables, scope: DataFrame, offenders: DataFrame, ranks: dict[str, DataFrame],
-                   period: Period | ReportingPeriods, districts: DistrictRange) -> DataFrame:
-    """The scope with all that is per homicide or per incident: ranks (``NO_OFF``
-    is the offender rank of a homicide without offenders), lethal weapon, and
-    the distinct (situation, circumstance) pairs of its incident."""
+def sized_scope(tables: CrimeTables, scope: DataFrame) -> DataFrame:
+    """The scope with OFFENDER_ROWS, a homicide's number of offender rows (NULL: none), and CHUNKS, the keys they are dealt to."""
+    rows = tables.offenders.where(F.col("HOM_HOMICIDE_ID").isNotNull()).groupBy(F.col("HOM_HOMICIDE_ID").alias("_OHID")) \
+        .agg(F.count(F.lit(1)).alias("OFFENDER_ROWS"))
+    sized = scope.join(rows, scope["ID"] == rows["_OHID"], "left").drop("_OHID")
+    return sized.withColumn("CHUNKS", F.ceil(F.coalesce("OFFENDER_ROWS", F.lit(1)) / OFFENDERS_PER_CHUNK).cast("long"))
+
+
+def scoped_parties(tables: CrimeTables, sized: DataFrame) -> DataFrame:
+    """Every homicide of the scope with each of its offenders, or once with none:
+    the homicide's keys, the offender's columns, and the CHUNK it is dealt to.
+
+    Homicides with more offenders than a chunk and than one in
+    MOST_HOT_HOMICIDES of all meet their offenders by broadcast, where these
+    lie; as the counts add up, there are at most MOST_HOT_HOMICIDES of them.  The
+    others are joined by a shuffle in which no key is larger than that."""
+    p = PERIOD_COL
+    keys = sized.select("ID", p, "RD_NO", "HOMICIDE_NO", "CHUNKS", "OFFENDER_ROWS")
+    off = tables.offenders.select(F.col("HOM_HOMICIDE_ID").alias("_OHID"), F.col("ID").alias("HOFFID"),
+                                  "LAST_NME", "FIRST_NME", "AGE", "SEX", "RACE")
+    facts = keys.agg(F.sum("OFFENDER_ROWS").alias("n"), F.max("OFFENDER_ROWS").alias("most")).collect()[0]
+    hot_from = max(OFFENDERS_PER_CHUNK, (facts["n"] or 0) // MOST_HOT_HOMICIDES)
+    with_any, none = keys.where("OFFENDER_ROWS IS NOT NULL"), keys.where("OFFENDER_ROWS IS NULL")
+    if (facts["most"] or 0) <= hot_from:
+        matched = with_any.join(off, with_any["ID"] == off["_OHID"], "inner")
+    else:
+        hot, cold = with_any.where(F.col("OFFENDER_ROWS") > hot_from), with_any.where(F.col("OFFENDER_ROWS") <= hot_from)
+        hot = F.broadcast(hot)
+        names = F.broadcast(hot.select(F.col("ID").alias("_HOT")))
+        rest = off.join(names, off["_OHID"] == names["_HOT"], "left_anti")
+        matched = off.join(hot, off["_OHID"] == hot["ID"], "inner").unionByName(cold.join(rest, cold["ID"] == rest["_OHID"], "inner"))
+    parties = matched.drop("_OHID").unionByName(none, allowMissingColumns=True)
+    chunk = F.pmod(F.xxhash64("HOFFID"), F.col("CHUNKS"))
+    return parties.withColumn("CHUNK", chunk).drop("CHUNKS", "OFFENDER_ROWS")
+
+
+def incidents(tables: CrimeTables, scope: DataFrame, parties: DataFrame, period: Period | ReportingPeriods,
+              districts: DistrictRange) -> DataFrame:
+    """H3 to H5 for the report, one row per incident with an RD number: (_P, _RD,
+    SITCODES, CIRCUMSTANCES), the distinct codes as arrays.
+
+    One aggregate over three kinds of rows, combined in the map tasks: victims
+    with whether they are cleared and of which class (nine states at most),
+    offenders, and circumstance codes ('' for a NULL one, which counts beside
+    others).  An incident without a circumstance has one NULL."""
+    p = PERIOD_COL
+    excluded = F.expr(R.first_char_in("HOMICIDE_NO", C.HOMICIDE_EXCLUDED_CLASSES))
+    state = F.struct(F.when(F.col("CLEARED_I").isin("Y", "N"), F.col("CLEARED_I")).alias("CLEARED_I"), excluded.alias("EXCLUDED"))
+    circ = circumstance_codes(tables, period, districts)
+    rows = scope.select(p, "RD_NO", F.col("HOMICIDE_NO").alias("VICTIM"), state.alias("STATE")) \
+        .unionByName(parties.select(p, "RD_NO", "HOFFID"), allowMissingColumns=True) \
+        .unionByName(circ.select(p, "RD_NO", F.coalesce("CIRCUMSTANCECODE", F.lit("")).alias("CIRC")), allowMissingColumns=True)
+    found = rows.where(F.col("RD_NO").isNotNull()).groupBy(F.col(p).alias("_P"), F.col("RD_NO").alias("_RD")).agg(
+        F.count_distinct("VICTIM").alias("VICTOTAL"), F.count_distinct("HOFFID").alias("OFFENDERS"),
+        F.collect_set("STATE").alias("STATES"), F.collect_set("CIRC").alias("CIRCS"))
+    codes = f"array_distinct(transform(STATES, s -> {_situation_sql('s.CLEARED_I', 's.EXCLUDED')}))"
+    circs = "CASE WHEN size(CIRCS) = 0 THEN array(CAST(NULL AS STRING)) ELSE transform(CIRCS, c -> nullif(c, '')) END"
+    return found.select("_P", "_RD", F.expr(codes).alias("SITCODES"), F.expr(circs).alias("CIRCUMSTANCES"))
+
+
+def _homicide_rows(tables: CrimeTables, sized: DataFrame, parties: DataFrame, period: Period | ReportingPeriods,
+                   districts: DistrictRange, keys_per_bucket: int | None) -> DataFrame:
+    """The scope with all that is per homicide or per incident: lethal weapon,
+    VIC# and V_COUNT, and the situations and circumstances of its incident."""
     p = PERIOD_COL
-    hom = scope.select(
+    hom = sized.select(
         "ID", p, "RD_NO", "HOMICIDE_NO", "INJURY_DATE", "CLEARED_I", "DEATH_CAUSE_CD", "MOTIVE_DESCR",
         "INJURY_DESCR", "VICTIM_LAST_NME", "VICTIM_FIRST_NME", "VICTIM_AGE", "VICTIM_SEX", "VICTIM_RACE",
-        "VICTIM_REL_TO_OFFENDER",
+        "VICTIM_REL_TO_OFFENDER", "CHUNKS",
     )
-    # Ranks are joined on their distinct keys first, so the homicides take one join for them.
-    no_off = ranks["off_no"].where(F.col("HOFFID").isNull()).select(p, "HOMICIDE_NO", F.col("OFF_RANK").alias("NO_OFF"))
-    by_number = _join_rank(ranks["v_count"], no_off, [p, "HOMICIDE_NO"])
-    by_incident = _join_rank(ranks["vic_no"], by_number, [p, "HOMICIDE_NO"])
-    hom = _join_rank(hom, by_incident, [p, "RD_NO", "HOMICIDE_NO"]).withColumnRenamed("VIC_NO", "VICCNT")
-
-    # Every incident of the scope has a situation row, so both code sets meet
-    # on the incidents and the homicides take one join for them too.
-    sit = situation_codes(party_counts(tables, scope, offenders)).select(
-        F.col(p).alias("_SP"), F.col("RD_NO").alias("_SRD"), "SITCODE")
-    circ = circumstance_codes(tables, period, districts).select(
-        F.col(p).alias("_CP"), F.col("RD_NO").alias("_CRD"), "CIRCUMSTANCECODE").distinct()
-    incident = sit.join(circ, (sit["_SRD"] == circ["_CRD"]) & (sit["_SP"] == circ["_CP"]), "left")
-    hom = hom.join(incident, (hom["RD_NO"] == incident["_SRD"]) & (hom[p] == incident["_SP"]), "left")
-
-    weapon = homicide_weapon(tables, scope).select(
+    weapon = homicide_weapon(tables, sized).select(
         F.col("HOM_HOMICIDE_ID"), "WEAPID", "WEAPON_TYPE", "WEAPON_NAME", F.col("HIERARCHY").alias("WEAPONCD"))
-    return hom.join(weapon, hom["ID"] == weapon["HOM_HOMICIDE_ID"], "left").drop("_SP", "_SRD", "_CP", "_CRD")
-
-
-def _join_offenders(hom: DataFrame, scope: DataFrame, offenders: DataFrame, ranks: dict[str, DataFrame]) -> DataFrame:
-    """``hom LEFT JOIN offenders`` with ``OFFCNT``, on (homicide, chunk).
-
-    A homicide's offenders are cut into chunks of OFFENDERS_PER_CHUNK ranks and
-    the homicide is repeated for each chunk its number has (``NO_OFF`` is the
-    last rank), so no key of the join is larger than a chunk, however many
-    offenders a homicide has.  A homicide without offenders meets one empty
-    offender in chunk 0, so an inner join does, which AQE can split as well."""
+    hom = hom.join(weapon, hom["ID"] == weapon["HOM_HOMICIDE_ID"], "left")
+    sizes = estimate_distinct(sized, {"v": [p, "HOMICIDE_NO"], "vic": [p, "RD_NO", "HOMICIDE_NO"]}, sized.columns)
+    # The ranks read their boundaries and counts from the staged scope, not from the joined rows.
+    hom = with_row_ranks(hom, ["HOMICIDE_NO"], [p], "V_COUNT", keys_per_bucket, sizes["v"], sized)
+    hom = with_row_ranks(hom, ["HOMICIDE_NO"], [p, "RD_NO"], "VICCNT", keys_per_bucket, sizes["vic"], sized)
+    codes = incidents(tables, sized, parties, period, districts)
+    hom = hom.join(codes, (hom[p] == codes["_P"]) & (hom["RD_NO"] == codes["_RD"]), "left").drop("_P", "_RD")
+    return hom.withColumn("SITCODE", F.explode_outer("SITCODES")).withColumn("CIRCUMSTANCECODE", F.explode_outer("CIRCUMSTANCES")) \
+        .drop("SITCODES", "CIRCUMSTANCES")
+
+
+def _join_parties(hom: DataFrame, parties: DataFrame, keys_per_bucket: int | None) -> DataFrame:
+    """``hom`` with its parties and their ``OFFCNT``, on (homicide, chunk): the
+    homicide is repeated for each of its chunks, so no key of the join is larger
+    than a chunk, however many offenders a homicide has.  Every homicide has a
+    party, so an inner join does, which AQE can split as well.  The row without
+    offender ranks after the offenders of its homicide number."""
     p = PERIOD_COL
-    key = ["ID", p, "HOMICIDE_NO"]
-    off = _join_rank(offenders.drop("RD_NO"), ranks["off_no"], [p, "HOMICIDE_NO", "HOFFID"])
-    known = offenders.select(F.col("ID").alias("_KID")).distinct()
-    empty = scope.select(*key).distinct()
-    empty = empty.join(known, empty["ID"] == known["_KID"], "left_anti")
-    off = off.unionByName(empty, allowMissingColumns=True)
-    off = off.withColumn("CHUNK", F.expr(f"coalesce((OFF_RANK - 1) DIV {OFFENDERS_PER_CHUNK}, 0L)"))
-    hom = hom.withColumn("CHUNK", F.expr(f"explode(sequence(0L, (NO_OFF - 1) DIV {OFFENDERS_PER_CHUNK}))"))
-    rows = _join_rank(hom, off, [*key, "CHUNK"])
-    return rows.withColumn("OFFCNT", F.coalesce("OFF_RANK", "NO_OFF")).drop("CHUNK", "OFF_RANK", "NO_OFF")
+    size = estimate_distinct(parties, {"off": [p, "HOMICIDE_NO", "HOFFID"]}, parties.columns)["off"]
+    ranked = with_row_ranks(parties.drop("RD_NO"), ["HOFFID"], [p, "HOMICIDE_NO"], "OFFCNT", keys_per_bucket, size)
+    hom = hom.withColumn("CHUNK", F.expr("explode(sequence(0L, CHUNKS - 1))")).drop("CHUNKS")
+    return _join_rank(hom, ranked, ["ID", p, "HOMICIDE_NO", "CHUNK"])
 
 
 def homicide_master(tables: CrimeTables, period: Period | ReportingPeriods = DEFAULT_PERIOD,
                     districts: DistrictRange = DEFAULT_DISTRICTS, materialize: bool = False,
-                    keys_per_bucket: int = KEYS_PER_BUCKET, distinct: bool = True) -> DataFrame:
+                    keys_per_bucket: int | None = None, distinct: bool = True) -> DataFrame:
     """H6: recoded victim x offender rows (39 columns + ``REPORT_PERIOD``), as a set.
 
     The master is only ever consumed through DISTINCT, so it is built from
     distinct (RD, situation) and (RD, circumstance) pairs: identical result,
     without multiplying an incident's rows by its number of motives.  With
     ``distinct=False`` (the report's path) the rows also carry ``V_COUNT``,
-    and DISTINCT is left to the consumer.  ``materialize`` stages the scope's
-    offenders (``scoped_offenders``).
+    and DISTINCT is left to the consumer.  ``materialize`` stages the scope
+    (``sized_scope``) and its parties (``scoped_parties``).
     """
     p = PERIOD_COL
-    scope = homicide_scope(tables, period, districts)
-    offenders = scoped_offenders(tables, scope, materialize)
-    ranks = report_ranks(tables, scope, offenders, keys_per_bucket)
-
-    rows = _join_offenders(_homicide_rows(tables, scope, offenders, ranks, period, districts), scope, offenders, ranks)
+    stage = staged_parquet if materialize else (lambda df, _name: df)
+    sized = stage(sized_scope(tables, homicide_scope(tables, period, districts)), "scope")
+    parties = stage(scoped_parties(tables, sized), "parties")
+    rows = _join_parties(_homicide_rows(tables, sized, parties, period, districts, keys_per_bucket), parties, keys_per_bucket)
     shown = R.offender_shown("SITCODE", "LAST_NME")
     master = rows.select(
         number_text(F.month("INJURY_DATE"), 2).alias("MNTH"),

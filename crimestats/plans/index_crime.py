@@ -31,9 +31,9 @@ from crimestats.functions.recode import q, sql_in
 from crimestats.functions.predicates import (
     DistrictRange,
     Period,
-    in_period,
     number_text,
     numeric_between,
+    period_of,
     prefix_not_in,
 )
 from crimestats.operators.relational import (
@@ -82,12 +82,13 @@ def case_base(tables: CrimeTables, period: Period = DEFAULT_PERIOD,
     """Crimes in the period, not unfounded/excluded (status 2x, 7x), with an
     RD number, in the district range, joined to their IUCR code.
 
-    Period, RD and IN-list tests are pushed to the Parquet scan; the code table
+    Period, RD and IN-list tests are pushed to the Parquet scan, and on a layout
+    by occurrence date the scan lists the period's folders only; the code table
     is broadcast after its size is checked.
     """
     cr = tables.crimes
     scoped = cr.where(
-        in_period(F.col("DATEOCC"), period, cr.schema["DATEOCC"].dataType)
+        period_of(cr, "DATEOCC", period)
         & prefix_not_in(F.col("STATUS"), C.EXCLUDED_STATUS_PREFIXES)
         & F.col("RD").isNotNull()
         & numeric_between(F.col("DISTRICT"), districts.lo, districts.hi)
@@ -153,7 +154,7 @@ def homicide_records(tables: CrimeTables, period: Period = DEFAULT_PERIOD,
     hom = tables.homicides
     scoped = hom.where(
         prefix_not_in(F.col("HOMICIDE_NO"), C.HOMICIDE_EXCLUDED_CLASSES)
-        & in_period(F.col("INJURY_DATE"), period, hom.schema["INJURY_DATE"].dataType)
+        & period_of(hom, "INJURY_DATE", period)
         & (F.col("ACTIVE_I") == "Y")
         & numeric_between(F.col("CURR_DISTRICT"), districts.lo, districts.hi)
     )

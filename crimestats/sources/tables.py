@@ -7,8 +7,9 @@ Parquet column pruning and filter pushdown: every report selects a handful of
 columns and filters on period / flags first, and those reach the scan.
 
 For very large ``crimes`` / ``homicides`` tables the recommended layout is
-Parquet partitioned by ``YEAR`` (crimes) or by injury year (homicides); the
-period predicates then prune whole folders.
+Parquet partitioned by the occurrence or injury date (``sources.layout``): the
+folders' columns are found on reading, and the reports' period predicates prune
+whole folders by them.
 """
 
 from __future__ import annotations

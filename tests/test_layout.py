@@ -77,3 +77,75 @@ def test_reports_scan_each_table_once_and_have_the_declared_columns(spark):
     plan = report._jdf.queryExecution().optimizedPlan().toString()
     assert "crimestats_scan_test.homicides" not in plan and "crimestats_scan_test.offenders" not in plan
     assert [(f.name, f.dataType) for f in report.schema] == [(f.name, f.dataType) for f in SHR_ROW]
+
+
+def _report_shuffles(spark, tables, period) -> list[str]:
+    """Shuffles of the report's plan in the shape it has on large inputs; what is staged was run before."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = H.homicide_report(tables, period)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    return re.findall(r"(?<![A-Za-z])Exchange \w+", plan)
+
+
+def test_homicide_report_shuffles(spark, monkeypatch):
+    """15 shuffles after staging at most, also when every rank has many buckets (whose shifts are broadcast)."""
+    from crimestats.operators import ranking
+
+    tables = load_fixture_tables(spark, SF)
+    p = Period.calendar_year(1996)
+    whole = sorted(map(tuple, H.homicide_report(tables, p).collect()), key=repr)
+    assert len(_report_shuffles(spark, tables, p)) <= 15
+    monkeypatch.setattr(ranking, "BUCKET_BYTES", 1000)
+    assert len(_report_shuffles(spark, tables, p)) <= 15
+    assert sorted(map(tuple, H.homicide_report(tables, p).collect()), key=repr) == whole
+
+
+def test_a_period_reads_its_folders_only(spark, tmp_path):
+    """Other folders' files are spoilt after the write: reading any of them would fail."""
+    from crimestats.sources.layout import write_dated_tables
+
+    flat = load_fixture_tables(spark, SF)
+    dated = write_dated_tables(flat, str(tmp_path))
+    assert dated.crimes.columns[-1] == "DATEOCC_MONTH" and dated.homicides.columns[-1] == "INJURY_DATE_MONTH"
+    for name in ("crimes", "homicides"):
+        assert getattr(dated, name).count() == getattr(flat, name).count()
+    p = Period.calendar_year(1996)
+    want = [sorted(map(tuple, x.collect()), key=repr) for x in (I.index_records(flat, p), H.homicide_report(flat, p))]
+    spoilt = 0
+    for name in ("crimes", "homicides"):
+        for folder in (tmp_path / name).iterdir():
+            if "_MONTH=" in folder.name and not folder.name.split("=")[1].startswith("1996"):
+                for file in folder.glob("*.parquet"):
+                    file.write_bytes(b"not parquet")
+                    (folder / f".{file.name}.crc").unlink(missing_ok=True)
+                    spoilt += 1
+    assert spoilt
+    dated = read_dated(spark, tmp_path)
+    got = [sorted(map(tuple, x.collect()), key=repr) for x in (I.index_records(dated, p), H.homicide_report(dated, p))]
+    assert got == want
+    plan = _whole_plan(spark, I.case_base(dated, p))
+    assert re.search(r"PartitionFilters: \[[^\]]*DATEOCC_MONTH#\d+ >= 199601[^\]]*<= 199612", plan)
+
+
+def _whole_plan(spark, df) -> str:
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def read_dated(spark, root):
+    from crimestats.sources.tables import read_parquet_tables
+
+    return read_parquet_tables(spark, str(root))
+
+
+def test_bucketed_tables_are_pruned_by_year(spark):
+    tables = write_bucketed_tables(load_fixture_tables(spark, SF), "crimestats_years_test", buckets=2)
+    plan = _whole_plan(spark, H.homicide_base(tables, Period.calendar_year(1996)))
+    assert re.search(r"PartitionFilters: \[[^\]]*INJURY_DATE_YEAR#\d+ >= 1996[^\]]*<= 1996", plan)

@@ -84,3 +84,44 @@ def test_left_join_splittable_equals_left_join(spark):
     got = relational.left_join_splittable(left, right, "k", "rk")
     expect = left.join(right, left["k"] == right["rk"], "left")
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, expect.collect()), key=repr)
+
+
+@pytest.mark.parametrize("per_bucket", [None, 7, 100])
+def test_row_ranks_match_the_window(spark, per_bucket):
+    """Rows stay as they are, repeated ones too; a hot partition value spans many buckets."""
+    rows = _rows(5, 1500, hot_share=0.4)
+    df = spark.createDataFrame(rows + rows[:50], "part string, key string, id long")
+    out = ranking.with_row_ranks(df, ["key"], ["part"], "r", per_bucket)
+    w = Window.partitionBy("part").orderBy(F.col("key").asc_nulls_last())
+    want = df.withColumn("r", F.dense_rank().over(w).cast("long"))
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_row_ranks_cost_one_shuffle(spark):
+    df = spark.createDataFrame(_rows(6, 600, hot_share=0.4), "part string, key string, id long")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = ranking.with_row_ranks(df, ["key"], ["part"], "r", 20)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning") == 1 and "SinglePartition" not in plan
+
+
+def test_buckets_by_bisection_in_an_array(spark):
+    """Thousands of boundaries are one short expression; places are those of a plain search."""
+    import bisect
+
+    df = spark.range(200_000).select((F.col("id") * 7 % 200_003).alias("n"), F.when(F.col("id") % 11 > 0, F.format_string("k'%06d\\", "id")).alias("k"))
+    keys = sorted({(r.k is None, r.k or "", r.n) for r in df.limit(40_000).collect()})[::8]
+    bounds = [(k[0], None if k[0] else k[1], False, k[2]) for k in keys]
+    assert len(bounds) == 5000
+    out = df.withColumn("b", ranking.bucket_of(["k", "n"], bounds, df.schema))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("CASE WHEN") == 2  # one is the column k of this test
+    for r in out.sample(0.01, seed=3).collect():
+        assert r.b == bisect.bisect_right(keys, (r.k is None, r.k or "", r.n))
+
+
+def test_rank_buckets_follow_bytes():
+    assert ranking.Keys(1_000_000, 20.0).buckets() > 1
+    assert ranking.Keys(1000, 20.0).buckets() == 1 and ranking.Keys(0, 0.0).buckets() == 1
+    assert ranking.Keys(10 ** 10, 30.0).buckets() > 20_000
