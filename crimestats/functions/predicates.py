@@ -45,8 +45,9 @@ class ReportingPeriods:
     contains its timestamp.  Incident-level counts, situations, circumstances
     and ranks are then computed per label, exactly as separate single-period
     runs would, and the report carries ``REPORT_PERIOD``, for one period as for
-    many.  An empty list, a repeated label and periods that overlap (a row
-    would belong to two reports) raise ``ValueError``."""
+    many.  Periods may overlap (months, half-years and the year): a row then
+    belongs to each period that holds it.  An empty list and a repeated label
+    raise ``ValueError``."""
 
     periods: tuple[tuple[str, Period], ...]
     labelled: bool = True
@@ -56,10 +57,6 @@ class ReportingPeriods:
             raise ValueError("no reporting period is given")
         if len({name for name, _ in self.periods}) < len(self.periods):
             raise ValueError("reporting periods need different labels")
-        ordered = sorted(self.periods, key=lambda p: (p[1].start, p[1].end))
-        for (a, before), (b, after) in zip(ordered, ordered[1:]):
-            if after.start < before.end:
-                raise ValueError(f"reporting periods {a!r} and {b!r} overlap: run one report for each")
 
     @staticmethod
     def of(period: Period | ReportingPeriods) -> ReportingPeriods:
@@ -74,13 +71,10 @@ class ReportingPeriods:
     def covering(self) -> Period:
         return Period(min(p.start for _, p in self.periods), max(p.end for _, p in self.periods))
 
-    def label(self, col: Column, dtype: T.DataType | None = None) -> Column:
-        """Period label of ``col`` (NULL outside every period)."""
-        expr = None
-        for name, period in self.periods:
-            cond = in_period(col, period, dtype)
-            expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-        return expr.otherwise(F.lit(None).cast("string"))
+    def intervals(self) -> list[tuple[dt.datetime, list[str]]]:
+        """The moments at which the set of holding periods changes, each with the labels from there on."""
+        moments = sorted({t for _, p in self.periods for t in (p.start, p.end)})
+        return [(t, [name for name, p in self.periods if p.start <= t < p.end]) for t in moments]
 
 
 @dataclass(frozen=True)

@@ -75,6 +75,35 @@ def not_in_subquery(df: DataFrame, other: DataFrame, left_key: str, right_key: s
     return kept.where((facts["n"] == facts["k"]) & (F.col(left_key).isNotNull() | (facts["n"] == 0)))
 
 
+# A key filter has KEY_FILTER_BITS bits for each key in words of 64, and is used up to so many words (16 bytes each when broadcast).
+KEY_FILTER_BITS, MAX_FILTER_WORDS = 8, 4_000_000
+
+
+def _filter_place(key: str, words: int) -> list[Column]:
+    """Word and bit of a key in a filter of so many words."""
+    place = F.pmod(F.xxhash64(key), F.lit(words * 64))
+    return [F.floor(place / 64).alias("__key_word"), F.expr("1L").alias("__key_one"), F.pmod(place, F.lit(64)).cast("int").alias("__key_shift")]
+
+
+def passing(df: DataFrame, key: str, keys: DataFrame, keys_key: str) -> DataFrame:
+    """The rows of ``df`` whose key may occur in ``keys``: all that do and few
+    others, told before any shuffle.  A join with ``keys`` follows in any case.
+
+    The filter is a Bloom filter of one hash, as a relation of words of 64 bits:
+    its size is set by the number of ``keys`` rows, which is counted, its words
+    are combined in the map tasks, and it is broadcast.  At most one bit in
+    KEY_FILTER_BITS is set, so about one foreign key in nine passes.  Above
+    MAX_FILTER_WORDS (32 million keys) ``df`` is returned as it is."""
+    words = max(1, -(-keys.count() * KEY_FILTER_BITS // 64))
+    if words > MAX_FILTER_WORDS:
+        return df
+    held = keys.where(F.col(keys_key).isNotNull()).select(*_filter_place(keys_key, words))
+    held = held.groupBy("__key_word").agg(F.bit_or(F.expr("shiftleft(__key_one, __key_shift)")).alias("__key_bits"))
+    placed = df.where(F.col(key).isNotNull()).select(*df.columns, *_filter_place(key, words))
+    met = placed.join(F.broadcast(held), "__key_word")
+    return met.where(F.expr("shiftright(__key_bits, __key_shift) & 1") == 1).select(*df.columns)
+
+
 def left_join_splittable(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """``left LEFT OUTER JOIN right ON left_key = right_key`` as an inner join
     plus the unmatched left rows.

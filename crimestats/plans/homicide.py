@@ -33,6 +33,7 @@ homicide with most of the offenders is many bounded keys.
 
 from __future__ import annotations
 
+import json
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
@@ -49,7 +50,7 @@ from crimestats.functions.predicates import (
     period_of,
     prefix_not_in,
 )
-from crimestats.operators.ranking import distinct_dense_rank, estimate_distinct, with_row_ranks
+from crimestats.operators.ranking import bucket_of, distinct_dense_rank, estimate_distinct, with_row_ranks
 from crimestats.operators.relational import count_distinct_per_key, swap_when, top1_per_key
 from crimestats.schemas import INPUT_SCHEMAS, SHR_COLUMNS
 from crimestats.session import staged_parquet
@@ -77,11 +78,18 @@ MASTER_COLUMNS = [
 
 
 # ----------------------------------------------------------------- H0 scope
-def _in_periods(df: DataFrame, periods: ReportingPeriods) -> tuple[F.Column, F.Column]:
-    """(pushable covering-period predicate, period label) for INJURY_DATE."""
-    dtype = df.schema["INJURY_DATE"].dataType
-    cover = periods.covering()
-    return period_of(df, "INJURY_DATE", cover), periods.label(F.col("INJURY_DATE"), dtype)
+def in_periods(df: DataFrame, date: str, periods: ReportingPeriods) -> DataFrame:
+    """Rows of ``df`` in a period with its label, ``REPORT_PERIOD``: once for
+    each period that holds the date, so overlapping reports share one job.
+
+    The covering period is pushed to the scan.  The moments at which the holding
+    periods change are one sorted array in which the date is found by bisection,
+    so a row costs the logarithm of the number of periods."""
+    scoped = df.where(period_of(df, date, periods.covering()))
+    steps = periods.intervals()
+    place = bucket_of([date], [(False, t) for t, _ in steps], df.schema)
+    labels = F.from_json(F.lit(json.dumps([names for _, names in steps])), "array<array<string>>")
+    return scoped.withColumn(PERIOD_COL, F.explode(F.get(labels, place - 1)))
 
 
 def homicide_base(tables: CrimeTables, period: Period | ReportingPeriods = DEFAULT_PERIOD,
@@ -91,8 +99,7 @@ def homicide_base(tables: CrimeTables, period: Period | ReportingPeriods = DEFAU
     the circumstance codes (H5) are filtered from."""
     periods = ReportingPeriods.of(period)
     hom = tables.homicides
-    covering, _ = _in_periods(hom, periods)
-    return hom.where(covering & numeric_between(F.col("CURR_DISTRICT"), districts.lo, districts.hi))
+    return hom.where(period_of(hom, "INJURY_DATE", periods.covering()) & numeric_between(F.col("CURR_DISTRICT"), districts.lo, districts.hi))
 
 
 def with_materialized_homicides(tables: CrimeTables, period: Period | ReportingPeriods = DEFAULT_PERIOD,
@@ -111,12 +118,10 @@ def homicide_scope(tables: CrimeTables, period: Period | ReportingPeriods = DEFA
     classes, justified and involuntary included.  Adds ``REPORT_PERIOD``."""
     periods = ReportingPeriods.of(period)
     hom = tables.homicides
-    covering, label = _in_periods(hom, periods)
-    cond = covering & numeric_between(F.col("CURR_DISTRICT"), districts.lo, districts.hi)
+    cond = numeric_between(F.col("CURR_DISTRICT"), districts.lo, districts.hi)
     if active:
         cond = cond & (F.col("ACTIVE_I") == "Y")
-    scoped = hom.where(cond).withColumn(PERIOD_COL, label)
-    return scoped.where(F.col(PERIOD_COL).isNotNull()) if periods.labelled else scoped
+    return in_periods(hom.where(cond), "INJURY_DATE", periods)
 
 
 # ---------------------------------------------------------------- H1, H2 weapons
@@ -233,14 +238,10 @@ def circumstance_codes(tables: CrimeTables, period: Period | ReportingPeriods =
     homicide in the period and districts; inactive ones included (T13)."""
     periods = ReportingPeriods.of(period)
     hom = tables.homicides
-    covering, label = _in_periods(hom, periods)
-    scoped = hom.where(
-        covering
-        & prefix_not_in(F.col("HOMICIDE_NO"), C.HOMICIDE_EXCLUDED_CLASSES)
+    scoped = in_periods(hom.where(
+        prefix_not_in(F.col("HOMICIDE_NO"), C.HOMICIDE_EXCLUDED_CLASSES)
         & numeric_between(F.col("CURR_DISTRICT"), districts.lo, districts.hi)
-    ).withColumn(PERIOD_COL, label)
-    if periods.labelled:
-        scoped = scoped.where(F.col(PERIOD_COL).isNotNull())
+    ), "INJURY_DATE", periods)
     return scoped.select(PERIOD_COL, "RD_NO", "DEATH_CAUSE_CD", "VICTIM_AGE",
                          R.circumstance_code("DEATH_CAUSE_CD", "VICTIM_AGE").alias("CIRCUMSTANCECODE"))
 

@@ -23,6 +23,8 @@ Crime MONTH / YEAR are the stored columns; homicide ones come from the injury da
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +43,7 @@ from crimestats.operators.relational import (
     exists_in,
     is_bounded,
     not_in_subquery,
+    passing,
     union_distinct,
 )
 from crimestats.schemas import INDEX_CODES
@@ -271,6 +274,13 @@ def incident_records_single_pass(cb: DataFrame, tables: CrimeTables) -> DataFram
 
 
 # ------------------------------------------------------------------ records
+def of_cases(tables: CrimeTables, cb: DataFrame) -> CrimeTables:
+    """``tables`` with the case-keyed relations cut to rows whose case may be one
+    of ``cb`` (``passing``).  Every rule joins them with ``cb`` by the case id, so
+    the records are the same."""
+    return replace(tables, **{name: passing(getattr(tables, name), "CASE_ID", cb, "ID") for name in ("victims", "case_iucr", "properties")})
+
+
 def index_records(tables: CrimeTables, period: Period = DEFAULT_PERIOD,
                   districts: DistrictRange = DEFAULT_DISTRICTS, method: str = "single_pass",
                   materialize: bool = True) -> DataFrame:
@@ -283,6 +293,9 @@ def index_records(tables: CrimeTables, period: Period = DEFAULT_PERIOD,
     if materialize:
         cb = staged_parquet(cb, "cases")
     hom = homicide_records(tables, period, districts)
+    if materialize:
+        # Only the staged cases' rows of the case-keyed tables, which carry no date, are shuffled.
+        tables = of_cases(tables, cb)
     vic = victim_counted_records(cb, tables)
     if method == "union":
         return union_distinct(

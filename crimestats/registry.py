@@ -10,6 +10,8 @@ one general operator to whole input relations.  ``crimestats.duckdb_checks`` hol
 
 from __future__ import annotations
 
+import datetime as dt
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +40,10 @@ FIXTURE_PERIOD = Period.calendar_year(1996)
 FIXTURE_DISTRICTS = DistrictRange(1, 25)
 # Every calendar year the test tables span: one run over the whole tables.
 ALL_YEARS = (1995, 2001)
+#: A year with its halves and three months that lie across them, in one job.
+OVERLAPPING = ReportingPeriods(tuple((name, Period(dt.datetime(*start), dt.datetime(*end))) for name, start, end in (
+    ("year", (1996, 1, 1), (1997, 1, 1)), ("half1", (1996, 1, 1), (1996, 7, 1)), ("half2", (1996, 7, 1), (1997, 1, 1)),
+    ("summer", (1996, 6, 1), (1996, 9, 1)))))
 # Small enough that the fixture scales exercise several range buckets.
 OP_RANK_KEYS_PER_BUCKET = 4096
 SHR_RANK_KEYS_PER_BUCKET = 1000
@@ -134,6 +140,7 @@ HOMICIDE_QUERIES: dict[str, Callable[[CrimeTables], DataFrame]] = {
     "shr_vic_no": _project(_adjusted, ["CASE#_TYPE1", "CASE#_TYPE2", "VIC#"]),
     "shr_off_no": _project(_adjusted, ["CASE#_TYPE2", "SIT_CODE", "HOFFID2", "OFF#"]),
     "shr_report": lambda t: H.homicide_report(t, P, D),
+    "shr_report_overlapping": lambda t: H.homicide_report(t, OVERLAPPING, D),
     "shr_report_by_year": lambda t: H.homicide_report(t, ReportingPeriods.calendar_years(*ALL_YEARS), D),
 }
 

@@ -6,6 +6,7 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from crimestats.functions.predicates import Period
 from crimestats.plans import homicide as H
@@ -149,3 +150,22 @@ def test_bucketed_tables_are_pruned_by_year(spark):
     tables = write_bucketed_tables(load_fixture_tables(spark, SF), "crimestats_years_test", buckets=2)
     plan = _whole_plan(spark, H.homicide_base(tables, Period.calendar_year(1996)))
     assert re.search(r"PartitionFilters: \[[^\]]*INJURY_DATE_YEAR#\d+ >= 1996[^\]]*<= 1996", plan)
+
+
+def test_only_rows_of_the_staged_cases_are_shuffled(spark):
+    """The case-keyed tables meet the filter of the period's cases below their shuffles, with their own filters still at the scan."""
+    tables = write_bucketed_tables(load_fixture_tables(spark, SF), "crimestats_filter_test", buckets=2)
+    p = Period.calendar_year(1996)
+    cb = I.case_base(tables, p)
+    cut = I.of_cases(tables, cb)
+    cases = {r.ID for r in cb.collect()}
+    for name in ("victims", "case_iucr", "properties"):
+        whole, kept = getattr(tables, name), getattr(cut, name)
+        rows, few = whole.count(), kept.count()
+        of_period = whole.where(F.col("CASE_ID").isin(list(cases))).count()
+        assert of_period <= few < of_period + (rows - of_period) * 0.25 + 10
+    plan = _whole_plan(spark, I.index_records(tables, p))
+    for name, pushed in (("victims", "In(VFBI_CD"), ("case_iucr", "In(IUCR_CODE_CD"), ("properties", "EqualTo(BURNED_I,Y)")):
+        scan = next(line for line in plan.split("\n") if f"crimestats_filter_test.{name}[" in line)
+        assert pushed in scan
+    assert plan.count("BroadcastHashJoin [__key_word") == 3

@@ -125,3 +125,15 @@ def test_rank_buckets_follow_bytes():
     assert ranking.Keys(1_000_000, 20.0).buckets() > 1
     assert ranking.Keys(1000, 20.0).buckets() == 1 and ranking.Keys(0, 0.0).buckets() == 1
     assert ranking.Keys(10 ** 10, 30.0).buckets() > 20_000
+
+
+def test_key_filter_keeps_every_key_and_few_others(spark, monkeypatch):
+    """Null, repeated and negative keys; without a filter (too many keys) the rows stay as they are."""
+    keys = spark.createDataFrame([(i * 37 - 500,) for i in range(400)] * 2 + [(None,)], "ID long")
+    rows = spark.range(-500, 20_000).select(F.col("id").alias("CASE_ID"), F.lit("x").alias("_bits")).union(spark.createDataFrame([(None, "n")], "k long, v string"))
+    kept = [r.CASE_ID for r in relational.passing(rows, "CASE_ID", keys, "ID").collect()]
+    want = {i * 37 - 500 for i in range(400)} & set(range(-500, 20_000))
+    assert want <= set(kept) and len(kept) == len(set(kept)) and len(kept) < len(want) + 20_000 * 0.2
+    assert relational.passing(rows, "CASE_ID", keys.limit(0), "ID").count() == 0
+    monkeypatch.setattr(relational, "MAX_FILTER_WORDS", 3)
+    assert relational.passing(rows, "CASE_ID", keys, "ID") is rows

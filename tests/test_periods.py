@@ -16,10 +16,9 @@ P = Period.calendar_year(2016)
 
 @pytest.mark.parametrize("periods", [
     (),
-    (("year", P), ("half", Period(ts("2016-01-01"), ts("2016-07-01")))),
     (("a", P), ("a", Period.calendar_year(2017))),
 ])
-def test_empty_overlapping_and_equally_named_periods_are_refused(periods):
+def test_empty_and_equally_named_periods_are_refused(periods):
     with pytest.raises(ValueError):
         ReportingPeriods(periods)
 
@@ -61,3 +60,16 @@ def test_weapons_reduced_before_the_join_give_the_same_weapon(make_tables):
                     weapons=[weap(i, 1, "OTHER", "ROPE") for i in range(200, 260)] + [weap(300, 1, "FIREARM", "HANDGUN"), weap(7, 2, "ALIEN", "RAY")])
     scope = H.homicide_scope(t, P)
     assert sorted(map(tuple, H.homicide_weapon(t, scope).collect())) == sorted(map(tuple, H.lethal_weapon(H.weapon_codes(t, scope)).collect()))
+
+
+def test_overlapping_periods_equal_separate_reports(make_tables):
+    """Half-years, the year, one second and a period without rows in one job; ranks and counts are each period's own."""
+    cut = lambda a, b: Period(ts(a), ts(b))
+    periods = (("year", P), ("h1", cut("2016-01-01", "2016-07-01")), ("h2", cut("2016-07-01", "2017-01-01")), ("empty", cut("2019-01-01", "2019-02-01")),
+               ("second", cut("2016-06-30 23:59:59", "2016-07-01")), ("again", P))
+    when = ["2016-01-01 00:00:00", "2016-06-30 23:59:59", "2016-07-01 00:00:00", "2016-12-31 23:59:59", "2017-01-01 00:00:00"]
+    homs = [hom(i, f"H{i % 2}", when=w) for i, w in enumerate(when, 1)] + [hom(9, "H1") | {"INJURY_DATE": None}]
+    t = make_tables(homicides=homs, offenders=[off(10 + i, 1 + i % 6) for i in range(12)], weapons=[weap(100, 2, "FIREARM", "HANDGUN")])
+    want = [(name, *r) for name, p in periods for r in H.homicide_report(t, p, ordered=False).collect()]
+    got = H.homicide_report(t, ReportingPeriods(periods), ordered=False).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr) and len({r[0] for r in want}) == 5
