@@ -194,10 +194,16 @@ def word_rows(one: np.ndarray, two: np.ndarray, cls: np.ndarray) -> np.ndarray:
     return np.stack([cls, *((_mix(*f) % span).astype(np.int64) + HEAD_CLASSES for f in ((4, one, cls), (5, two, cls)))], 1)
 
 
+def _one_row(column: np.ndarray) -> bool:
+    """Whether all tokens share a row, as they do the class softmax's bias."""
+    return bool((column == column[:1]).all())
+
+
 def log_softmax(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    z = weights.take(rows[:, 0], axis=0, mode="clip")
-    for k in range(1, rows.shape[1]):
+    z = weights.take(rows[:, 1], axis=0, mode="clip")
+    for k in range(2, rows.shape[1]):
         z += weights.take(rows[:, k], axis=0, mode="clip")
+    z += weights[rows[:1, 0]] if _one_row(rows[:, 0]) else weights.take(rows[:, 0], axis=0, mode="clip")
     z -= z.max(1, keepdims=True)
     z -= np.log(np.exp(z) @ np.ones(z.shape[1], np.float32))[:, None]
     return z
@@ -209,6 +215,11 @@ def _step(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, target: np
     d[np.arange(len(d)), target] -= 1
     # Column 0 is the bias: one row for all tokens, or one per class.
     for column in rows.T.astype(np.uint16):
+        if _one_row(column):
+            used, g = column[:1], d.sum(0, keepdims=True)
+            squares[used] += np.einsum("ij,ij->i", g, g) / g.shape[1]
+            weights[used] -= RATE * g / np.sqrt(squares[used] + 1.0)[:, None]
+            continue
         order = np.argsort(column, kind="stable")
         placed = column[order]
         first = np.flatnonzero(np.diff(placed, prepend=placed[0] ^ 1))
