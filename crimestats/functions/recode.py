@@ -183,15 +183,26 @@ def offender_ethnicity(race: str, shown: str) -> Column:
     return _offender_map(race, shown, C.OFFENDER_ETHNICITY)
 
 
+#: Columns that a relationship is looked up to: its code for a male, a female and any other victim.
+RELATION_FIELDS = ("__rel_m", "__rel_f", "__rel_other")
+
+
+def relation_rows() -> list[tuple[str | None, ...]]:
+    """One row per relationship text: the text, then RELATION_FIELDS."""
+    rows = [(value, code, code, code) for values, code in C.RELATION_CODES if values is not None for value in values]
+    by_sex: dict[str, dict[str, str]] = {}
+    for value, sex, code in C.RELATION_BY_SEX:
+        by_sex.setdefault(value, {})[sex] = code
+    return rows + [(value, codes.get("M"), codes.get("F"), None) for value, codes in by_sex.items()]
+
+
 def relationship_code(relation: str, sex: str, situation: str | None) -> Column:
     """H6f: victim's relationship to the offender -> 2-character code;
-    unknown-offender situations are 'UN'; an unmapped text is NULL.
-    ``situation=None`` means no situation is known (NULL)."""
-    arms = []
-    if situation is not None:
-        arms.append((sql_in(situation, C.UNKNOWN_OFFENDER_SITUATIONS), q(C.UNKNOWN_RELATION)))
-    for rel, sx, code in C.RELATION_BY_SEX:
-        arms.append((f"{sql_in(relation, [rel])} AND {ident(sex)} = {q(sx)}", q(code)))
-    for values, code in C.RELATION_CODES:
-        arms.append((f"{ident(relation)} IS NULL" if values is None else sql_in(relation, values), q(code)))
-    return F.expr(sql_case(arms))
+    unknown-offender situations and a relationship not recorded are 'UN'; an
+    unmapped text is NULL.  ``situation=None`` means no situation is known (NULL).
+    The guards around RELATION_FIELDS, looked up before (``relational.with_codes``)."""
+    arms = [] if situation is None else [(sql_in(situation, C.UNKNOWN_OFFENDER_SITUATIONS), q(C.UNKNOWN_RELATION))]
+    arms.append((f"{ident(relation)} IS NULL", q(C.UNKNOWN_RELATION)))
+    male, female, other = RELATION_FIELDS
+    arms += [(f"{ident(sex)} = 'M'", male), (f"{ident(sex)} = 'F'", female)]
+    return F.expr(sql_case(arms, other))

@@ -9,11 +9,14 @@ whose row count was checked.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crimestats.functions.recode import q
+
 # Code dimension tables above this many rows are joined by shuffle, not broadcast.
 MAX_BROADCAST_ROWS = 1_000_000
 
@@ -50,6 +53,12 @@ def union_distinct(*dfs: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), dfs).distinct()
 
 
+def disjoint_union(*dfs: DataFrame) -> DataFrame:
+    """G5 for inputs that are sets and share no row (each fixes another code, say):
+    the same rows as ``union_distinct``, without its shuffle of all columns."""
+    return reduce(lambda a, b: a.unionByName(b), dfs)
+
+
 def exists_in(df: DataFrame, other: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``other`` (join used as a filter).
 
@@ -170,6 +179,20 @@ def count_distinct_over(df: DataFrame, key: str, cols: dict[str, str]) -> DataFr
     return joined.drop("_cd_key")
 
 
+def with_codes(df: DataFrame, key: str, rows: Sequence[tuple[str | None, ...]], names: Sequence[str]) -> DataFrame:
+    """G12 for long code tables: ``df`` with the columns ``names`` of the row of
+    ``rows`` whose first value equals ``key``; all NULL where there is none.
+
+    One hash probe a row, whatever the length of the table (a CASE chain tests
+    its values one by one).  ``rows`` are literals of the program, one per key,
+    so the broadcast relation does not grow with any input."""
+    if len({r[0] for r in rows}) != len(rows):
+        raise ValueError("a code table has one row per key")
+    values = ", ".join("(" + ", ".join("CAST(NULL AS STRING)" if v is None else q(v) for v in r) + ")" for r in rows)
+    table = df.sparkSession.sql(f"SELECT * FROM VALUES {values} AS t(__code_key, {', '.join(names)})")
+    return df.join(F.broadcast(table), F.col(key) == F.col("__code_key"), "left").drop("__code_key")
+
+
 def swap_when(swap: Column, keep: Column, pairs: list[tuple[Column, Column]]) -> list[tuple[Column, Column]]:
     """Exchange two column groups.
 

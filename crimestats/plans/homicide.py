@@ -51,7 +51,7 @@ from crimestats.functions.predicates import (
     prefix_not_in,
 )
 from crimestats.operators.ranking import bucket_of, distinct_dense_rank, estimate_distinct, with_row_ranks
-from crimestats.operators.relational import count_distinct_per_key, swap_when, top1_per_key
+from crimestats.operators.relational import count_distinct_per_key, swap_when, top1_per_key, with_codes
 from crimestats.schemas import INPUT_SCHEMAS, SHR_COLUMNS
 from crimestats.session import staged_parquet
 from crimestats.sources.tables import CrimeTables
@@ -393,6 +393,7 @@ def homicide_master(tables: CrimeTables, period: Period | ReportingPeriods = DEF
     parties = stage(scoped_parties(tables, sized), "parties")
     rows = _join_parties(_homicide_rows(tables, sized, parties, period, districts, keys_per_bucket), parties, keys_per_bucket)
     shown = R.offender_shown("SITCODE", "LAST_NME")
+    rows = with_codes(rows, "VICTIM_REL_TO_OFFENDER", R.relation_rows(), R.RELATION_FIELDS)
     master = rows.select(
         number_text(F.month("INJURY_DATE"), 2).alias("MNTH"),
         number_text(F.year("INJURY_DATE"), 4).alias("YR"),

@@ -15,7 +15,13 @@ Two formulations of the record set:
   ``victims`` (so AQE can split a case with a huge number of victims).
 
 In both the case base is staged once as Parquet (``materialize``), so ``crimes``
-is scanned once however many rules read the cases.
+is scanned once however many rules read the cases; the rule-by-rule form stages
+the case codes that any rule asks for as well, so ``case_iucr`` is scanned once.
+
+The set is put together by parts that share no code: homicides (01A), victim
+counts (02, 04A, 04B), cases (the other codes).  Each part is made distinct by
+its own keys: homicides before their constants, victims and cases before they are
+joined, case records where the joins by case id have put them.
 
 Records are the 6-tuple (ID, RD, NO_ID, FBI_CD, MONTH, YEAR) with set semantics.
 Crime MONTH / YEAR are the stored columns; homicide ones come from the injury date.
@@ -40,6 +46,7 @@ from crimestats.functions.predicates import (
 )
 from crimestats.operators.relational import (
     conditional_count_crosstab,
+    disjoint_union,
     exists_in,
     is_bounded,
     not_in_subquery,
@@ -177,6 +184,16 @@ def victim_counted_records(cb: DataFrame, tables: CrimeTables) -> DataFrame:
     return _record(joined, F.col("NO_ID"), F.col("VFBI_CD"))
 
 
+def victim_record_set(cb: DataFrame, tables: CrimeTables) -> DataFrame:
+    """I2 as a set: victims and cases are made distinct before they meet.  A pair
+    of distinct rows is a distinct record, so the records are not shuffled, and
+    the join is free to split a case with very many victims."""
+    cases = cb.where(is_victim_counted()).select("ID", "RD", "MONTH", "YEAR").distinct()
+    vic = tables.victims.where(F.col("VFBI_CD").isin(list(C.VICTIM_COUNTED_CODES))) \
+        .select("CASE_ID", "NO_ID", "VFBI_CD").distinct()
+    return _record(cases.join(vic, cases["ID"] == vic["CASE_ID"], "inner"), F.col("NO_ID"), F.col("VFBI_CD"))
+
+
 def incident_counted_records(cb: DataFrame) -> DataFrame:
     """Robbery, MVT, arson and non-vehicle burglary per incident; the FBI
     code must exist in ``fbi_codes``."""
@@ -198,7 +215,7 @@ def larceny_remainder_records(cb: DataFrame, tables: CrimeTables) -> DataFrame:
     """The same larceny population minus the I4 cases (SQL NOT IN) -> '06'."""
     overridden = _mvt_override_cases(cb, tables).select(F.col("ID").alias("OVERRIDDEN_ID"))
     rest = not_in_subquery(cb.where(is_larceny_population()), overridden, "ID", "OVERRIDDEN_ID")
-    return _record(rest, 1, C.LARCENY_CODE).distinct()
+    return _record(rest.select("ID", "RD", "MONTH", "YEAR").distinct(), 1, C.LARCENY_CODE)
 
 
 def masked_arson_records(cb: DataFrame, tables: CrimeTables) -> DataFrame:
@@ -217,6 +234,35 @@ def burned_property_arson_records(cb: DataFrame, tables: CrimeTables) -> DataFra
     return _record(cases, 1, C.ARSON_CODE).distinct()
 
 
+# -------------------------------------------------------------- rule by rule
+def wanted_case_codes(tables: CrimeTables) -> DataFrame:
+    """The case codes that some rule asks for, once each."""
+    wanted = C.MVT_IUCR + C.ARSON_IUCR + C.CRIMINAL_DAMAGE_IUCR
+    return tables.case_iucr.where(F.expr(f"{sql_in('IUCR_CODE_CD', wanted)} AND CASE_ID IS NOT NULL")) \
+        .select("CASE_ID", "IUCR_CODE_CD").distinct()
+
+
+def incident_records_by_rule(cb: DataFrame, tables: CrimeTables) -> DataFrame:
+    """I3-I7 as a set, one DataFrame per rule.
+
+    Rules may give the same record only under codes of I3, and for one case id,
+    by which the joins of I4, I6 and I7 part their rows.  I3 is parted likewise,
+    so their union is made distinct where its rows are.  Larcenies (I5) are the
+    only records of their code; cases without an id, which no join keeps, are
+    records of I3 of their own."""
+    named, nameless = cb.where(F.col("ID").isNotNull()), cb.where(F.col("ID").isNull())
+    parts = [
+        union_distinct(
+            incident_counted_records(named).repartition("ID"), mvt_override_records(named, tables),
+            masked_arson_records(named, tables), burned_property_arson_records(named, tables),
+        ),
+        larceny_remainder_records(cb, tables),
+    ]
+    if not nameless.isEmpty():
+        parts.append(incident_counted_records(nameless).distinct())
+    return disjoint_union(*parts)
+
+
 # -------------------------------------------------------------- single pass
 def case_code_evidence(tables: CrimeTables) -> DataFrame:
     """Per case: has an MVT / arson / criminal-damage IUCR code.  The IN filter
@@ -239,14 +285,17 @@ def burned_property_cases(tables: CrimeTables) -> DataFrame:
 
 
 def incident_records_single_pass(cb: DataFrame, tables: CrimeTables) -> DataFrame:
-    """I3-I7 from the scoped cases left-joined with their per-case evidence.
+    """I3-I7 as a set, from the scoped cases left-joined with their per-case evidence.
 
     Both evidence relations have one row per case, so the joins cannot fan
     out; both join on the case id, so ``cb`` is shuffled once (or not at all
-    when every case-keyed table is bucketed by case id)."""
+    when every case-keyed table is bucketed by case id), and the records are made
+    distinct where that left them.  Cases without an id have no evidence: they
+    skip the joins, which would put all of them into one task."""
     codes = case_code_evidence(tables)
     burned = burned_property_cases(tables)
-    x = cb.join(codes, cb["ID"] == codes["CASE_ID"], "left")
+    named, nameless = cb.where(F.col("ID").isNotNull()), cb.where(F.col("ID").isNull())
+    x = named.join(codes, named["ID"] == codes["CASE_ID"], "left")
     x = x.join(burned, x["ID"] == burned["BURNED_CASE_ID"], "left")
     mvt, arson, damage = "coalesce(HAS_MVT, false)", "coalesce(HAS_ARSON, false)", "coalesce(HAS_DAMAGE, false)"
     burned_flag = "BURNED_CASE_ID IS NOT NULL"
@@ -254,23 +303,21 @@ def incident_records_single_pass(cb: DataFrame, tables: CrimeTables) -> DataFram
     candidates = ", ".join([
         f"CASE WHEN {_sql_incident_counted()} AND FBI_KNOWN THEN FBI_CD END",
         f"CASE WHEN {larceny} AND {mvt} THEN {q(C.MVT_CODE)} END",
-        # SQL NOT IN drops a NULL id whenever any case was overridden.
-        f"CASE WHEN {larceny} AND NOT {mvt} AND ID IS NOT NULL THEN {q(C.LARCENY_CODE)} END",
+        f"CASE WHEN {larceny} AND NOT {mvt} THEN {q(C.LARCENY_CODE)} END",
         f"CASE WHEN {_sql_arson_masking()} AND {arson} THEN {q(C.ARSON_CODE)} END",
         f"CASE WHEN {_sql_not_arson()} AND {damage} AND {burned_flag} THEN {q(C.ARSON_CODE)} END",
     ])
     codes_expr = F.expr(f"array_distinct(array_compact(array({candidates})))")
     exploded = x.select("ID", "RD", "MONTH", "YEAR", F.explode(codes_expr).alias("FBI_CD"))
-    records = _record(exploded, 1, F.col("FBI_CD"))
-    # A larceny case without an id stays only if no case at all is overridden
-    # (NOT IN).  Such cases are looked for first: the filter on a null id is
-    # pushed to the scan, which skips row groups without one.
-    nameless = cb.where(F.col("ID").isNull()).where(F.expr(larceny))
+    records = _record(exploded, 1, F.col("FBI_CD")).distinct()
+    # Cases without an id are looked for first: the filter on a null id is pushed
+    # to the scan, which skips row groups without one.  A larceny case without an
+    # id stays only if no case at all is overridden (NOT IN).
     if nameless.isEmpty():
         return records
     overridden = x.where(F.expr(f"{larceny} AND {mvt}")).select(F.lit(1).alias("_one")).limit(1)
-    left = nameless.withColumn("_one", F.lit(1)).join(overridden, "_one", "left_anti")
-    return records.unionByName(_record(left, 1, C.LARCENY_CODE).distinct())
+    left = nameless.where(F.expr(larceny)).withColumn("_one", F.lit(1)).join(overridden, "_one", "left_anti")
+    return disjoint_union(records, incident_counted_records(nameless).distinct(), _record(left, 1, C.LARCENY_CODE).distinct())
 
 
 # ------------------------------------------------------------------ records
@@ -289,23 +336,19 @@ def index_records(tables: CrimeTables, period: Period = DEFAULT_PERIOD,
     ``materialize`` stages the period's cases once (needs
     ``spark.checkpoint.dir`` on a cluster).  Without it each reader of the
     cases scans ``crimes``, which on the bucketed layout saves their shuffle."""
+    if method not in ("union", "single_pass"):
+        raise ValueError(f"unknown method {method!r}")
     cb = case_base(tables, period, districts)
     if materialize:
         cb = staged_parquet(cb, "cases")
-    hom = homicide_records(tables, period, districts)
+    hom = _record(homicide_records(tables, period, districts).select("ID", "RD", "MONTH", "YEAR").distinct(), 1, C.HOMICIDE_CODE)
     if materialize:
         # Only the staged cases' rows of the case-keyed tables, which carry no date, are shuffled.
         tables = of_cases(tables, cb)
-    vic = victim_counted_records(cb, tables)
-    if method == "union":
-        return union_distinct(
-            hom, vic, incident_counted_records(cb), mvt_override_records(cb, tables),
-            larceny_remainder_records(cb, tables), masked_arson_records(cb, tables),
-            burned_property_arson_records(cb, tables),
-        )
-    if method != "single_pass":
-        raise ValueError(f"unknown method {method!r}")
-    return union_distinct(hom, vic, incident_records_single_pass(cb, tables))
+        if method == "union":
+            tables = replace(tables, case_iucr=staged_parquet(wanted_case_codes(tables), "case_codes"))
+    incidents = incident_records_by_rule if method == "union" else incident_records_single_pass
+    return disjoint_union(hom, victim_record_set(cb, tables), incidents(cb, tables))
 
 
 def index_totals(records: DataFrame) -> DataFrame:

@@ -193,7 +193,8 @@ def _op_global_dense_rank(t: CrimeTables) -> DataFrame:
 
 
 def _op_code_map(t: CrimeTables) -> DataFrame:
-    return t.homicides.select(
+    coded = relational.with_codes(t.homicides, "VICTIM_REL_TO_OFFENDER", R.relation_rows(), R.RELATION_FIELDS)
+    return coded.select(
         "ID", "VICTIM_RACE", R.victim_race("VICTIM_RACE").alias("VICRACE"),
         R.victim_ethnicity("VICTIM_RACE").alias("VICETHNICITY"),
         R.relationship_code("VICTIM_REL_TO_OFFENDER", "VICTIM_SEX", None).alias("RELATIONCD"),

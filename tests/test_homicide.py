@@ -5,8 +5,10 @@ from __future__ import annotations
 from conftest import ts
 from pyspark.sql import functions as F
 
+from crimestats.functions import codes as C
 from crimestats.functions import recode as R
 from crimestats.functions.predicates import Period
+from crimestats.operators.relational import with_codes
 from crimestats.plans import homicide as H
 
 P = Period.calendar_year(2016)
@@ -139,8 +141,29 @@ def test_t16_t17_recodes(spark):
 def test_relationship_codes(spark):
     df = spark.createDataFrame([("CHILD", "M"), ("CHILD", "X"), (None, "M"), ("MARTIAN", "F"),
                                 ("MOTHER'S PARAMOUR", "F"), ("FATHER-IN-LAW", "M")], "rel string, sex string")
-    got = df.select(R.relationship_code("rel", "sex", None).alias("c")).collect()
+    coded = with_codes(df, "rel", R.relation_rows(), R.RELATION_FIELDS)
+    got = coded.select(R.relationship_code("rel", "sex", None).alias("c")).collect()
     assert [r.c for r in got] == ["SO", None, "UN", None, "AQ", "IL"]
+    # a table of fixed values: one hash probe a row, no chain of comparisons
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [rel" in plan and "MOTHER'S" not in plan.split("LocalTableScan")[0]
+
+
+def test_every_relationship_equals_the_first_match_of_its_rules(spark):
+    """Against the rules read one by one, for every text, sex and situation."""
+    def first_match(rel, sex, sit):
+        if sit in C.UNKNOWN_OFFENDER_SITUATIONS:
+            return "UN"
+        for value, of_sex, code in C.RELATION_BY_SEX:
+            if rel == value and sex == of_sex:
+                return code
+        return next((code for values, code in C.RELATION_CODES if (rel is None if values is None else rel in values)), None)
+
+    texts = [v for values, _ in C.RELATION_CODES for v in (values or [None])] + ["CHILD", "LIFE PARTNER", "child", "", "MARTIAN"]
+    rows = [(r, s, t) for r in texts for s in ("M", "F", "X", "", None) for t in ("A", "B", "F", None)]
+    coded = with_codes(spark.createDataFrame(rows, "rel string, sex string, sit string"), "rel", R.relation_rows(), R.RELATION_FIELDS)
+    got = {(r.rel, r.sex, r.sit): r.c for r in coded.withColumn("c", R.relationship_code("rel", "sex", "sit")).collect()}
+    assert got == {row: first_match(*row) for row in rows}
 
 
 def test_circumstance_age_split_is_numeric(spark):

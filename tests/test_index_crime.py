@@ -97,6 +97,30 @@ def test_mvt_override_and_larceny_remainder_are_disjoint(make_tables):
     assert got == {(1, "07"), (2, "06"), (4, "07")}  # 0840 is in neither
 
 
+def test_records_are_a_set_for_repeated_rows_and_cases_without_an_id(make_tables):
+    """Repeated crimes, victims and homicides; one id under two codes, whose rules give the same record; null ids."""
+    def nameless(iucr, rd):
+        return {**crime(0, iucr), "ID": None, "RD": rd}
+
+    hom = {"ID": 9, "RD_NO": "H9", "HOMICIDE_NO": "M9", "INJURY_DATE": ts("2016-03-04 05:06:07"), "ACTIVE_I": "Y", "CURR_DISTRICT": "3"}
+    base = dict(iucr_codes=IUCR, fbi_codes=FBI, homicides=[hom, hom],
+                victims=[{"CASE_ID": 5, "NO_ID": 1, "VFBI_CD": "02"}] * 3 + [{"CASE_ID": None, "NO_ID": 1, "VFBI_CD": "02"}])
+    crimes = [crime(1, "0910"), crime(1, "0820"), crime(1, "0820"), crime(2, "1010"), crime(2, "0312"), crime(5, "0261"), crime(5, "0261"),
+              nameless("0312", "N1"), nameless("0312", "N1"), nameless("0820", "N2"), nameless("0261", "N3")]
+    codes = [{"CASE_ID": 1, "IUCR_CODE_CD": "0915"}, {"CASE_ID": 1, "IUCR_CODE_CD": "0917"}, {"CASE_ID": 2, "IUCR_CODE_CD": "1090"},
+             {"CASE_ID": None, "IUCR_CODE_CD": "0915"}]
+    fixed = {(9, "H9", 1, "01A", "03", "2016"), (5, "R5", 1, "02", "06", "2016"), (None, "N1", 1, "03", "06", "2016"),
+             (2, "R2", 1, "03", "06", "2016"), (2, "R2", 1, "09", "06", "2016")}
+    for case_iucr, more in ((codes, {(1, "R1", 1, "07", "06", "2016")}),
+                            (codes[2:], {(1, "R1", 1, "07", "06", "2016"), (1, "R1", 1, "06", "06", "2016"), (None, "N2", 1, "06", "06", "2016")})):
+        t = make_tables(crimes=crimes, case_iucr=case_iucr, **base)
+        assert both_methods(t) == fixed | more
+        for method in ("union", "single_pass"):
+            for staged in (True, False):
+                rows = [tuple(r) for r in I.index_records(t, P, method=method, materialize=staged).collect()]
+                assert sorted(rows, key=repr) == sorted(fixed | more, key=repr)
+
+
 def test_arson_additional_records(make_tables):
     crimes = [crime(1, "0312"), crime(2, "1310"), crime(3, "1010"), crime(4, "1310")]
     codes = [{"CASE_ID": 1, "IUCR_CODE_CD": "1090"}, {"CASE_ID": 1, "IUCR_CODE_CD": "1310"},

@@ -80,6 +80,26 @@ def test_reports_scan_each_table_once_and_have_the_declared_columns(spark):
     assert [(f.name, f.dataType) for f in report.schema] == [(f.name, f.dataType) for f in SHR_ROW]
 
 
+def test_records_are_not_shuffled_to_be_distinct(spark):
+    """No shuffle by the record's columns: the parts of the set are made distinct by their own keys.  Each table is scanned once."""
+    tables = load_fixture_tables(spark, SF)
+    p = Period.calendar_year(1996)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for method in ("single_pass", "union"):
+            plan = _whole_plan(spark, I.index_records(tables, p, method=method))
+            keys = re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan)
+            assert keys and not [k for k in keys if "FBI_CD" in k.replace("VFBI_CD", "") or len(k.split(",")) > 4], (method, keys)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    stored = write_bucketed_tables(tables, "crimestats_once_test", buckets=2)
+    for method, scans in (("single_pass", 1), ("union", 0)):
+        plan = _whole_plan(spark, I.index_records(stored, p, method=method))
+        assert plan.split("Initial Plan")[-1].count("crimestats_once_test.case_iucr") == scans, method
+
+
 def _report_shuffles(spark, tables, period) -> list[str]:
     """Shuffles of the report's plan in the shape it has on large inputs; what is staged was run before."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
