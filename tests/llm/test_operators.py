@@ -59,6 +59,35 @@ def test_host_verdicts_reach_documents(make_docs):
     assert host_quality.host_quality(docs.limit(0)).count() == 0
 
 
+def test_shrinkage_decides_and_gross_failures_go_everywhere(make_docs):
+    """A small host with one mild failure is trusted by its shrunk rate, though its own rate is over the bound."""
+    rng = random.Random(3)
+    clean = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(80))
+    mild, gross = (lambda: clean() + " #########"), (lambda: clean() + " " + "#" * 40)
+    hosts = {f"h{k}": [mild()] + [clean() for _ in range(19)] for k in range(10)} | {"small": [mild()] + [clean() for _ in range(11)]}
+
+    def verdicts(hosts):
+        docs = make_docs([t for ts in hosts.values() for t in ts], source=[h for h, ts in hosts.items() for _ in ts])
+        rows = host_quality.host_quality(docs).collect()
+        assert sorted(r.doc_id for r in host_quality.filter_documents(docs).collect()) == sorted(r.doc_id for r in rows if r.kept)
+        return {r.host: r.host_verdict for r in rows}, {(r.host, r.symbols_failed, r.gross_failed): r.kept for r in rows}
+
+    got, kept = verdicts(hosts)
+    assert 1 / 12 > host_quality.STRICT_EXCESS * (10 / 20 + 1 / 12) / 11
+    assert set(got.values()) == {"trusted"} and kept["=small", True, False]
+    got, kept = verdicts(hosts | {"worse": [mild() for _ in range(9)] + [clean() for _ in range(11)], "h0": [gross()] + hosts["h0"][1:]})
+    assert got.pop("=worse") == "strict" and set(got.values()) == {"trusted"}
+    assert not kept["=worse", True, False] and kept["=worse", False, False] and kept["=h1", True, False] and not kept["=h0", True, True]
+
+
+def test_pieces_replace_columns_of_their_names(make_docs):
+    docs = make_docs(["ab cd", None, ""]).withColumnRenamed("source", "input_ids")
+    coded = sentence_pieces.encode_documents(docs)
+    assert coded.columns == [c for c in docs.columns if c not in ("text", "input_ids")] + ["input_ids"]
+    back = sentence_pieces.decode_documents(coded.selectExpr("*", "'other' AS text"))
+    assert {r.doc_id: r.text for r in back.collect()} == {1: "ab cd", 2: None, 3: ""}
+
+
 # ----------------------------------------------------------------- language
 def test_language_held_out_accuracy_and_edges(make_docs):
     rng = random.Random(3)
