@@ -231,20 +231,20 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 def encode_documents(docs: DataFrame, model: str = MODEL) -> DataFrame:
-    """All columns of ``docs`` with input_ids (array<int>) in place of the text; ``docs`` has no input_ids yet."""
+    """All columns of ``docs`` with input_ids (array<int>) in place of the text and of any column named input_ids."""
     def fn(batch: pa.RecordBatch):
         return {"input_ids": vocabulary(model).encode(batch.column("text").to_pylist())}
 
-    return with_columns(docs.withColumn("text", F.col("text").cast("string")), fn, "input_ids array<int>").drop("text")
+    return with_columns(docs.drop("input_ids").withColumn("text", F.col("text").cast("string")), fn, "input_ids array<int>").drop("text")
 
 
 def decode_documents(encoded: DataFrame, model: str = MODEL) -> DataFrame:
-    """All columns of ``encoded`` with the text of input_ids in place of them."""
+    """All columns of ``encoded`` with the text of input_ids in place of them and of any column named text."""
     def fn(batch: pa.RecordBatch):
         v = vocabulary(model)
         return {"text": [None if x is None else v.decode(np.array(x, np.int32)) for x in batch.column("input_ids").to_pylist()]}
 
-    return with_columns(encoded, fn, "text string").drop("input_ids")
+    return with_columns(encoded.drop("text"), fn, "text string").drop("input_ids")
 
 
 def encoding_digests(docs: DataFrame, model: str = MODEL) -> DataFrame:
