@@ -1,14 +1,18 @@
 """Language-model scores by a hashed maximum-entropy model with a class-factored softmax.
 
 The training documents' words are counted over all of them.  The most frequent words form HEAD_CLASSES classes of CLASS_WORDS words;
-all others belong to TAIL_CLASSES classes by their last two bytes.  log P(word | history) is log P(class | history), a softmax over
-hashed features of the history (bias, previous word, the two before, and the one before the last alone: a skip), plus, in
-a head class, a second softmax over its words with features of its own, and in a tail class the smoothed share of the word's count
-(each class keeps one share for unseen words).  The history is seen through symbols: frequent words, else the word's class.
-
-Training goes over every training document once, in ROUNDS: each task takes gradient steps on its documents from the last round's
-weights, and the tasks' changes are averaged by their tokens, in two levels.  Texts are scored in sparse numpy batches.  Counts of
-words beyond the HOT most frequent ones are never broadcast: their occurrences meet their counts in a join.
+all others belong to TAIL_CLASSES classes by their last two bytes, each of CLASS_WORDS slots by the word's hash.  log P(word | history)
+is log P(class | history), a softmax over hashed features of the history (bias, previous word, the two before, and the one before the
+last alone: a skip), plus log P(slot | class, history), a second softmax with features of its own for every word.  A head class's slot
+is a word; in a tail class's slot the word has the smoothed share of its count (each slot keeps one share for unseen words).  The
+history is seen through symbols: frequent words as themselves, else the word's class and slot.
+
+The weight tables grow with the root of the training tokens, as contexts do, from LEAST_ROWS up to MOST_ROWS rows (32 MB each in half
+precision, the bound of what is broadcast); frequent words shown as themselves grow with them.  Training goes over every training document once, in
+ROUNDS: each task takes gradient steps on its documents from the last round's weights and gives out the changes of the rows
+it touched, by blocks; Spark means each row over the tasks that touched it, weighted by their tokens, in levels of at most FAN changes.
+Texts are scored in sparse numpy batches.  Counts of words beyond the HOT most frequent ones are never broadcast: their occurrences
+meet their counts in a join.
 
 A text's tokens are its words (A-Z lower-cased) and one end.  Null text counts as empty (the end alone).  A null doc_id is in no
 fold 0: its row trains.  Repeated rows count and are scored row by row.  Without training documents N and V are 0.
@@ -36,13 +40,18 @@ END = b"\n"
 HEAD_CLASSES, CLASS_WORDS, TAIL_CLASSES = 8, 32, 24
 HEAD = HEAD_CLASSES * CLASS_WORDS
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
-#: Words whose counts are broadcast (of at most HOT_BYTES bytes each) and words that the history shows as themselves.
-HOT, HOT_BYTES, SYMBOLS = 1 << 17, 64, 4096
-#: Hashed weight rows of the two softmaxes.
-ROWS, WORD_ROWS = 1 << 13, 1 << 12
-ROUNDS, RATE, BATCH, SLICE = 2, 0.3, 4096, 4096
+#: Words whose counts are broadcast (of at most HOT_BYTES bytes each).
+HOT, HOT_BYTES = 1 << 17, 64
+#: Hashed weight rows of each softmax: ROWS_BY_ROOT times the root of the training tokens, between these; a SYMBOL_SHARE-th as many
+#: words are shown by the history as themselves.
+LEAST_ROWS, MOST_ROWS, ROWS_BY_ROOT, SYMBOL_SHARE = 1 << 15, 1 << 19, 32, 4
+ROUNDS, RATE, DAMPING, SLICE = 2, 0.2, 0.3, 4096
+#: Tokens of a gradient step, as a power of two.
+BATCH_BITS = 12
+BATCH = 1 << BATCH_BITS
 ALPHA = 0.1
-TASK_GROUPS = 32
+#: Rows of a block of changes, and the most changes of a block that one call adds.
+BLOCK_ROWS, FAN = 4096, 32
 #: Words that a task counts before it gives the counts out.
 HELD_WORDS = 200_000
 
@@ -55,6 +64,15 @@ def tail_class(word: bytes) -> int:
     return HEAD_CLASSES + zlib.crc32(word[-2:]) % TAIL_CLASSES
 
 
+def word_slot(word: bytes) -> int:
+    """The word's place in its tail class."""
+    return zlib.crc32(word) % CLASS_WORDS
+
+
+def table_rows(tokens: int) -> int:
+    return min(MOST_ROWS, max(LEAST_ROWS, int(ROWS_BY_ROOT * math.sqrt(tokens))))
+
+
 def _docs(docs: DataFrame) -> DataFrame:
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(FOLDS))
     return docs.select(F.col("doc_id").cast("long"), F.coalesce(fold == HELD_OUT, F.lit(False)).alias("held_out"),
@@ -84,23 +102,26 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 class Lexicon:
-    """The hot words in rank order (the end first), their counts and classes, and the tail classes' sums."""
+    """The hot words in rank order (the end first), their counts, classes and slots, and the sums of the tail classes' slots."""
 
     def __init__(self, hot: list[tuple[bytes, int]], tokens: int, types: int, tail: dict[int, tuple[int, int]]):
         self.key = uuid.uuid4().hex
         self.words = [w for w, _ in hot]
         self.count = np.array([c for _, c in hot] or [0], np.int64)
         self.tokens, self.types = tokens, types
+        self.rows = table_rows(tokens)
+        self.symbols = self.rows // SYMBOL_SHARE
         head = min(HEAD, len(hot))
         self.cls = np.array([i // CLASS_WORDS if i < head else tail_class(w) for i, w in enumerate(self.words)] or [HEAD_CLASSES], np.int64)
+        self.slot = np.array([i % CLASS_WORDS if i < head else word_slot(w) for i, w in enumerate(self.words)] or [0], np.int64)
         self.base = np.log10((self.count + ALPHA) / (tokens + ALPHA * (types + 1)))
-        self.scale = {k: n + ALPHA * (v + 1) for k, (n, v) in tail.items()}
-        self.share = np.array([0.0 if i < head else math.log10((c + ALPHA) / self.tail_scale(int(k))) for i, (c, k) in enumerate(zip(self.count.tolist(), self.cls))])
+        self.scale = np.full((CLASSES, CLASS_WORDS), ALPHA)
+        for at, (n, v) in tail.items():
+            self.scale[divmod(at, CLASS_WORDS)] = n + ALPHA * (v + 1)
+        self.share = np.log10((self.count + ALPHA) / self.scale[self.cls, self.slot])
+        self.share[:head] = 0
         self.head = head
 
-    def tail_scale(self, k: int) -> float:
-        return self.scale.get(k, ALPHA)
-
     def index(self) -> dict[bytes, int]:
         return {w: i for i, w in enumerate(self.words)}
 
@@ -120,39 +141,38 @@ def lexicon(vocabulary: DataFrame) -> Lexicon:
     hot = sorted(((bytes(r["word"]), r["c"]) for r in found), key=lambda x: (-x[1], x[0]))
     total = vocabulary.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.sum(F.when(F.col("word") == F.lit(END), F.col("c"))).alias("ends")).first()
     hot = [(END, total["ends"] or 0), *hot]
-    kind = (F.pmod(F.crc32(F.expr("substring(word, -2, 2)")), F.lit(TAIL_CLASSES)) + HEAD_CLASSES).cast("int")
-    sums = {r["k"]: [r["n"], r["v"]] for r in vocabulary.groupBy(kind.alias("k")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
+    kind = F.pmod(F.crc32(F.expr("substring(word, -2, 2)")), F.lit(TAIL_CLASSES)) + HEAD_CLASSES
+    place = (kind * CLASS_WORDS + F.pmod(F.crc32("word"), F.lit(CLASS_WORDS))).cast("int")
+    sums = {r["k"]: [r["n"], r["v"]] for r in vocabulary.groupBy(place.alias("k")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
     for w, c in hot[:HEAD]:  # the head is in no tail class
         if c:
-            k = tail_class(w)
+            k = tail_class(w) * CLASS_WORDS + word_slot(w)
             sums[k] = [sums[k][0] - c, sums[k][1] - 1]
     return Lexicon(hot, total["n"] or 0, total["v"], {k: tuple(v) for k, v in sums.items()})
 
 
 class Model:
-    """Weights of the two softmaxes."""
+    """Weights of the two softmaxes: ``tables[0]`` of the classes, ``tables[1]`` of the slots."""
 
     def __init__(self, lex: Lexicon):
-        self.cls_rows = np.zeros((ROWS, CLASSES), np.float32)
-        self.word_rows = np.zeros((WORD_ROWS, CLASS_WORDS), np.float32)
-        # Row 0 and rows 0..HEAD_CLASSES-1 are the biases: they start at the counts' logarithms.
-        mass = np.zeros(CLASSES)
+        self.cls_rows = np.zeros((lex.rows, CLASSES), np.float32)
+        self.word_rows = np.zeros((lex.rows, CLASS_WORDS), np.float32)
+        self.tables = (self.cls_rows, self.word_rows)
+        # Row 0 and rows 0..CLASSES-1 are the biases: they start at the counts' logarithms.
+        mass = lex.scale.sum(1)
         for k in range(HEAD_CLASSES):
             own = lex.count[:lex.head][k * CLASS_WORDS:(k + 1) * CLASS_WORDS]
             mass[k] = own.sum() if len(own) else 0
             self.word_rows[k] = -30
             self.word_rows[k, :len(own)] = np.log(own + ALPHA)
-        for k in range(HEAD_CLASSES, CLASSES):
-            mass[k] = lex.tail_scale(k)
+        self.word_rows[HEAD_CLASSES:CLASSES] = np.log(lex.scale[HEAD_CLASSES:])
         self.cls_rows[0] = np.where(mass > 0, np.log(np.maximum(mass, 1e-9)), -30)
+        # The greatest is 0, where half precision is finest.
+        for bias in (self.cls_rows[:1], self.word_rows[:CLASSES]):
+            bias -= bias.max(1, keepdims=True)
 
-    def pack(self) -> bytes:
-        return zlib.compress(np.concatenate([self.cls_rows.ravel(), self.word_rows.ravel()]).astype(np.float16).tobytes(), 1)
-
-    def add(self, change: np.ndarray) -> None:
-        cut = self.cls_rows.size
-        self.cls_rows += change[:cut].reshape(self.cls_rows.shape)
-        self.word_rows += change[cut:].reshape(self.word_rows.shape)
+    def halved(self) -> tuple[np.ndarray, np.ndarray]:
+        return tuple(x.astype(np.float16) for x in self.tables)
 
 
 def _mix(*parts) -> np.ndarray:
@@ -163,8 +183,13 @@ def _mix(*parts) -> np.ndarray:
     return h
 
 
+def _place(span: int, *parts) -> np.ndarray:
+    """A row below ``span`` of each token's feature."""
+    return (_mix(*parts) % np.uint64(span)).astype(np.int64)
+
+
 def encode(texts: list, lex: Lexicon, index: dict):
-    """ids (-1: not hot), classes, symbols, starts of the texts' tokens, and the words that aren't hot."""
+    """ids (-1: not hot), classes, slots, symbols, sizes of the texts, and places and words of the tokens that aren't hot."""
     tokens = [words(t) for t in texts]
     sizes = np.array([len(t) for t in tokens])
     flat = [w for t in tokens for w in t]
@@ -173,25 +198,25 @@ def encode(texts: list, lex: Lexicon, index: dict):
     cold = np.flatnonzero(ids < 0)
     cls = lex.cls[np.maximum(ids, 0)]
     cold_words = [flat[i] for i in cold.tolist()]
+    slot = lex.slot[np.maximum(ids, 0)]
     cls[cold] = [tail_class(w) for w in cold_words]
-    symbol = np.where((ids >= 0) & (ids < SYMBOLS), ids, SYMBOLS + cls)
-    return ids, cls, symbol, sizes, cold, cold_words
+    slot[cold] = [word_slot(w) for w in cold_words]
+    symbol = np.where((ids >= 0) & (ids < lex.symbols), ids, -2 - (cls * CLASS_WORDS + slot))
+    return ids, cls, slot, symbol, sizes, cold, cold_words
 
 
-def histories(symbol: np.ndarray, sizes: np.ndarray):
-    """Feature rows of each token's history: class softmax (n x 4) and, without the word class, word softmax parts."""
-    start = SYMBOLS + CLASSES
+def histories(symbol: np.ndarray, sizes: np.ndarray, table: int = LEAST_ROWS):
+    """Feature rows of each token's history in a table of so many rows (n x 4), and its last two symbols."""
+    start = -1
     place = np.arange(len(symbol)) - np.repeat(np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
     one = np.where(place >= 1, np.roll(symbol, 1), start)
     two = np.where(place >= 2, np.roll(symbol, 2), start)
-    span = np.uint64(ROWS - 1)
-    rows = [np.zeros(len(symbol), np.int64), *((_mix(*f) % span + np.uint64(1)).astype(np.int64) for f in ((1, one), (2, one, two), (3, two)))]
+    rows = [np.zeros(len(symbol), np.int64), *(1 + _place(table - 1, *f) for f in ((1, one), (2, one, two), (3, two)))]
     return np.stack(rows, 1), one, two
 
 
-def word_rows(one: np.ndarray, two: np.ndarray, cls: np.ndarray) -> np.ndarray:
-    span = np.uint64(WORD_ROWS - HEAD_CLASSES)
-    return np.stack([cls, *((_mix(*f) % span).astype(np.int64) + HEAD_CLASSES for f in ((4, one, cls), (5, two, cls)))], 1)
+def word_rows(one: np.ndarray, two: np.ndarray, cls: np.ndarray, table: int = LEAST_ROWS) -> np.ndarray:
+    return np.stack([cls, *(CLASSES + _place(table - CLASSES, *f) for f in ((4, one, cls), (5, two, cls)))], 1)
 
 
 def _one_row(column: np.ndarray) -> bool:
@@ -209,25 +234,58 @@ def log_softmax(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return z
 
 
-def _step(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
-    """One AdaGrad step on a batch: the gradient of each used row, summed over the batch."""
+def _step(weights: np.ndarray, squares: np.ndarray, touches: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
+    """One AdaGrad step on a batch of at most BATCH tokens: the gradient of each used row, summed over the batch."""
     d = np.exp(log_softmax(rows, weights))
-    d[np.arange(len(d)), target] -= 1
+    place = np.arange(len(d))
+    d[place, target] -= 1
     # Column 0 is the bias: one row for all tokens, or one per class.
-    for column in rows.T.astype(np.uint16):
+    for column in rows.T:
         if _one_row(column):
-            used, g = column[:1], d.sum(0, keepdims=True)
-            squares[used] += np.einsum("ij,ij->i", g, g) / g.shape[1]
-            weights[used] -= RATE * g / np.sqrt(squares[used] + 1.0)[:, None]
-            continue
-        order = np.argsort(column, kind="stable")
-        placed = column[order]
-        first = np.flatnonzero(np.diff(placed, prepend=placed[0] ^ 1))
-        used = placed[first]
-        sums = np.cumsum(d.take(order, axis=0, mode="clip"), axis=0)[np.append(first[1:], len(order)) - 1]
-        g = np.diff(sums, axis=0, prepend=np.zeros((1, d.shape[1]), np.float32))
+            used, g, n = column[:1], d.sum(0, keepdims=True), len(d)
+        else:
+            key = np.sort(column << BATCH_BITS | place)
+            placed = key >> BATCH_BITS
+            first = np.flatnonzero(np.diff(placed, prepend=-1))
+            used, n = placed[first], np.diff(first, append=len(d))
+            g = np.add.reduceat(d.take(key & (BATCH - 1), axis=0, mode="clip"), first, axis=0)
+        touches[used] += n
         squares[used] += np.einsum("ij,ij->i", g, g) / g.shape[1]
-        weights[used] -= RATE * g / np.sqrt(squares[used] + 1.0)[:, None]
+        weights[used] -= RATE * g / np.sqrt(squares[used] + DAMPING)[:, None]
+
+
+CHANGE = "task long, kind int, block int, rows binary, touches binary, change binary"
+_CHANGE = pa.schema([("task", pa.int64()), ("kind", pa.int32()), ("block", pa.int32()), *((c, pa.binary()) for c in ("rows", "touches", "change"))])
+
+
+def _packed(task: int, kind: int, block: int, rows: np.ndarray, touches: np.ndarray, change: np.ndarray) -> dict:
+    """A block's touched rows, their tokens and changes."""
+    return {"task": task, "kind": kind, "block": block, "rows": rows.astype(np.uint16).tobytes(), "touches": touches.astype(np.float32).tobytes(),
+            "change": zlib.compress(change.astype(np.float16).tobytes(), 1)}
+
+
+def _unpacked(r) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    rows = np.frombuffer(r["rows"], np.uint16)
+    change = np.frombuffer(zlib.decompress(r["change"]), np.float16).astype(np.float32)
+    return rows, np.frombuffer(r["touches"], np.float32), change.reshape(len(rows), -1)
+
+
+def _record(found: list[dict]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[f.name] for r in found], f.type) for f in _CHANGE], schema=_CHANGE)
+
+
+def mean_change(table: pa.Table) -> pa.Table:
+    """One change of a block: each row's mean over the changes that touch it, weighted by their tokens."""
+    total = tokens = None
+    for i in range(table.num_rows):
+        r = {c: table.column(c)[i].as_py() for c in _CHANGE.names}
+        rows, n, change = _unpacked(r)
+        if total is None:
+            total, tokens = np.zeros((BLOCK_ROWS, change.shape[1]), np.float32), np.zeros(BLOCK_ROWS, np.float32)
+        total[rows] += change * n[:, None]
+        tokens[rows] += n
+    used = np.flatnonzero(tokens)
+    return pa.Table.from_batches([_record([_packed(r["task"] // FAN, r["kind"], r["block"], used, tokens[used], total[used] / tokens[used, None])])])
 
 
 def train(docs: DataFrame, lex: Lexicon) -> Model:
@@ -236,45 +294,40 @@ def train(docs: DataFrame, lex: Lexicon) -> Model:
     model = Model(lex)
     small_batches(spark)
     shared = spark.sparkContext.broadcast(lex)
-    size = model.cls_rows.size + model.word_rows.size
-
-    def add(table: pa.Table) -> pa.Table:
-        total, n = np.zeros(size, np.float32), 0
-        for blob, k in zip(table.column("change").to_pylist(), table.column("n").to_pylist()):
-            total += np.frombuffer(zlib.decompress(blob), np.float16).astype(np.float32) * k
-            n += k
-        return pa.table({"task": pa.array([0], pa.int32()), "n": pa.array([n], pa.int64()), "change": pa.array([zlib.compress((total / max(n, 1)).astype(np.float16).tobytes(), 1)], pa.binary())})
 
     for round_ in range(ROUNDS):
-        now = spark.sparkContext.broadcast((model.cls_rows, model.word_rows))
+        now = spark.sparkContext.broadcast(model.halved())
 
         def run(batches):
             lex = shared.value
             index = worker_index(lex)
-            a, b = (x.copy() for x in now.value)
-            sa, sb = np.zeros(len(a), np.float32), np.zeros(len(b), np.float32)
-            n = 0
+            a, b = (x.astype(np.float32) for x in now.value)
+            squares, touches = np.zeros((2, 2, len(a)), np.float32)
             for batch in batches:
-                ids, cls, symbol, sizes, _, _ = encode(binary_list(batch.column("text")), lex, index)
-                rows, one, two = histories(symbol, sizes)
+                ids, cls, slot, symbol, sizes, _, _ = encode(binary_list(batch.column("text")), lex, index)
+                rows, one, two = histories(symbol, sizes, lex.rows)
                 for i in range(0, len(ids), BATCH):
                     part = slice(i, i + BATCH)
-                    _step(a, sa, rows[part], cls[part])
-                    head = np.flatnonzero((ids[part] >= 0) & (ids[part] < lex.head)) + i
-                    if len(head):
-                        _step(b, sb, word_rows(one[head], two[head], cls[head]), ids[head] % CLASS_WORDS)
-                n += len(ids)
-            if n:
-                change = np.concatenate([(a - now.value[0]).ravel(), (b - now.value[1]).ravel()]).astype(np.float16)
-                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % TASK_GROUPS], pa.int32()), pa.array([n], pa.int64()),
-                                                  pa.array([zlib.compress(change.tobytes(), 1)], pa.binary())], names=["task", "n", "change"])
+                    _step(a, squares[0], touches[0], rows[part], cls[part])
+                    _step(b, squares[1], touches[1], word_rows(one[part], two[part], cls[part], lex.rows), slot[part])
+            for kind, new in enumerate((a, b)):
+                for start in range(0, len(new), BLOCK_ROWS):
+                    used = np.flatnonzero(touches[kind, start:start + BLOCK_ROWS])
+                    if len(used):
+                        change = new[start + used] - now.value[kind][start + used]
+                        yield _record([_packed(TaskContext.get().partitionId() // FAN, kind, start // BLOCK_ROWS, used, touches[kind, start + used], change)])
 
         part = _docs(docs).where(f"NOT held_out AND fold % {ROUNDS} = {round_}").select("text")
-        changes = part.mapInArrow(run, "task int, n long, change binary")
-        kind = "task int, n long, change binary"
-        once = changes.groupBy("task").applyInArrow(add, kind).groupBy("task").applyInArrow(add, kind)
-        for r in once.collect():
-            model.add(np.frombuffer(zlib.decompress(r["change"]), np.float16).astype(np.float32))
+        tasks = part.rdd.getNumPartitions()
+        changes = part.mapInArrow(run, CHANGE)
+        while True:
+            changes = changes.groupBy("task", "kind", "block").applyInArrow(mean_change, CHANGE)
+            tasks = -(-tasks // FAN)
+            if tasks <= 1:
+                break
+        for r in changes.collect():
+            rows, _, change = _unpacked(r)
+            model.tables[r["kind"]][r["block"] * BLOCK_ROWS + rows.astype(np.int64)] += change
     return model
 
 
@@ -288,17 +341,14 @@ def worker_index(lex: Lexicon) -> dict[bytes, int]:
     return _INDEX[lex.key]
 
 
-def log10_known(ids, cls, rows, one, two, lex: Lexicon, model) -> np.ndarray:
-    """log10 P of each token, but for a token that isn't hot only its class's part."""
+def log10_known(ids, cls, slot, rows, one, two, lex: Lexicon, tables) -> np.ndarray:
+    """log10 P of each token, but for a token that isn't hot only its class's and slot's part."""
     out = np.empty(len(ids))
     for i in range(0, len(ids), SLICE):
         part = slice(i, i + SLICE)
-        n = len(ids[part])
-        out[part] = log_softmax(rows[part], model[0])[np.arange(n), cls[part]]
-        head = np.flatnonzero((ids[part] >= 0) & (ids[part] < lex.head)) + i
-        if len(head):
-            z = log_softmax(word_rows(one[head], two[head], cls[head]), model[1])
-            out[head] += z[np.arange(len(head)), ids[head] % CLASS_WORDS]
+        place = np.arange(len(ids[part]))
+        out[part] = log_softmax(rows[part], tables[0])[place, cls[part]]
+        out[part] += log_softmax(word_rows(one[part], two[part], cls[part], lex.rows), tables[1])[place, slot[part]]
     out /= math.log(10)
     return out + np.where(ids >= lex.head, lex.share[np.maximum(ids, 0)], 0)
 
@@ -311,19 +361,20 @@ def score(docs: DataFrame) -> DataFrame:
         vocabulary = tables.table(word_counts(docs), "vocabulary")
         lex = lexicon(vocabulary)
         model = train(docs, lex)
-        shared, weights = spark.sparkContext.broadcast(lex), spark.sparkContext.broadcast((model.cls_rows, model.word_rows))
+        shared, weights = spark.sparkContext.broadcast(lex), spark.sparkContext.broadcast(model.halved())
         schema = T.StructType.fromDDL("row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, "
                                       "word binary, k int, tf int")
         arrow = to_arrow_schema(schema)
 
         def run(batches):
             lex, count = shared.value, 0
+            tables = tuple(x.astype(np.float32) for x in weights.value)
             index = worker_index(lex)
             first = TaskContext.get().partitionId() << 36
             for batch in batches:
-                ids, cls, symbol, sizes, cold, cold_words = encode(binary_list(batch.column("text")), lex, index)
-                rows, one, two = histories(symbol, sizes)
-                p = log10_known(ids, cls, rows, one, two, lex, weights.value)
+                ids, cls, slot, symbol, sizes, cold, cold_words = encode(binary_list(batch.column("text")), lex, index)
+                rows, one, two = histories(symbol, sizes, lex.rows)
+                p = log10_known(ids, cls, slot, rows, one, two, lex, tables)
                 at = np.concatenate([[0], np.cumsum(sizes)[:-1]])
                 known = (ids >= 0) & (lex.count[np.maximum(ids, 0)] > 0)
                 base = np.where(ids >= 0, lex.base[np.maximum(ids, 0)], 0)
@@ -336,12 +387,12 @@ def score(docs: DataFrame) -> DataFrame:
                 each = Counter(zip(owner, cold_words))
                 if each:
                     pairs = list(each)
-                    columns = {"row": [o for o, _ in pairs], "word": [w for _, w in pairs], "k": [tail_class(w) for _, w in pairs], "tf": list(each.values())}
+                    columns = {"row": [o for o, _ in pairs], "word": [w for _, w in pairs], "k": [tail_class(w) * CLASS_WORDS + word_slot(w) for _, w in pairs], "tf": list(each.values())}
                     yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(len(pairs), f.type) for f in arrow], schema=arrow)
 
         parts = tables.table(_docs(docs).select("doc_id", "held_out", "text").mapInArrow(run, schema), "parts")
         seen = F.coalesce("c", F.lit(0)) + ALPHA
-        scale = F.element_at(F.array(*(F.lit(lex.tail_scale(k)) for k in range(HEAD_CLASSES, CLASSES))), F.col("k") - HEAD_CLASSES + 1)
+        scale = F.element_at(F.lit(lex.scale[HEAD_CLASSES:].ravel().tolist()), F.col("k") - HEAD_CLASSES * CLASS_WORDS + 1)
         terms = parts.where("word IS NOT NULL").select("row", "word", "k", "tf").join(vocabulary, "word", "left").select(
             "row", (F.col("tf") * F.log10(seen / F.lit(lex.tokens + ALPHA * (lex.types + 1)))).alias("b"), (F.col("tf") * F.log10(seen / scale)).alias("s"),
             F.when(F.col("c") > 0, F.col("tf")).otherwise(0).alias("n"))
