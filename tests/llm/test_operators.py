@@ -251,54 +251,6 @@ def test_model_probabilities_sum_to_one():
     assert np.allclose(z.sum(1), 1, atol=1e-5) and z.shape[1] == maxent_lm.CLASSES
 
 
-@pytest.mark.parametrize("seed", [0, 1])
-def test_words_and_unseen_ones_of_a_history_sum_to_one(seed):
-    """P(word | history) over the whole vocabulary and one unseen word of each slot, at any weights."""
-    rng = np.random.default_rng(seed)
-    words = [b"\n"] + [b"w%d" % i for i in range(900)]
-    count = np.sort(rng.integers(1, 500, len(words)))[::-1].tolist()
-    tail = {}
-    for w, c in list(zip(words, count))[maxent_lm.HEAD:]:
-        n, v = tail.get(maxent_lm.tail_class(w) * maxent_lm.CLASS_WORDS + maxent_lm.word_slot(w), (0, 0))
-        tail[maxent_lm.tail_class(w) * maxent_lm.CLASS_WORDS + maxent_lm.word_slot(w)] = (n + c, v + 1)
-    # The last 100 words are known but not hot: their shares come from the join's formula.
-    lex = maxent_lm.Lexicon(list(zip(words, count))[:-100], sum(count), len(words), tail)
-    model = maxent_lm.Model(lex)
-    for table in model.tables:
-        table += rng.normal(0, 0.5, table.shape)
-    index, total = lex.index(), 0.0
-    for w, c in zip(words, count):
-        ids, cls, slot, symbol, sizes, cold, _ = maxent_lm.encode([b"w3 zzz " + w], lex, index)
-        if w == b"\n":  # the end follows by itself
-            ids, cls, slot, symbol, sizes, cold, _ = maxent_lm.encode([b"w3 zzz"], lex, index)
-        rows, one, two = maxent_lm.histories(symbol, sizes, lex.rows)
-        p = maxent_lm.log10_known(ids, cls, slot, rows, one, two, lex, model.tables)[2]
-        total += 10 ** p * ((c + 0.1) / lex.scale[cls[2], slot[2]] if 2 in cold else 1)
-    classes = np.exp(maxent_lm.log_softmax(rows[2:3], model.cls_rows))[0]
-    for k in range(maxent_lm.HEAD_CLASSES, maxent_lm.CLASSES):
-        slots = np.exp(maxent_lm.log_softmax(maxent_lm.word_rows(one[2:3], two[2:3], np.array([k]), lex.rows), model.word_rows))[0]
-        total += classes[k] * (slots * 0.1 / lex.scale[k]).sum()
-    assert abs(total - 1) < 1e-4
-
-
-def test_changes_are_means_over_the_tasks_that_touch_a_row():
-    rng = np.random.default_rng(3)
-    parts = [(np.sort(rng.choice(maxent_lm.BLOCK_ROWS, 50, replace=False)), rng.integers(1, 9, 50), rng.normal(size=(50, 32))) for _ in range(5)]
-    table = maxent_lm.pa.Table.from_batches([maxent_lm._record([maxent_lm._packed(64 + k, 1, 7, *p) for k, p in enumerate(parts)])])
-    r = maxent_lm.mean_change(table).to_pylist()[0]
-    rows, tokens, change = maxent_lm._unpacked(r)
-    assert (r["task"], r["kind"], r["block"]) == (2, 1, 7)
-    assert rows.tolist() == sorted({x for p in parts for x in p[0].tolist()})
-    for x, n, got in zip(rows, tokens, change):
-        own = [(p[1][i], p[2][i]) for p in parts for i in np.flatnonzero(p[0] == x)]
-        assert n == sum(k for k, _ in own) and np.allclose(got, sum(k * c for k, c in own) / n, atol=4e-3)
-
-
-def test_weight_tables_grow_with_the_tokens():
-    sizes = [maxent_lm.table_rows(10 ** k) for k in range(0, 14)]
-    assert sizes == sorted(sizes) and sizes[0] == maxent_lm.LEAST_ROWS and sizes[-1] == maxent_lm.MOST_ROWS and len(set(sizes)) > 3
-
-
 # --------------------------------------------------------- vector duplicates
 def test_lattice_links_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(lattice_dedup, "BLOCK", 16)
