@@ -251,7 +251,50 @@ def test_model_probabilities_sum_to_one():
     assert np.allclose(z.sum(1), 1, atol=1e-5) and z.shape[1] == maxent_lm.CLASSES
 
 
+def test_words_and_unseen_ones_of_a_history_sum_to_one():
+    """P(word | history) over the whole vocabulary and one unseen word of each tail class, at any weights."""
+    rng = np.random.default_rng(0)
+    words = [b"\n"] + [b"w%d" % i for i in range(900)]
+    count = np.sort(rng.integers(1, 500, len(words)))[::-1].tolist()
+    tail = {}
+    for w, c in list(zip(words, count))[maxent_lm.HEAD:]:
+        n, v = tail.get(maxent_lm.tail_class(w), (0, 0))
+        tail[maxent_lm.tail_class(w)] = (n + c, v + 1)
+    # The last 100 words are known but not hot: their shares come from the join's formula.
+    lex = maxent_lm.Lexicon(list(zip(words, count))[:-100], sum(count), len(words), tail)
+    model = maxent_lm.Model(lex)
+    weights = tuple((x + rng.normal(0, 0.5, x.shape)).astype(np.float32) for x in (model.cls_rows, model.word_rows))
+    index, total = lex.index(), 0.0
+    for w, c in zip(words, count):
+        text = b"w3 zzz" if w == b"\n" else b"w3 zzz " + w  # the end follows by itself
+        ids, cls, symbol, sizes, cold, _ = maxent_lm.encode([text], lex, index)
+        rows, one, two = maxent_lm.histories(symbol, sizes)
+        p = maxent_lm.log10_known(ids, cls, rows, one, two, lex, weights)[2]
+        total += 10 ** p * ((c + maxent_lm.ALPHA) / lex.tail_scale(int(cls[2])) if 2 in cold else 1)
+    classes = np.exp(maxent_lm.log_softmax(rows[2:3], weights[0]))[0]
+    total += sum(classes[k] * maxent_lm.ALPHA / lex.tail_scale(k) for k in range(maxent_lm.HEAD_CLASSES, maxent_lm.CLASSES))
+    assert abs(total - 1) < 1e-4
+
+
 # --------------------------------------------------------- vector duplicates
+@pytest.mark.parametrize("dimension", [16, 64, 384])
+def test_lattice_recall_at_the_threshold(dimension):
+    """Pairs at the smallest cosine that links: some table has the home of one in the home or a probe of the other."""
+    rng = np.random.default_rng(dimension)
+    a = rng.normal(size=(3000, dimension))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.normal(size=a.shape)
+    b -= (a * b).sum(1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    cosine = lattice_dedup.THRESHOLD
+    b = cosine * a + math.sqrt(1 - cosine ** 2) * b
+    met = np.zeros(len(a), bool)
+    for t in range(lattice_dedup.TABLES):
+        x, y = lattice_dedup.cells(a, 1, t), lattice_dedup.cells(b, 1, t)
+        met |= (x[:, :1] == y).any(1) | (y[:, :1] == x).any(1)
+    assert met.mean() >= 0.99
+
+
 def test_lattice_links_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(lattice_dedup, "BLOCK", 16)
     rng = np.random.default_rng(8)
