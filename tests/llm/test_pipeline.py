@@ -39,3 +39,12 @@ def test_queries_with_sql_equal_it(spark):
     keys = list(queries.oracle_sql())
     for key, result in compare(spark, SF, keys, verbose=False).items():
         assert result["rows_match"] and result["schema_match"] and result["hash_match"], (key, result)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.read.parquet(f"{SF}/documents.parquet").where("false").write.parquet(str(tmp_path / "documents.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.count() == 0 and "input_ids" in out.columns
