@@ -20,10 +20,10 @@ from __future__ import annotations
 import math
 import uuid
 import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -43,12 +43,25 @@ ROWS, WORD_ROWS = 1 << 13, 1 << 12
 ROUNDS, RATE, BATCH, SLICE = 2, 0.3, 4096, 4096
 ALPHA = 0.1
 TASK_GROUPS = 32
-#: Words that a task counts before it gives the counts out.
-HELD_WORDS = 200_000
+#: Bytes of split words that a task holds before it counts them, and distinct words beyond which it gives the counts out.
+HELD_BYTES, HELD_WORDS = 32 << 20, 200_000
 
 
-def words(raw: bytes | None) -> list[bytes]:
-    return (raw.lower().split() if raw else []) + [END]
+def split(texts: list) -> tuple[pa.Array, np.ndarray]:
+    """The words of the texts (bytes or null), one after another, and how many each text has; the ends are left out."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_binary()).view(pa.large_string())))
+    flat = lists.flatten().view(pa.large_binary())
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+    # Space at a text's start or end leaves an empty piece there.
+    full = pc.binary_length(flat).to_numpy() > 0
+    if not full.all():
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[full], minlength=len(sizes))
+        flat = flat.filter(pa.array(full))
+    return flat, sizes
+
+
+def _bytes(column: pa.Array) -> list[bytes]:
+    return column.to_numpy(zero_copy_only=False).tolist()
 
 
 def tail_class(word: bytes) -> int:
@@ -61,26 +74,42 @@ def _docs(docs: DataFrame) -> DataFrame:
                        F.coalesce(fold, F.lit(1)).alias("fold"), F.col("text").cast("string"))
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """word, c: counts of all tokens of the training documents; combined in the tasks before the shuffle."""
-    small_batches(docs.sparkSession)
+COUNTS = pa.schema([("word", pa.binary()), ("c", pa.int64())])
+
 
-    def run(batches):
-        counts: Counter = Counter()
+def count_words(batches, held_bytes: int = HELD_BYTES, held_words: int = HELD_WORDS):
+    """word, c of the tokens of a task's batches; a word occurs again only after more than ``held_words`` were given out."""
+    pieces, size, ends, held = [], 0, 0, COUNTS.empty_table()
 
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "c"])
+    def counted() -> pa.Table:
+        each = pa.chunked_array(pieces, pa.large_binary()).value_counts()
+        new = pa.table([each.field(0), each.field(1)], names=COUNTS.names).cast(COUNTS)
+        if not len(held):
+            return new
+        both = pa.concat_tables([held, new]).group_by("word", use_threads=False).aggregate([("c", "sum")])
+        return both.rename_columns(COUNTS.names).cast(COUNTS)
 
-        for batch in batches:
-            for raw in binary_list(batch.column("text")):
-                counts.update(words(raw))
-            if len(counts) > HELD_WORDS:
-                yield out()
-                counts.clear()
-        if counts:
-            yield out()
+    for batch in batches:
+        flat, lengths = split(binary_list(batch.column("text")))
+        pieces.append(flat)
+        size += flat.nbytes
+        ends += len(lengths)
+        if size > held_bytes:
+            held = counted()
+            pieces.clear()
+            size = 0
+            if len(held) > held_words:
+                yield from held.to_batches()
+                held = COUNTS.empty_table()
+    yield from counted().to_batches()
+    if ends:
+        yield pa.RecordBatch.from_arrays([pa.array([END]), pa.array([ends])], schema=COUNTS)
 
-    return _docs(docs).where("NOT held_out").select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """word, c: counts of all tokens of the training documents; combined in the tasks before the shuffle."""
+    small_batches(docs.sparkSession)
+    return _docs(docs).where("NOT held_out").select("text").mapInArrow(count_words, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 class Lexicon:
@@ -164,18 +193,27 @@ def _mix(*parts) -> np.ndarray:
 
 
 def encode(texts: list, lex: Lexicon, index: dict):
-    """ids (-1: not hot), classes, symbols, starts of the texts' tokens, and the words that aren't hot."""
-    tokens = [words(t) for t in texts]
-    sizes = np.array([len(t) for t in tokens])
-    flat = [w for t in tokens for w in t]
+    """ids (-1: not hot), classes, symbols, numbers of the texts' tokens, places of those that aren't hot, and their words.
+
+    A word is looked up once however often it occurs; the words that aren't hot are given as all distinct words and indexes in them.
+    """
+    flat, lengths = split(texts)
+    coded = flat.dictionary_encode()
+    distinct = [*_bytes(coded.dictionary), END]
+    sizes = lengths + 1
+    inner = np.ones(sizes.sum(), bool)
+    inner[np.cumsum(sizes) - 1] = False
+    code = np.full(len(inner), len(distinct) - 1, np.int64)
+    code[inner] = coded.indices.to_numpy()
     get = index.get
-    ids = np.array([get(w, -1) for w in flat], np.int64)
-    cold = np.flatnonzero(ids < 0)
+    ids = np.array([get(w, -1) for w in distinct], np.int64)
     cls = lex.cls[np.maximum(ids, 0)]
-    cold_words = [flat[i] for i in cold.tolist()]
-    cls[cold] = [tail_class(w) for w in cold_words]
+    rare = np.flatnonzero(ids < 0)
+    cls[rare] = [tail_class(distinct[i]) for i in rare.tolist()]
     symbol = np.where((ids >= 0) & (ids < SYMBOLS), ids, SYMBOLS + cls)
-    return ids, cls, symbol, sizes, cold, cold_words
+    ids = ids[code]
+    cold = np.flatnonzero(ids < 0)
+    return ids, cls[code], symbol[code], sizes, cold, (distinct, code[cold])
 
 
 def histories(symbol: np.ndarray, sizes: np.ndarray):
@@ -199,35 +237,69 @@ def _one_row(column: np.ndarray) -> bool:
     return bool((column == column[:1]).all())
 
 
-def log_softmax(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
+def _tops(z: np.ndarray) -> np.ndarray:
+    """Each row's maximum, in a column: halves are compared first, then columns, as numpy reduces short rows slowly."""
+    while z.shape[1] > 8 and z.shape[1] % 2 == 0:
+        half = z.shape[1] // 2
+        z = np.maximum(z[:, :half], z[:, half:])
+    return np.ascontiguousarray(z.T).max(0)[:, None]
+
+
+def _scaled(rows: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each token's summed rows less their maximum, and the logarithm of the sum of their exponentials."""
     z = weights.take(rows[:, 1], axis=0, mode="clip")
     for k in range(2, rows.shape[1]):
         z += weights.take(rows[:, k], axis=0, mode="clip")
     z += weights[rows[:1, 0]] if _one_row(rows[:, 0]) else weights.take(rows[:, 0], axis=0, mode="clip")
-    z -= z.max(1, keepdims=True)
-    z -= np.log(np.exp(z) @ np.ones(z.shape[1], np.float32))[:, None]
+    z -= _tops(z)
+    return z, np.log(np.exp(z) @ np.ones(z.shape[1], np.float32))
+
+
+def log_softmax(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    z, log_sum = _scaled(rows, weights)
+    z -= log_sum[:, None]
     return z
 
 
+def log_chosen(rows: np.ndarray, weights: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """``log_softmax`` at one target of each token."""
+    z, log_sum = _scaled(rows, weights)
+    return z[np.arange(len(z)), target] - log_sum
+
+
+def _running(d: np.ndarray) -> np.ndarray:
+    """Running totals of the rows of d, two columns at a time as the parts of a complex number (the same sums in half the steps)."""
+    if d.shape[1] % 2:
+        return np.cumsum(d, axis=0)
+    return np.cumsum(d.view(np.complex64), axis=0).view(np.float32)
+
+
 def _step(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
     """One AdaGrad step on a batch: the gradient of each used row, summed over the batch."""
-    d = np.exp(log_softmax(rows, weights))
+    d = log_softmax(rows, weights)
+    np.exp(d, out=d)
     d[np.arange(len(d)), target] -= 1
     # Column 0 is the bias: one row for all tokens, or one per class.
     for column in rows.T.astype(np.uint16):
         if _one_row(column):
-            used, g = column[:1], d.sum(0, keepdims=True)
-            squares[used] += np.einsum("ij,ij->i", g, g) / g.shape[1]
-            weights[used] -= RATE * g / np.sqrt(squares[used] + 1.0)[:, None]
+            _add(weights, squares, column[:1].astype(np.intp), d.sum(0, keepdims=True))
             continue
         order = np.argsort(column, kind="stable")
         placed = column[order]
         first = np.flatnonzero(np.diff(placed, prepend=placed[0] ^ 1))
-        used = placed[first]
-        sums = np.cumsum(d.take(order, axis=0, mode="clip"), axis=0)[np.append(first[1:], len(order)) - 1]
-        g = np.diff(sums, axis=0, prepend=np.zeros((1, d.shape[1]), np.float32))
-        squares[used] += np.einsum("ij,ij->i", g, g) / g.shape[1]
-        weights[used] -= RATE * g / np.sqrt(squares[used] + 1.0)[:, None]
+        sums = _running(d.take(order, axis=0, mode="clip")).take(np.append(first[1:], len(order)) - 1, axis=0, mode="clip")
+        sums[1:] -= sums[:-1].copy()
+        _add(weights, squares, placed[first].astype(np.intp), sums)
+
+
+def _add(weights: np.ndarray, squares: np.ndarray, used: np.ndarray, g: np.ndarray) -> None:
+    """Move the used rows (distinct) against their gradients, which are overwritten."""
+    square = squares.take(used, mode="clip")
+    square += np.einsum("ij,ij->i", g, g) / g.shape[1]
+    squares[used] = square
+    g *= RATE
+    g /= np.sqrt(square + 1.0)[:, None]
+    weights[used] = np.subtract(weights.take(used, axis=0, mode="clip"), g, out=g)
 
 
 def train(docs: DataFrame, lex: Lexicon) -> Model:
@@ -293,12 +365,10 @@ def log10_known(ids, cls, rows, one, two, lex: Lexicon, model) -> np.ndarray:
     out = np.empty(len(ids))
     for i in range(0, len(ids), SLICE):
         part = slice(i, i + SLICE)
-        n = len(ids[part])
-        out[part] = log_softmax(rows[part], model[0])[np.arange(n), cls[part]]
+        out[part] = log_chosen(rows[part], model[0], cls[part])
         head = np.flatnonzero((ids[part] >= 0) & (ids[part] < lex.head)) + i
         if len(head):
-            z = log_softmax(word_rows(one[head], two[head], cls[head]), model[1])
-            out[head] += z[np.arange(len(head)), ids[head] % CLASS_WORDS]
+            out[head] += log_chosen(word_rows(one[head], two[head], cls[head]), model[1], ids[head] % CLASS_WORDS)
     out /= math.log(10)
     return out + np.where(ids >= lex.head, lex.share[np.maximum(ids, 0)], 0)
 
@@ -321,7 +391,7 @@ def score(docs: DataFrame) -> DataFrame:
             index = worker_index(lex)
             first = TaskContext.get().partitionId() << 36
             for batch in batches:
-                ids, cls, symbol, sizes, cold, cold_words = encode(binary_list(batch.column("text")), lex, index)
+                ids, cls, symbol, sizes, cold, (distinct, code) = encode(binary_list(batch.column("text")), lex, index)
                 rows, one, two = histories(symbol, sizes)
                 p = log10_known(ids, cls, rows, one, two, lex, weights.value)
                 at = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -332,11 +402,10 @@ def score(docs: DataFrame) -> DataFrame:
                 columns = {"row": row, "doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"), "n_tokens": sizes,
                            "n_known": np.add.reduceat(known.astype(np.int64), at), "base_score": np.add.reduceat(base, at), "score": np.add.reduceat(p, at)}
                 yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(len(sizes), f.type) for f in arrow], schema=arrow)
-                owner = np.repeat(row, sizes)[cold].tolist()
-                each = Counter(zip(owner, cold_words))
-                if each:
-                    pairs = list(each)
-                    columns = {"row": [o for o, _ in pairs], "word": [w for _, w in pairs], "k": [tail_class(w) for _, w in pairs], "tf": list(each.values())}
+                if len(cold):
+                    owner = np.repeat(np.arange(len(sizes)), sizes)[cold]
+                    pairs, place, times = np.unique(owner * len(distinct) + code, return_index=True, return_counts=True)
+                    columns = {"row": row[owner[place]], "word": [distinct[i] for i in code[place].tolist()], "k": cls[cold[place]], "tf": times}
                     yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(len(pairs), f.type) for f in arrow], schema=arrow)
 
         parts = tables.table(_docs(docs).select("doc_id", "held_out", "text").mapInArrow(run, schema), "parts")

@@ -9,6 +9,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from crimestats.llm import (byte_language, chat_format, common, host_quality, lattice_dedup, license_scan, maxent_lm, ngram_join,
@@ -276,6 +277,75 @@ def test_words_and_unseen_ones_of_a_history_sum_to_one():
     assert abs(total - 1) < 1e-4
 
 
+def test_language_model_splits_and_counts_as_bytes_do():
+    """Every byte beside words, invalid UTF-8, nulls; counts given out in several pieces or merged."""
+    texts = [None, b"", b" \t\n\x0b\x0c\r", b"\xff\xfeA \xc3\x89", *(b"Aa" + bytes([x]) + b"Zb" + bytes([x, x]) for x in range(256)), *(b"w%d W1 " % (i % 40) for i in range(300))]
+    flat, sizes = maxent_lm.split(texts)
+    brute = [(t or b"").lower().split() for t in texts]
+    assert flat.to_pylist() == [w for t in brute for w in t] and sizes.tolist() == [len(t) for t in brute]
+    # Arrow's text columns are UTF-8.
+    valid = [t if t is None else t.decode("latin-1") for t in texts]
+    count = collections.Counter(w for t in valid for w in words_of(t) + [b"\n"])
+    batches = [pa.record_batch({"text": pa.array(valid[i:i + 50])}) for i in range(0, len(valid), 50)]
+    for held_bytes, held_words in ((1 << 20, 10), (100, 10), (100, 10_000)):
+        got = [(w, c) for b in maxent_lm.count_words(batches, held_bytes, held_words) for w, c in zip(*(x.to_pylist() for x in b.columns))]
+        total = collections.Counter()
+        for w, c in got:
+            total[w] += c
+        assert total == count
+        assert len(got) == len(count) or (held_bytes, held_words) == (100, 10)
+    assert not sum(b.num_rows for b in maxent_lm.count_words([]))
+
+
+def test_language_model_looks_each_word_of_a_batch_up_once():
+    """The CPU of a batch goes with its distinct words, not with its tokens; the codes are those of every token by itself."""
+    class Index(dict):
+        asked = 0
+
+        def get(self, *key):
+            self.asked += 1
+            return super().get(*key)
+
+    lex = maxent_lm.Lexicon([(b"\n", 5)] + [(b"w%d" % i, 9) for i in range(400)], 3700, 500, {})
+    rng = random.Random(3)
+    texts = [None, b""] + [b" ".join(b"W%d" % rng.randrange(450) for _ in range(100)) for _ in range(50)]
+    index = Index(lex.index())
+    ids, cls, symbol, sizes, cold, (distinct, code) = maxent_lm.encode(texts, lex, index)
+    tokens = [w for t in texts for w in [*(t or b"").lower().split(), b"\n"]]
+    assert index.asked == len(set(tokens))
+    assert ids.tolist() == [lex.index().get(w, -1) for w in tokens] and sizes.tolist() == [1, 1] + [101] * 50
+    assert cls.tolist() == [maxent_lm.tail_class(w) if i < 0 else int(lex.cls[i]) for w, i in zip(tokens, ids.tolist())]
+    assert symbol.tolist() == [i if i >= 0 else maxent_lm.SYMBOLS + k for i, k in zip(ids.tolist(), cls.tolist())]
+    assert [tokens[i] for i in cold.tolist()] == [distinct[i] for i in code.tolist()] and (ids[cold] < 0).all() and len(cold) == (ids < 0).sum()
+
+
+def test_language_model_step_equals_the_plain_formula():
+    """Bit for bit: row maxima, running sums, the update and the chosen log probabilities, for shared and separate bias rows."""
+    rng = np.random.default_rng(4)
+    for shared in (True, False):
+        weights, squares = rng.normal(0, 2, (50, 32)).astype(np.float32), rng.random(50).astype(np.float32)
+        rows, target = rng.integers(8, 50, (700, 4)), rng.integers(0, 32, 700)
+        rows[:, 0] = 0 if shared else rng.integers(0, 8, 700)
+        z = weights[rows[:, 1]] + weights[rows[:, 2]] + weights[rows[:, 3]] + weights[rows[:, 0]]
+        z -= z.max(1, keepdims=True)
+        z -= np.log(np.exp(z) @ np.ones(32, np.float32))[:, None]
+        assert np.array_equal(maxent_lm.log_softmax(rows, weights), z)
+        assert np.array_equal(maxent_lm.log_chosen(rows, weights, target), z[np.arange(700), target])
+        d = np.exp(z)
+        d[np.arange(700), target] -= 1
+        want, sums = weights.copy(), squares.copy()
+        for k, column in enumerate(rows.T):
+            order = np.argsort(column, kind="stable")
+            used, first = np.unique(column[order], return_index=True)
+            g = np.diff(np.cumsum(d[order], axis=0)[np.append(first[1:], 700) - 1], axis=0, prepend=np.zeros((1, 32), np.float32))
+            if shared and k == 0:
+                g = d.sum(0, keepdims=True)
+            sums[used] += np.einsum("ij,ij->i", g, g) / 32
+            want[used] -= maxent_lm.RATE * g / np.sqrt(sums[used] + 1.0)[:, None]
+        maxent_lm._step(weights, squares, rows, target)
+        assert np.array_equal(weights, want) and np.array_equal(squares, sums)
+
+
 # --------------------------------------------------------- vector duplicates
 @pytest.mark.parametrize("dimension", [16, 64, 384])
 def test_lattice_recall_at_the_threshold(dimension):
